@@ -1,0 +1,121 @@
+"""Correlated pairs of series within a group, without emitting all pairs.
+
+The members of a group are cut into blocks of bounded size, and every pair of
+blocks is one tile. A task holds the series of one tile, computes the
+correlations of its pairs as matrix products, and emits those beyond the
+threshold only. A store with many devices thus becomes many tiles, spread over
+the cluster, and every pair is looked at in exactly one of them.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from costalloc.operators.skew import salted_join
+
+BLOCK_DEVICES = 256
+LEAST_COMMON_WINDOWS = 2
+PAIRS_AT_ONCE = 4096
+# Below this part of the raw second moment a variance is recomputed from deviations.
+DOUBTFUL_VARIANCE = 1e-6
+
+PAIR_SCHEMA = (
+    "StoreNumber string, Device1 string, Device2 string, CommonWindows bigint, Correlation double"
+)
+
+
+def _tiles(series: DataFrame, block_devices: int) -> DataFrame:
+    """Every series row once per tile its block takes part in."""
+    members = series.select("StoreNumber", "DeviceId").distinct().groupBy("StoreNumber").agg(F.count("*").alias("_n"))
+    blocks = members.select(
+        "StoreNumber", F.ceil(F.col("_n") / F.lit(block_devices)).cast("int").alias("_blocks")
+    )
+    own = F.pmod(F.xxhash64("DeviceId"), F.col("_blocks")).cast("int")
+    placed = salted_join(series, blocks, ["StoreNumber"], ["DeviceId", "TimeWindow"]).withColumn("_block", own)
+    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    return (
+        placed.withColumn("_other", other)
+        .withColumn("_low", F.least("_block", "_other"))
+        .withColumn("_high", F.greatest("_block", "_other"))
+        .select("StoreNumber", "_low", "_high", "_block", "DeviceId", "TimeWindow", "Cost")
+    )
+
+
+def _exact(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Correlation of row pairs over the columns where both have a value (NaN = none)."""
+    both = ~(np.isnan(x) | np.isnan(y))
+    n = both.sum(axis=1)
+
+    def deviations(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        kept = np.where(both, v, 0.0)
+        low = np.where(both, v, np.inf).min(axis=1)
+        high = np.where(both, v, -np.inf).max(axis=1)
+        centred = np.where(both, v - (kept.sum(axis=1) / n)[:, None], 0.0)
+        return centred, low == high
+
+    (dx, flat_x), (dy, flat_y) = deviations(x), deviations(y)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        r = (dx * dy).sum(axis=1) / np.sqrt((dx * dx).sum(axis=1) * (dy * dy).sum(axis=1))
+    return np.where(flat_x | flat_y, np.nan, r)
+
+
+def _tile_correlations(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Common windows and correlation of every row of `left` with every row of `right`."""
+
+    def centred(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        has = ~np.isnan(v)
+        mean = np.where(has, v, 0.0).sum(axis=1) / has.sum(axis=1)
+        return np.where(has, v - mean[:, None], 0.0), has.astype(float)
+
+    (x, mx), (y, my) = centred(left), centred(right)
+    n = mx @ my.T
+    with np.errstate(invalid="ignore", divide="ignore"):
+        sx, sy = x @ my.T, mx @ y.T
+        xx, yy = (x * x) @ my.T, mx @ (y * y).T
+        vx, vy = xx - sx * sx / n, yy - sy * sy / n
+        r = (x @ y.T - sx * sy / n) / np.sqrt(vx * vy)
+    # Few windows in common, or values far from the series mean: the difference
+    # of moments is unsafe there, so take those pairs again from the values.
+    doubtful = (n >= LEAST_COMMON_WINDOWS) & (
+        (vx <= DOUBTFUL_VARIANCE * xx) | (vy <= DOUBTFUL_VARIANCE * yy) | ~np.isfinite(r)
+    )
+    rows, cols = np.nonzero(doubtful)
+    for start in range(0, len(rows), PAIRS_AT_ONCE):
+        i, j = rows[start : start + PAIRS_AT_ONCE], cols[start : start + PAIRS_AT_ONCE]
+        r[i, j] = _exact(left[i], right[j])
+    return n, np.where(n >= LEAST_COMMON_WINDOWS, r, np.nan)
+
+
+def correlated_pairs(series: DataFrame, threshold: float, block_devices: int = BLOCK_DEVICES) -> DataFrame:
+    """Pairs with a correlation beyond the threshold. Expects StoreNumber, DeviceId,
+    TimeWindow and Cost, one row per device and window."""
+
+    def tile_pairs(tile: pd.DataFrame) -> pd.DataFrame:
+        low, high = tile["_low"].iat[0], tile["_high"].iat[0]
+        values = tile.pivot(index=["_block", "DeviceId"], columns="TimeWindow", values="Cost").sort_index()
+        block = values.index.get_level_values("_block")
+        device = values.index.get_level_values("DeviceId").to_numpy()
+        matrix = values.to_numpy(dtype=float)
+        a, b = block == low, block == high
+        common, r = _tile_correlations(matrix[a], matrix[b])
+        keep = np.abs(np.where(np.isnan(r), 0.0, r)) > threshold
+        if low == high:
+            keep = np.triu(keep, k=1)
+        i, j = np.nonzero(keep)
+        one, two = device[a][i], device[b][j]
+        ordered = one < two
+        return pd.DataFrame(
+            {
+                "StoreNumber": tile["StoreNumber"].iat[0],
+                "Device1": np.where(ordered, one, two),
+                "Device2": np.where(ordered, two, one),
+                "CommonWindows": common[i, j].astype("int64"),
+                "Correlation": r[i, j],
+            }
+        )
+
+    tiles = _tiles(series, block_devices)
+    return tiles.groupBy("StoreNumber", "_low", "_high").applyInPandas(tile_pairs, PAIR_SCHEMA)

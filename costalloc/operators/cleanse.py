@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from costalloc.functions.ids import UNKNOWN, normalize_resource_id
 from costalloc.functions.numbers import number_or_zero, ratio_or_null
@@ -27,7 +28,9 @@ def lookback_filter(rows: DataFrame, time: str, as_of, hours: int = 0, days: int
 
 def preprocess_telemetry(telemetry: DataFrame, window_minutes: int = HOUR) -> DataFrame:
     """Typed, null-free telemetry with its time window; rows without a time drop out."""
-    ts = F.col("TimeGenerated").cast("timestamp")
+    ts = F.col("TimeGenerated")
+    if telemetry.schema["TimeGenerated"].dataType != T.TimestampType():
+        ts = ts.cast("timestamp")  # a cast would lose the watermark of a stream
     device = F.coalesce("deviceId", F.lit(UNKNOWN))
     store = F.coalesce("storeNumber", F.lit(UNKNOWN))
     cleaned = telemetry.withColumns(

@@ -60,9 +60,9 @@ def dq_rules(fact: DataFrame) -> DataFrame:
         "AllocatedCost not negative": F.col("AllocatedCost") < 0,
         "TokensUsed not negative": F.col("TokensUsed") < 0,
         "ApiCalls not negative": F.col("ApiCalls") < 0,
-        "CorrelationConfidence in 0..1": outside("CorrelationConfidence"),
-        "AllocationAccuracy in 0..1": outside("AllocationAccuracy"),
-        "DeviceUtilizationScore in 0..1": outside("DeviceUtilizationScore"),
+        "CorrelationConfidence between 0 and 1": outside("CorrelationConfidence"),
+        "AllocationAccuracy between 0 and 1": outside("AllocationAccuracy"),
+        "DeviceUtilizationScore between 0 and 1": outside("DeviceUtilizationScore"),
         "DeviceId known": F.col("IsUnknownDevice"),
         "StoreNumber known": F.col("IsUnknownStore"),
     }

@@ -44,26 +44,29 @@ DIMENSIONS = [
 ]
 
 
-def _parsed(body: Column) -> Column:
+def _with_event(raw: DataFrame, body: str) -> DataFrame:
+    """Body next to the envelope's columns. As a generator, inline() is a border the
+    optimizer does not copy expressions over: each body is parsed exactly once."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD}
-    return F.from_json(body, PARSE_SCHEMA, options)
+    event = F.from_json(F.col(body), PARSE_SCHEMA, options)
+    return raw.select(F.col(body).alias("_body"), F.inline(F.array(event)))
 
 
-def _is_valid(event: Column) -> Column:
-    good = event[BAD_RECORD].isNull() & event["eventType"].isin(CALL_EVENT, ERROR_EVENT)
+def _is_valid() -> Column:
+    good = F.col(BAD_RECORD).isNull() & F.col("eventType").isin(CALL_EVENT, ERROR_EVENT)
     return F.coalesce(good, F.lit(False))
 
 
 def split_events(raw: DataFrame, body: str = "value") -> tuple[DataFrame, DataFrame]:
     """Valid events (envelope columns), and the rejected bodies with the reason."""
-    parsed = raw.withColumn("_event", _parsed(F.col(body)))
-    valid = _is_valid(F.col("_event"))
-    events = parsed.where(valid).select([F.col("_event")[f].alias(f) for f in EVENT_ENVELOPE.names])
+    parsed = _with_event(raw, body)
     reason = F.when(
-        F.col("_event").isNull() | F.col(f"_event.{BAD_RECORD}").isNotNull(), "not a JSON object"
-    ).otherwise("other event type")
-    rejects = parsed.where(~valid).select(F.col(body).alias("body"), reason.alias("reason"))
-    return events, rejects
+        F.col(BAD_RECORD).isNull() & F.col("eventType").isNotNull(), "other event type"
+    ).otherwise("not a JSON object")
+    return (
+        parsed.where(_is_valid()).select(EVENT_ENVELOPE.names),
+        parsed.where(~_is_valid()).select(F.col("_body").alias("body"), reason.alias("reason")),
+    )
 
 
 def parse_events(raw: DataFrame, body: str = "value") -> DataFrame:

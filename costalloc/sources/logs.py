@@ -27,11 +27,12 @@ def or_unknown(c: Column) -> Column:
 def read_traces(traces: DataFrame, as_of, lookback_hours: int) -> DataFrame:
     """Forwarded trace lines to telemetry: keep matching lines with a status above 0."""
     wanted = F.lower("Message").contains(TRACE_TEXT.lower()) | F.col("Message").contains(TRACE_TEXT_CASED)
-    dims = F.col("_dims")
+    dims = F.col("customDimensions")
     return (
         lookback_filter(traces, "TimeGenerated", as_of, hours=lookback_hours)
         .where(wanted)
-        .withColumn("_dims", F.from_json("Message", TRACE_MESSAGE)["customDimensions"])
+        # a generator, so that the message is parsed once and not per column
+        .select("TimeGenerated", F.inline(F.array(F.from_json("Message", TRACE_MESSAGE))))
         .select(
             "TimeGenerated",
             # The forwarder names the id correlation_id; older lines say request_id.

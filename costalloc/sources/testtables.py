@@ -91,13 +91,17 @@ TELEMETRY_COLUMNS = [
 ]
 
 
+def telemetry_of(events: DataFrame) -> DataFrame:
+    return _calls(events).select(TELEMETRY_COLUMNS)
+
+
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return calls(spark, sf_dir).select(TELEMETRY_COLUMNS)
+    return telemetry_of(_table(spark, sf_dir, "events"))
 
 
-def telemetry_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def telemetry_sources_of(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Gateway rows and request rows; every twentieth event is in both."""
-    rows, event = calls(spark, sf_dir), F.col("event_id")
+    rows, event = _calls(events), F.col("event_id")
     gateway = rows.where(event % 2 == 0).select(F.lit("APIM").alias("Source"), *TELEMETRY_COLUMNS)
     requests = rows.where((event % 2 == 1) | (event % 20 == 0)).select(
         F.lit("ApplicationInsights").alias("Source"), *TELEMETRY_COLUMNS
@@ -105,6 +109,10 @@ def telemetry_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     return gateway, requests
 
 
+def telemetry_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return telemetry_sources_of(_table(spark, sf_dir, "events"))
+
+
 def _billing(lines: DataFrame, usage_date: Column) -> DataFrame:
     def by_line(values: list[str]) -> Column:
         return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("l_linenumber"))
@@ -178,13 +186,19 @@ def raw_event_bodies(events: DataFrame) -> DataFrame:
             F.col("ResponseTime").cast("bigint").cast("string").alias("responseTime"),
         )
     )
-    return rows.select(
-        "event_id",
+    damaged = (
         F.when(event % 50 == 0, F.substring(body, 1, 60))
         .when(event % 50 == 2, F.concat(F.lit("["), body, F.lit("]")))
         .otherwise(body)
-        .alias("value"),
     )
+    return _as_stored(rows.select("event_id", damaged.alias("value")), "value")
+
+
+def _as_stored(rows: DataFrame, text: str) -> DataFrame:
+    """`text` as if read from a table: a generator keeps the optimizer from
+    copying the expression that builds it into every use."""
+    others = [c for c in rows.columns if c != text]
+    return rows.select(*others, F.explode(F.array(text)).alias(text))
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,7 +207,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log lines as the forwarder writes them."""
-    return trace_messages(parse_events(raw_events(spark, sf_dir)))
+    return _as_stored(trace_messages(parse_events(raw_events(spark, sf_dir))), "Message")
 
 
 def gateway_logs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,20 +21,22 @@ def known_or_unknown(c: Column) -> Column:
 
 def url_host_label(url: Column) -> Column:
     """First label of the host of a URL; '' where there is no host."""
-    host = F.regexp_extract(url, r"^http[^:/?#]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
-    return F.substring_index(host, ".", 1)
+    return F.regexp_extract(url, r"^http[^:/?#]*://(?:[^/?#@]*@)?([^/?#:.]*)", 1)
 
 
 def normalize_resource_id(c: Column) -> Column:
-    """One short name for a resource, whether it came as a path, a URL or a name."""
+    """One short name for a resource, whether it came as a path, a URL or a name.
+
+    Never NULL, so joins on it need no extra null check on every input row.
+    """
     text = F.lower(F.btrim(c, F.lit(" \t\r\n")))
-    label = url_host_label(text)
-    return (
-        F.when(c.isNull() | (c == "") | (c == UNKNOWN), UNKNOWN)
-        .when(text.startswith("/subscriptions/"), F.element_at(F.split(text, "/"), -1))
-        .when(text.startswith("http"), F.when(label == "", UNKNOWN).otherwise(label))
+    short = (
+        F.when((c == "") | (c == UNKNOWN), UNKNOWN)
+        .when(text.startswith("/subscriptions/"), F.substring_index(text, "/", -1))
+        .when(text.startswith("http"), non_empty(url_host_label(text)))
         .otherwise(text)
     )
+    return F.coalesce(short, F.lit(UNKNOWN))
 
 
 def path_part_after(path: Column, marker: str) -> Column:

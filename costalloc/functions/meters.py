@@ -38,25 +38,28 @@ MODEL_FAMILIES = [
 UNCLASSIFIED = "Unknown"
 
 
-def _first_match(name: Column, rules: list[tuple[list[str], str | None]], default: str | None) -> Column:
-    result = F.lit(default).cast("string")
-    for words, value in reversed(rules):
-        hit = F.lit(True)
-        for word in words:
-            hit = hit & name.contains(word)
-        result = F.when(hit, F.lit(value)).otherwise(result)
-    return result
+def _first_match(meter: str, rules: list[tuple[list[str], str | None]], default: str | None) -> Column:
+    """The rules as one SQL CASE over the column `meter`."""
 
+    def text(value: str | None) -> str:
+        return "CAST(NULL AS STRING)" if value is None else f"'{value}'"
 
-def cost_type(meter: Column, extended: bool = False) -> Column:
+    cases = []
+    for words, value in rules:
+        hit = " AND ".join(f"contains(lower({meter}), '{word}')" for word in words)
+        cases.append(f"WHEN {hit} THEN {text(value)}")
+    return F.expr(f"CASE {' '.join(cases)} ELSE {text(default)} END")
+
+
+def cost_type(meter: str, extended: bool = False) -> Column:
     rules = COST_TYPES + (SHORT_COST_TYPES if extended else [])
-    return _first_match(F.lower(meter), [(w, kind) for w, kind, _ in rules], UNCLASSIFIED)
+    return _first_match(meter, [(words, kind) for words, kind, _ in rules], UNCLASSIFIED)
 
 
-def token_type(meter: Column, extended: bool = False) -> Column:
+def token_type(meter: str, extended: bool = False) -> Column:
     rules = COST_TYPES + (SHORT_COST_TYPES if extended else [])
-    return _first_match(F.lower(meter), [(w, token) for w, _, token in rules], None)
+    return _first_match(meter, [(words, token) for words, _, token in rules], None)
 
 
-def model_family(meter: Column) -> Column:
-    return _first_match(F.lower(meter), MODEL_FAMILIES, UNCLASSIFIED)
+def model_family(meter: str) -> Column:
+    return _first_match(meter, MODEL_FAMILIES, UNCLASSIFIED)

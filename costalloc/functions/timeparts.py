@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Working hours (both ends count) and shift starts.
 BUSINESS_HOURS = (9, 17)
@@ -54,9 +55,16 @@ def week_start_sunday(day: Column) -> Column:
     return F.date_sub(F.next_day(day, "SUN"), 7)
 
 
-def billing_timestamp(c: Column) -> Column:
-    """A billing date as UTC time: ISO text, or a yyyyMMdd number."""
+def billing_timestamp(rows: DataFrame, name: str) -> Column:
+    """A billing date as UTC time: a time, a date, ISO text, or a yyyyMMdd number."""
+    c, kind = F.col(name), rows.schema[name].dataType
+    if isinstance(kind, T.TimestampType):
+        return c
+    if isinstance(kind, (T.DateType, T.TimestampNTZType)):
+        return c.cast("timestamp")
     text = c.cast("string")
+    if isinstance(kind, T.IntegralType):
+        return F.try_to_timestamp(text, F.lit("yyyyMMdd"))
     return F.when(
         text.rlike(r"^[0-9]{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd"))
     ).otherwise(F.try_to_timestamp(text))

@@ -54,7 +54,7 @@ def preprocess_cost(lines: DataFrame, window_minutes: int = HOUR) -> DataFrame:
     """Typed, null-free cost lines with their time window."""
     return lines.withColumns(
         {
-            "UsageDate": billing_timestamp(F.col("UsageDate")),
+            "UsageDate": billing_timestamp(lines, "UsageDate"),
             "Cost": number_or_zero(F.col("Cost"), "double"),
             "UsageQuantity": number_or_zero(F.col("UsageQuantity"), "double"),
             "CostPerUnit": number_or_zero(F.col("CostPerUnit"), "double"),

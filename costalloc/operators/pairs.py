@@ -9,13 +9,19 @@ the cluster, and every pair is looked at in exactly one of them.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costalloc.operators.skew import salted_join
 
+# Workers need not have this package installed: the functions below travel with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_DEVICES = 256
 LEAST_COMMON_WINDOWS = 2
 PAIRS_AT_ONCE = 4096

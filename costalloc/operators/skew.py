@@ -25,7 +25,9 @@ def salted_join(
     the result is exactly that of the plain join. A lookup that turns out small
     at run time is still broadcast by adaptive execution, by its measured size.
     """
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    # Never NULL; a null check on it would be pushed into the input and keep
+    # Spark from recognising that two branches share a shuffle.
+    salt = F.coalesce(F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"), F.lit(0))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     joined = detail.withColumn("_salt", salt).join(repeated, [*keys, "_salt"], how)
     return joined.drop("_salt")

@@ -43,19 +43,21 @@ def at_edge(rows: DataFrame) -> DataFrame:
     without zone, dates and lists as text."""
     columns = []
     for field in rows.schema.fields:
-        c, kind = F.col(f"`{field.name}`"), field.dataType
+        c, kind = f"`{field.name}`", field.dataType
         if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), 6) + F.lit(0.0)
+            text = f"round(CAST({c} AS DOUBLE), 6) + 0.0D"
         elif isinstance(kind, T.IntegralType):
-            c = c.cast("bigint")
+            text = f"CAST({c} AS BIGINT)"
         elif isinstance(kind, T.TimestampType):
-            c = c.cast("timestamp_ntz")
+            text = f"CAST({c} AS TIMESTAMP_NTZ)"
         elif isinstance(kind, T.DateType):
-            c = c.cast("string")
+            text = f"CAST({c} AS STRING)"
         elif isinstance(kind, T.ArrayType):
-            c = F.array_join(c.cast("array<string>"), ",")
-        columns.append(c.alias(field.name))
-    return rows.select(columns)
+            text = f"array_join(CAST({c} AS ARRAY<STRING>), ',')"
+        else:
+            text = c
+        columns.append(f"{text} AS {c}")
+    return rows.selectExpr(*columns)
 
 
 def _telemetry(spark: SparkSession, d: str) -> DataFrame:

@@ -40,13 +40,12 @@ def read_cost_json(spark: SparkSession, path: str, one_array: bool = False) -> D
 
 def categorize_cost(rows: DataFrame, extended: bool = False) -> DataFrame:
     """Cost type, token type, model family and unit cost from the meter name."""
-    meter = F.coalesce(F.col("MeterName"), F.lit(""))
-    token = token_type(meter, extended)
+    token = token_type("MeterName", extended)
     return rows.withColumns(
         {
-            "CostType": cost_type(meter, extended),
+            "CostType": cost_type("MeterName", extended),
             "TokenType": token,
-            "ModelFamily": model_family(meter),
+            "ModelFamily": model_family("MeterName"),
             "IsTokenBased": token.isNotNull(),
             "CostPerUnit": ratio_or_zero(F.col("Cost"), F.col("UsageQuantity")),
         }
@@ -72,7 +71,7 @@ def normalize_cost(billing: DataFrame, extended: bool = False) -> DataFrame:
         pick(["ResourceType"], F.lit("Unknown")).alias("ResourceType"),
         pick(["ServiceName"], F.lit(SERVICES[0])).alias("ServiceName"),
         pick(["Meter", "MeterName"], F.lit("Unknown")).alias("MeterName"),
-        billing_timestamp(F.col("UsageDate")).alias("UsageDate"),
+        billing_timestamp(billing, "UsageDate").alias("UsageDate"),
         F.coalesce(*[F.col(c).try_cast("double") for c in amount], F.lit(0.0)).alias("Cost"),
         F.coalesce(*[F.col(c).try_cast("double") for c in quantity], F.lit(0.0)).alias("UsageQuantity"),
         pick(["Currency"], F.lit("USD")).alias("Currency"),

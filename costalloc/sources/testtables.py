@@ -33,51 +33,41 @@ METERS = [
 STORES = 12
 RESOURCES = 5
 REGIONS = 3
+DEVICE = f"IF(user_id % 10 = 0, '{UNKNOWN}', concat('device-', user_id))"
+STORE = f"IF(user_id % 15 = 0, '{UNKNOWN}', concat('store-', user_id % {STORES}))"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _numbered(prefix: str, n: Column) -> Column:
-    return F.concat(F.lit(prefix), n.cast("string"))
-
-
-def device_of(user: Column) -> Column:
-    return F.when(user % 10 == 0, UNKNOWN).otherwise(_numbered("device-", user))
-
-
-def store_of(user: Column) -> Column:
-    return F.when(user % 15 == 0, UNKNOWN).otherwise(_numbered("store-", user % STORES))
-
-
 def _calls(events: DataFrame) -> DataFrame:
     """One gateway call per event, with helper columns for the adapters below."""
-    event, user = F.col("event_id"), F.col("user_id")
-    resource = _numbered("", user % RESOURCES)
-    host = F.concat(F.lit("https://openai-"), resource, F.lit(".openai.azure.com/openai"))
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    return events.select(
-        event.alias("event_id"),
-        user.alias("user_id"),
-        k.alias("k"),
-        F.col("event_type"),
-        F.col("ts").cast("timestamp").alias("TimeGenerated"),
-        _numbered("req-", event).alias("RequestId"),
-        device_of(user).alias("deviceId"),
-        store_of(user).alias("storeNumber"),
-        F.col("event_type").alias("ApiName"),
-        F.lit("POST").alias("Method"),
-        host.alias("Url"),
-        F.when(F.col("event_type") == "error", 500).otherwise(200).alias("StatusCode"),
-        F.floor(F.col("value") * 10).cast("double").alias("ResponseTime"),
-        F.when(F.col("event_type") == "signup", F.lit(0).cast("bigint")).otherwise(k * 20).alias("TokensUsed"),
-        F.when(event % 3 == 0, F.concat(F.lit(ARM_PREFIX), resource))
-        .when(event % 3 == 1, host)
-        .otherwise(F.concat(F.lit("openai-"), resource))
-        .alias("ResourceId"),
-        F.concat(F.lit("openai-"), resource).alias("resource_name"),
-        _numbered("region-", (user % RESOURCES) % REGIONS).alias("resourceRegion"),
+    named = events.selectExpr(
+        "*",
+        f"concat('openai-', user_id % {RESOURCES}) AS resource_name",
+        f"concat('https://openai-', user_id % {RESOURCES}, '.openai.azure.com/openai') AS Url",
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
+    )
+    return named.selectExpr(
+        "event_id",
+        "user_id",
+        "k",
+        "event_type",
+        "CAST(ts AS TIMESTAMP) AS TimeGenerated",
+        "concat('req-', event_id) AS RequestId",
+        f"{DEVICE} AS deviceId",
+        f"{STORE} AS storeNumber",
+        "event_type AS ApiName",
+        "'POST' AS Method",
+        "Url",
+        "IF(event_type = 'error', 500, 200) AS StatusCode",
+        "CAST(floor(value * 10) AS DOUBLE) AS ResponseTime",
+        "IF(event_type = 'signup', 0L, k * 20) AS TokensUsed",
+        f"CASE event_id % 3 WHEN 0 THEN concat('{ARM_PREFIX}', user_id % {RESOURCES})"
+        " WHEN 1 THEN Url ELSE resource_name END AS ResourceId",
+        "resource_name",
+        f"concat('region-', (user_id % {RESOURCES}) % {REGIONS}) AS resourceRegion",
     )
 
 
@@ -113,48 +103,41 @@ def telemetry_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     return telemetry_sources_of(_table(spark, sf_dir, "events"))
 
 
-def _billing(lines: DataFrame, usage_date: Column) -> DataFrame:
-    def by_line(values: list[str]) -> Column:
-        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("l_linenumber"))
-
-    amount = F.col("l_extendedprice").cast("decimal(14,2)") * (
-        F.lit(1) - F.col("l_discount").cast("decimal(4,2)")
-    )
+def _billing(lines: DataFrame, usage_date: str) -> DataFrame:
+    meters, services = (", ".join(f"'{v}'" for v in column) for column in zip(*METERS))
     return (
-        lines.select(
-            usage_date.alias("UsageDate"),
-            (F.col("l_suppkey") % RESOURCES).alias("_resource"),
+        lines.selectExpr(
+            f"{usage_date} AS UsageDate",
+            f"l_suppkey % {RESOURCES} AS _resource",
             "l_linenumber",
-            amount.alias("_amount"),
-            F.col("l_quantity").cast("decimal(12,2)").alias("_quantity"),
+            "CAST(l_extendedprice AS DECIMAL(14,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS _amount",
+            "CAST(l_quantity AS DECIMAL(12,2)) AS _quantity",
         )
         .groupBy("UsageDate", "_resource", "l_linenumber")
         .agg(F.sum("_amount").alias("_amount"), F.sum("_quantity").alias("_quantity"))
-        .select(
-            (F.col("_amount").cast("double") / PRICE_DIVISOR).alias("PreTaxCost"),
-            F.col("_quantity").cast("double").alias("UsageQuantity"),
+        .selectExpr(
+            f"CAST(_amount AS DOUBLE) / {PRICE_DIVISOR}D AS PreTaxCost",
+            "CAST(_quantity AS DOUBLE) AS UsageQuantity",
             "UsageDate",
-            _numbered(ARM_PREFIX, F.col("_resource")).alias("ResourceId"),
-            F.lit("Microsoft.CognitiveServices/accounts").alias("ResourceType"),
-            by_line([service for _, service in METERS]).alias("ServiceName"),
-            by_line([meter for meter, _ in METERS]).alias("Meter"),
-            F.lit("USD").alias("Currency"),
-            F.col("l_linenumber").alias("cost_seq"),
+            f"concat('{ARM_PREFIX}', _resource) AS ResourceId",
+            "'Microsoft.CognitiveServices/accounts' AS ResourceType",
+            f"element_at(array({services}), l_linenumber) AS ServiceName",
+            f"element_at(array({meters}), l_linenumber) AS Meter",
+            "'USD' AS Currency",
+            "l_linenumber AS cost_seq",
         )
     )
 
 
 def billing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly billing rows per resource and meter."""
-    day = F.lit(FIRST_DAY).cast("timestamp") + F.make_dt_interval(
-        (F.col("l_orderkey") % 30).cast("int"), (F.col("l_partkey") % 24).cast("int")
-    )
-    return _billing(_table(spark, sf_dir, "lineitem"), day)
+    hour = f"TIMESTAMP '{FIRST_DAY}' + make_dt_interval(CAST(l_orderkey % 30 AS INT), CAST(l_partkey % 24 AS INT))"
+    return _billing(_table(spark, sf_dir, "lineitem"), hour)
 
 
 def shipped_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Billing rows dated by ship date: several years of days."""
-    return _billing(_table(spark, sf_dir, "lineitem"), F.col("l_shipdate").cast("timestamp"))
+    return _billing(_table(spark, sf_dir, "lineitem"), "CAST(l_shipdate AS TIMESTAMP)")
 
 
 def raw_event_bodies(events: DataFrame) -> DataFrame:
@@ -313,7 +296,7 @@ def user_device_map(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "events")
         .select("user_id")
         .distinct()
-        .select(_numbered("person-", F.col("user_id") % 7).alias("UserName"), device_of(F.col("user_id")).alias("DeviceId"))
+        .selectExpr("concat('person-', user_id % 7) AS UserName", f"{DEVICE} AS DeviceId")
     )
 
 

@@ -55,9 +55,12 @@ def usage_by_window(
     usage = telemetry.groupBy(
         *KEYS, F.col("deviceId").alias("DeviceId"), F.col("storeNumber").alias("StoreNumber")
     ).agg(*aggregates)
-    # Always true. It keeps the mean in every use of this table, so that the
-    # totals and the detail share one shuffle instead of scanning twice.
-    return usage.where(F.col("AvgResponseTime").isNotNull())
+    # Always true. It keeps every aggregate in every use of this table, so that
+    # totals and detail share one shuffle instead of scanning the input twice.
+    filled = F.col("ApiCalls") > 0
+    for measure in sorted(set(usage.columns) - {*KEYS, *CELL, "ApiCalls"}):
+        filled = filled & F.col(measure).isNotNull()
+    return usage.where(filled)
 
 
 def window_totals(usage: DataFrame) -> DataFrame:

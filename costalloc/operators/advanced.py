@@ -9,7 +9,7 @@ from costalloc.functions.ids import UNKNOWN
 from costalloc.functions.numbers import safe_corr
 from costalloc.functions.timeparts import window_start
 from costalloc.operators.cleanse import lookback_filter
-from costalloc.operators.measures import hourly_totals, peak_hours
+from costalloc.operators.measures import PEAK_QUANTILE
 from costalloc.operators.pairs import correlated_pairs
 from costalloc.operators.skew import salted_join
 from costalloc.operators.summaries import weighted_cost, weighted_usage
@@ -52,44 +52,40 @@ def time_weighted_correlation(
     )
 
 
-def _hourly_rates(telemetry: DataFrame) -> DataFrame:
-    """Tokens and calls per hour in which the device was active at all."""
-    hours = telemetry.groupBy(*PAIR, window_start(F.col("TimeGenerated"), 60).alias("_hour")).agg(
-        F.sum("TokensUsed").alias("tokens"), F.count("*").alias("calls")
-    )
-    active = F.count("*")
-    return hours.groupBy(*PAIR).agg(
-        (F.sum("tokens") / active).alias("tokens_per_hour"),
-        (F.sum("calls") / active).alias("calls_per_hour"),
-        F.sum("tokens").alias("tokens"),
-        F.sum("calls").alias("calls"),
-    )
+def _active_hours(telemetry: DataFrame) -> DataFrame:
+    """Tokens and calls per device and hour in which it was active at all."""
+    hour = window_start(F.col("TimeGenerated"), 60).alias("_hour")
+    return telemetry.groupBy(*PAIR, hour).agg(F.sum("TokensUsed").alias("tokens"), F.count("*").alias("calls"))
 
 
 def device_usage_patterns(telemetry: DataFrame, as_of, lookback_days: int = 7) -> DataFrame:
-    """Usage pattern of every known device over the lookback."""
+    """Usage pattern of every known device over the lookback, from one scan."""
     recent = lookback_filter(telemetry, "TimeGenerated", as_of, days=lookback_days).where(
         (F.col("deviceId") != UNKNOWN) & (F.col("storeNumber") != UNKNOWN)
     )
-    spread = F.stddev_samp("TotalTokens") / (F.avg("TotalTokens") + 1)
-    consistency = hourly_totals(recent).groupBy(*PAIR).agg(
-        F.greatest(F.lit(0.0), F.lit(1.0) - F.coalesce(spread, F.lit(0.0))).alias("usage_consistency_score")
-    )
-    peaks = peak_hours(recent).groupBy(*PAIR).agg(F.sort_array(F.collect_list("Hour")).alias("peak_hours"))
-    per_call = F.col("tokens") / F.col("calls") / EFFICIENT_TOKENS_PER_CALL
-    return (
-        _hourly_rates(recent)
-        .join(consistency, PAIR)
-        .join(peaks, PAIR)
-        .select(
-            F.col("deviceId").alias("device_id"),
-            F.col("storeNumber").alias("store_number"),
-            F.col("tokens_per_hour").alias("avg_tokens_per_hour"),
-            F.col("calls_per_hour").alias("avg_api_calls_per_hour"),
-            "peak_hours",
-            "usage_consistency_score",
-            F.least(per_call, F.lit(1.0)).alias("cost_efficiency_score"),
-        )
+    by_hour_of_day = _active_hours(recent).groupBy(*PAIR, F.hour("_hour").alias("hour")).agg(
+        F.sum("tokens").alias("tokens"), F.sum("calls").alias("calls"), F.count("*").alias("active")
+    )
+    tokens, calls, active = F.sum("tokens"), F.sum("calls"), F.sum("active")
+    variation = F.stddev_samp("tokens") / (F.avg("tokens") + 1)
+    devices = by_hour_of_day.groupBy(*PAIR).agg(
+        (tokens / active).alias("avg_tokens_per_hour"),
+        (calls / active).alias("avg_api_calls_per_hour"),
+        (F.lit(1.0) - F.coalesce(variation, F.lit(0.0))).alias("_steadiness"),
+        (tokens / calls / EFFICIENT_TOKENS_PER_CALL).alias("_efficiency"),
+        F.percentile("tokens", F.lit(PEAK_QUANTILE)).alias("_peak"),
+        # at most 24 entries a device
+        F.array_sort(F.collect_list(F.struct("hour", "tokens"))).alias("_hours"),
+    )
+    peaks = F.filter("_hours", lambda h: h["tokens"] >= F.col("_peak"))
+    return devices.select(
+        F.col("deviceId").alias("device_id"),
+        F.col("storeNumber").alias("store_number"),
+        "avg_tokens_per_hour",
+        "avg_api_calls_per_hour",
+        F.transform(peaks, lambda h: h["hour"]).alias("peak_hours"),
+        F.greatest(F.lit(0.0), F.col("_steadiness")).alias("usage_consistency_score"),
+        F.least(F.lit(1.0), F.col("_efficiency")).alias("cost_efficiency_score"),
     )
 
 
@@ -143,11 +139,12 @@ def predict_cost(usage: DataFrame, models: DataFrame) -> DataFrame:
 
 def pattern_lookup_join(usage: DataFrame, patterns: DataFrame) -> DataFrame:
     """Current rates per device next to its stored pattern."""
-    rates = _hourly_rates(usage).select(
-        F.col("deviceId").alias("device_id"),
-        F.col("storeNumber").alias("store_number"),
-        F.col("tokens_per_hour").alias("current_tokens_per_hour"),
-        F.col("calls_per_hour").alias("current_calls_per_hour"),
+    hours = F.count("*")
+    rates = _active_hours(usage).groupBy(
+        F.col("deviceId").alias("device_id"), F.col("storeNumber").alias("store_number")
+    ).agg(
+        (F.sum("tokens") / hours).alias("current_tokens_per_hour"),
+        (F.sum("calls") / hours).alias("current_calls_per_hour"),
     )
     return rates.join(patterns, ["device_id", "store_number"])
 
@@ -176,21 +173,26 @@ def usage_anomalies(usage: DataFrame, patterns: DataFrame) -> DataFrame:
     )
 
 
+def _cost_series(fact: DataFrame) -> DataFrame:
+    return fact.groupBy("StoreNumber", "DeviceId", "TimeWindow").agg(F.sum("AllocatedCost").alias("Cost"))
+
+
 def device_pair_join(fact: DataFrame, threshold: float = SPILLOVER_CORRELATION) -> DataFrame:
     """Pairs of devices of one store whose costs go together, over their common windows."""
-    series = fact.groupBy("StoreNumber", "DeviceId", "TimeWindow").agg(F.sum("AllocatedCost").alias("Cost"))
-    return correlated_pairs(series, threshold)
+    return correlated_pairs(_cost_series(fact), threshold)
 
 
 def device_spillover(fact: DataFrame, threshold: float = SPILLOVER_CORRELATION) -> DataFrame:
     """Correlated device pairs with the sign and the cost figures of their store."""
-    devices = fact.groupBy("StoreNumber", "DeviceId").agg(F.sum("AllocatedCost").alias("Cost"))
+    # Members, figures and pairs all start from the series, so the fact is computed once.
+    series = _cost_series(fact)
+    devices = series.groupBy("StoreNumber", "DeviceId").agg(F.sum("Cost").alias("Cost"))
     stores = devices.groupBy("StoreNumber").agg(
         F.count("*").alias("device_count"),
         F.sum("Cost").alias("total_store_cost"),
         F.avg("Cost").alias("avg_device_cost"),
     )
-    pairs = device_pair_join(fact, threshold).withColumn(
+    pairs = correlated_pairs(series, threshold).withColumn(
         "Relationship", F.when(F.col("Correlation") > 0, "positive").otherwise("negative")
     )
     return salted_join(pairs, stores, ["StoreNumber"], ["Device1", "Device2"])

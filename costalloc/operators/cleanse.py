@@ -15,6 +15,7 @@ from costalloc.functions.timeparts import (
     week_start_sunday,
     window_start,
 )
+from costalloc.operators.skew import salted_join
 
 HOUR = 60
 DAY = 1440
@@ -75,7 +76,7 @@ def own_store_rows(fact: DataFrame, store: str) -> DataFrame:
 def mapped_device_rows(fact: DataFrame, user_devices: DataFrame, user: str) -> DataFrame:
     """What a person may see: the devices mapped to them."""
     devices = user_devices.where(F.col("UserName") == user).select("DeviceId")
-    return fact.join(devices, "DeviceId", "left_semi")
+    return salted_join(fact, devices, ["DeviceId"], ["TimeWindow", "ResourceId", "MeterName"], "left_semi")
 
 
 def add_period_columns(fact: DataFrame) -> DataFrame:

@@ -24,7 +24,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_DEVICES = 256
 LEAST_COMMON_WINDOWS = 2
-PAIRS_AT_ONCE = 4096
+WINDOWS_AT_ONCE = 4096
+VALUES_AT_ONCE = 4_000_000
 # Below this part of the raw second moment a variance is recomputed from deviations.
 DOUBTFUL_VARIANCE = 1e-6
 
@@ -35,7 +36,9 @@ PAIR_SCHEMA = (
 
 def _tiles(series: DataFrame, block_devices: int) -> DataFrame:
     """Every series row once per tile its block takes part in."""
-    members = series.select("StoreNumber", "DeviceId").distinct().groupBy("StoreNumber").agg(F.count("*").alias("_n"))
+    # Counting the costs, rather than the rows, keeps the series' own shuffle shared.
+    devices = series.groupBy("StoreNumber", "DeviceId").agg(F.count("Cost").alias("_windows"))
+    members = devices.where(F.col("_windows") > 0).groupBy("StoreNumber").agg(F.count("*").alias("_n"))
     blocks = members.select(
         "StoreNumber", F.ceil(F.col("_n") / F.lit(block_devices)).cast("int").alias("_blocks")
     )
@@ -71,26 +74,37 @@ def _exact(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def _tile_correlations(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Common windows and correlation of every row of `left` with every row of `right`."""
 
-    def centred(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        has = ~np.isnan(v)
-        mean = np.where(has, v, 0.0).sum(axis=1) / has.sum(axis=1)
-        return np.where(has, v - mean[:, None], 0.0), has.astype(float)
+    def mean(v: np.ndarray) -> np.ndarray:
+        return np.nansum(v, axis=1, keepdims=True) / (~np.isnan(v)).sum(axis=1, keepdims=True)
 
-    (x, mx), (y, my) = centred(left), centred(right)
-    n = mx @ my.T
+    def centred(v: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        has = ~np.isnan(v)
+        return np.where(has, v - around, 0.0), has.astype(float)
+
+    mean_left, mean_right = mean(left), mean(right)
+    n, sx, sy, xx, yy, xy = (np.zeros((len(left), len(right))) for _ in range(6))
+    # Moments over the common windows, a stretch of windows at a time.
+    for start in range(0, left.shape[1], WINDOWS_AT_ONCE):
+        part = slice(start, start + WINDOWS_AT_ONCE)
+        (x, mx), (y, my) = centred(left[:, part], mean_left), centred(right[:, part], mean_right)
+        n += mx @ my.T
+        sx += x @ my.T
+        sy += mx @ y.T
+        xx += (x * x) @ my.T
+        yy += mx @ (y * y).T
+        xy += x @ y.T
     with np.errstate(invalid="ignore", divide="ignore"):
-        sx, sy = x @ my.T, mx @ y.T
-        xx, yy = (x * x) @ my.T, mx @ (y * y).T
         vx, vy = xx - sx * sx / n, yy - sy * sy / n
-        r = (x @ y.T - sx * sy / n) / np.sqrt(vx * vy)
+        r = (xy - sx * sy / n) / np.sqrt(vx * vy)
     # Few windows in common, or values far from the series mean: the difference
     # of moments is unsafe there, so take those pairs again from the values.
     doubtful = (n >= LEAST_COMMON_WINDOWS) & (
         (vx <= DOUBTFUL_VARIANCE * xx) | (vy <= DOUBTFUL_VARIANCE * yy) | ~np.isfinite(r)
     )
     rows, cols = np.nonzero(doubtful)
-    for start in range(0, len(rows), PAIRS_AT_ONCE):
-        i, j = rows[start : start + PAIRS_AT_ONCE], cols[start : start + PAIRS_AT_ONCE]
+    step = max(1, VALUES_AT_ONCE // left.shape[1])
+    for start in range(0, len(rows), step):
+        i, j = rows[start : start + step], cols[start : start + step]
         r[i, j] = _exact(left[i], right[j])
     return n, np.where(n >= LEAST_COMMON_WINDOWS, r, np.nan)
 

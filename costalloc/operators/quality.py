@@ -35,11 +35,12 @@ def reconcile_allocation(fact: DataFrame, cost: DataFrame) -> DataFrame:
 
 def reconcile_total(fact: DataFrame, cost: DataFrame) -> DataFrame:
     """One row: all cost of windows that had usage, against all allocated cost."""
-    matched = cost.join(fact.select(*KEYS).distinct(), KEYS, "left_semi")
-    allocated = fact.agg(F.sum("AllocatedCost").alias("AllocatedCost")).scalar()
-    return _verdict(
-        matched.agg(F.sum("Cost").alias("OriginalCost")).select("OriginalCost", allocated.alias("AllocatedCost"))
+    allocated = fact.groupBy(*KEYS).agg(F.sum("AllocatedCost").alias("AllocatedCost"))
+    original = cost.groupBy(*KEYS).agg(F.sum("Cost").alias("OriginalCost"))
+    totals = original.join(allocated, KEYS).agg(
+        F.sum("OriginalCost").alias("OriginalCost"), F.sum("AllocatedCost").alias("AllocatedCost")
     )
+    return _verdict(totals)
 
 
 def dq_rules(fact: DataFrame) -> DataFrame:

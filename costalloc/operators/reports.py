@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from costalloc.functions.ids import UNKNOWN
@@ -117,10 +118,9 @@ def model_by_store(fact: DataFrame) -> DataFrame:
     cells = fact.groupBy("StoreNumber", "ModelFamily").agg(
         F.sum("AllocatedCost").alias("Cost"), F.sum("TokensUsed").alias("Tokens")
     )
-    preferred = cells.groupBy("StoreNumber").agg(
-        F.max_by("ModelFamily", F.struct("Cost", "ModelFamily")).alias("PreferredModel")
-    )
-    return cells.join(preferred, "StoreNumber")
+    # At most one row per model family in a partition, and the families are a fixed list.
+    preferred = F.max_by("ModelFamily", F.struct("Cost", "ModelFamily")).over(W.partitionBy("StoreNumber"))
+    return cells.withColumn("PreferredModel", preferred)
 
 
 def daily_cost_trend(fact: DataFrame) -> DataFrame:

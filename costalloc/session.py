@@ -13,6 +13,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # The allocation join turns few bytes into many rows; small inputs must not
+    # be squeezed into one task before it. No effect on large partitions.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"

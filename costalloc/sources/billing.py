@@ -9,6 +9,7 @@ from costalloc.functions.ids import last_path_part, path_part_after
 from costalloc.functions.meters import cost_type, model_family, token_type
 from costalloc.functions.numbers import ratio_or_zero
 from costalloc.functions.timeparts import billing_timestamp
+from costalloc.operators.skew import salted_join
 from costalloc.schemas import BILLING_EXPORT
 
 # The services whose cost is split.
@@ -87,5 +88,7 @@ def normalize_cost(billing: DataFrame, extended: bool = False) -> DataFrame:
 def filter_costs_by_resources(costs: DataFrame, resources: list[str] | DataFrame) -> DataFrame:
     """Cost lines of the listed resources; an empty list keeps them all."""
     if isinstance(resources, DataFrame):
-        return costs.join(resources.select("ResourceId").distinct(), "ResourceId", "left_semi")
+        others = [c for c in costs.columns if c != "ResourceId"]
+        wanted = resources.select("ResourceId").distinct()
+        return salted_join(costs, wanted, ["ResourceId"], others, "left_semi")
     return costs.where(F.col("ResourceId").isin(list(resources))) if resources else costs

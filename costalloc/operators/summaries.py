@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costalloc.functions.ids import UNKNOWN
-from costalloc.functions.timeparts import recency_weight, moment, window_start
+from costalloc.functions.timeparts import moment, recency_weight, window_start
 from costalloc.operators.cleanse import lookback_filter
+from costalloc.operators.skew import salted_join
 
 PAIR = ["DeviceId", "StoreNumber"]
 
@@ -380,7 +381,7 @@ def store_hierarchy_rollup(fact: DataFrame, regions: DataFrame) -> DataFrame:
         F.sum("AllocatedCost").alias("Cost"), F.sum("TokensUsed").alias("Tokens")
     )
     return (
-        by_resource.join(regions, "ResourceId")
+        salted_join(by_resource, regions, ["ResourceId"], ["StoreNumber"])
         .rollup("Region", "StoreNumber")
         .agg(
             F.sum("Cost").alias("Cost"),

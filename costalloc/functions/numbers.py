@@ -20,6 +20,13 @@ def ratio_or_null(top: Column, bottom: Column) -> Column:
     return F.when(bottom != 0, top / bottom)
 
 
+def varies(x: str) -> Column:
+    """Aggregate: does the series have two different values? Asked of the values,
+    as a merged variance of equal values need not come out as exactly 0."""
+    return F.min(x) < F.max(x)
+
+
 def safe_corr(x: str, y: str) -> Column:
     """Pearson correlation as an aggregate; NULL for a constant series."""
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    return F.when(varies(x) & varies(y), r)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costalloc.functions.ids import UNKNOWN
-from costalloc.functions.numbers import safe_corr
+from costalloc.functions.numbers import safe_corr, varies
 from costalloc.functions.timeparts import window_start
 from costalloc.operators.cleanse import lookback_filter
 from costalloc.operators.measures import PEAK_QUANTILE
@@ -101,14 +101,14 @@ def device_cost_models(fact: DataFrame) -> DataFrame:
     )
     models = rows.groupBy("DeviceId", "StoreNumber").agg(
         F.count("*").alias("data_points"),
-        F.stddev_samp("cost").alias("_spread"),
+        varies("cost").alias("_varies"),
         safe_corr("tokens", "cost").alias("token_coefficient"),
         safe_corr("calls", "cost").alias("call_coefficient"),
         (F.sum("cost") / F.greatest(F.sum("tokens"), F.lit(1.0))).alias("avg_cost_per_token"),
         (F.sum("cost") / F.greatest(F.sum("calls"), F.lit(1.0))).alias("avg_cost_per_call"),
         F.avg("cost").alias("historical_avg"),
     )
-    return models.where((F.col("data_points") >= LEAST_HISTORY_ROWS) & (F.col("_spread") > 0)).drop("_spread")
+    return models.where((F.col("data_points") >= LEAST_HISTORY_ROWS) & F.col("_varies")).drop("_varies")
 
 
 def model_lookup_join(usage: DataFrame, models: DataFrame) -> DataFrame:

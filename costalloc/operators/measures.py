@@ -19,9 +19,9 @@ def _cost_by(fact: DataFrame, column: str) -> DataFrame:
 
 def device_rank(fact: DataFrame) -> DataFrame:
     """Devices ranked by cost, dearest first; equal costs share a rank."""
-    # Rounded, because a sum taken in another order must not break a tie.
-    devices = _cost_by(fact, "DeviceId").withColumn("TotalCost", F.round("TotalCost", 9))
-    return add_global_rank(devices, "TotalCost", "CostRank", ["DeviceId"])
+    # Ranked by a rounded cost, because a sum taken in another order must not break a tie.
+    devices = _cost_by(fact, "DeviceId").withColumn("_cost", F.round("TotalCost", 9))
+    return add_global_rank(devices, "_cost", "CostRank", ["DeviceId"]).drop("_cost")
 
 
 def model_cost_share(fact: DataFrame) -> DataFrame:

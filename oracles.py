@@ -29,7 +29,8 @@ def sql(needs: list[str], select: str) -> str:
 
 
 def r(expr: str, alias: str | None = None) -> str:
-    return f"round(CAST({expr} AS DOUBLE), 6) + CAST(0 AS DOUBLE) AS {alias or expr}"
+    # the nudge settles exact rounding ties alike, whatever the order of a sum
+    return f"round(CAST({expr} AS DOUBLE) + 3e-10, 6) AS {alias or expr}"
 
 
 def big(expr: str, alias: str | None = None) -> str:
@@ -413,7 +414,7 @@ oracle("uncorrelated_rows", ["totals", "cost"], f"""
   FROM totals t WHERE NOT EXISTS (SELECT 1 FROM cost c WHERE c.TimeWindow = t.TimeWindow AND c.ResourceId = t.ResourceId)
   UNION ALL
   SELECT TimeWindow, ResourceId, 'cost without usage' AS Side, CAST(0 AS BIGINT), CAST(0 AS BIGINT),
-    round(sum(Cost), 6)
+    round(sum(Cost) + 3e-10, 6)
   FROM cost c WHERE NOT EXISTS (SELECT 1 FROM totals t WHERE c.TimeWindow = t.TimeWindow AND c.ResourceId = t.ResourceId)
   GROUP BY TimeWindow, ResourceId""")
 oracle("star_join", ["fact"], f"""
@@ -498,7 +499,7 @@ oracle("cost_summary", ["cost"], "\nUNION ALL\n".join(
     count(DISTINCT ResourceId) AS unique_resources, min(UsageDate) AS start_date, max(UsageDate) AS end_date
     FROM cost GROUP BY {value}"""
     for name, value in (("cost_type", "CostType"), ("model_family", "ModelFamily"))) + f"""
-    UNION ALL SELECT 'total', 'all', round(sum(Cost), 6), round(sum(UsageQuantity), 6), count(DISTINCT ResourceId),
+    UNION ALL SELECT 'total', 'all', round(sum(Cost) + 3e-10, 6), round(sum(UsageQuantity) + 3e-10, 6), count(DISTINCT ResourceId),
       min(UsageDate), max(UsageDate) FROM cost""")
 oracle("correlation_summary", ["fact"], f"""
   SELECT count(*) AS total_records, {r('sum(AllocatedCost)', 'total_allocated_cost')},
@@ -674,7 +675,7 @@ oracle("daily_cost_trend", ["fact"], f"""
   SELECT CAST(CAST(TimeWindow AS DATE) AS VARCHAR) AS "Date", StoreNumber, {r('sum(AllocatedCost)', 'Cost')}
   FROM fact GROUP BY 1, 2
   UNION ALL
-  SELECT CAST(CAST(TimeWindow AS DATE) AS VARCHAR), 'all', round(sum(AllocatedCost), 6) FROM fact GROUP BY 1""")
+  SELECT CAST(CAST(TimeWindow AS DATE) AS VARCHAR), 'all', round(sum(AllocatedCost) + 3e-10, 6) FROM fact GROUP BY 1""")
 cte("day_usage", ["calls"], """
   SELECT CAST(TimeGenerated AS DATE) AS d, ResourceId, deviceId AS DeviceId, storeNumber AS StoreNumber,
     CAST(sum(TokensUsed) AS BIGINT) AS tok FROM calls GROUP BY ALL""")
@@ -730,12 +731,12 @@ ORACLES["usage_anomalies"] = with_patterns(WEEK_BEFORE, f"""
   FROM compared WHERE dt > 2 OR dc > 2""")
 
 cte("models", ["fact"], """
-  SELECT DeviceId, StoreNumber, count(*) AS n, stddev_samp(AllocatedCost) AS sd,
-    CASE WHEN isnan(corr(TokensUsed, AllocatedCost)) THEN NULL ELSE corr(TokensUsed, AllocatedCost) END AS tc,
-    CASE WHEN isnan(corr(ApiCalls, AllocatedCost)) THEN NULL ELSE corr(ApiCalls, AllocatedCost) END AS cc,
+  SELECT DeviceId, StoreNumber, count(*) AS n,
+    CASE WHEN min(TokensUsed) < max(TokensUsed) THEN corr(TokensUsed, AllocatedCost) END AS tc,
+    CASE WHEN min(ApiCalls) < max(ApiCalls) THEN corr(ApiCalls, AllocatedCost) END AS cc,
     sum(AllocatedCost) / greatest(sum(TokensUsed), 1) AS cpt, sum(AllocatedCost) / greatest(sum(ApiCalls), 1) AS cpc,
     avg(AllocatedCost) AS hist
-  FROM fact GROUP BY DeviceId, StoreNumber HAVING count(*) >= 5 AND stddev_samp(AllocatedCost) > 0""")
+  FROM fact GROUP BY DeviceId, StoreNumber HAVING count(*) >= 5 AND min(AllocatedCost) < max(AllocatedCost)""")
 cte("current_usage", ["calls"], """
   SELECT deviceId AS DeviceId, storeNumber AS StoreNumber, sum(TokensUsed) AS tokens, count(*) AS n_calls
   FROM calls WHERE TimeGenerated >= TIMESTAMP '2024-01-29' GROUP BY ALL""")
@@ -750,11 +751,12 @@ oracle("predict_cost", ["models", "current_usage"], f"""
   FROM current_usage JOIN models USING (DeviceId, StoreNumber)""")
 cte("pairs", ["fact"], """
   SELECT * FROM (
-    SELECT a.StoreNumber, a.DeviceId AS Device1, b.DeviceId AS Device2, count(*) AS n, corr(a.c, b.c) AS x
+    SELECT a.StoreNumber, a.DeviceId AS Device1, b.DeviceId AS Device2, count(*) AS n,
+      CASE WHEN min(a.c) < max(a.c) AND min(b.c) < max(b.c) THEN corr(a.c, b.c) END AS x
     FROM (SELECT StoreNumber, DeviceId, TimeWindow, sum(AllocatedCost) AS c FROM fact GROUP BY ALL) a
     JOIN (SELECT StoreNumber, DeviceId, TimeWindow, sum(AllocatedCost) AS c FROM fact GROUP BY ALL) b
       ON a.StoreNumber = b.StoreNumber AND a.TimeWindow = b.TimeWindow AND a.DeviceId < b.DeviceId
-    GROUP BY ALL) WHERE n >= 2 AND NOT isnan(x) AND abs(x) > 0.7""")
+    GROUP BY ALL) WHERE n >= 2 AND abs(x) > 0.7""")
 oracle("device_pair_join", ["pairs"], f"""
   SELECT StoreNumber, Device1, Device2, n AS CommonWindows, {r('x', 'Correlation')} FROM pairs""")
 oracle("device_spillover", ["pairs", "fact"], f"""
@@ -783,7 +785,7 @@ oracle("write_fact", ["fact"], "\nUNION ALL\n".join(
     "FROM fact GROUP BY ModelFamily" for f in ("parquet", "json", "csv")))
 oracle("write_raw", ["calls", "billing"], f"""
   SELECT 'telemetry' AS kind, count(*) AS n, {r('sum(TokensUsed)', 'amount')} FROM calls
-  UNION ALL SELECT 'cost', count(*), round(sum(PreTaxCost), 6) FROM billing""")
+  UNION ALL SELECT 'cost', count(*), round(sum(PreTaxCost) + 3e-10, 6) FROM billing""")
 ORACLES["list_partitions"] = "SELECT '2024/01/31' AS \"Partition\", '2024-01-31' AS \"Date\""
 
 # Streams ------------------------------------------------------------------

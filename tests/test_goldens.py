@@ -176,3 +176,13 @@ def test_patterns(spark):
     assert row[0].peak_hours == [19, 20, 21, 22, 23]
     assert row[0].avg_api_calls_per_hour == 3.0
     assert row[0].avg_tokens_per_hour == pytest.approx(sum(r[3] for r in rows) / 24)
+
+
+def test_constant_series_over_many_partitions(spark):
+    """Merged partial variances of equal values need not be 0; the values decide."""
+    rows = spark.range(0, 385, 1, 16).selectExpr(
+        "'d' AS DeviceId", "'s' AS StoreNumber", "id AS TokensUsed", "1L AS ApiCalls", "id * 0.37D AS AllocatedCost")
+    model = advanced.device_cost_models(rows).first()
+    assert model.call_coefficient is None and model.token_coefficient == pytest.approx(1.0)
+    flat = rows.withColumn("AllocatedCost", F.lit(0.1))
+    assert advanced.device_cost_models(flat).count() == 0

@@ -6,15 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costalloc.llm import simhash
+from costalloc.llm import quality, simhash
 from costalloc.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rated.drop("trusted")
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_simhash_near_dedup,)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op6_simhash_near_dedup)}
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costalloc.llm import quality, simhash
+from costalloc.llm import quality, simhash, warc
 from costalloc.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,5 +21,22 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op6_simhash_near_dedup)}
-ORACLES: dict[str, str] = {}
+def op7_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op6_simhash_near_dedup, op7_warc_packages)}
+ORACLES: dict[str, str] = {
+    "op7_warc_packages": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first_id FROM d),
+groups AS (SELECT *, [CAST('0x' || substr(digest, 5 * i + 1, 5) AS BIGINT) FOR i IN range(0, 8)] AS bits FROM f)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+    list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((bits[k // 4 + 1] >> (15 - 5 * (k % 4))) & 31 AS BIGINT) + 1, 1)
+        FOR k IN range(0, 32)], 'string_agg', '') AS payload_digest,
+    CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM groups
+""",
+}

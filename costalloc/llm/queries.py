@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costalloc.llm import quality, simhash, warc
+from costalloc.llm import chat, quality, simhash, warc
 from costalloc.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,7 +25,11 @@ def op7_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op6_simhash_near_dedup, op7_warc_packages)}
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.collapse_and_render(table(spark, sf_dir, "conversations"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op6_simhash_near_dedup, op7_warc_packages, op9_chat_formatting)}
 ORACLES: dict[str, str] = {
     "op7_warc_packages": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
@@ -38,5 +42,20 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
     CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
     CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
 FROM groups
+""",
+    "op9_chat_formatting": """
+WITH t AS (
+    SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+    SELECT conv_id, count(*) AS n_turns, list(struct_pack(role, text) ORDER BY turn NULLS FIRST) AS turns,
+        string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn NULLS FIRST) AS text
+    FROM t GROUP BY conv_id),
+prefixes AS (
+    SELECT DISTINCT turns[1:k] AS turns FROM (SELECT turns, unnest(range(1, n_turns)) AS k FROM c)),
+one AS (
+    SELECT min(conv_id) AS conv_id, count(*) AS n_copies, any_value(n_turns) AS n_turns, any_value(text) AS text, turns
+    FROM c GROUP BY turns)
+SELECT conv_id, n_turns, n_copies, text FROM one WHERE turns NOT IN (SELECT turns FROM prefixes)
 """,
 }

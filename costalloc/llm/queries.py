@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costalloc.llm import chat, quality, simhash, warc
+from costalloc.llm import chat, quality, simhash, urls, warc
 from costalloc.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,19 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.drop("trusted")
 
 
+URL_RULES = [
+    urls.HostRule(urls.ALLOW, "org", "/"),
+    urls.HostRule(urls.BLOCK, "example.org", "/es/"),
+    urls.HostRule(urls.BLOCK, "example.org", "/en/1"),
+    urls.HostRule(urls.ALLOW, "com", "/fr/"),
+    urls.HostRule(urls.BLOCK, "com", "/de/"),
+]
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
@@ -29,7 +42,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.collapse_and_render(table(spark, sf_dir, "conversations"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op6_simhash_near_dedup, op7_warc_packages, op9_chat_formatting)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op4_url_filters, op6_simhash_near_dedup, op7_warc_packages, op9_chat_formatting)}
 ORACLES: dict[str, str] = {
     "op7_warc_packages": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
@@ -57,5 +70,46 @@ one AS (
     SELECT min(conv_id) AS conv_id, count(*) AS n_copies, any_value(n_turns) AS n_turns, any_value(text) AS text, turns
     FROM c GROUP BY turns)
 SELECT conv_id, n_turns, n_copies, text FROM one WHERE turns NOT IN (SELECT turns FROM prefixes)
+""",
+    # Every subset of a labelled URL's tokens is counted, instead of only frequent ones.
+    "op4_url_filters": r"""
+WITH u AS (SELECT page_id, coalesce(url, '') AS url FROM pages),
+x AS (SELECT DISTINCT url, '(?s)^(.*?)://([^/?#]*)([^?#]*)(\?[^#]*)?' AS re FROM u),
+y AS (
+    SELECT url, translate(regexp_extract(url, re, 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS scheme,
+        translate(regexp_extract(url, re, 2), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(url, re, 3) AS path, regexp_extract(url, re, 4)[2:] AS args
+    FROM x),
+p AS (
+    SELECT url, host, path, list_distinct(
+        ['s:' || v FOR v IN [scheme] IF v <> ''] || ['d:' || v FOR v IN [host] IF v <> '']
+        || ['h:' || v FOR v IN string_split(host, '.') IF v <> ''] || ['p:' || v FOR v IN string_split(path, '/') IF v <> '']
+        || ['q:' || v FOR v IN string_split(args, '&') IF v <> '']) AS tokens
+    FROM y),
+known AS (
+    SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
+    FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+labelled AS (SELECT p.tokens, k.bad FROM u JOIN p USING (url) JOIN known k USING (page_id)),
+subsets AS (
+    SELECT list_sort([tokens[i] FOR i IN range(1, len(tokens) + 1) IF (mask >> (i - 1)) & 1 = 1]) AS tokens, bad
+    FROM (SELECT tokens, bad, unnest(range(1, CAST(pow(2, len(tokens)) AS BIGINT))) AS mask FROM labelled)),
+sets AS (SELECT tokens, count(*) AS pages, CAST(sum(bad) AS BIGINT) AS bad FROM subsets GROUP BY tokens),
+rules AS (
+    SELECT tokens, pages, bad FROM sets
+    WHERE bad >= greatest(10, ceil((SELECT count(*) FROM labelled) * 0.002)) AND bad >= 0.8 * pages),
+hits AS (
+    SELECT url, array_to_string(rules.tokens, ' ') AS pattern,
+        row_number() OVER (PARTITION BY url ORDER BY -bad / pages, -bad, array_to_string(rules.tokens, ' ')) AS n
+    FROM p JOIN rules ON list_has_all(p.tokens, rules.tokens)),
+given(verdict, host, path) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+    ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fits AS (
+    SELECT p.url, g.host || g.path AS rule, g.verdict,
+        row_number() OVER (PARTITION BY p.url ORDER BY length(g.host || g.path) DESC) AS n
+    FROM p JOIN given g ON (p.host = g.host OR ends_with(p.host, '.' || g.host)) AND starts_with(p.path, g.path))
+SELECT u.page_id, p.host, p.path, f.rule,
+    coalesce(f.verdict, CASE WHEN h.pattern IS NULL THEN 'allow' ELSE 'block' END) AS verdict, h.pattern
+FROM u JOIN p USING (url) LEFT JOIN (SELECT * FROM fits WHERE n = 1) f USING (url)
+LEFT JOIN (SELECT * FROM hits WHERE n = 1) h USING (url)
 """,
 }

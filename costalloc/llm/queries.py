@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costalloc.llm import chat, quality, simhash, urls, warc
+from costalloc.llm import chat, extract, quality, simhash, urls, warc
 from costalloc.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,7 +42,11 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.collapse_and_render(table(spark, sf_dir, "conversations"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op4_url_filters, op6_simhash_near_dedup, op7_warc_packages, op9_chat_formatting)}
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op4_url_filters, op6_simhash_near_dedup, op7_warc_packages, op9_chat_formatting, op10_html_extraction)}
 ORACLES: dict[str, str] = {
     "op7_warc_packages": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),

@@ -71,12 +71,13 @@ def hash_slices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
 class Words:
     """The words of some documents: bytes, places, and the document each one belongs to."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = IS_SPACE):
+        """breaks: for each byte, whether it parts words."""
         offsets = offsets.astype(np.int64)
         self.data = data = data[offsets[0] : offsets[-1]]
         self.offsets = offsets = offsets - offsets[0]
         self.n_docs, n = len(offsets) - 1, len(data)
-        self.inside = inside = ~IS_SPACE[data]
+        self.inside = inside = ~breaks[data]
         cut = np.zeros(n + 1, bool)
         cut[offsets] = True
         first, last = inside.copy(), inside.copy()
@@ -132,11 +133,13 @@ def slices(offsets: np.ndarray, limit: int = 1 << 22) -> Iterator[tuple[int, int
         i = j
 
 
-def batched_words(column: pa.Array, limit: int = 1 << 22) -> Iterator[tuple[int, int, Words]]:
+def batched_words(
+    column: pa.Array, limit: int = 1 << 22, breaks: np.ndarray = IS_SPACE
+) -> Iterator[tuple[int, int, Words]]:
     """(first row, end row, words) over a column, a few MB at a time."""
     data, offsets = buffers(column)
     for i, j in slices(offsets, limit):
-        yield i, j, Words(data, offsets[i : j + 1])
+        yield i, j, Words(data, offsets[i : j + 1], breaks)
 
 
 def text_or_empty(name: str = "text") -> Column:

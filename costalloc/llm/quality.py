@@ -22,6 +22,7 @@ from costalloc.llm.common import U, Words, batched_words, fmix, hash_slices, mat
 
 BUCKETS = 1 << 20  # fixed: bounds the two count tables to 4 MB each, whatever the corpus
 SEGMENT = 1 << 13  # buckets in one row of a count table
+MOST_IDS = 8_000_000  # trusted ids that are broadcast, 64 MB
 PRIOR = 5.0
 EVIDENCE = 0.5
 STEM = 6
@@ -82,16 +83,25 @@ def ngrams(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return doc, bucket.astype(np.int64)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    for batch in batches:
-        trusted = batch.column(1).to_numpy(zero_copy_only=False)
-        for i, j, words in batched_words(batch.column(0)):
-            doc, bucket = ngrams(words)
-            raw += np.bincount(bucket, minlength=BUCKETS)
-            target += np.bincount(bucket[trusted[i:j][doc]], minlength=BUCKETS)
-    if raw.any():
-        yield _segments(range(BUCKETS // SEGMENT), raw, target)
+def _count(ids=None):
+    """Counts of (doc_id, text) whose trusted ids are broadcast, or of (trusted, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            if ids is None:
+                trusted = batch.column(0).to_numpy(zero_copy_only=False)
+            else:
+                named = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+                trusted = named & np.isin(batch.column(0).fill_null(0).to_numpy(), ids.value)
+            for i, j, words in batched_words(batch.column(1)):
+                doc, bucket = ngrams(words)
+                raw += np.bincount(bucket, minlength=BUCKETS)
+                target += np.bincount(bucket[trusted[i:j][doc]], minlength=BUCKETS)
+        if raw.any():
+            yield _segments(range(BUCKETS // SEGMENT), raw, target)
+
+    return run
 
 
 def _segments(numbers, raw: np.ndarray, target: np.ndarray) -> pa.RecordBatch:
@@ -116,13 +126,19 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 TABLE = "segment int, raw binary, target binary"
 
 
-def count_tables(flagged: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Raw and target counts of all buckets, over all documents (text, trusted).
+def count_tables(texts: DataFrame, trusted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Raw and target counts of all buckets, over all documents (doc_id, text) and the trusted doc_ids.
 
-    Each task sends its tables in segments; each segment is added up in one task, streaming. What reaches the
+    Up to MOST_IDS trusted ids are sent to every task (8 bytes each), so that no text is shuffled; more of them are
+    joined. Each task sends its tables in segments; each segment is added up in one task, streaming. What reaches the
     driver are two tables of BUCKETS numbers.
     """
-    parts = flagged.select("text", "trusted").mapInArrow(_count, TABLE)
+    if trusted.count() <= MOST_IDS:
+        ids = np.sort(trusted.toArrow().column(0).to_numpy())
+        parts = texts.mapInArrow(_count(texts.sparkSession.sparkContext.broadcast(ids)), TABLE)
+    else:
+        joined = texts.join(trusted.withColumn("trusted", F.lit(True)), "doc_id", "left")
+        parts = joined.select(F.coalesce("trusted", F.lit(False)), "text").mapInArrow(_count(), TABLE)
     rows = parts.repartition("segment").mapInArrow(_add, TABLE).collect()
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for row in rows:
@@ -210,8 +226,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float | None =
         F.min(F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))).alias("trusted")
     )
     texts = docs.select(F.col("doc_id").cast("bigint"), text_or_empty().cast("binary").alias("text"))
-    flagged = texts.join(known, "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-    tables = docs.sparkSession.sparkContext.broadcast(count_tables(flagged))
+    trusted = known.where("trusted").select("doc_id")
+    tables = docs.sparkSession.sparkContext.broadcast(count_tables(texts, trusted))
     rated = texts.mapInArrow(_rate(tables), RULES).join(known, "doc_id", "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     rated = materialize(

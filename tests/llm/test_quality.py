@@ -124,3 +124,12 @@ def test_odd_rows(spark):
     assert quality.quality_rules(docs, labels.limit(0)).count() == 4
     assert quality.quality_rules(docs.limit(0), labels).count() == 0
     assert quality.keep_good(docs, labels).columns == docs.columns
+
+
+def test_counts_are_alike_with_joined_labels(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    trusted = spark.read.parquet(f"{SMALL}/labels.parquet").where("quality = 1 AND toxic = 0").select("doc_id")
+    sent = quality.count_tables(docs, trusted)
+    monkeypatch.setattr(quality, "MOST_IDS", 0)
+    for a, b in zip(sent, quality.count_tables(docs, trusted), strict=True):
+        assert (a == b).all() and a.any()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costalloc.llm import chat, decontam, extract, quality, simhash, urls, warc
+from costalloc.llm import chat, decontam, extract, packing, quality, simhash, urls, warc
 from costalloc.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op7_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
 
 
+def op8_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), sequence=2048).drop("ids")
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.collapse_and_render(table(spark, sf_dir, "conversations"))
 
@@ -50,7 +54,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op3_benchmark_decontamination, op4_url_filters, op6_simhash_near_dedup, op7_warc_packages, op9_chat_formatting, op10_html_extraction)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op3_benchmark_decontamination, op4_url_filters, op6_simhash_near_dedup, op7_warc_packages, op8_hilbert_packing, op9_chat_formatting, op10_html_extraction)}
 ORACLES: dict[str, str] = {
     "op7_warc_packages": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costalloc.llm import chat, decontam, extract, packing, quality, simhash, urls, warc
+from costalloc.llm import chat, decontam, extract, packing, quality, simhash, substrings, urls, warc
 from costalloc.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), size=13, digest=True)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
@@ -54,8 +58,19 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op3_benchmark_decontamination, op4_url_filters, op6_simhash_near_dedup, op7_warc_packages, op8_hilbert_packing, op9_chat_formatting, op10_html_extraction)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op3_benchmark_decontamination, op4_url_filters, op5_substring_dedup, op6_simhash_near_dedup, op7_warc_packages, op8_hilbert_packing, op9_chat_formatting, op10_html_extraction)}
 ORACLES: dict[str, str] = {
+    "op5_substring_dedup": r"""
+WITH d AS (
+    SELECT doc_id, [w FOR w IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF w <> ''] AS words FROM documents),
+runs AS (SELECT doc_id, i, words[i : i + 12] AS run FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM d)),
+first AS (SELECT run, min(doc_id) AS first_id FROM runs GROUP BY run),
+gone AS (SELECT DISTINCT doc_id, i + k AS place FROM runs JOIN first USING (run), range(0, 13) AS t(k) WHERE first_id < doc_id),
+lost AS (SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+    sha256(array_to_string([words[i] FOR i IN range(1, len(words) + 1) IF NOT list_contains(coalesce(places, []), i)], ' ')) AS kept_sha256
+FROM d LEFT JOIN lost USING (doc_id)
+""",
     "op7_warc_packages": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
 d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS digest FROM p),

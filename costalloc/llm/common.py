@@ -6,7 +6,7 @@ handled as numpy arrays over a whole Arrow batch: positions, document numbers an
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -168,6 +168,59 @@ def block_of(n: int, *columns: str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
 
 
+ADDED = "segment int, numbers binary"
+ADDED_SEGMENT = 1 << 13
+
+
+def added_up(rows: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray], size: int) -> np.ndarray:
+    """The sum over all tasks of the array of `size` whole numbers that `count` makes of a task's batches.
+
+    The size is fixed, whatever the rows. Arrays travel in segments, each added up in one task, streaming.
+    """
+    step = ADDED_SEGMENT
+
+    def segments(numbers: np.ndarray, which: list[int]) -> pa.RecordBatch:
+        data = [numbers[s * step : (s + 1) * step].astype("<i8").tobytes() for s in which]
+        return pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(data, pa.binary())], names=["segment", "numbers"])
+
+    def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = count(batches)
+        yield segments(numbers, [s for s in range(-(-size // step)) if numbers[s * step : (s + 1) * step].any()])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, seen = np.zeros(size, np.int64), set()
+        for batch in batches:
+            for s, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                numbers[s * step : (s + 1) * step] += np.frombuffer(data, "<i8")
+                seen.add(s)
+        yield segments(numbers, sorted(seen))
+
+    out = np.zeros(size, np.int64)
+    for row in rows.mapInArrow(one, ADDED).repartition("segment").mapInArrow(add, ADDED).collect():
+        out[row.segment * step : (row.segment + 1) * step] = np.frombuffer(row.numbers, "<i8")
+    return out
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
+    """Tables of about `least` rows that end where the first column, by which rows are sorted, changes."""
+    held: list[pa.RecordBatch] = []
+    count = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        count += batch.num_rows
+        if count > least:
+            rows = pa.Table.from_batches(held)
+            key = rows.column(0).to_numpy()
+            cut = int(np.searchsorted(key, key[-1]))
+            if cut:
+                yield rows.slice(0, cut)
+                held, count = rows.slice(cut).to_batches(), rows.num_rows - cut
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def semi_join(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of docs whose doc_id is among ids."""
     return docs.join(ids.select("doc_id"), "doc_id", "left_semi").select(docs.columns)

@@ -18,10 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costalloc.llm.common import U, Words, batched_words, fmix, hash_slices, materialize, semi_join, text_or_empty, windows
+from costalloc.llm.common import U, Words, added_up, batched_words, fmix, hash_slices, materialize, semi_join, text_or_empty, windows
 
 BUCKETS = 1 << 20  # fixed: bounds the two count tables to 4 MB each, whatever the corpus
-SEGMENT = 1 << 13  # buckets in one row of a count table
 MOST_IDS = 8_000_000  # trusted ids that are broadcast, 64 MB
 PRIOR = 5.0
 EVIDENCE = 0.5
@@ -84,10 +83,10 @@ def ngrams(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(ids=None):
-    """Counts of (doc_id, text) whose trusted ids are broadcast, or of (trusted, text)."""
+    """Counts of (doc_id, text) whose trusted ids are broadcast, or of (trusted, text): raw, then target."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    def run(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        counts = np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
             if ids is None:
                 trusted = batch.column(0).to_numpy(zero_copy_only=False)
@@ -96,55 +95,27 @@ def _count(ids=None):
                 trusted = named & np.isin(batch.column(0).fill_null(0).to_numpy(), ids.value)
             for i, j, words in batched_words(batch.column(1)):
                 doc, bucket = ngrams(words)
-                raw += np.bincount(bucket, minlength=BUCKETS)
-                target += np.bincount(bucket[trusted[i:j][doc]], minlength=BUCKETS)
-        if raw.any():
-            yield _segments(range(BUCKETS // SEGMENT), raw, target)
+                counts[0] += np.bincount(bucket, minlength=BUCKETS)
+                counts[1] += np.bincount(bucket[trusted[i:j][doc]], minlength=BUCKETS)
+        return counts.ravel()
 
     return run
 
 
-def _segments(numbers, raw: np.ndarray, target: np.ndarray) -> pa.RecordBatch:
-    cut = lambda a: pa.array([a[s * SEGMENT : (s + 1) * SEGMENT].astype("<i8").tobytes() for s in numbers])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(numbers), pa.int32()), cut(raw), cut(target)], names=["segment", "raw", "target"]
-    )
-
-
-def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    raw, target, seen = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64), set()
-    for batch in batches:
-        for segment, r, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            part = slice(segment * SEGMENT, (segment + 1) * SEGMENT)
-            raw[part] += np.frombuffer(r, "<i8")
-            target[part] += np.frombuffer(t, "<i8")
-            seen.add(segment)
-    if seen:
-        yield _segments(sorted(seen), raw, target)
-
-
-TABLE = "segment int, raw binary, target binary"
-
-
 def count_tables(texts: DataFrame, trusted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Raw and target counts of all buckets, over all documents (doc_id, text) and the trusted doc_ids.
 
     Up to MOST_IDS trusted ids are sent to every task (8 bytes each), so that no text is shuffled; more of them are
-    joined. Each task sends its tables in segments; each segment is added up in one task, streaming. What reaches the
-    driver are two tables of BUCKETS numbers.
+    joined. What reaches the driver are two tables of BUCKETS numbers.
     """
     if trusted.count() <= MOST_IDS:
         ids = np.sort(trusted.toArrow().column(0).to_numpy())
-        parts = texts.mapInArrow(_count(texts.sparkSession.sparkContext.broadcast(ids)), TABLE)
+        count = _count(texts.sparkSession.sparkContext.broadcast(ids))
     else:
         joined = texts.join(trusted.withColumn("trusted", F.lit(True)), "doc_id", "left")
-        parts = joined.select(F.coalesce("trusted", F.lit(False)), "text").mapInArrow(_count(), TABLE)
-    rows = parts.repartition("segment").mapInArrow(_add, TABLE).collect()
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for row in rows:
-        part = slice(row.segment * SEGMENT, (row.segment + 1) * SEGMENT)
-        raw[part], target[part] = np.frombuffer(row.raw, "<i8"), np.frombuffer(row.target, "<i8")
-    return raw, target
+        texts, count = joined.select(F.coalesce("trusted", F.lit(False)), "text"), _count()
+    counts = added_up(texts, count, 2 * BUCKETS).reshape(2, BUCKETS).astype(float)
+    return counts[0], counts[1]
 
 
 def scores(words: Words, raw: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costalloc.llm.common import IS_SPACE, U, buffers, materialize, semi_join, text_or_empty
+from costalloc.llm.common import IS_SPACE, U, buffers, materialize, semi_join, text_or_empty, whole_groups
 from costalloc.llm.graph import components
 
 SEED = 42
@@ -153,20 +153,8 @@ def _search(distance: int):
         return pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[root])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:  # sorted by key
-            if not batch.num_rows:
-                continue
-            if sum(x.num_rows for x in held) >= FLUSH:
-                rows = pa.Table.from_batches(held)
-                key = rows.column(0).to_numpy()
-                whole = int(np.searchsorted(key, key[-1]))  # rows of keys that are complete
-                if whole:
-                    yield flush(rows.slice(0, whole))
-                    held = rows.slice(whole).to_batches()
-            held.append(batch)
-        if held:
-            yield flush(pa.Table.from_batches(held))
+        for rows in whole_groups(batches, FLUSH):  # sorted by key
+            yield flush(rows)
 
     return run
 

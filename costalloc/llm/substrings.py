@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costalloc.llm.common import U, Words, block_of, buffers, fmix, n_blocks, slices, windows
+from costalloc.llm.common import U, Words, block_of, buffers, fmix, n_blocks, slices, whole_groups, windows
 
 SIZE, ANCHOR = 13, 5
 HOT = 20_000  # documents beyond which an anchor is replaced by the runs around it
@@ -273,26 +273,6 @@ def _shared(hot: int):
     return run
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
-    """Tables of about `least` rows that end where the first column, by which rows are sorted, changes."""
-    held: list[pa.RecordBatch] = []
-    count = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        count += batch.num_rows
-        if count > least:
-            rows = pa.Table.from_batches(held)
-            key = rows.column(0).to_numpy()
-            cut = int(np.searchsorted(key, key[-1]))
-            if cut:
-                yield rows.slice(0, cut)
-                held, count = rows.slice(cut).to_batches(), rows.num_rows - cut
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _told(shared: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     anchors = shared["anchor"].to_numpy().view(U)
     return np.sort(anchors), np.sort(anchors[shared["hot"].to_numpy()])

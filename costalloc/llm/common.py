@@ -50,9 +50,14 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def hash_slices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """64-bit hash of data[s:e] for ascending, disjoint slices; equal bytes have equal hashes."""
-    out = np.empty(len(starts), U)
+def hash_slices(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False, beginning: int = 0
+) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of data[s:e] for ascending, disjoint slices; equal bytes have equal hashes.
+
+    With `beginning` also the hashes of the first so many bytes of each.
+    """
+    out = np.empty((2 if beginning else 1, len(starts)), U)
     codes = _CODES[LOWER] if lower else _CODES
     i = 0
     while i < len(starts):
@@ -63,9 +68,10 @@ def hash_slices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
         sums = np.zeros(len(piece) + 1, U)
         np.cumsum(codes[piece] * power[: len(piece)], out=sums[1:])
         s, e = starts[i:j] - first, ends[i:j] - first
-        out[i:j] = fmix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(U) * U(0x9E3779B97F4A7C15))
+        for row, end in enumerate((e, np.minimum(e, s + beginning))[: len(out)]):
+            out[row, i:j] = fmix((sums[end] - sums[s]) * inverse[s] + (end - s).astype(U) * U(0x9E3779B97F4A7C15))
         i = j
-    return out
+    return (out[0], out[1]) if beginning else out[0]
 
 
 class Words:

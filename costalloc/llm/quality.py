@@ -74,9 +74,8 @@ def repeated_words(words: Words, hashes: np.ndarray, size: int = REPEAT_SIZE) ->
 
 def ngrams(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """(document, bucket) of every word, every pair of words, and every word's beginning."""
-    hashes = words.hashes(lower=True)
+    hashes, stems = hash_slices(words.data, words.starts, words.ends, lower=True, beginning=STEM)
     pairs, whole = windows(hashes, words.doc, 2)
-    stems = hash_slices(words.data, words.starts, np.minimum(words.ends, words.starts + STEM), lower=True)
     doc = np.concatenate([words.doc, words.doc[: len(pairs)][whole], words.doc])
     bucket = np.concatenate([hashes, pairs[whole], fmix(stems + U(STEM))]) >> U(65 - BUCKETS.bit_length())
     return doc, bucket.astype(np.int64)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costalloc.llm import chat, decontam, extract, packing, quality, simhash, substrings, urls, warc
+from costalloc.llm import chat, decontam, extract, mixing, packing, quality, simhash, substrings, urls, warc
 from costalloc.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.drop("trusted")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(table(spark, sf_dir, "documents"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), coverage=0.5, least=5)
 
@@ -58,7 +62,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op3_benchmark_decontamination, op4_url_filters, op5_substring_dedup, op6_simhash_near_dedup, op7_warc_packages, op8_hilbert_packing, op9_chat_formatting, op10_html_extraction)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_benchmark_decontamination, op4_url_filters, op5_substring_dedup, op6_simhash_near_dedup, op7_warc_packages, op8_hilbert_packing, op9_chat_formatting, op10_html_extraction)}
 ORACLES: dict[str, str] = {
     "op5_substring_dedup": r"""
 WITH d AS (

@@ -10,7 +10,6 @@ from costalloc.functions.numbers import safe_corr, varies
 from costalloc.functions.timeparts import window_start
 from costalloc.operators.cleanse import lookback_filter
 from costalloc.operators.measures import PEAK_QUANTILE
-from costalloc.operators.pairs import correlated_pairs
 from costalloc.operators.skew import salted_join
 from costalloc.operators.summaries import weighted_cost, weighted_usage
 
@@ -23,6 +22,7 @@ RELIABLE_CORRELATION = 0.5
 ANOMALY_DEVIATION = 2.0
 SEVERE_DEVIATION = 5.0
 SPILLOVER_CORRELATION = 0.7
+LEAST_COMMON_WINDOWS = 2
 UNKNOWN_RATIO_LIMIT = 0.5
 TOKEN_SPREAD_LIMIT = 2.0
 CALL_SPREAD_LIMIT = 1.5
@@ -30,9 +30,9 @@ MANY_DEVICES = 10
 
 
 def weighted_merge(usage: DataFrame, cost: DataFrame) -> DataFrame:
-    """Weighted usage and weighted cost whose latest times fall into the same hour.
+    """Weighted usage of each device and resource with that resource's weighted cost, if both are of the same hour.
 
-    Most devices of a live system share the latest hour, so the join is salted.
+    Expects usage by resource, so that a device meets the resources it has used, and the result grows with the usage.
     """
     hour = window_start(F.col("LatestTime"), 60)
     left = usage.withColumn("TimeWindow", hour).withColumnsRenamed(
@@ -41,15 +41,14 @@ def weighted_merge(usage: DataFrame, cost: DataFrame) -> DataFrame:
     right = cost.withColumn("TimeWindow", hour).withColumnsRenamed(
         {"TotalWeight": "TotalWeight_cost", "LatestTime": "LatestTime_cost"}
     )
-    return salted_join(left, right, ["TimeWindow"], PAIR)
+    return salted_join(left, right, ["TimeWindow", "ResourceId"], PAIR)
 
 
 def time_weighted_correlation(
     telemetry: DataFrame, cost: DataFrame, as_of, decay_hours: float = 2.0
 ) -> DataFrame:
-    return weighted_merge(
-        weighted_usage(telemetry, as_of, decay_hours), weighted_cost(cost, as_of, decay_hours)
-    )
+    usage = weighted_usage(telemetry, as_of, decay_hours, by_resource=True)
+    return weighted_merge(usage, weighted_cost(cost, as_of, decay_hours))
 
 
 def _active_hours(telemetry: DataFrame) -> DataFrame:
@@ -177,29 +176,45 @@ def _cost_series(fact: DataFrame) -> DataFrame:
     return fact.groupBy("StoreNumber", "DeviceId", "TimeWindow").agg(F.sum("AllocatedCost").alias("Cost"))
 
 
+def _against_store(series: DataFrame) -> DataFrame:
+    """Every device's cost in a window beside that of all other devices of its store, where there are any."""
+    stores = series.groupBy("StoreNumber", "TimeWindow").agg(F.sum("Cost").alias("_all"), F.count("*").alias("_devices"))
+    both = salted_join(series, stores, ["StoreNumber", "TimeWindow"], ["DeviceId"])
+    # Rounded, so that the noise of a sum does not make an unchanging rest look as if it varied.
+    rows = both.where("_devices > 1").withColumn("_others", F.round(F.col("_all") - F.col("Cost"), 9))
+    return rows.withColumn("Cost", F.round("Cost", 9))
+
+
 def device_pair_join(fact: DataFrame, threshold: float = SPILLOVER_CORRELATION) -> DataFrame:
-    """Pairs of devices of one store whose costs go together, over their common windows."""
-    return correlated_pairs(_cost_series(fact), threshold)
+    """Devices whose cost goes with that of the rest of their store, over the windows they share.
+
+    One row per device: each is paired with the rest of its store instead of with every other device, so work and
+    result grow with the devices, not with their square.
+    """
+    rows = _against_store(_cost_series(fact))
+    devices = rows.groupBy("StoreNumber", "DeviceId").agg(
+        F.count("*").alias("CommonWindows"), safe_corr("Cost", "_others").alias("Correlation")
+    )
+    return devices.where((F.col("CommonWindows") >= LEAST_COMMON_WINDOWS) & (F.abs("Correlation") > threshold))
 
 
 def device_spillover(fact: DataFrame, threshold: float = SPILLOVER_CORRELATION) -> DataFrame:
-    """Correlated device pairs with the sign and the cost figures of their store."""
-    # Members, figures and pairs all start from the series, so the fact is computed once.
-    series = _cost_series(fact)
-    devices = series.groupBy("StoreNumber", "DeviceId").agg(F.sum("Cost").alias("Cost"))
+    """Devices that go with the rest of their store, with the sign and the cost figures of the store."""
+    devices = _cost_series(fact).groupBy("StoreNumber", "DeviceId").agg(F.sum("Cost").alias("Cost"))
     stores = devices.groupBy("StoreNumber").agg(
         F.count("*").alias("device_count"),
         F.sum("Cost").alias("total_store_cost"),
         F.avg("Cost").alias("avg_device_cost"),
     )
-    pairs = correlated_pairs(series, threshold).withColumn(
+    found = device_pair_join(fact, threshold).withColumn(
         "Relationship", F.when(F.col("Correlation") > 0, "positive").otherwise("negative")
     )
-    return salted_join(pairs, stores, ["StoreNumber"], ["Device1", "Device2"])
+    return salted_join(found, stores, ["StoreNumber"], ["DeviceId"])
 
 
-def recommend_allocation(telemetry: DataFrame) -> DataFrame:
-    """One row: the allocation method that suits the data, and why."""
+def recommend_allocation(telemetry: DataFrame, cost: DataFrame) -> DataFrame:
+    """One row: the allocation method that suits the data, and why. Without cost there is nothing to tell them apart."""
+    billed = cost.agg(F.count("*")).scalar()
     groups = telemetry.groupBy(*PAIR).agg(
         F.count("*").alias("calls"),
         F.sum(F.col("TokensUsed").cast("double")).alias("tokens"),
@@ -218,8 +233,10 @@ def recommend_allocation(telemetry: DataFrame) -> DataFrame:
         (variance / F.greatest(mean, F.lit(1.0))).alias("token_spread"),
         (F.var_samp("calls") / F.greatest(call_mean, F.lit(1.0))).alias("call_spread"),
     )
+    figures = figures.withColumn("billed_lines", billed)
     rules = [
         (F.col("records") == 0, "equal", "no usage to go by"),
+        (F.col("billed_lines") == 0, "equal", "no cost to split"),
         (F.col("unknown_device_ratio") > UNKNOWN_RATIO_LIMIT, "equal", "most calls name no device"),
         (
             (F.col("token_spread") > TOKEN_SPREAD_LIMIT) & (F.col("token_mean") > 0),

@@ -22,9 +22,12 @@ DAY = 1440
 
 
 def lookback_filter(rows: DataFrame, time: str, as_of, hours: int = 0, days: int = 0) -> DataFrame:
-    """Rows at or after `as_of` minus the given span."""
+    """Rows of the given span that ends at `as_of`, which is not part of it.
+
+    A run repeated for a past moment thus sees the same rows, whatever has arrived since.
+    """
     start = moment(as_of) - F.make_dt_interval(F.lit(days), F.lit(hours))
-    return rows.where(F.col(time) >= start)
+    return rows.where((F.col(time) >= start) & (F.col(time) < moment(as_of)))
 
 
 def preprocess_telemetry(telemetry: DataFrame, window_minutes: int = HOUR) -> DataFrame:
@@ -90,15 +93,16 @@ def add_period_columns(fact: DataFrame) -> DataFrame:
     )
 
 
+def between(rows: DataFrame, time: str, start, end) -> DataFrame:
+    """Half-open range of a time column; reaches the scan of the rows."""
+    return rows.where((F.col(time) >= moment(start)) & (F.col(time) < moment(end)))
+
+
 def incremental_range(fact: DataFrame, range_start, range_end) -> DataFrame:
     """Half-open range of time windows."""
-    return fact.where(
-        (F.col("TimeWindow") >= moment(range_start)) & (F.col("TimeWindow") < moment(range_end))
-    )
+    return between(fact, "TimeWindow", range_start, range_end)
 
 
 def refresh_range(fact: DataFrame, as_of, days: int = 7) -> DataFrame:
     """The last `days` days before `as_of`, the part a refresh re-reads."""
-    return lookback_filter(fact, "TimeWindow", as_of, days=days).where(
-        F.col("TimeWindow") < moment(as_of)
-    )
+    return lookback_filter(fact, "TimeWindow", as_of, days=days)

@@ -55,12 +55,11 @@ def usage_by_window(
     usage = telemetry.groupBy(
         *KEYS, F.col("deviceId").alias("DeviceId"), F.col("storeNumber").alias("StoreNumber")
     ).agg(*aggregates)
-    # Always true. It keeps every aggregate in every use of this table, so that
-    # totals and detail share one shuffle instead of scanning the input twice.
-    filled = F.col("ApiCalls") > 0
-    for measure in sorted(set(usage.columns) - {*KEYS, *CELL, "ApiCalls"}):
-        filled = filled & F.col(measure).isNotNull()
-    return usage.where(filled)
+    # A 32-bit hash is never above the greatest 32-bit number and never NULL, so this keeps every row, whatever is
+    # NULL in it. It needs all measures in every use of this table, so that totals and detail share one shuffle
+    # instead of scanning the input twice.
+    measures = sorted(set(usage.columns) - {*KEYS, *CELL})
+    return usage.where(F.hash(*measures) <= (1 << 31) - 1)
 
 
 def window_totals(usage: DataFrame) -> DataFrame:
@@ -154,32 +153,14 @@ def allocate(
     """
     if method not in METHODS or mode not in (CONSERVING, REFERENCE):
         raise ValueError(f"unknown allocation {method!r} / {mode!r}")
-    if mode == REFERENCE and method == "time-weighted":
-        share_method = "proportional"
-    else:
-        share_method = method
-    lines = cost_lines(cost).withColumn("Lines", F.lit(1)) if mode == CONSERVING else first_cost_line(cost)
-    # One small row per billed line: what a cell needs to know about its group.
-    rates = lines.join(window_totals(usage), KEYS)
-    rates = rates.select(
-        *KEYS,
-        *LINE_LABELS,
-        F.col("Cost").alias("TotalCost"),
-        "Lines",
-        (F.col("TotalTokens") * F.col("Lines")).alias("_tokens"),
-        (F.col("TotalCalls") * F.col("Lines")).alias("_calls"),
-        (F.col("Cells") * F.col("Lines")).alias("_cells"),
-        *[F.col("TotalWeighted").alias("_weighted") for c in usage.columns if c == "WeightedTokens"],
-    )
-    cells = salted_join(usage, rates, KEYS, CELL)
+    cells = _costed_cells(usage, cost, mode)
     if mode == REFERENCE:
         cells = cells.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("Lines"))))
-    cost_part = F.when(F.col("TotalCost") > 0, _share(share_method, mode) * F.col("TotalCost"))
     return cells.select(
         *KEYS,
         *CELL,
         F.concat_ws("_", *CELL).alias("DeviceStoreKey"),
-        F.coalesce(cost_part, F.lit(0.0)).alias("AllocatedCost"),
+        _cost_part(method, mode).alias("AllocatedCost"),
         "TotalCost",
         F.lit(method).alias("AllocationMethod"),
         "TokensUsed",
@@ -191,6 +172,42 @@ def allocate(
     )
 
 
+def _cost_part(method: str, mode: str) -> Column:
+    if mode == REFERENCE and method == "time-weighted":
+        method = "proportional"
+    return F.coalesce(F.when(F.col("TotalCost") > 0, _share(method, mode) * F.col("TotalCost")), F.lit(0.0))
+
+
+def allocated_by_all(usage: DataFrame, cost: DataFrame, mode: str = CONSERVING) -> DataFrame:
+    """Cost per resource by every method, from one join of usage and cost.
+
+    Expects usage with WeightedTokens.
+    """
+    copies = F.col("Lines") if mode == REFERENCE else F.lit(1)
+    totals = _costed_cells(usage, cost, mode).groupBy("ResourceId").agg(
+        *[F.sum(_cost_part(method, mode) * copies).alias(method) for method in METHODS]
+    )
+    return totals.unpivot(["ResourceId"], list(METHODS), "Method", "AllocatedCost").withColumn("Mode", F.lit(mode))
+
+
+def _costed_cells(usage: DataFrame, cost: DataFrame, mode: str) -> DataFrame:
+    """Usage cells with the cost lines of their window and resource, and the totals to split them by."""
+    lines = cost_lines(cost).withColumn("Lines", F.lit(1)) if mode == CONSERVING else first_cost_line(cost)
+    # One small row per billed line: what a cell needs to know about its group.
+    rates = lines.join(window_totals(usage), KEYS)
+    rates = rates.select(
+        *KEYS,
+        *LINE_LABELS,
+        F.col("Cost").alias("TotalCost"),
+        "Lines",
+        (F.col("TotalTokens") * F.col("Lines")).alias("_tokens"),
+        (F.col("TotalCalls") * F.col("Lines")).alias("_calls"),
+        (F.col("Cells") * F.col("Lines")).alias("_cells"),
+        *[F.col("TotalWeighted").alias("_weighted") for c in usage.columns if c == "WeightedTokens"],
+    )
+    return salted_join(usage, rates, KEYS, CELL)
+
+
 def enrich_fact(allocated: DataFrame, as_of) -> DataFrame:
     """Attribution flags, unit costs, clock attributes and time stamps."""
     hour = F.hour("TimeWindow")

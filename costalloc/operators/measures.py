@@ -41,6 +41,13 @@ def monthly_cost(costs: DataFrame, time: str, amount: str) -> DataFrame:
     return costs.groupBy(month.alias("Month")).agg(F.sum(amount).alias("Cost"))
 
 
+def every_month(monthly: DataFrame) -> DataFrame:
+    """All months from the first to the last one, with cost 0 where there is none."""
+    span = monthly.agg(F.min("Month").alias("a"), F.max("Month").alias("b")).where("a IS NOT NULL")
+    spine = span.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 MONTH"))).alias("Month"))
+    return spine.join(monthly, "Month", "left").select("Month", F.coalesce("Cost", F.lit(0.0)).alias("Cost"))
+
+
 def _ahead(key: Column, steps: int, move) -> Column:
     """Targets (key, distance) from a row to itself and the next `steps` keys."""
     return F.transform(
@@ -50,7 +57,8 @@ def _ahead(key: Column, steps: int, move) -> Column:
 
 
 def cost_vs_prev_month(monthly: DataFrame) -> DataFrame:
-    """Month cost less that of the month before; a month without cost counts as 0."""
+    """Month cost less that of the month before, for every month from the first to the last; no cost counts as 0."""
+    monthly = every_month(monthly)
     reach = _ahead(F.col("Month"), 1, F.add_months)
     both = sum_over_past(
         monthly, "Month", [], reach, {"CurrentCost": ("Cost", 0, 0), "PreviousCost": ("Cost", 1, 1)}
@@ -67,7 +75,8 @@ def trailing_30d_cost(daily: DataFrame) -> DataFrame:
 
 
 def cost_forecast(monthly: DataFrame) -> DataFrame:
-    """Next month by this month's growth; also the trailing three-month sum."""
+    """Next month by this month's growth; also the trailing three-month sum. Months without cost count as 0."""
+    monthly = every_month(monthly)
     reach = _ahead(F.col("Month"), 2, F.add_months)
     rows = sum_over_past(
         monthly,

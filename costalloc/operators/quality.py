@@ -26,21 +26,33 @@ def _verdict(rows: DataFrame) -> DataFrame:
 
 
 def reconcile_allocation(fact: DataFrame, cost: DataFrame) -> DataFrame:
-    """Cost before and after the split, per window, resource and meter with usage."""
+    """Billed cost against allocated cost, per window, resource and meter of the bill.
+
+    Cost of a window without usage cannot be split: it is reported as UnallocatedCost and counts as a difference.
+    """
     group = [*KEYS, "MeterName"]
     allocated = fact.groupBy(*group).agg(F.sum("AllocatedCost").alias("AllocatedCost"))
     original = cost.groupBy(*group).agg(F.sum("Cost").alias("OriginalCost"))
-    return _verdict(original.join(allocated, group))
+    return _verdict(_with_unallocated(original.join(allocated, group, "left")))
 
 
 def reconcile_total(fact: DataFrame, cost: DataFrame) -> DataFrame:
-    """One row: all cost of windows that had usage, against all allocated cost."""
+    """One row: all billed cost against all allocated cost. Unallocated cost beyond the tolerance is not valid."""
     allocated = fact.groupBy(*KEYS).agg(F.sum("AllocatedCost").alias("AllocatedCost"))
     original = cost.groupBy(*KEYS).agg(F.sum("Cost").alias("OriginalCost"))
-    totals = original.join(allocated, KEYS).agg(
-        F.sum("OriginalCost").alias("OriginalCost"), F.sum("AllocatedCost").alias("AllocatedCost")
+    rows = _with_unallocated(original.join(allocated, KEYS, "left"))
+    sums = ("OriginalCost", "AllocatedCost", "UnallocatedCost")
+    return _verdict(rows.agg(*[F.sum(c).alias(c) for c in sums]))
+
+
+def _with_unallocated(rows: DataFrame) -> DataFrame:
+    none = F.col("AllocatedCost").isNull()
+    return rows.withColumns(
+        {
+            "UnallocatedCost": F.when(none, F.col("OriginalCost")).otherwise(0.0),
+            "AllocatedCost": F.coalesce("AllocatedCost", F.lit(0.0)),
+        }
     )
-    return _verdict(totals)
 
 
 def dq_rules(fact: DataFrame) -> DataFrame:

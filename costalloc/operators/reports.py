@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from costalloc.functions.ids import UNKNOWN
 from costalloc.functions.numbers import ratio_or_zero
 from costalloc.operators.correlate import KEYS
-from costalloc.operators.skew import salted_join
 
 # Model families of the newest generation, and the shifts.
 GPT5_FAMILIES = ["GPT-5", "GPT-5-Turbo", "GPT-5-Preview"]
@@ -83,9 +82,12 @@ def shift_pivot(fact: DataFrame) -> DataFrame:
 
 def dim_date(fact: DataFrame, time: str = "TimeWindow") -> DataFrame:
     """Calendar over the days the data spans."""
-    span = fact.agg(F.min(F.to_date(time)).alias("a"), F.max(F.to_date(time)).alias("b"))
+    span = fact.agg(F.min(F.to_date(time)).alias("a"), F.max(F.to_date(time)).alias("b")).where("a IS NOT NULL")
+    # Month by month, so that one wrong date makes many rows instead of one huge array.
+    months = span.select("a", "b", F.explode(F.sequence(F.trunc("a", "month"), "b", F.expr("INTERVAL 1 MONTH"))).alias("m"))
+    days = F.sequence(F.greatest("a", "m"), F.least("b", F.last_day("m")))
     day = F.col("Date")
-    return span.where(F.col("a").isNotNull()).select(F.explode(F.sequence("a", "b")).alias("Date")).select(
+    return months.select(F.explode(days).alias("Date")).select(
         "Date",
         F.year(day).alias("Year"),
         F.month(day).alias("Month"),
@@ -149,11 +151,8 @@ def daily_usage_share(daily_fact: DataFrame) -> DataFrame:
 def star_join(fact: DataFrame, dates: DataFrame, devices: DataFrame, stores: DataFrame) -> DataFrame:
     """Fact rows with the attributes of their date, device and store.
 
-    The calendar has one row per day and is broadcast. Devices and stores may be
-    many, and 'unknown' may hold much of the fact, so those joins are salted.
+    Plain joins: a dimension that turns out small is broadcast by its measured size; else adaptive execution splits
+    the rows of a hot device or store, also by measured size, and cold keys cost nothing extra.
     """
-    # What varies within one device or store, to spread the rows of a hot one.
-    line = ["TimeWindow", "ResourceId", "MeterName"]
-    dated = fact.withColumn("Date", F.to_date("TimeWindow")).join(F.broadcast(dates), "Date", "left")
-    with_device = salted_join(dated, devices, ["DeviceId"], line, "left")
-    return salted_join(with_device, stores, ["StoreNumber"], [*line, "DeviceId"], "left")
+    dated = fact.withColumn("Date", F.to_date("TimeWindow")).join(dates, "Date", "left")
+    return dated.join(devices, "DeviceId", "left").join(stores, "StoreNumber", "left")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costalloc.operators.summaries import device_summary, store_summary
-from costalloc.sources.store import FORMATS, PARTITIONS, list_files, partition_date, read_stored_fact
+from costalloc.sources.store import FORMATS, PARTITIONS, read_manifest, read_stored_fact
 
 
 def _run_id(as_of: dt.datetime) -> str:
@@ -46,6 +46,21 @@ def write_fact(fact: DataFrame, base: str, as_of: dt.datetime) -> None:
     )
     for file_format in FORMATS[1:]:
         save(stored, file_format)
+    _note(stored, base, as_of)
+
+
+def _note(stored: DataFrame, base: str, as_of: dt.datetime) -> None:
+    """Write the run's rows of the manifest, last: a run that broke off is not in it."""
+    counted = stored.agg(
+        F.count("*").alias("Rows"), F.min("TimeWindow").alias("FirstWindow"), F.max("TimeWindow").alias("LastWindow")
+    )
+    rows = counted.select(
+        F.explode(F.array(*map(F.lit, FORMATS))).alias("Format"),
+        F.lit(as_of.date()).alias("Date"),
+        F.lit(_run_id(as_of)).alias("Run"),
+        "Rows", "FirstWindow", "LastWindow",
+    )
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{base}/manifest/Stamp={as_of:%Y%m%d%H%M%S}")
 
 
 def write_summaries(fact: DataFrame, base: str, as_of: dt.datetime) -> None:
@@ -63,43 +78,32 @@ def write_raw(telemetry: DataFrame, cost: DataFrame, base: str, as_of: dt.dateti
     cost.write.mode("overwrite").json(f"{base}/raw/cost/RunStamp={stamp}")
 
 
-def storage_metrics(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
-    """Bytes and files per table, and in total."""
-    listed = None
-    for name, path in tables.items():
-        files = list_files(spark, path).select(F.lit(name).alias("TableName"), "length")
-        listed = files if listed is None else listed.unionByName(files)
+def storage_metrics(spark: SparkSession, base: str, as_of: dt.datetime, retention_days: int = 90) -> DataFrame:
+    """Per stored table, and in total: days, runs, rows and expired days. From the manifest; no file is listed."""
+    expired = F.when(F.col("Date") < _limit(as_of, retention_days), F.col("Date"))
     return (
-        listed.rollup("TableName")
-        .agg(F.sum("length").alias("SizeBytes"), F.count("*").alias("FileCount"))
-        .select(
-            F.coalesce("TableName", F.lit("total")).alias("TableName"),
-            "SizeBytes",
-            "FileCount",
-            F.round(F.col("SizeBytes") / (1024 * 1024), 2).alias("SizeMb"),
+        read_manifest(spark, base)
+        .groupingSets([[F.col("Format")], []], "Format")
+        .agg(
+            F.countDistinct("Date").alias("Days"),
+            F.count("*").alias("Runs"),
+            F.sum("Rows").alias("Rows"),
+            F.countDistinct(expired).alias("ExpiredDays"),
         )
+        .withColumn("TableName", F.coalesce("Format", F.lit("total")))
+        .drop("Format")
     )
 
 
-def retention_report(
-    spark: SparkSession, tables: dict[str, str], as_of: dt.datetime, retention_days: int = 90
-) -> DataFrame:
-    """Files and bytes per table and day that are older than the retention.
+def _limit(as_of: dt.datetime, retention_days: int) -> Column:
+    return F.lit((as_of - dt.timedelta(days=retention_days)).date())
 
-    The day is that of the partition, or of the last change for other files.
-    """
-    limit = F.lit((as_of - dt.timedelta(days=retention_days)).date())
-    expired = None
-    for name, path in tables.items():
-        files = list_files(spark, path).select(
-            F.lit(name).alias("TableName"),
-            F.coalesce(partition_date(F.col("path")), F.to_date("modificationTime")).alias("Date"),
-            "length",
-        )
-        files = files.where(F.col("Date") < limit)
-        expired = files if expired is None else expired.unionByName(files)
-    return expired.groupBy("TableName", "Date").agg(
-        F.count("*").alias("FilesToDelete"), F.sum("length").alias("BytesToFree")
+
+def retention_report(spark: SparkSession, base: str, as_of: dt.datetime, retention_days: int = 90) -> DataFrame:
+    """Runs and rows per table and day that are older than the retention."""
+    expired = read_manifest(spark, base).where(F.col("Date") < _limit(as_of, retention_days))
+    return expired.groupBy(F.col("Format").alias("TableName"), "Date").agg(
+        F.count("*").alias("RunsToDelete"), F.sum("Rows").alias("RowsToFree")
     )
 
 

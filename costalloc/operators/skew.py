@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SALTS = 8
-RANK_CUTS = 200
+LEAST_SALTS = 8
+LEAST_RANK_CUTS = 200
+
+
+def _partitions(rows: DataFrame) -> int:
+    """How wide the cluster is set to shuffle: it grows with the data."""
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def salted_join(
@@ -16,15 +23,16 @@ def salted_join(
     keys: list[str],
     spread: list[str],
     how: str = "inner",
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
-    """Equi-join that spreads the rows of one key over `salts` tasks.
+    """Equi-join that spreads the rows of one key over `salts` tasks (default: the root of the shuffle partitions).
 
     `detail` may hold most of its rows under one key; `spread` names columns
     that vary within a key. Every row of `lookup` is repeated once per salt, so
     the result is exactly that of the plain join. A lookup that turns out small
     at run time is still broadcast by adaptive execution, by its measured size.
     """
+    salts = salts or max(LEAST_SALTS, math.isqrt(_partitions(detail)))
     # Never NULL; a null check on it would be pushed into the input and keep
     # Spark from recognising that two branches share a shuffle.
     salt = F.coalesce(F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"), F.lit(0))
@@ -41,12 +49,13 @@ def add_global_rank(rows: DataFrame, value: str, rank: str, spread: list[str]) -
     number of rows in the ranges above, plus those above it in its own range.
     """
     counts = rows.groupBy(value).agg(F.count("*").alias("_n"))
-    cuts = [i / RANK_CUTS for i in range(1, RANK_CUTS)]
+    n = max(LEAST_RANK_CUTS, _partitions(rows))
+    cuts = [i / n for i in range(1, n)]
     bounds = counts.agg(F.percentile_approx(value, cuts, 10000).alias("b")).scalar()
     ranged = counts.withColumn("_bounds", bounds).select(
         value, "_n", F.size(F.filter("_bounds", lambda b: b > F.col(value))).alias("_range")
     )
-    # At most RANK_CUTS + 1 ranges.
+    # At most as many ranges as shuffle partitions, or LEAST_RANK_CUTS.
     sizes = ranged.groupBy("_range").agg(F.sum("_n").alias("_n"))
     size_list = sizes.agg(F.collect_list(F.struct("_range", "_n")).alias("s")).scalar()
     ranged = ranged.withColumn("_sizes", size_list)

@@ -227,12 +227,12 @@ def run_stats(telemetry: DataFrame, cost: DataFrame, fact: DataFrame) -> DataFra
     )
 
 
-def weighted_usage(telemetry: DataFrame, as_of, decay_hours: float = 2.0) -> DataFrame:
-    """Usage per device and store, weighted by age; calls are count times total weight."""
+def weighted_usage(telemetry: DataFrame, as_of, decay_hours: float = 2.0, by_resource: bool = False) -> DataFrame:
+    """Usage per device and store (and resource), weighted by age; calls are count times total weight."""
     weight = recency_weight(F.col("TimeGenerated"), moment(as_of), decay_hours)
     return (
         telemetry.withColumn("_w", weight)
-        .groupBy("deviceId", "storeNumber")
+        .groupBy("deviceId", "storeNumber", *["ResourceId" for _ in range(by_resource)])
         .agg(
             F.sum(F.col("TokensUsed") * F.col("_w")).alias("WeightedTokens"),
             (F.count("StatusCode") * F.sum("_w")).alias("WeightedApiCalls"),

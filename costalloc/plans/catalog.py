@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from costalloc.functions import scores
 from costalloc.functions.ids import normalize_resource_id
 from costalloc.operators import advanced, cleanse, correlate, dedup, measures, quality, reports, sinks, summaries
+from costalloc.plans.fact import DECAY_HOURS as FACT_DECAY_HOURS
 from costalloc.plans.fact import allocated_costs, correlated_fact, windowed_cost, windowed_usage
 from costalloc.plans.run import run_once
 from costalloc.schemas import EVENTS_TABLE
@@ -20,6 +22,10 @@ from costalloc.streaming import ingest, late_cost, usage
 
 AS_OF = testtables.AS_OF
 AS_OF_TIME = dt.datetime.fromisoformat(AS_OF)
+# A moment inside the data: what comes after it must not matter.
+INSIDE = "2024-01-24 12:00:00"
+INSIDE_DAY = "2024-01-24 00:00:00"
+DAY_BEFORE = "2024-01-23 12:00:00"
 WEEK_HOURS = 168
 DECAY_HOURS = 72.0
 
@@ -38,6 +44,10 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
+# Costs of one token, call or unit are small: they are compared to more places.
+UNIT_COSTS = {"CostPerToken", "CostPerApiCall", "CostPerUnit", "avg_cost_per_token", "avg_cost_per_call"}
+
+
 def at_edge(rows: DataFrame) -> DataFrame:
     """Plain comparable types: whole numbers as bigint, amounts rounded, times
     without zone, dates and lists as text. The nudge before rounding is above the
@@ -46,7 +56,8 @@ def at_edge(rows: DataFrame) -> DataFrame:
     for field in rows.schema.fields:
         c, kind = f"`{field.name}`", field.dataType
         if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
-            text = f"round(CAST({c} AS DOUBLE) + 3e-10D, 6)"
+            nudge, places = ("3e-13D", 9) if field.name in UNIT_COSTS else ("3e-10D", 6)
+            text = f"round(CAST({c} AS DOUBLE) + {nudge}, {places})"
         elif isinstance(kind, T.IntegralType):
             text = f"CAST({c} AS BIGINT)"
         elif isinstance(kind, T.TimestampType):
@@ -116,17 +127,17 @@ def _(spark, d):
 
 @query("src_traces")
 def _(spark, d):
-    return logs.read_traces(testtables.traces(spark, d), AS_OF, WEEK_HOURS)
+    return logs.read_traces(testtables.traces(spark, d), INSIDE, WEEK_HOURS)
 
 
 @query("src_gateway_logs")
 def _(spark, d):
-    return logs.read_gateway_logs(testtables.gateway_logs(spark, d), AS_OF, WEEK_HOURS)
+    return logs.read_gateway_logs(testtables.gateway_logs(spark, d), INSIDE, WEEK_HOURS)
 
 
 @query("src_requests")
 def _(spark, d):
-    return logs.read_requests(testtables.request_rows(spark, d), AS_OF, WEEK_HOURS)
+    return logs.read_requests(testtables.request_rows(spark, d), INSIDE, WEEK_HOURS)
 
 
 @query("src_cost_usage")
@@ -157,7 +168,12 @@ def _(spark, d):
 
 @query("combine_files")
 def _(spark, d):
-    return store.combine_files(spark, _stored(spark, d))
+    """Three runs, of which the last ones see the latter half of the data again: nothing is counted twice."""
+    base = _stored(spark, d)
+    half = _fact(spark, d).where(F.col("TimeWindow") >= F.lit("2024-01-15").cast("timestamp"))
+    for minutes in (6, 12):
+        sinks.write_fact(half, base, AS_OF_TIME + dt.timedelta(minutes=minutes))
+    return store.combine_files(spark, base)
 
 
 @query("read_summaries")
@@ -170,17 +186,17 @@ def _(spark, d):
 # Cleansing ----------------------------------------------------------------
 
 
-on_telemetry("lookback_filter", lambda t: cleanse.lookback_filter(t, "TimeGenerated", AS_OF, hours=36).drop("TimeWindow"))
+on_telemetry("lookback_filter", lambda t: cleanse.lookback_filter(t, "TimeGenerated", INSIDE, hours=36).drop("TimeWindow"))
 
 
 @query("norm_gateway_record")
 def _(spark, d):
-    return logs.norm_gateway_record(logs.read_gateway_logs(testtables.gateway_logs(spark, d), AS_OF, WEEK_HOURS))
+    return logs.norm_gateway_record(logs.read_gateway_logs(testtables.gateway_logs(spark, d), None, None))
 
 
 @query("norm_request_record")
 def _(spark, d):
-    return logs.norm_request_record(logs.read_requests(testtables.request_rows(spark, d), AS_OF, WEEK_HOURS))
+    return logs.norm_request_record(logs.read_requests(testtables.request_rows(spark, d), None, None))
 
 
 on_telemetry("preprocess_telemetry", lambda t: t)
@@ -236,8 +252,13 @@ def _(spark, d):
 
 @query("filter_costs_by_resource_table")
 def _(spark, d):
-    # resources that saw an error in the telemetry
-    failed = _telemetry(spark, d).where((F.col("StatusCode") >= 400) & F.col("ResourceId").startswith("/"))
+    # resources of one region that saw an error; the telemetry names them by path, address or plain name
+    regions = testtables.region_of_resource(spark, d).where("Region = 'region-1'").select("ResourceId")
+    failed = _telemetry(spark, d).where(F.col("StatusCode") >= 400)
+    failed = failed.withColumn("ResourceId", F.col("ResourceId")).join(
+        regions.withColumnRenamed("ResourceId", "_name"),
+        normalize_resource_id(F.col("ResourceId")) == F.col("_name"), "left_semi",
+    )
     return billing.filter_costs_by_resources(_billing(spark, d), failed)
 
 
@@ -265,10 +286,25 @@ def _(spark, d):
 
 on_fact("add_period_columns", lambda f: cleanse.add_period_columns(f).select(
     "TimeWindow", "ResourceId", "MeterName", "DeviceId", "StoreNumber", "CostPerToken", "Month", "Week"))
-on_fact("incremental_range", lambda f: cleanse.incremental_range(f, "2024-01-08", "2024-01-15").select(
-    "TimeWindow", "ResourceId", "MeterName", "DeviceId", "StoreNumber", "AllocatedCost"))
-on_fact("incremental_refresh", lambda f: cleanse.refresh_range(f, AS_OF).select(
-    "TimeWindow", "ResourceId", "MeterName", "DeviceId", "StoreNumber", "AllocatedCost"))
+_ROW = ["TimeWindow", "ResourceId", "MeterName", "DeviceId", "StoreNumber", "AllocatedCost"]
+
+
+@query("incremental_range")
+def _(spark, d):
+    """A window is split by its own usage and cost alone, so the range is cut before anything is aggregated."""
+    start, end = "2024-01-08", "2024-01-15"
+    calls = cleanse.between(_telemetry(spark, d), "TimeGenerated", start, end)
+    bills = cleanse.between(_billing(spark, d), "UsageDate", start, end)
+    return cleanse.incremental_range(correlated_fact(calls, bills, AS_OF), start, end).select(_ROW)
+
+
+@query("incremental_refresh")
+def _(spark, d):
+    calls = cleanse.lookback_filter(_telemetry(spark, d), "TimeGenerated", INSIDE_DAY, days=7)
+    bills = cleanse.lookback_filter(_billing(spark, d), "UsageDate", INSIDE_DAY, days=7)
+    return cleanse.refresh_range(correlated_fact(calls, bills, INSIDE_DAY), INSIDE_DAY).select(_ROW)
+
+
 
 
 @query("attribute_fallback")
@@ -319,7 +355,7 @@ def _(spark, d):
 @query("weighted_merge")
 def _(spark, d):
     return advanced.weighted_merge(
-        summaries.weighted_usage(_clean(spark, d), AS_OF, DECAY_HOURS),
+        summaries.weighted_usage(_clean(spark, d), AS_OF, DECAY_HOURS, by_resource=True),
         summaries.weighted_cost(_cost(spark, d), AS_OF, DECAY_HOURS),
     )
 
@@ -368,16 +404,10 @@ for _method, _key in {
 
 @query("alloc_dispatch")
 def _(spark, d):
-    """Total allocated by every method and mode."""
-    total = None
-    for method in correlate.METHODS:
-        for mode in (correlate.CONSERVING, correlate.REFERENCE):
-            rows = allocated_costs(_telemetry(spark, d), _billing(spark, d), method, mode)
-            one = rows.groupBy("ResourceId").agg(F.sum("AllocatedCost").alias("AllocatedCost")).select(
-                F.lit(method).alias("Method"), F.lit(mode).alias("Mode"), "ResourceId", "AllocatedCost"
-            )
-            total = one if total is None else total.unionByName(one)
-    return total
+    """Total allocated by every method and mode: one join per mode."""
+    cells, cost = windowed_usage(_telemetry(spark, d), decay_hours=FACT_DECAY_HOURS), _cost(spark, d)
+    conserving, reference = (correlate.allocated_by_all(cells, cost, m) for m in (correlate.CONSERVING, correlate.REFERENCE))
+    return conserving.unionByName(reference)
 
 
 on_fact("enrich_fact", lambda f: f.select(
@@ -391,15 +421,17 @@ on_fact("score_utilization", lambda f: f.select(*_SCORE_KEY, "DeviceUtilizationS
 
 @query("score_accuracy")
 def _(spark, d):
-    rows = [
-        _fact(spark, d, method=m).groupBy("AllocationMethod", "IsUnknownDevice", "IsUnknownStore", "AllocationAccuracy")
-        .agg(F.count("*").alias("n"))
+    """Accuracy does not depend on the amounts, so one fact serves all methods."""
+    by = [
+        F.struct(F.lit(m).alias("AllocationMethod"), scores.accuracy(
+            F.lit(m), F.col("IsUnknownDevice"), F.col("IsUnknownStore"), F.col("TokensUsed")
+        ).alias("AllocationAccuracy"))
         for m in correlate.METHODS
     ]
-    total = rows[0]
-    for more in rows[1:]:
-        total = total.unionByName(more)
-    return total
+    rows = _fact(spark, d).select("IsUnknownDevice", "IsUnknownStore", F.inline(F.array(*by)))
+    return rows.groupBy("AllocationMethod", "IsUnknownDevice", "IsUnknownStore", "AllocationAccuracy").agg(
+        F.count("*").alias("n")
+    )
 
 
 on_fact("correlated_fact", lambda f: f)
@@ -440,14 +472,14 @@ on_fact("store_summary", summaries.store_summary)
 query("run_stats")(lambda spark, d: summaries.run_stats(_clean(spark, d), _cost(spark, d), _fact(spark, d)))
 on_telemetry("weighted_usage", lambda t: summaries.weighted_usage(t, AS_OF, DECAY_HOURS))
 query("weighted_cost")(lambda spark, d: summaries.weighted_cost(_cost(spark, d), AS_OF, DECAY_HOURS))
-on_telemetry("api_usage_analysis", lambda t: summaries.api_usage_analysis(t, AS_OF))
-on_fact("cost_by_user_store_day", lambda f: summaries.cost_by_user_store_day(f, AS_OF))
+on_telemetry("api_usage_analysis", lambda t: summaries.api_usage_analysis(t, INSIDE))
+on_fact("cost_by_user_store_day", lambda f: summaries.cost_by_user_store_day(f, INSIDE))
 on_fact("model_usage_hourly", summaries.model_usage_hourly)
 
 
 @query("resource_health")
 def _(spark, d):
-    return summaries.resource_health(logs.read_traces(testtables.traces(spark, d), AS_OF, WEEK_HOURS), AS_OF)
+    return summaries.resource_health(logs.read_traces(testtables.traces(spark, d), INSIDE, WEEK_HOURS), INSIDE)
 
 
 @query("resource_time_coverage")
@@ -510,17 +542,15 @@ query("monthly_cost")(_monthly)
 
 
 def _last_day(spark, d):
-    return cleanse.lookback_filter(_clean(spark, d), "TimeGenerated", AS_OF, days=2)
+    return cleanse.lookback_filter(_clean(spark, d), "TimeGenerated", INSIDE, days=1)
 
 
 def _patterns(spark, d):
-    """Patterns of the seven days before the last two."""
-    return advanced.device_usage_patterns(
-        _clean(spark, d).where(F.col("TimeGenerated") < F.lit("2024-01-29").cast("timestamp")), "2024-01-29"
-    )
+    """Patterns of the seven days before the last one."""
+    return advanced.device_usage_patterns(_clean(spark, d), DAY_BEFORE)
 
 
-on_telemetry("device_usage_patterns", lambda t: advanced.device_usage_patterns(t, AS_OF))
+on_telemetry("device_usage_patterns", lambda t: advanced.device_usage_patterns(t, INSIDE))
 on_fact("device_cost_models", advanced.device_cost_models)
 query("model_lookup_join")(
     lambda spark, d: advanced.model_lookup_join(_last_day(spark, d), advanced.device_cost_models(_fact(spark, d)))
@@ -532,7 +562,10 @@ query("pattern_lookup_join")(lambda spark, d: advanced.pattern_lookup_join(_last
 query("usage_anomalies")(lambda spark, d: advanced.usage_anomalies(_last_day(spark, d), _patterns(spark, d)))
 on_fact("device_pair_join", advanced.device_pair_join)
 on_fact("device_spillover", advanced.device_spillover)
-on_telemetry("recommend_allocation", advanced.recommend_allocation)
+query("recommend_allocation")(lambda spark, d: advanced.recommend_allocation(_clean(spark, d), _cost(spark, d)))
+query("recommend_allocation_no_cost")(
+    lambda spark, d: advanced.recommend_allocation(_clean(spark, d), _cost(spark, d).where("Cost < 0"))
+)
 
 # Sinks --------------------------------------------------------------------
 
@@ -576,18 +609,23 @@ def _(spark, d):
     return store.list_partitions(spark, _stored(spark, d), dt.date(2024, 1, 1), dt.date(2024, 12, 31))
 
 
-def _tables(base: str) -> dict[str, str]:
-    return {"fact_parquet": f"{base}/parquet", "fact_json": f"{base}/json", "fact_csv": f"{base}/csv"}
+def _stored_days(spark: SparkSession, d: str) -> str:
+    """Runs on three days, one of them with two runs."""
+    base, fact = run_dir(spark, "store"), _fact(spark, d)
+    for days, hours in ((0, 0), (1, 0), (100, 0), (100, 3)):
+        moment = AS_OF_TIME + dt.timedelta(days=days, hours=hours)
+        sinks.write_fact(fact.withColumn("ProcessingDate", F.lit(moment.date())), base, moment)
+    return base
 
 
 @query("storage_metrics")
 def _(spark, d):
-    return sinks.storage_metrics(spark, _tables(_stored(spark, d)))
+    return sinks.storage_metrics(spark, _stored_days(spark, d), AS_OF_TIME + dt.timedelta(days=120))
 
 
 @query("retention_report")
 def _(spark, d):
-    return sinks.retention_report(spark, _tables(_stored(spark, d)), AS_OF_TIME + dt.timedelta(days=120))
+    return sinks.retention_report(spark, _stored_days(spark, d), AS_OF_TIME + dt.timedelta(days=120))
 
 
 # Streams ------------------------------------------------------------------
@@ -598,11 +636,6 @@ def _event_stream(spark: SparkSession, d: str) -> DataFrame:
     return spark.readStream.schema(EVENTS_TABLE).parquet(f"{d.rstrip('/')}/[e]vents.parquet")
 
 
-def _finish(stream: DataFrame, path: str) -> None:
-    writer = stream.writeStream.format("parquet").option("path", f"{path}/out")
-    writer.option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
-
-
 @query("stream_ingest")
 def _(spark, d):
     path = run_dir(spark, "ingest")
@@ -640,36 +673,42 @@ def _(spark, d):
 def _(spark, d):
     path = run_dir(spark, "usage")
     rows = testtables.telemetry_of(_event_stream(spark, d))
-    _finish(usage.stream_usage_window(rows), path)
-    return spark.read.parquet(f"{path}/out")
+    usage.start_stream_usage(rows, f"{path}/out", f"{path}/state").awaitTermination()
+    return usage.read_stream_usage(spark, f"{path}/out")
 
 
-def _source_stream(spark: SparkSession, d: str) -> DataFrame:
-    gateway, requests = testtables.telemetry_sources_of(_event_stream(spark, d))
-    return dedup.union_telemetry(gateway, requests)
+def _deduped(spark: SparkSession, d: str) -> DataFrame:
+    """The request log arrives first, in batches of its own."""
+    path = run_dir(spark, "dedup")
+    gateway, requests = testtables.telemetry_sources(spark, d)
+    union = dedup.union_telemetry(gateway, requests)
+    for place, source in enumerate(reversed(dedup.SOURCE_ORDER)):
+        union.where(F.col("Source") == source).write.parquet(f"{path}/in/{place}")
+    arriving = (
+        spark.readStream.schema(union.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in/*")
+    )
+    usage.start_stream_dedup(arriving, f"{path}/out", f"{path}/state").awaitTermination()
+    return usage.read_stream_dedup(spark, f"{path}/out")
 
 
-@query("stream_dedup")
-def _(spark, d):
-    path = run_dir(spark, "dedup")
-    _finish(usage.stream_dedup(_source_stream(spark, d)).drop("Source"), path)
-    return spark.read.parquet(f"{path}/out")
+query("stream_dedup")(_deduped)
 
 
 @query("stream_dedup_usage_window")
 def _(spark, d):
-    path = run_dir(spark, "dedup-usage")
-    deduped = usage.stream_dedup(_source_stream(spark, d))
-    _finish(usage.stream_usage_window(deduped, watermarked=True), path)
-    return spark.read.parquet(f"{path}/out")
+    return windowed_usage(_deduped(spark, d))
 
 
 @query("stream_late_cost")
 def _(spark, d):
     path = run_dir(spark, "late-cost")
     late_cost.write_usage(_usage(spark, d), f"{path}/usage")
-    # Four files in date order, one per batch: cost arriving piece by piece.
-    _billing(spark, d).repartitionByRange(4, "UsageDate").write.parquet(f"{path}/billing")
+    # Files in date order, one per batch: cost arriving piece by piece. Every file is delivered twice, the first time
+    # with amounts that are restated later.
+    bills = _billing(spark, d).repartitionByRange(3, "UsageDate")
+    bills.withColumn("PreTaxCost", F.col("PreTaxCost") * 3).write.parquet(f"{path}/billing")
+    for _ in range(2):
+        bills.write.mode("append").parquet(f"{path}/billing")
     arriving = (
         spark.readStream.schema(_billing(spark, d).schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/billing")
     )
@@ -681,6 +720,6 @@ def _(spark, d):
 
 @query("scheduled_run")
 def _(spark, d):
-    return run_once(
-        spark, _telemetry(spark, d), _billing(spark, d), AS_OF_TIME, run_dir(spark, "run"), lookback_hours=72
-    )
+    """A run for a past moment."""
+    moment = dt.datetime.fromisoformat(INSIDE)
+    return run_once(spark, _telemetry(spark, d), _billing(spark, d), moment, run_dir(spark, "run"), lookback_hours=72)

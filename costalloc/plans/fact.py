@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from costalloc.operators.cleanse import HOUR, preprocess_cost, preprocess_telemetry
 from costalloc.operators.correlate import CONSERVING, allocate, finish_fact, usage_by_window
-from costalloc.sources.billing import normalize_cost
+from costalloc.sources.billing import model_services, normalize_cost
 
 DECAY_HOURS = 2.0
 
@@ -16,7 +16,8 @@ def windowed_usage(telemetry: DataFrame, window_minutes: int = HOUR, decay_hours
 
 
 def windowed_cost(billing: DataFrame, window_minutes: int = HOUR) -> DataFrame:
-    return preprocess_cost(normalize_cost(billing), window_minutes)
+    """Cost lines of the services that are split, with their time window."""
+    return preprocess_cost(normalize_cost(model_services(billing)), window_minutes)
 
 
 def allocated_costs(

@@ -10,7 +10,7 @@ from costalloc.operators.cleanse import lookback_filter
 from costalloc.operators.sinks import write_fact, write_raw, write_summaries
 from costalloc.operators.summaries import run_stats
 from costalloc.plans.fact import correlated_fact, windowed_cost
-from costalloc.sources.billing import SERVICES
+from costalloc.sources.billing import model_services
 from costalloc.sources.store import read_partition
 
 
@@ -30,9 +30,7 @@ def run_once(
     computed once. The same moment may be run again: it replaces its output.
     """
     recent = lookback_filter(telemetry, "TimeGenerated", as_of, hours=lookback_hours)
-    billed = lookback_filter(
-        billing.where(billing["ServiceName"].isin(SERVICES)), "UsageDate", as_of, hours=lookback_hours
-    )
+    billed = lookback_filter(model_services(billing), "UsageDate", as_of, hours=lookback_hours)
     write_fact(
         correlated_fact(recent, billed, as_of, method=method, window_minutes=window_minutes), base, as_of
     )

@@ -16,6 +16,9 @@ SETTINGS = {
     # The allocation join turns few bytes into many rows; small inputs must not
     # be squeezed into one task before it. No effect on large partitions.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # State of streams outgrows the heap; it is kept on disk.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -26,10 +29,6 @@ def build_session(master: str | None = None, app: str = "costalloc", **extra: st
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    builder = builder.config(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costalloc.functions.ids import last_path_part, path_part_after
+from costalloc.functions.ids import last_path_part, normalize_resource_id, path_part_after
 from costalloc.functions.meters import cost_type, model_family, token_type
 from costalloc.functions.numbers import ratio_or_zero
 from costalloc.functions.timeparts import billing_timestamp
@@ -16,9 +16,14 @@ from costalloc.schemas import BILLING_EXPORT
 SERVICES = ["Azure OpenAI", "Cognitive Services"]
 
 
+def model_services(billing: DataFrame) -> DataFrame:
+    """The billing rows whose cost is split; other services on the same bill have no calls to go by."""
+    return billing.where(F.col("ServiceName").isin(SERVICES)) if "ServiceName" in billing.columns else billing
+
+
 def query_cost_usage(billing: DataFrame, start=None, end=None) -> DataFrame:
     """Daily cost and usage of the model services per resource and meter."""
-    rows = billing.where(F.col("ServiceName").isin(SERVICES))
+    rows = model_services(billing)
     if start is not None:
         rows = rows.where(F.col("UsageDate") >= F.lit(str(start)).cast("timestamp"))
     if end is not None:
@@ -86,9 +91,13 @@ def normalize_cost(billing: DataFrame, extended: bool = False) -> DataFrame:
 
 
 def filter_costs_by_resources(costs: DataFrame, resources: list[str] | DataFrame) -> DataFrame:
-    """Cost lines of the listed resources; an empty list keeps them all."""
+    """Cost lines of the listed resources; an empty list keeps them all.
+
+    A table may name a resource by path, address or plain name: both sides are normalised.
+    """
     if isinstance(resources, DataFrame):
         others = [c for c in costs.columns if c != "ResourceId"]
-        wanted = resources.select("ResourceId").distinct()
-        return salted_join(costs, wanted, ["ResourceId"], others, "left_semi")
+        wanted = resources.select(normalize_resource_id(F.col("ResourceId")).alias("_resource")).distinct()
+        named = costs.withColumn("_resource", normalize_resource_id(F.col("ResourceId")))
+        return salted_join(named, wanted, ["_resource"], others, "left_semi").drop("_resource")
     return costs.where(F.col("ResourceId").isin(list(resources))) if resources else costs

@@ -24,12 +24,16 @@ def or_unknown(c: Column) -> Column:
     return F.coalesce(non_empty(c), F.lit(UNKNOWN))
 
 
-def read_traces(traces: DataFrame, as_of, lookback_hours: int) -> DataFrame:
-    """Forwarded trace lines to telemetry: keep matching lines with a status above 0."""
+def _recent(rows: DataFrame, time: str, as_of, lookback_hours: int | None) -> DataFrame:
+    return rows if lookback_hours is None else lookback_filter(rows, time, as_of, hours=lookback_hours)
+
+
+def read_traces(traces: DataFrame, as_of, lookback_hours: int | None) -> DataFrame:
+    """Forwarded trace lines to telemetry: keep matching lines with a status above 0. No lookback: the whole log."""
     wanted = F.lower("Message").contains(TRACE_TEXT.lower()) | F.col("Message").contains(TRACE_TEXT_CASED)
     dims = F.col("customDimensions")
     return (
-        lookback_filter(traces, "TimeGenerated", as_of, hours=lookback_hours)
+        _recent(traces, "TimeGenerated", as_of, lookback_hours)
         .where(wanted)
         # a generator, so that the message is parsed once and not per column
         .select("TimeGenerated", F.inline(F.array(F.from_json("Message", TRACE_MESSAGE))))
@@ -51,11 +55,11 @@ def read_traces(traces: DataFrame, as_of, lookback_hours: int) -> DataFrame:
     )
 
 
-def read_gateway_logs(logs: DataFrame, as_of, lookback_hours: int) -> DataFrame:
+def read_gateway_logs(logs: DataFrame, as_of, lookback_hours: int | None) -> DataFrame:
     """Gateway log rows to telemetry: ids and tokens out of the header maps."""
     request, response = F.col("RequestHeaders"), F.col("ResponseHeaders")
     return (
-        lookback_filter(logs, "TimeGenerated", as_of, hours=lookback_hours)
+        _recent(logs, "TimeGenerated", as_of, lookback_hours)
         .where(non_empty(F.col("OperationId")).isNotNull() & (F.col("ResponseCode") > 0))
         .select(
             "TimeGenerated",
@@ -81,11 +85,11 @@ def read_gateway_logs(logs: DataFrame, as_of, lookback_hours: int) -> DataFrame:
     )
 
 
-def read_requests(requests: DataFrame, as_of, lookback_hours: int) -> DataFrame:
+def read_requests(requests: DataFrame, as_of, lookback_hours: int | None) -> DataFrame:
     """Monitor request rows to telemetry; only calls of the model service."""
     dims, measures = F.col("customDimensions"), F.col("customMeasurements")
     return (
-        lookback_filter(requests, "timestamp", as_of, hours=lookback_hours)
+        _recent(requests, "timestamp", as_of, lookback_hours)
         .where(F.lower("name").contains(REQUEST_NAME_TEXT))
         .select(
             F.col("timestamp").alias("TimeGenerated"),

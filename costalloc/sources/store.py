@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from costalloc.operators.skew import salted_join
 from costalloc.schemas import CORRELATED_FACT
 
 PARTITIONS = ["Year", "Month", "Day", "Run"]
@@ -15,6 +16,7 @@ STORED_FACT = T.StructType(
     [*CORRELATED_FACT.fields, *[T.StructField(p, T.StringType()) for p in PARTITIONS]]
 )
 FORMATS = ["parquet", "json", "csv"]
+MANIFEST = ["Format", "Date", "Run", "Rows", "FirstWindow", "LastWindow"]
 
 # The columns reports load.
 REPORT_COLUMNS = [
@@ -32,19 +34,22 @@ def read_stored_fact(spark: SparkSession, base: str, file_format: str = "parquet
 
 
 def read_partition(spark: SparkSession, base: str, day: dt.date, file_format: str = "parquet") -> DataFrame:
-    """The newest run of one day. A run is many files, so it is found by its
-    partition value rather than by the time of a single file."""
+    """The newest run of one day, by the manifest: no data file is opened to find it."""
+    runs = read_manifest(spark, base).where((F.col("Format") == file_format) & (F.col("Date") == F.lit(day)))
+    newest = runs.agg(F.max("Run")).first()[0]
     rows = read_stored_fact(spark, base, file_format).where(
         (F.col("Year") == f"{day:%Y}") & (F.col("Month") == f"{day:%m}") & (F.col("Day") == f"{day:%d}")
     )
-    newest = rows.agg(F.max("Run")).scalar()
-    return rows.where(F.col("Run") == newest).drop(*PARTITIONS)
+    return rows.where(F.col("Run") == F.lit(newest)).drop(*PARTITIONS)
 
 
 def combine_files(spark: SparkSession, base: str, columns: list[str] = REPORT_COLUMNS) -> DataFrame:
-    """Chosen columns of every stored fact file, whatever its folder."""
-    reader = spark.read.schema(CORRELATED_FACT).option("recursiveFileLookup", True)
-    return reader.option("pathGlobFilter", "*.parquet").parquet(f"{base}/parquet").select(columns)
+    """Chosen columns of all stored runs; runs overlap, so each window and resource is that of its newest run."""
+    run = F.concat(*PARTITIONS).alias("_run")
+    rows = read_stored_fact(spark, base).withColumn("_run", run)
+    newest = rows.groupBy("TimeWindow", "ResourceId").agg(F.max("_run").alias("_run"))
+    kept = salted_join(rows, newest, ["TimeWindow", "ResourceId", "_run"], ["DeviceId", "StoreNumber"], "left_semi")
+    return kept.select(columns)
 
 
 def read_summaries(spark: SparkSession, base: str, kind: str) -> DataFrame:
@@ -52,25 +57,16 @@ def read_summaries(spark: SparkSession, base: str, kind: str) -> DataFrame:
     return spark.read.parquet(f"{base}/summaries/{kind}-summary-*")
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Path, size and time of every data file; the files themselves are not read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    files = reader.load(path).select("path", "length", "modificationTime")
-    return files.where(F.substring_index("path", "/", -1).startswith("part-"))
-
-
-def partition_date(path: Column) -> Column:
-    """Date in a .../Year=2024/Month=01/Day=31/... path; NULL for other paths."""
-    parts = [F.regexp_extract(path, rf"{name}=(\d+)", 1) for name in ("Year", "Month", "Day")]
-    return F.try_to_date(F.concat_ws("-", *parts), "yyyy-MM-dd")
+def read_manifest(spark: SparkSession, base: str) -> DataFrame:
+    """One row per stored run and format: Format, Date, Run, Rows, FirstWindow, LastWindow."""
+    return spark.read.parquet(f"{base}/manifest").select(MANIFEST)
 
 
 def list_partitions(
     spark: SparkSession, base: str, start: dt.date | None = None, end: dt.date | None = None
 ) -> DataFrame:
     """Days with stored facts, between two dates (both included)."""
-    days = list_files(spark, f"{base}/parquet").select(partition_date(F.col("path")).alias("Date"))
-    days = days.where(F.col("Date").isNotNull())
+    days = read_manifest(spark, base).where(F.col("Format") == FORMATS[0]).select("Date")
     if start is not None:
         days = days.where(F.col("Date") >= F.lit(start))
     if end is not None:

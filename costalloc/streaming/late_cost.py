@@ -33,10 +33,11 @@ def start_late_cost(
 ) -> StreamingQuery:
     """Re-correlate the days that a batch of billing rows touches.
 
-    Each batch is kept under its own number, then all cost and usage of the
-    touched days is allocated anew and replaces those days of the fact. A split
-    needs the whole window as its denominator, so days are redone as a whole;
-    running a batch twice gives the same fact.
+    Each batch is kept under its own number. Billing is delivered again and again, so of the lines with one date,
+    resource and meter only those of the newest batch count: a redelivery changes nothing, a restated amount replaces
+    the old one. All such cost and all usage of the touched days is then allocated anew and replaces those days of the
+    fact. A split needs the whole window as its denominator, so days are redone as a whole; running a batch twice
+    gives the same fact.
     """
     spark = billing.sparkSession
 
@@ -44,9 +45,8 @@ def start_late_cost(
         lines = windowed_cost(batch, window_minutes).withColumn(DAY_PARTITION, F.to_date("TimeWindow"))
         lines.write.mode("overwrite").partitionBy(DAY_PARTITION).parquet(f"{cost_path}/Batch={batch_id}")
         stored = spark.read.parquet(cost_path)
-        # one row per day: small however large the batch
-        touched = F.broadcast(stored.where(F.col("Batch") == batch_id).select(DAY_PARTITION).distinct())
-        cost = stored.join(touched, DAY_PARTITION, "left_semi").drop("Batch", DAY_PARTITION)
+        touched = stored.where(F.col("Batch") == batch_id).select(DAY_PARTITION).distinct()
+        cost = newest_lines(stored.join(touched, DAY_PARTITION, "left_semi")).drop("Batch", DAY_PARTITION)
         usage = spark.read.parquet(usage_path).join(touched, DAY_PARTITION, "left_semi").drop(DAY_PARTITION)
         fact = finish_fact(allocate(usage, cost, method, CONSERVING), as_of)
         fact.withColumn(DAY_PARTITION, F.to_date("TimeWindow")).write.mode("overwrite").option(
@@ -57,5 +57,12 @@ def start_late_cost(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def newest_lines(stored: DataFrame) -> DataFrame:
+    """Of all batches' cost lines, those of the newest batch that has their date, resource and meter."""
+    key = ["UsageDate", "ResourceId", "MeterName"]
+    newest = stored.groupBy(*key).agg(F.max("Batch").alias("Batch"))
+    return stored.join(newest, [*key, "Batch"], "left_semi")
+
+
 def read_late_fact(spark: SparkSession, fact_path: str) -> DataFrame:
     return spark.read.parquet(fact_path).drop(DAY_PARTITION)

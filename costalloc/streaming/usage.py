@@ -1,44 +1,76 @@
-"""Usage windows and duplicate removal on an unbounded telemetry stream."""
+"""Usage windows and duplicate removal on an unbounded telemetry stream.
+
+Each micro-batch is reduced to partial results and stored under its number; readers merge the partials. So no row is
+too late: a window is complete as soon as its rows have arrived, whenever that is, and a window that is still open can
+be read as well. A batch that runs twice replaces its own partials. State does not grow in memory, and partials of
+one day are small: at most one row per group and batch.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from costalloc.operators.cleanse import HOUR, preprocess_telemetry
-from costalloc.operators.dedup import IDENTITY
+from costalloc.operators.dedup import dedup_telemetry
 
-DELAY = "2 hours"
+DAY_PARTITION = "WindowDate"
+GROUP = ["TimeWindow", "ResourceId", "DeviceId", "StoreNumber"]
 
 
-def stream_dedup(telemetry: DataFrame, delay: str = DELAY) -> DataFrame:
-    """First arrival of every request; its identity is forgotten after the delay."""
-    return telemetry.withWatermark("TimeGenerated", delay).dropDuplicatesWithinWatermark(IDENTITY)
+def _start(stream: DataFrame, reduce, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """Store reduce(batch) for every micro-batch, by batch number and day."""
 
+    def store(batch: DataFrame, batch_id: int) -> None:
+        reduce(batch).write.mode("overwrite").partitionBy(DAY_PARTITION).parquet(f"{path}/Batch={batch_id}")
 
-def stream_usage_window(
-    telemetry: DataFrame, window_minutes: int = HOUR, delay: str = DELAY, watermarked: bool = False
-) -> DataFrame:
-    """Usage per closed window, resource, device and store, for append mode.
+    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
 
-    Set `watermarked` if the stream already carries a watermark on TimeGenerated.
-    """
-    cleaned = preprocess_telemetry(telemetry, window_minutes).drop("TimeWindow")
-    if not watermarked:
-        cleaned = cleaned.withWatermark("TimeGenerated", delay)
-    window = F.window("TimeGenerated", f"{window_minutes} minutes")
-    return (
-        cleaned.groupBy(
-            window.alias("window"),
-            "ResourceId",
-            F.col("deviceId").alias("DeviceId"),
-            F.col("storeNumber").alias("StoreNumber"),
-        )
-        .agg(
-            F.sum("TokensUsed").alias("TokensUsed"),
-            F.count("StatusCode").alias("ApiCalls"),
-            F.avg("ResponseTime").alias("AvgResponseTime"),
-        )
-        .select(F.col("window.start").alias("TimeWindow"), "*")
-        .drop("window")
+
+def partial_usage(telemetry: DataFrame, window_minutes: int = HOUR) -> DataFrame:
+    """Sums and counts per window, resource, device and store, which can be added up."""
+    cleaned = preprocess_telemetry(telemetry, window_minutes)
+    return cleaned.groupBy(
+        "TimeWindow", "ResourceId", F.col("deviceId").alias("DeviceId"), F.col("storeNumber").alias("StoreNumber")
+    ).agg(
+        F.sum("TokensUsed").alias("TokensUsed"),
+        F.count("StatusCode").alias("ApiCalls"),
+        F.sum("ResponseTime").alias("ResponseTimeSum"),
+        F.count("ResponseTime").alias("ResponseTimeCount"),
+    ).withColumn(DAY_PARTITION, F.to_date("TimeWindow"))
+
+
+def start_stream_usage(
+    telemetry: DataFrame, path: str, checkpoint: str, window_minutes: int = HOUR, **trigger
+) -> StreamingQuery:
+    """Usage per window from a stream, as partials below path."""
+    return _start(telemetry, lambda batch: partial_usage(batch, window_minutes), path, checkpoint, trigger)
+
+
+def read_stream_usage(spark: SparkSession, path: str) -> DataFrame:
+    """Usage of all windows that have rows so far, as usage_by_window gives it; late rows included."""
+    partials = spark.read.parquet(path)
+    return partials.groupBy(*GROUP).agg(
+        F.sum("TokensUsed").alias("TokensUsed"),
+        F.sum("ApiCalls").alias("ApiCalls"),
+        F.try_divide(F.sum("ResponseTimeSum"), F.sum("ResponseTimeCount")).alias("AvgResponseTime"),
     )
+
+
+def start_stream_dedup(telemetry: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """The best copy of every request within a batch, stored by batch and day."""
+
+    def best(batch: DataFrame) -> DataFrame:
+        return dedup_telemetry(batch).withColumn(DAY_PARTITION, F.to_date("TimeGenerated"))
+
+    return _start(telemetry, best, path, checkpoint, trigger)
+
+
+def read_stream_dedup(spark: SparkSession, path: str) -> DataFrame:
+    """One row per request and time over all batches: the gateway's if there is one, whichever arrived first.
+
+    The copies of a request carry the same time, so they lie in one day whatever their batch.
+    """
+    return dedup_telemetry(spark.read.parquet(path).drop("Batch", DAY_PARTITION))

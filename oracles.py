@@ -4,6 +4,10 @@ from __future__ import annotations
 
 ARM = "/subscriptions/sub-1/resourceGroups/rg-1/providers/Microsoft.CognitiveServices/accounts/OpenAI-"
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
+INSIDE = "TIMESTAMP '2024-01-24 12:00:00'"
+INSIDE_DAY = "TIMESTAMP '2024-01-24 00:00:00'"
+DAY_BEFORE = "TIMESTAMP '2024-01-23 12:00:00'"
+UNIT_COSTS = {"CostPerToken", "CostPerApiCall", "CostPerUnit", "avg_cost_per_token", "avg_cost_per_call"}
 
 CTES: dict[str, str] = {}
 NEEDS: dict[str, list[str]] = {}
@@ -24,13 +28,19 @@ def sql(needs: list[str], select: str) -> str:
 
     for name in needs:
         add(name)
-    parts = ",\n".join(f"{n} AS ({CTES[n]})" for n in order)
+    kept = {"kept_fact"}  # referred to twice and dear
+    parts = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in kept else ''}({CTES[n]})" for n in order)
     return f"WITH {parts}\n{select}"
 
 
 def r(expr: str, alias: str | None = None) -> str:
     # the nudge settles exact rounding ties alike, whatever the order of a sum
-    return f"round(CAST({expr} AS DOUBLE) + 3e-10, 6) AS {alias or expr}"
+    nudge, places = ("3e-13", 9) if (alias or expr).strip('"') in UNIT_COSTS else ("3e-10", 6)
+    return f"round(CAST({expr} AS DOUBLE) + {nudge}, {places}) AS {alias or expr}"
+
+
+def before(time: str, as_of: str, span: str) -> str:
+    return f"{time} >= {as_of} - INTERVAL {span} AND {time} < {as_of}"
 
 
 def big(expr: str, alias: str | None = None) -> str:
@@ -93,7 +103,7 @@ CATEGORY = """
 cte("cost", ["billing"], f"""
   SELECT UsageDate, date_trunc('hour', UsageDate) AS TimeWindow, Resource AS ResourceId, ResourceName,
     'rg-1' AS ResourceGroup, Meter AS MeterName, cost_seq, Currency, PreTaxCost AS Cost, UsageQuantity, {CATEGORY}
-  FROM billing""")
+  FROM billing WHERE ServiceName IN ('Azure OpenAI', 'Cognitive Services')""")
 
 cte("usage", ["calls"], """
   SELECT TimeWindow, ResourceId, deviceId AS DeviceId, storeNumber AS StoreNumber,
@@ -219,7 +229,7 @@ oracle("src_events_rejects", ["calls"], """
 oracle("src_traces", ["valid_events"], f"""
   SELECT TimeGenerated, RequestId, deviceId, storeNumber, ApiName, Method, Url, {big('StatusCode')},
     {r('ResponseTime')}, {big('nullif(TokensUsed, 0)', 'TokensUsed')}, ResourceId
-  FROM valid_events WHERE TimeGenerated >= {AS_OF} - INTERVAL 168 HOUR""")
+  FROM valid_events WHERE {before('TimeGenerated', INSIDE, '168 HOUR')}""")
 
 GATEWAY_IDS = """
     CASE WHEN user_id % 10 <> 0 AND user_id % 4 = 0 THEN deviceId ELSE 'unknown' END AS deviceId,
@@ -230,14 +240,15 @@ GATEWAY_URL = """
                 WHEN user_id % 10 <> 0 AND user_id % 4 = 3
                 THEN '?api-version=1&device_id=' || deviceId || '&store_number=' || storeNumber ELSE '' END"""
 GATEWAY_RESOURCE = f"CASE WHEN event_id % 2 = 1 THEN Url ELSE '{ARM}' || (user_id % 5) END"
-GATEWAY_WHERE = f"event_id % 7 <> 0 AND TimeGenerated >= {AS_OF} - INTERVAL 168 HOUR"
+GATEWAY_WHERE = "event_id % 7 <> 0"
+RECENT = before("TimeGenerated", INSIDE, "168 HOUR")
 
 oracle("src_gateway_logs", ["calls"], f"""
   SELECT TimeGenerated, RequestId, {GATEWAY_IDS}, 'model-api' AS ApiName, ApiName AS OperationName, Method,
     {GATEWAY_URL} AS Url, {big('StatusCode')}, {r('ResponseTime')}, {r('floor(ResponseTime / 2)', 'BackendTime')},
     CAST(1 AS DOUBLE) AS ClientTime, {big('k + 100', 'RequestSize')}, {big('TokensUsed + 200', 'ResponseSize')},
     {big('TokensUsed')}, {GATEWAY_RESOURCE} AS ResourceId, Url AS BackendUrl
-  FROM calls WHERE {GATEWAY_WHERE}""")
+  FROM calls WHERE {GATEWAY_WHERE} AND {RECENT}""")
 oracle("norm_gateway_record", ["calls"], f"""
   SELECT 'APIM' AS Source, TimeGenerated, RequestId, {GATEWAY_IDS}, 'model-api' AS ApiName, Method,
     {GATEWAY_URL} AS Url, {big('StatusCode')}, {r('ResponseTime')}, {big('TokensUsed')},
@@ -247,8 +258,8 @@ oracle("norm_gateway_record", ["calls"], f"""
 REQUEST_ROWS = f"""
     TimeGenerated, RequestId, deviceId, storeNumber, 'POST /OpenAI/' || ApiName AS ApiName, Method, Url,
     {big('StatusCode')}, {r('ResponseTime + 0.5', 'ResponseTime')}, {big('TokensUsed')}, ResourceId"""
-REQUEST_WHERE = f"event_id % 4 <> 0 AND TimeGenerated >= {AS_OF} - INTERVAL 168 HOUR"
-oracle("src_requests", ["calls"], f"SELECT {REQUEST_ROWS} FROM calls WHERE {REQUEST_WHERE}")
+REQUEST_WHERE = "event_id % 4 <> 0"
+oracle("src_requests", ["calls"], f"SELECT {REQUEST_ROWS} FROM calls WHERE {REQUEST_WHERE} AND {RECENT}")
 oracle("norm_request_record", ["calls"],
        f"SELECT 'ApplicationInsights' AS Source, {REQUEST_ROWS} FROM calls WHERE {REQUEST_WHERE}")
 
@@ -291,7 +302,7 @@ CLEAN = f"""
     {big('TokensUsed')}, ResourceId, deviceId || '_' || storeNumber AS DeviceStoreKey,
     {big('hour(TimeGenerated)', 'HourOfDay')}, dayname(TimeGenerated) AS DayOfWeek"""
 oracle("lookback_filter", ["calls"],
-       f"SELECT {CLEAN} FROM calls WHERE TimeGenerated >= {AS_OF} - INTERVAL 36 HOUR")
+       f"SELECT {CLEAN} FROM calls WHERE {before('TimeGenerated', INSIDE, '36 HOUR')}")
 oracle("preprocess_telemetry", ["calls"], f"SELECT {CLEAN}, TimeWindow FROM calls")
 oracle("preprocess_cost", ["cost"], f"""
   SELECT UsageDate, TimeWindow, ResourceId, MeterName, {r('Cost')}, {r('UsageQuantity')}, {r('CostPerUnit')} FROM cost""")
@@ -320,7 +331,7 @@ BILLING_ROWS = f"""SELECT {r('PreTaxCost')}, {r('UsageQuantity')}, UsageDate, Re
 oracle("filter_costs_by_resources", ["billing"],
        BILLING_ROWS + f" WHERE ResourceId IN ('{ARM}1', '{ARM}3')")
 oracle("filter_costs_by_resource_table", ["billing", "calls"],
-       BILLING_ROWS + " WHERE ResourceId IN (SELECT RawResource FROM calls WHERE event_type = 'error')")
+       BILLING_ROWS + " WHERE Resource IN (SELECT ResourceId FROM calls WHERE event_type = 'error' AND Region = 'region-1')")
 oracle("drop_empty_dims", ["valid_events"], """
   SELECT CAST(14 + CASE WHEN deviceId <> 'unknown' THEN 1 ELSE 0 END + CASE WHEN storeNumber <> 'unknown' THEN 1 ELSE 0 END
       + CASE WHEN TokensUsed <> 0 THEN 1 ELSE 0 END + CASE WHEN promptTokens <> 0 THEN 1 ELSE 0 END
@@ -343,7 +354,7 @@ oracle("add_period_columns", ["fact"], f"""
 oracle("incremental_range", ["fact"],
        ROW + " WHERE TimeWindow >= TIMESTAMP '2024-01-08' AND TimeWindow < TIMESTAMP '2024-01-15'")
 oracle("incremental_refresh", ["fact"],
-       ROW + f" WHERE TimeWindow >= {AS_OF} - INTERVAL 7 DAY AND TimeWindow < {AS_OF}")
+       ROW + f" WHERE {before('TimeWindow', INSIDE_DAY, '7 DAY')}")
 oracle("attribute_fallback", ["calls"], """
   SELECT RequestId AS CorrelationId, CASE WHEN user_id % 10 = 0 THEN 'unknown' ELSE deviceId END AS deviceId,
     CASE WHEN user_id % 10 = 0 THEN 'unknown' ELSE storeNumber END AS storeNumber FROM calls""")
@@ -386,6 +397,9 @@ def weighted(decay: str) -> str:
   wu AS (SELECT deviceId, storeNumber, sum(TokensUsed * {weight('TimeGenerated')}) AS WeightedTokens,
       count(*) * sum({weight('TimeGenerated')}) AS WeightedApiCalls, sum({weight('TimeGenerated')}) AS TotalWeight,
       max(TimeGenerated) AS LatestTime FROM calls GROUP BY ALL),
+  wr AS (SELECT deviceId, storeNumber, ResourceId, sum(TokensUsed * {weight('TimeGenerated')}) AS WeightedTokens,
+      count(*) * sum({weight('TimeGenerated')}) AS WeightedApiCalls, sum({weight('TimeGenerated')}) AS TotalWeight,
+      max(TimeGenerated) AS LatestTime FROM calls GROUP BY ALL),
   wc AS (SELECT ResourceId, sum(Cost * {weight('UsageDate')}) AS WeightedCost,
       sum(UsageQuantity * {weight('UsageDate')}) AS WeightedUsage, sum({weight('UsageDate')}) AS TotalWeight,
       max(UsageDate) AS LatestTime FROM cost GROUP BY ALL)"""
@@ -397,10 +411,10 @@ def with_weighted(decay: str, select: str) -> str:
 
 MERGED = f"""
   SELECT deviceId, storeNumber, {r('WeightedTokens')}, {r('WeightedApiCalls')},
-    {r('wu.TotalWeight', 'TotalWeight_telemetry')}, wu.LatestTime AS LatestTime_telemetry,
-    date_trunc('hour', wu.LatestTime) AS TimeWindow, ResourceId, {r('WeightedCost')}, {r('WeightedUsage')},
+    {r('wr.TotalWeight', 'TotalWeight_telemetry')}, wr.LatestTime AS LatestTime_telemetry,
+    date_trunc('hour', wr.LatestTime) AS TimeWindow, wr.ResourceId, {r('WeightedCost')}, {r('WeightedUsage')},
     {r('wc.TotalWeight', 'TotalWeight_cost')}, wc.LatestTime AS LatestTime_cost
-  FROM wu JOIN wc ON date_trunc('hour', wu.LatestTime) = date_trunc('hour', wc.LatestTime)"""
+  FROM wr JOIN wc ON wr.ResourceId = wc.ResourceId AND date_trunc('hour', wr.LatestTime) = date_trunc('hour', wc.LatestTime)"""
 ORACLES["weighted_merge"] = with_weighted("72.0", MERGED)
 ORACLES["time_weighted_correlation"] = with_weighted("2.0", MERGED)
 ORACLES["weighted_usage"] = with_weighted("72.0", f"""
@@ -455,15 +469,16 @@ oracle("score_accuracy", ["matched"], "\nUNION ALL\n".join(
     f"""SELECT '{m}' AS AllocationMethod, DeviceId = 'unknown' AS IsUnknownDevice, StoreNumber = 'unknown' AS IsUnknownStore,
     {r(f"CAST({b} AS DOUBLE) * (CASE WHEN DeviceId = 'unknown' THEN 0.7 ELSE 1 END) * (CASE WHEN StoreNumber = 'unknown' THEN 0.9 ELSE 1 END)", 'AllocationAccuracy')},
     count(*) AS n FROM matched GROUP BY 1, 2, 3, 4""" for m, b in BASE_ACCURACY.items()))
-oracle("reconcile_allocation", ["fact"], f"""
-  SELECT TimeWindow, ResourceId, MeterName, {r('o', 'OriginalCost')}, {r('a', 'AllocatedCost')},
-    {r('CASE WHEN o <> 0 THEN abs(o - a) / o END', 'Variance')}, abs(o - a) <= 0.01 * abs(o) AS IsValid
-  FROM (SELECT TimeWindow, ResourceId, MeterName, max(TotalCost) AS o, sum(AllocatedCost) AS a FROM fact GROUP BY ALL)""")
-oracle("reconcile_total", ["fact"], f"""
-  SELECT {r('o', 'OriginalCost')}, {r('a', 'AllocatedCost')}, {r('abs(o - a) / o', 'Variance')},
-    abs(o - a) <= 0.01 * abs(o) AS IsValid
-  FROM (SELECT sum(o) AS o, sum(a) AS a FROM
-    (SELECT TimeWindow, ResourceId, MeterName, max(TotalCost) AS o, sum(AllocatedCost) AS a FROM fact GROUP BY ALL))""")
+cte("reconciled", ["fact", "cost"], """
+  SELECT TimeWindow, ResourceId, MeterName, o, coalesce(a, 0) AS a, CASE WHEN a IS NULL THEN o ELSE 0 END AS u
+  FROM (SELECT TimeWindow, ResourceId, MeterName, sum(Cost) AS o FROM cost GROUP BY ALL)
+  LEFT JOIN (SELECT TimeWindow, ResourceId, MeterName, sum(AllocatedCost) AS a FROM fact GROUP BY ALL)
+    USING (TimeWindow, ResourceId, MeterName)""")
+RECONCILED = f"""{r('o', 'OriginalCost')}, {r('a', 'AllocatedCost')}, {r('u', 'UnallocatedCost')},
+    {r('CASE WHEN o <> 0 THEN abs(o - a) / o END', 'Variance')}, abs(o - a) <= 0.01 * abs(o) AS IsValid"""
+oracle("reconcile_allocation", ["reconciled"], f"SELECT TimeWindow, ResourceId, MeterName, {RECONCILED} FROM reconciled")
+oracle("reconcile_total", ["reconciled"],
+       f"SELECT {RECONCILED} FROM (SELECT sum(o) AS o, sum(a) AS a, sum(u) AS u FROM reconciled)")
 
 RULES = {
     "DeviceId present": "DeviceId IS NULL OR DeviceId = ''",
@@ -546,11 +561,11 @@ oracle("api_usage_analysis", ["calls"], f"""
   SELECT deviceId, storeNumber, ApiName, count(*) AS TotalCalls, {r('avg(ResponseTime)', 'AvgResponseTime')},
     {big('sum(TokensUsed)', 'TotalTokens')},
     {r('100.0 * count(*) FILTER (WHERE StatusCode < 400) / count(*)', 'SuccessRate')}
-  FROM calls WHERE TimeGenerated >= {AS_OF} - INTERVAL 1 DAY GROUP BY deviceId, storeNumber, ApiName""")
+  FROM calls WHERE {before('TimeGenerated', INSIDE, '1 DAY')} GROUP BY deviceId, storeNumber, ApiName""")
 oracle("cost_by_user_store_day", ["fact"], f"""
   SELECT DeviceId, StoreNumber, CAST(CAST(TimeWindow AS DATE) AS VARCHAR) AS "Date",
     {r('sum(AllocatedCost)', 'TotalAllocatedCost')}, {r('avg(AllocatedCost)', 'AvgDailyCost')}
-  FROM fact WHERE TimeWindow >= {AS_OF} - INTERVAL 7 DAY GROUP BY 1, 2, 3""")
+  FROM fact WHERE {before('TimeWindow', INSIDE, '7 DAY')} GROUP BY 1, 2, 3""")
 oracle("model_usage_hourly", ["fact"], f"""
   SELECT ModelFamily, TimeWindow AS HourStart, {r('sum(AllocatedCost)', 'TotalCost')},
     {big('sum(TokensUsed)', 'TotalTokens')}, count(DISTINCT DeviceId) AS UniqueDevices
@@ -558,7 +573,7 @@ oracle("model_usage_hourly", ["fact"], f"""
 oracle("resource_health", ["valid_events"], f"""
   SELECT count(*) AS TotalCalls, count(*) AS ValidResourceCalls, CAST(0 AS BIGINT) AS UnknownResourceCalls,
     CAST(100 AS DOUBLE) AS HealthScore, 'Healthy' AS Status
-  FROM valid_events WHERE TimeGenerated >= {AS_OF} - INTERVAL 24 HOUR AND ResourceId <> 'unknown'""")
+  FROM valid_events WHERE {before('TimeGenerated', INSIDE, '24 HOUR')} AND ResourceId <> 'unknown'""")
 oracle("resource_time_coverage", ["calls"], """
   SELECT RawResource AS ResourceId, count(*) AS Calls, min(TimeGenerated) AS MinTime, max(TimeGenerated) AS MaxTime
   FROM calls GROUP BY 1""")
@@ -597,10 +612,14 @@ oracle("model_cost_share", ["fact"], f"""
     {r('sum(AllocatedCost) / (SELECT sum(AllocatedCost) FROM fact)', 'CostShare')} FROM fact GROUP BY 1""")
 cte("monthly", ["shipped"], """
   SELECT CAST(date_trunc('month', UsageDate) AS DATE) AS m, sum(PreTaxCost) AS c FROM shipped GROUP BY 1""")
-cte("monthly_pairs", ["monthly"], """
+cte("all_months", ["monthly"], """
+  SELECT CAST(x.m AS DATE) AS m, coalesce(c, 0) AS c
+  FROM (SELECT unnest(generate_series(min(m), max(m), INTERVAL 1 MONTH)) AS m FROM monthly) x
+  LEFT JOIN monthly ON monthly.m = CAST(x.m AS DATE)""")
+cte("monthly_pairs", ["all_months"], """
   SELECT a.m, a.c, coalesce(b.c, 0) AS p,
-    (SELECT sum(x.c) FROM monthly x WHERE x.m <= a.m AND x.m >= a.m - INTERVAL 2 MONTH) AS three
-  FROM monthly a LEFT JOIN monthly b ON b.m = a.m - INTERVAL 1 MONTH""")
+    (SELECT sum(x.c) FROM all_months x WHERE x.m <= a.m AND x.m >= a.m - INTERVAL 2 MONTH) AS three
+  FROM all_months a LEFT JOIN all_months b ON b.m = a.m - INTERVAL 1 MONTH""")
 oracle("monthly_cost", ["monthly"], f'SELECT CAST(m AS VARCHAR) AS "Month", {r("c", "Cost")} FROM monthly')
 oracle("cost_vs_prev_month", ["monthly_pairs"], f"""
   SELECT CAST(m AS VARCHAR) AS "Month", {r('c', 'CurrentCost')}, {r('p', 'PreviousCost')}, {r('c - p', 'CostChange')}
@@ -613,10 +632,11 @@ oracle("trailing_30d_cost", ["shipped"], f"""
   SELECT CAST(d AS VARCHAR) AS "Date", {r('c', 'Cost')},
     {r('sum(c) OVER (ORDER BY d RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)', 'TrailingCost')}
   FROM (SELECT CAST(UsageDate AS DATE) AS d, sum(PreTaxCost) AS c FROM shipped GROUP BY 1)""")
-oracle("cost_anomaly_2sigma", ["fact"], f"""
+cte("kept_fact", ["fact"], "SELECT TimeWindow, ResourceId, MeterName, DeviceId, StoreNumber, AllocatedCost FROM fact")
+oracle("cost_anomaly_2sigma", ["kept_fact"], f"""
   SELECT {KEY}, {r('AllocatedCost')}, CASE WHEN AllocatedCost > mu + 2 * sd THEN 'High'
     WHEN AllocatedCost < mu - 2 * sd THEN 'Low' ELSE 'Normal' END AS CostAnomaly
-  FROM fact, (SELECT avg(AllocatedCost) AS mu, stddev_samp(AllocatedCost) AS sd FROM fact)""")
+  FROM kept_fact, (SELECT avg(AllocatedCost) AS mu, stddev_samp(AllocatedCost) AS sd FROM kept_fact)""")
 oracle("peak_hours", ["calls"], f"""
   SELECT deviceId, storeNumber, {big('h', '"Hour"')}, {big('t', 'TotalTokens')}, {r('q', 'Threshold')}
   FROM (SELECT *, quantile_cont(t, 0.8) OVER (PARTITION BY deviceId, storeNumber) AS q
@@ -706,7 +726,7 @@ def pattern_ctes(where: str) -> str:
   patterns AS (SELECT * FROM ph JOIN hq USING (deviceId, storeNumber) JOIN pk USING (deviceId, storeNumber)),
   recent AS (SELECT deviceId, storeNumber, CAST(sum(TokensUsed) AS DOUBLE) / count(DISTINCT TimeWindow) AS now_t,
       CAST(count(*) AS DOUBLE) / count(DISTINCT TimeWindow) AS now_c
-      FROM calls WHERE TimeGenerated >= TIMESTAMP '2024-01-29' GROUP BY ALL),
+      FROM calls WHERE {before('TimeGenerated', INSIDE, '1 DAY')} GROUP BY ALL),
   compared AS (SELECT *, abs(now_t - tph) / greatest(tph, 1) AS dt, abs(now_c - cph) / greatest(cph, 1) AS dc
       FROM recent JOIN patterns USING (deviceId, storeNumber))"""
 
@@ -715,10 +735,10 @@ def with_patterns(where: str, select: str) -> str:
     return sql(["calls"], "").rstrip() + ",\n" + pattern_ctes(where) + select
 
 
-WEEK_BEFORE = "TimeGenerated < TIMESTAMP '2024-01-29' AND TimeGenerated >= TIMESTAMP '2024-01-22'"
+WEEK_BEFORE = before("TimeGenerated", DAY_BEFORE, "7 DAY")
 PATTERN = f"""{r('tph', 'avg_tokens_per_hour')}, {r('cph', 'avg_api_calls_per_hour')}, peaks AS peak_hours,
     {r('consistency', 'usage_consistency_score')}, {r('eff', 'cost_efficiency_score')}"""
-ORACLES["device_usage_patterns"] = with_patterns(f"TimeGenerated >= {AS_OF} - INTERVAL 7 DAY", f"""
+ORACLES["device_usage_patterns"] = with_patterns(before("TimeGenerated", INSIDE, "7 DAY"), f"""
   SELECT deviceId AS device_id, storeNumber AS store_number, {PATTERN} FROM patterns""")
 ORACLES["pattern_lookup_join"] = with_patterns(WEEK_BEFORE, f"""
   SELECT deviceId AS device_id, storeNumber AS store_number, {r('now_t', 'current_tokens_per_hour')},
@@ -737,9 +757,9 @@ cte("models", ["fact"], """
     sum(AllocatedCost) / greatest(sum(TokensUsed), 1) AS cpt, sum(AllocatedCost) / greatest(sum(ApiCalls), 1) AS cpc,
     avg(AllocatedCost) AS hist
   FROM fact GROUP BY DeviceId, StoreNumber HAVING count(*) >= 5 AND min(AllocatedCost) < max(AllocatedCost)""")
-cte("current_usage", ["calls"], """
+cte("current_usage", ["calls"], f"""
   SELECT deviceId AS DeviceId, storeNumber AS StoreNumber, sum(TokensUsed) AS tokens, count(*) AS n_calls
-  FROM calls WHERE TimeGenerated >= TIMESTAMP '2024-01-29' GROUP BY ALL""")
+  FROM calls WHERE {before('TimeGenerated', INSIDE, '1 DAY')} GROUP BY ALL""")
 MODEL = f"""{big('n', 'data_points')}, {r('tc', 'token_coefficient')}, {r('cc', 'call_coefficient')},
     {r('cpt', 'avg_cost_per_token')}, {r('cpc', 'avg_cost_per_call')}, {r('hist', 'historical_avg')}"""
 oracle("device_cost_models", ["models"], f"SELECT DeviceId, StoreNumber, {MODEL} FROM models")
@@ -749,34 +769,43 @@ oracle("model_lookup_join", ["models", "current_usage"], f"""
 oracle("predict_cost", ["models", "current_usage"], f"""
   SELECT DeviceId, StoreNumber, {r('greatest(CASE WHEN tc > 0.5 THEN tokens * cpt WHEN cc > 0.5 THEN n_calls * cpc ELSE hist END, 0)', 'PredictedCost')}
   FROM current_usage JOIN models USING (DeviceId, StoreNumber)""")
-cte("pairs", ["fact"], """
+cte("series", ["fact"], "SELECT StoreNumber, DeviceId, TimeWindow, sum(AllocatedCost) AS c FROM fact GROUP BY ALL")
+cte("against", ["series"], """
   SELECT * FROM (
-    SELECT a.StoreNumber, a.DeviceId AS Device1, b.DeviceId AS Device2, count(*) AS n,
-      CASE WHEN min(a.c) < max(a.c) AND min(b.c) < max(b.c) THEN corr(a.c, b.c) END AS x
-    FROM (SELECT StoreNumber, DeviceId, TimeWindow, sum(AllocatedCost) AS c FROM fact GROUP BY ALL) a
-    JOIN (SELECT StoreNumber, DeviceId, TimeWindow, sum(AllocatedCost) AS c FROM fact GROUP BY ALL) b
-      ON a.StoreNumber = b.StoreNumber AND a.TimeWindow = b.TimeWindow AND a.DeviceId < b.DeviceId
+    SELECT StoreNumber, DeviceId, count(*) AS n, CASE WHEN min(c) < max(c) AND min(o) < max(o) THEN corr(c, o) END AS x
+    FROM (SELECT StoreNumber, DeviceId, round(a.c, 9) AS c, round(t.c - a.c, 9) AS o FROM series a
+          JOIN (SELECT StoreNumber, TimeWindow, sum(c) AS c, count(*) AS n FROM series GROUP BY ALL) t
+            USING (StoreNumber, TimeWindow) WHERE t.n > 1)
     GROUP BY ALL) WHERE n >= 2 AND abs(x) > 0.7""")
-oracle("device_pair_join", ["pairs"], f"""
-  SELECT StoreNumber, Device1, Device2, n AS CommonWindows, {r('x', 'Correlation')} FROM pairs""")
-oracle("device_spillover", ["pairs", "fact"], f"""
-  SELECT StoreNumber, Device1, Device2, n AS CommonWindows, {r('x', 'Correlation')},
+oracle("device_pair_join", ["against"], f"""
+  SELECT StoreNumber, DeviceId, n AS CommonWindows, {r('x', 'Correlation')} FROM against""")
+oracle("device_spillover", ["against", "series"], f"""
+  SELECT StoreNumber, DeviceId, n AS CommonWindows, {r('x', 'Correlation')},
     CASE WHEN x > 0 THEN 'positive' ELSE 'negative' END AS Relationship, device_count,
     {r('total_store_cost')}, {r('total_store_cost / device_count', 'avg_device_cost')}
-  FROM pairs JOIN (SELECT StoreNumber, count(DISTINCT DeviceId) AS device_count, sum(AllocatedCost) AS total_store_cost
-                   FROM fact GROUP BY 1) USING (StoreNumber)""")
-oracle("recommend_allocation", ["calls"], f"""
+  FROM against JOIN (SELECT StoreNumber, count(DISTINCT DeviceId) AS device_count, sum(c) AS total_store_cost
+                   FROM series GROUP BY 1) USING (StoreNumber)""")
+cte("figures", ["calls"], """
+  SELECT count(*) AS n, count(DISTINCT deviceId) AS u, avg(CASE WHEN deviceId = 'unknown' THEN 1.0 ELSE 0.0 END) AS unk,
+      avg(TokensUsed) AS m, var_samp(TokensUsed) / greatest(avg(TokensUsed), 1) AS ts,
+      (SELECT var_samp(x) / greatest(avg(x), 1) FROM
+        (SELECT count(*) AS x FROM calls GROUP BY deviceId, storeNumber)) AS cs FROM calls""")
+
+
+def recommendation(billed: str) -> str:
+    return f"""
   SELECT n AS records, u AS unique_devices, {r('unk', 'unknown_device_ratio')}, {r('m', 'token_mean')},
-    {r('ts', 'token_spread')}, {r('cs', 'call_spread')},
-    CASE WHEN unk > 0.5 THEN 'equal' WHEN ts > 2 AND m > 0 THEN 'token-based' WHEN cs > 1.5 THEN 'usage-based'
+    {r('ts', 'token_spread')}, {r('cs', 'call_spread')}, {big(billed, 'billed_lines')},
+    CASE WHEN {billed} = 0 THEN 'equal' WHEN unk > 0.5 THEN 'equal' WHEN ts > 2 AND m > 0 THEN 'token-based' WHEN cs > 1.5 THEN 'usage-based'
          ELSE 'proportional' END AS recommended_method,
-    CASE WHEN unk > 0.5 THEN 'most calls name no device' WHEN ts > 2 AND m > 0 THEN 'tokens vary much between calls'
+    CASE WHEN {billed} = 0 THEN 'no cost to split' WHEN unk > 0.5 THEN 'most calls name no device' WHEN ts > 2 AND m > 0 THEN 'tokens vary much between calls'
          WHEN cs > 1.5 THEN 'calls vary much between devices' WHEN u > 10 THEN 'many devices of moderate variance'
          ELSE 'usage is balanced' END AS reason
-  FROM (SELECT count(*) AS n, count(DISTINCT deviceId) AS u, avg(CASE WHEN deviceId = 'unknown' THEN 1.0 ELSE 0.0 END) AS unk,
-      avg(TokensUsed) AS m, var_samp(TokensUsed) / greatest(avg(TokensUsed), 1) AS ts,
-      (SELECT var_samp(x) / greatest(avg(x), 1) FROM
-        (SELECT count(*) AS x FROM calls GROUP BY deviceId, storeNumber)) AS cs FROM calls)""")
+  FROM figures"""
+
+
+oracle("recommend_allocation", ["figures", "cost"], recommendation("(SELECT count(*) FROM cost)"))
+oracle("recommend_allocation_no_cost", ["figures", "cost"], recommendation("(SELECT count(*) FROM cost WHERE Cost < 0)"))
 
 # Sinks --------------------------------------------------------------------
 
@@ -786,6 +815,14 @@ oracle("write_fact", ["fact"], "\nUNION ALL\n".join(
 oracle("write_raw", ["calls", "billing"], f"""
   SELECT 'telemetry' AS kind, count(*) AS n, {r('sum(TokensUsed)', 'amount')} FROM calls
   UNION ALL SELECT 'cost', count(*), round(sum(PreTaxCost) + 3e-10, 6) FROM billing""")
+oracle("storage_metrics", ["fact"], """
+  SELECT TableName, CAST(3 AS BIGINT) AS Days, runs AS Runs, CAST(runs * n AS BIGINT) AS "Rows", CAST(2 AS BIGINT) AS ExpiredDays
+  FROM (VALUES ('parquet', CAST(4 AS BIGINT)), ('json', 4), ('csv', 4), ('total', 12)) t(TableName, runs),
+    (SELECT count(*) AS n FROM fact)""")
+oracle("retention_report", ["fact"], """
+  SELECT TableName, "Date", CAST(1 AS BIGINT) AS RunsToDelete, n AS RowsToFree
+  FROM (VALUES ('parquet'), ('json'), ('csv')) t(TableName), (VALUES ('2024-01-31'), ('2024-02-01')) d("Date"),
+    (SELECT count(*) AS n FROM fact)""")
 ORACLES["list_partitions"] = "SELECT '2024/01/31' AS \"Partition\", '2024-01-31' AS \"Date\""
 
 # Streams ------------------------------------------------------------------
@@ -802,16 +839,14 @@ oracle("stream_batch_counts", ["calls"], """
   SELECT count(*) AS batch_size, count(*) FILTER (WHERE event_id % 50 NOT IN (0, 1, 2)) AS processed_count,
     count(*) FILTER (WHERE event_id % 50 IN (0, 1, 2)) AS error_count FROM calls""")
 for _name in ("stream_usage_window", "stream_dedup_usage_window"):
-    oracle(_name, ["usage", "calls"], f"""
-  SELECT {USAGE_ROWS} FROM usage
-  WHERE TimeWindow + INTERVAL 1 HOUR <= (SELECT date_trunc('milliseconds', max(TimeGenerated)) - INTERVAL 2 HOUR FROM calls)""")
-oracle("stream_dedup", ["calls"], f"SELECT {SOURCE_COLUMNS} FROM calls")
+    oracle(_name, ["usage"], f"SELECT {USAGE_ROWS} FROM usage")
+ORACLES["stream_dedup"] = ORACLES["dedup_telemetry"]
 cte("run_usage", ["calls"], f"""
   SELECT TimeWindow, ResourceId, deviceId, storeNumber, CAST(sum(TokensUsed) AS BIGINT) AS tok
-  FROM calls WHERE TimeGenerated >= {AS_OF} - INTERVAL 72 HOUR GROUP BY ALL""")
+  FROM calls WHERE {before('TimeGenerated', INSIDE, '72 HOUR')} GROUP BY ALL""")
 ORACLES["scheduled_run"] = sql(["run_usage", "cost"], "").rstrip() + f""",
-  run_cost AS (SELECT * FROM cost WHERE UsageDate >= {AS_OF} - INTERVAL 72 HOUR AND cost_seq <= 6),
+  run_cost AS (SELECT * FROM cost WHERE {before('UsageDate', INSIDE, '72 HOUR')}),
   run_totals AS (SELECT TimeWindow, ResourceId, CAST(sum(tok) AS BIGINT) AS total, count(*) AS n FROM run_usage GROUP BY ALL),
   run_fact AS (SELECT (CASE WHEN total > 0 THEN tok / total ELSE {ONE} / n END) * Cost AS AllocatedCost
     FROM run_usage JOIN run_totals USING (TimeWindow, ResourceId) JOIN run_cost USING (TimeWindow, ResourceId))
-  """ + run_stats(f"WHERE TimeGenerated >= {AS_OF} - INTERVAL 72 HOUR", "").replace("FROM cost", "FROM run_cost")
+  """ + run_stats(f"WHERE {before('TimeGenerated', INSIDE, '72 HOUR')}", "").replace("FROM cost", "FROM run_cost")

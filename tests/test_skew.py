@@ -1,14 +1,13 @@
-"""Salted joins, distributed ranking and tiled pairs against brute force."""
+"""Salted joins, distributed ranking and device comparisons against brute force."""
 
-import itertools
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from costalloc.operators.advanced import device_pair_join
 from costalloc.operators.measures import cost_vs_prev_month, trailing_30d_cost
-from costalloc.operators.pairs import correlated_pairs
 from costalloc.operators.skew import add_global_rank, salted_join
 
 
@@ -48,25 +47,7 @@ def test_global_rank(spark, values):
     assert got == {i: first[v] for i, v in enumerate(values)}
 
 
-def _brute_force(series, threshold):
-    stores = {}
-    for store, device, window, cost in series:
-        stores.setdefault(store, {}).setdefault(device, {})[window] = cost
-    found = {}
-    for store, devices in stores.items():
-        for a, b in itertools.combinations(sorted(devices), 2):
-            common = sorted(set(devices[a]) & set(devices[b]))
-            x, y = [devices[a][w] for w in common], [devices[b][w] for w in common]
-            if len(common) < 2 or len(set(x)) == 1 or len(set(y)) == 1:
-                continue
-            r = np.corrcoef(x, y)[0, 1]
-            if abs(r) > threshold:
-                found[store, a, b] = (len(common), round(float(r), 9))
-    return found
-
-
-@pytest.mark.parametrize("block", [3, 256])
-def test_tiled_pairs(spark, block):
+def test_devices_against_the_rest_of_their_store(spark):
     rng = random.Random(5)
     series = []
     for store, n in (("hot", 25), ("cold", 3), ("single", 1)):
@@ -75,22 +56,32 @@ def test_tiled_pairs(spark, block):
                 # some constant series, some large offsets, some few common windows
                 cost = 7.5 if d % 6 == 0 else (1e6 * (d % 3) + rng.choice([0.0, 0.25, rng.random()]))
                 series.append((store, f"d{d}", w, cost))
-    rows = spark.createDataFrame(series, "StoreNumber string, DeviceId string, TimeWindow int, Cost double")
-    got = {
-        (r.StoreNumber, r.Device1, r.Device2): (r.CommonWindows, round(r.Correlation, 9))
-        for r in correlated_pairs(rows, 0.7, block).collect()
-    }
-    want = _brute_force(series, 0.7)
+    want = {}
+    for store in {s for s, *_ in series}:
+        own = [x for x in series if x[0] == store]
+        for device in {d for _, d, *_ in own}:
+            pairs = []
+            for _, d, w, cost in own:
+                rest = [c for _, e, v, c in own if v == w and e != device]
+                if d == device and rest:
+                    pairs.append((round(cost, 9), round(sum(c for _, _, v, c in own if v == w) - cost, 9)))
+            x, y = zip(*pairs, strict=True) if pairs else ((), ())
+            if len(pairs) >= 2 and len(set(x)) > 1 and len(set(y)) > 1:
+                r = float(np.corrcoef(x, y)[0, 1])
+                if abs(r) > 0.3:
+                    want[store, device] = (len(pairs), r)
+    rows = spark.createDataFrame(series, "StoreNumber string, DeviceId string, TimeWindow int, AllocatedCost double")
+    got = {(r.StoreNumber, r.DeviceId): (r.CommonWindows, r.Correlation) for r in device_pair_join(rows, 0.3).collect()}
     assert got.keys() == want.keys() and want
-    for pair, (n, r) in want.items():
-        assert got[pair][0] == n and got[pair][1] == pytest.approx(r, abs=1e-6)
+    for device, (n, r) in want.items():
+        assert got[device][0] == n and got[device][1] == pytest.approx(r, abs=1e-5)
 
 
 def test_missing_month_counts_as_zero(spark):
     rows = spark.createDataFrame([("2024-01-01", 5.0), ("2024-03-01", 7.0)], "m string, Cost double").select(
         F.to_date("m").alias("Month"), "Cost")
     got = [(str(r.Month), r.CostChange) for r in cost_vs_prev_month(rows).orderBy("Month").collect()]
-    assert got == [("2024-01-01", 5.0), ("2024-03-01", 7.0)]
+    assert got == [("2024-01-01", 5.0), ("2024-02-01", -5.0), ("2024-03-01", 7.0)]
 
 
 def test_trailing_window_ends(spark):

@@ -32,13 +32,18 @@ def test_runs_replace_themselves_and_the_newest_wins(spark, small):
     sinks.write_fact(fact, base, AS_OF)
     sinks.write_fact(fact, base, AS_OF)
     later = AS_OF + dt.timedelta(hours=1)
-    sinks.write_fact(_fact(spark, small, later).limit(7), base, later)
+    again = _fact(spark, small, later).where("TimeWindow >= TIMESTAMP '2024-01-20'")
+    sinks.write_fact(again.withColumn("AllocatedCost", F.lit(1.0)), base, later)
+    m = again.count()
     for file_format in store.FORMATS:
-        assert store.read_stored_fact(spark, base, file_format).count() == n + 7
+        assert store.read_stored_fact(spark, base, file_format).count() == n + m
         newest = store.read_partition(spark, base, AS_OF.date(), file_format)
-        assert newest.count() == 7
+        assert newest.count() == m
         assert newest.schema.simpleString() == fact.schema.simpleString()
-    assert store.combine_files(spark, base).count() == n + 7
+    # overlapping runs: the newer one counts where both have a window
+    combined = store.combine_files(spark, base)
+    assert combined.count() == n
+    assert combined.where("TimeWindow >= TIMESTAMP '2024-01-20' AND AllocatedCost = 1.0").count() == m
     assert [r.Partition for r in store.list_partitions(spark, base).collect()] == ["2024/01/31"]
     assert store.list_partitions(spark, base, start=dt.date(2024, 2, 1)).count() == 0
     assert store.list_partitions(spark, base, end=dt.date(2024, 1, 31)).count() == 1
@@ -56,13 +61,12 @@ def test_formats_hold_the_same_values(spark, small):
 def test_metrics_and_retention(spark, small):
     base = run_dir(spark, "t")
     sinks.write_fact(_fact(spark, small), base, AS_OF)
-    tables = {f: f"{base}/{f}" for f in store.FORMATS}
-    metrics = {r.TableName: r for r in sinks.storage_metrics(spark, tables).collect()}
+    metrics = {r.TableName: r for r in sinks.storage_metrics(spark, base, AS_OF).collect()}
     assert set(metrics) == {*store.FORMATS, "total"}
-    assert metrics["total"].SizeBytes == sum(metrics[f].SizeBytes for f in store.FORMATS)
+    assert metrics["total"].Rows == sum(metrics[f].Rows for f in store.FORMATS) > 0
     later = AS_OF + dt.timedelta(days=91)
-    assert sinks.retention_report(spark, tables, later).count() == 3
-    assert sinks.retention_report(spark, tables, AS_OF + dt.timedelta(days=90)).count() == 0
+    assert sinks.retention_report(spark, base, later).count() == 3
+    assert sinks.retention_report(spark, base, AS_OF + dt.timedelta(days=90)).count() == 0
     assert len(sinks.delete_expired_partitions(spark, base, later)) == 3
     assert store.list_partitions(spark, base).count() == 1
     sinks.delete_expired_partitions(spark, base, later, really=True)
@@ -110,18 +114,34 @@ def _event_stream(spark, small):
     return spark.readStream.schema(EVENTS_TABLE).parquet(f"{small}/[e]vents.parquet")
 
 
-def test_stream_windows_equal_closed_batch_windows(spark, small):
+def test_stream_windows_equal_batch_windows_whatever_is_late(spark, small):
+    """Batches in any order of time, one of them delivered twice: open windows and late rows are all there."""
     path = run_dir(spark, "t")
-    stream = usage.stream_usage_window(tt.telemetry_of(_event_stream(spark, small)))
-    stream.writeStream.format("parquet").option("path", f"{path}/o").option(
-        "checkpointLocation", f"{path}/c").trigger(availableNow=True).start().awaitTermination()
-    newest = tt.telemetry(spark, small).agg(F.max("TimeGenerated")).first()[0]
-    batch = windowed_usage(tt.telemetry(spark, small)).where(
-        F.col("TimeWindow") + F.expr("INTERVAL 1 HOUR") <= F.lit(newest - dt.timedelta(hours=2)))
-    got = spark.read.parquet(f"{path}/o").select(batch.columns)
+    rows = tt.telemetry(spark, small)
+    rows.repartition(5, "RequestId").write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    usage.start_stream_usage(stream, f"{path}/o", f"{path}/c").awaitTermination()
+    partial = usage.partial_usage(rows.where("RequestId IS NULL"))
+    assert partial.count() == 0
+    batch = windowed_usage(rows).withColumn("AvgResponseTime", F.round("AvgResponseTime", 6))
+    got = usage.read_stream_usage(spark, f"{path}/o").withColumn("AvgResponseTime", F.round("AvgResponseTime", 6))
+    got = got.select(batch.columns)
     assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
 
 
+def test_gateway_wins_in_the_stream(spark, small):
+    """The request log arrives first; the gateway's copies come in later batches."""
+    path = run_dir(spark, "t")
+    union = dedup.union_telemetry(*tt.telemetry_sources(spark, small))
+    union.where("Source = 'ApplicationInsights'").coalesce(1).write.parquet(f"{path}/in")
+    union.where("Source = 'APIM'").coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = spark.readStream.schema(union.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    usage.start_stream_dedup(stream, f"{path}/o", f"{path}/c").awaitTermination()
+    got = usage.read_stream_dedup(spark, f"{path}/o")
+    want = dedup.dedup_telemetry(union)
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
 def test_router_restarts_without_doubles(spark, small):
     path = run_dir(spark, "t")
     bodies = tt.raw_event_bodies(_event_stream(spark, small)).select("value")
@@ -152,3 +172,29 @@ def test_late_cost_arrives_in_pieces(spark, small):
     key = ["TimeWindow", "ResourceId", "MeterName", "DeviceId", "StoreNumber", F.round("AllocatedCost", 9)]
     got = late_cost.read_late_fact(spark, f"{path}/fact").select(key)
     assert sorted(got.collect()) == sorted(_fact(spark, small).select(key).collect())
+
+
+def test_redelivered_and_restated_cost(spark, small):
+    """The same bills twice, then one meter restated: only the newest amounts count."""
+    path = run_dir(spark, "t")
+    late_cost.write_usage(windowed_usage(tt.telemetry(spark, small)), f"{path}/usage")
+    bills = tt.billing(spark, small)
+    restated = bills.withColumn("PreTaxCost", F.when(F.col("cost_seq") == 1, 0.0).otherwise(F.col("PreTaxCost")))
+    for rows in (bills, bills, restated):
+        rows.coalesce(1).write.mode("append").parquet(f"{path}/billing")
+    stream = spark.readStream.schema(bills.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/billing")
+    late_cost.start_late_cost(
+        stream, f"{path}/usage", f"{path}/cost", f"{path}/fact", f"{path}/c", AS_OF).awaitTermination()
+    key = ["TimeWindow", "ResourceId", "MeterName", "DeviceId", "StoreNumber", F.round("AllocatedCost", 9)]
+    got = late_cost.read_late_fact(spark, f"{path}/fact").select(key)
+    want = correlated_fact(tt.telemetry(spark, small), restated, AS_OF).select(key)
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_a_past_run_does_not_see_later_rows(spark, small):
+    moment = dt.datetime(2024, 1, 20, 6)
+    calls, bills = tt.telemetry(spark, small), tt.billing(spark, small)
+    whole = run_once(spark, calls, bills, moment, run_dir(spark, "t"), lookback_hours=48).collect()
+    known = calls.where(F.col("TimeGenerated") < F.lit(moment)), bills.where(F.col("UsageDate") < F.lit(moment))
+    assert run_once(spark, *known, moment, run_dir(spark, "t"), lookback_hours=48).collect() == whole
+    assert whole[0].records > 0

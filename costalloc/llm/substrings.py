@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from costalloc.llm.common import U, Words, block_of, buffers, fmix, n_blocks, slices, whole_groups, windows
 
-SIZE, ANCHOR = 13, 5
+SIZE, ANCHOR = 13, 4
 HOT = 20_000  # documents beyond which an anchor is replaced by the runs around it
 SHARD = 30_000  # words in an automaton, more only if one anchor's pieces need it
 NONE = (1 << 63) - 1  # no document
@@ -72,9 +72,9 @@ class Runs:
         """The document of each piece."""
         return self.words.doc[self.start]
 
-    def pieces(self, shared: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(key, content hash, first run, last run) of the pieces of shared anchors; those of hot ones run by run."""
-        held = _among(self.anchor, shared)
+    def pieces(self, hot: np.ndarray, shared: np.ndarray | None = None) -> tuple:
+        """(key, content hash, first run, last run) of the pieces of shared (or all) anchors; of hot ones run by run."""
+        held = np.ones(len(self.anchor), bool) if shared is None else _among(self.anchor, shared)
         crowded = held & _among(self.anchor, hot)
         plain = held & ~crowded
         start, end, key = self.start[plain], self.end[plain], self.anchor[plain]
@@ -212,7 +212,7 @@ def first_documents(rows: list[tuple], size: int) -> list[bytes]:
 
 SEEN = "anchor bigint, block int, n_docs bigint, first_doc bigint"
 SHARED = "block int, anchor bigint, hot boolean"
-PIECE = "key bigint, content bigint, block int, doc_id bigint, piece binary"
+PIECE = "key bigint, content bigint, block int, doc_id bigint, several boolean, piece binary"
 FIRST = "block int, content bigint, first_docs binary"
 
 
@@ -273,25 +273,25 @@ def _shared(hot: int):
     return run
 
 
-def _told(shared: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    anchors = shared["anchor"].to_numpy().view(U)
-    return np.sort(anchors), np.sort(anchors[shared["hot"].to_numpy()])
-
-
 def _cut(size: int, anchor: int):
-    """Block and its shared anchors: each different piece once, with its smallest document."""
+    """Block and its shared anchors: each different piece once, with its smallest document, and whether it has more."""
 
     def run(key, rows, shared):
-        wanted, hot = _told(shared)
+        wanted = shared["anchor"].to_numpy().view(U)
+        hot = np.sort(wanted[shared["hot"].to_numpy()])
+        wanted = np.sort(wanted)
         ids, named = _ids(rows["doc_id"])
-        keys, contents, docs, texts = [], [], [], []
+        keys, contents, docs, more, texts = [], [], [], [], []
         for i, _, words in _parts(rows["text"]) if len(wanted) else ():
             runs = Runs(words, size, anchor)
-            k, content, start, end = runs.pieces(wanted, hot)
+            k, content, start, end = runs.pieces(hot, wanted)
             row = words.doc[start] + i
             order = np.lexsort((ids[row], content))
             order = order[named[row][order]]
-            order = order[np.concatenate([[True], content[order][1:] != content[order][:-1]])[: len(order)]]
+            new = np.concatenate([[True], content[order][1:] != content[order][:-1]])[: len(order)]
+            last = ids[row[order]][np.concatenate([np.flatnonzero(new)[1:], [len(order)]]) - 1] if len(order) else ids[:0]
+            order = order[new]
+            more.append(last > ids[row[order]])
             keys.append(k[order])
             contents.append(content[order])
             docs.append(ids[row[order]])
@@ -299,9 +299,9 @@ def _cut(size: int, anchor: int):
             low, high = words.starts[start[order]], words.ends[end[order] + size - 1]
             texts += [data[s:e] for s, e in zip(low.tolist(), high.tolist(), strict=True)]
         if not keys:
-            return _arrow(PIECE, [], [], [], [], [])
+            return _arrow(PIECE, [], [], [], [], [], [])
         k, content = np.concatenate(keys).view(np.int64), np.concatenate(contents).view(np.int64)
-        return _arrow(PIECE, k, content, np.full(len(k), key[0].as_py(), np.int32), np.concatenate(docs), texts)
+        return _arrow(PIECE, k, content, np.full(len(k), key[0].as_py(), np.int32), np.concatenate(docs), np.concatenate(more), texts)
 
     return run
 
@@ -309,18 +309,19 @@ def _cut(size: int, anchor: int):
 def _match(size: int):
     """Pieces sorted by key: automata of whole keys, about SHARD words each, and what streaming the pieces tells."""
 
-    def flush(keys, contents, blocks, docs, texts) -> pa.Table:
+    def flush(keys, contents, blocks, docs, several, texts) -> pa.Table:
         rows = [((k, c), t, d) for k, c, t, d in zip(keys, contents, texts, docs, strict=True)]
         found = first_documents(rows, size)
-        # nothing to remove where no run occurs in a smaller document than the block's own
-        told = [i for i, f in enumerate(found) if f]
+        # a block need not hear of a piece that only one of its documents has, and that one first
+        own = [d.to_bytes(8, "little", signed=True) for d in docs]
+        told = [i for i, f in enumerate(found) if several[i] or f != own[i] * (len(f) // 8)]
         return _arrow(FIRST, [blocks[i] for i in told], [contents[i] for i in told], [found[i] for i in told])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, 5_000):
             columns = [c.to_pylist() for c in rows.columns]
             begin = total = 0
-            keys, texts = columns[0], columns[4]
+            keys, texts = columns[0], columns[5]
             for i in range(len(keys)):
                 total += len(texts[i]) // 6
                 if i + 1 == len(keys) or total >= SHARD and keys[i + 1] != keys[i]:
@@ -331,14 +332,14 @@ def _match(size: int):
 
 
 def covered_words(words: Words, first_row: int, ids: np.ndarray, named: np.ndarray, size: int, anchor: int,
-                  shared: tuple, found: tuple) -> np.ndarray:
+                  hot: np.ndarray, found: tuple) -> np.ndarray:
     """Whether each word is in a run that a smaller document has."""
     n = len(words.starts)
     contents, begins, counts, firsts = found
     if not len(contents) or not n:
         return np.zeros(n, bool)
     runs = Runs(words, size, anchor)
-    _, content, start, end = runs.pieces(*shared)
+    _, content, start, end = runs.pieces(hot)
     known = _among(content, contents)
     content, start, end = content[known], start[known], end[known]
     at = np.searchsorted(contents, content)
@@ -374,17 +375,17 @@ KEPT = "n_words bigint, n_removed bigint"
 
 
 def _remove(size: int, anchor: int, columns: list[str], digest: bool):
-    """Block, and both its shared anchors and what the automata told: the documents without repeated words."""
+    """Block, what the automata told and the block's hot anchors: the documents without repeated words."""
 
     def run(rows: pa.Table, told: pa.Table) -> pa.Table:
         split = told["first_docs"].is_valid()
         first = told.filter(split)
-        shared = _told(told.filter(pc.invert(split)))
+        hot = np.sort(told.filter(pc.invert(split))["content"].to_numpy().view(U))
         found = _found(first)
         ids, named = _ids(rows["doc_id"])
         n_words, n_removed, texts = [], [], []
         for i, j, words in _parts(rows["text"]):
-            gone = covered_words(words, i, ids, named, size, anchor, shared, found)
+            gone = covered_words(words, i, ids, named, size, anchor, hot, found)
             n_words += words.counts.tolist()
             removed = np.bincount(words.doc[gone], minlength=words.n_docs).tolist()
             n_removed += removed
@@ -440,10 +441,8 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, digest: bool = False, anch
     shared = dealt.mapInArrow(_shared(hot), SHARED)
     pieces = grouped.cogroup(shared.groupBy("block")).applyInArrow(_cut(size, anchor), PIECE)
     firsts = pieces.repartition("key").sortWithinPartitions("key").mapInArrow(_match(size), FIRST)
-    told = firsts.select("block", "content", "first_docs", F.lit(None).cast("bigint").alias("anchor"), F.lit(False).alias("hot"))
-    told = told.unionByName(
-        shared.select("block", F.lit(None).cast("bigint").alias("content"), F.lit(None).cast("binary").alias("first_docs"), "anchor", "hot")
-    )
+    crowded = shared.where("hot").select("block", F.col("anchor").alias("content"), F.lit(None).cast("binary").alias("first_docs"))
+    told = firsts.unionByName(crowded)
     inner = [names[c] for c in columns]
     act = _remove(size, anchor, inner, digest)
 

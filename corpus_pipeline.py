@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costalloc.llm import decontam, packing, quality, simhash, substrings
-from costalloc.llm.common import materialize, table
+from costalloc.llm.common import materialize, ship, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -53,6 +53,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to the table documents; each stage's rows are written and read again."""
+    ship(spark)
     rows = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         rows = materialize(stage(spark, rows, sf_dir), name.replace(" ", "-"))

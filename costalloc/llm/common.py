@@ -6,13 +6,19 @@ handled as numpy arrays over a whole Arrow batch: positions, document numbers an
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+import zlib
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import costalloc
 from costalloc.session import run_dir
 
 U = np.uint64
@@ -186,7 +192,7 @@ def added_up(rows: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.nda
     step = ADDED_SEGMENT
 
     def segments(numbers: np.ndarray, which: list[int]) -> pa.RecordBatch:
-        data = [numbers[s * step : (s + 1) * step].astype("<i8").tobytes() for s in which]
+        data = [zlib.compress(numbers[s * step : (s + 1) * step].astype("<i8").tobytes(), 1) for s in which]
         return pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(data, pa.binary())], names=["segment", "numbers"])
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,13 +203,13 @@ def added_up(rows: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.nda
         numbers, seen = np.zeros(size, np.int64), set()
         for batch in batches:
             for s, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                numbers[s * step : (s + 1) * step] += np.frombuffer(data, "<i8")
+                numbers[s * step : (s + 1) * step] += np.frombuffer(zlib.decompress(data), "<i8")
                 seen.add(s)
         yield segments(numbers, sorted(seen))
 
     out = np.zeros(size, np.int64)
     for row in rows.mapInArrow(one, ADDED).repartition("segment").mapInArrow(add, ADDED).collect():
-        out[row.segment * step : (row.segment + 1) * step] = np.frombuffer(row.numbers, "<i8")
+        out[row.segment * step : (row.segment + 1) * step] = np.frombuffer(zlib.decompress(row.numbers), "<i8")
     return out
 
 
@@ -234,3 +240,24 @@ def semi_join(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the workers of this session import the package, wherever they run.
+
+    Adds it to the session's Python files once, unless the workers find it on PYTHONPATH.
+    """
+    context = spark.sparkContext
+    root = Path(costalloc.__file__).resolve().parent
+    on_path = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root.parent in on_path or context.applicationId in _shipped:
+        return
+    bundle = Path(tempfile.mkdtemp(prefix="costalloc-code-")) / "costalloc.zip"
+    with zipfile.ZipFile(bundle, "w") as out:
+        for file in root.rglob("*.py"):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(bundle))
+    _shipped.add(context.applicationId)

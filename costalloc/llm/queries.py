@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from costalloc.llm import chat, decontam, extract, mixing, packing, quality, simhash, substrings, urls, warc
-from costalloc.llm.common import table
+from costalloc.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,18 +63,41 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_lm_scoring, op3_benchmark_decontamination, op4_url_filters, op5_substring_dedup, op6_simhash_near_dedup, op7_warc_packages, op8_hilbert_packing, op9_chat_formatting, op10_html_extraction)}
+def _shipped(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+OPERATORS = [
+    op1_quality_rules,
+    op2_lm_scoring,
+    op3_benchmark_decontamination,
+    op4_url_filters,
+    op5_substring_dedup,
+    op6_simhash_near_dedup,
+    op7_warc_packages,
+    op8_hilbert_packing,
+    op9_chat_formatting,
+    op10_html_extraction,
+]
+QUERIES: dict[str, Query] = {f.__name__: _shipped(f) for f in OPERATORS}
 ORACLES: dict[str, str] = {
     "op5_substring_dedup": r"""
 WITH d AS (
     SELECT doc_id, [w FOR w IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF w <> ''] AS words FROM documents),
-runs AS (SELECT doc_id, i, words[i : i + 12] AS run FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM d)),
-first AS (SELECT run, min(doc_id) AS first_id FROM runs GROUP BY run),
+w AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM d),
+runs AS (SELECT doc_id, i, array_to_string(words[i : i + 12], ' ') AS run
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM d)),
+first AS (SELECT run, min(doc_id) AS first_id FROM runs GROUP BY run HAVING count(DISTINCT doc_id) > 1),
 gone AS (SELECT DISTINCT doc_id, i + k AS place FROM runs JOIN first USING (run), range(0, 13) AS t(k) WHERE first_id < doc_id),
-lost AS (SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id)
-SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
-    sha256(array_to_string([words[i] FOR i IN range(1, len(words) + 1) IF NOT list_contains(coalesce(places, []), i)], ' ')) AS kept_sha256
-FROM d LEFT JOIN lost USING (doc_id)
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text FROM w ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
 """,
     "op7_warc_packages": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),

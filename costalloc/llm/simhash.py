@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costalloc.llm.common import IS_SPACE, U, buffers, materialize, semi_join, text_or_empty, whole_groups
+from costalloc.llm.common import IS_SPACE, U, materialize, semi_join, text_or_empty, whole_groups
 from costalloc.llm.graph import components
 
 SEED = 42

@@ -4,6 +4,8 @@ BENCH_SF_DIR   folder with the tables (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
 BENCH_MEMORY   driver memory (default 16g)
 BENCH_QUERIES  comma-separated names, or "all" (default: the headline list)
+BENCH_RUNS     runs of each query, of which the median counts (default 3)
+BENCH_SMALL    folder with ten times smaller tables, run beside it to show growth (default: sf0.01 beside the other)
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import os
 import sys
 import tempfile
 import time
+from statistics import median
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -53,6 +56,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     memory = os.environ.get("BENCH_MEMORY", "16g")
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     chosen = os.environ.get("BENCH_QUERIES", "")
     names = list(QUERIES) if chosen == "all" else [n for n in chosen.split(",") if n] or HEADLINE
 
@@ -68,13 +72,15 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
 
-    def run(name: str) -> float:
+    def run(name: str, folder: str) -> float:
         start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         return round(time.perf_counter() - start, 3)
 
-    run("correlated_fact")  # warm-up: class loading and first compilation
-    seconds = {name: run(name) for name in names}
+    run("correlated_fact", sf_dir)  # warm-up: class loading and first compilation
+    seconds = {name: median(run(name, sf_dir) for _ in range(runs)) for name in names}
+    small = os.environ.get("BENCH_SMALL", os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.01"))
+    beside = {name: run(name, small) for name in names} if os.path.isdir(small) and small != sf_dir else {}
     spark.stop()
     print(
         json.dumps(
@@ -83,6 +89,8 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "queries_small": beside,
+                "runs": runs,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "cpus": cpus,
                 "memory": memory,

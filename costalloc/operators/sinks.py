@@ -49,6 +49,16 @@ def write_fact(fact: DataFrame, base: str, as_of: dt.datetime) -> None:
     _note(stored, base, as_of)
 
 
+def write_by_window(fact: DataFrame, base: str, as_of: dt.datetime) -> None:
+    """Store one run of the fact under the days of its windows, for reports that ask for a range of time.
+
+    Each day is written by tasks of its own, so a day is few files. The same run again replaces itself.
+    """
+    dated = fact.withColumns({"WindowDate": F.to_date("TimeWindow"), "RunStamp": F.lit(f"{as_of:%Y%m%d%H%M%S}")})
+    writer = dated.repartition("WindowDate").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("WindowDate", "RunStamp").parquet(f"{base}/windows")
+
+
 def _note(stored: DataFrame, base: str, as_of: dt.datetime) -> None:
     """Write the run's rows of the manifest, last: a run that broke off is not in it."""
     counted = stored.agg(

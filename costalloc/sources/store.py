@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from costalloc.functions.timeparts import moment
 from costalloc.operators.skew import salted_join
 from costalloc.schemas import CORRELATED_FACT
 
@@ -43,6 +44,25 @@ def read_partition(spark: SparkSession, base: str, day: dt.date, file_format: st
     return rows.where(F.col("Run") == F.lit(newest)).drop(*PARTITIONS)
 
 
+def read_windows(spark: SparkSession, base: str, start=None, end=None) -> DataFrame:
+    """The stored fact of a half-open range of time windows; only the folders of its days are read.
+
+    Runs overlap: of each window and resource the rows of the newest run that has it.
+    """
+    layout = T.StructType([
+        *CORRELATED_FACT.fields, T.StructField("WindowDate", T.DateType()), T.StructField("RunStamp", T.StringType())
+    ])
+    rows = spark.read.schema(layout).parquet(f"{base}/windows")
+    if start is not None:
+        rows = rows.where((F.col("WindowDate") >= F.to_date(moment(start))) & (F.col("TimeWindow") >= moment(start)))
+    if end is not None:
+        rows = rows.where((F.col("WindowDate") <= F.to_date(moment(end))) & (F.col("TimeWindow") < moment(end)))
+    key = ["WindowDate", "TimeWindow", "ResourceId", "RunStamp"]
+    newest = rows.groupBy(*key[:-1]).agg(F.max("RunStamp").alias("RunStamp"))
+    kept = salted_join(rows, newest, key, ["DeviceId", "StoreNumber"], "left_semi")
+    return kept.select(CORRELATED_FACT.names)
+
+
 def combine_files(spark: SparkSession, base: str, columns: list[str] = REPORT_COLUMNS) -> DataFrame:
     """Chosen columns of all stored runs; runs overlap, so each window and resource is that of its newest run."""
     run = F.concat(*PARTITIONS).alias("_run")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costalloc.functions.ids import UNKNOWN
-from costalloc.sources.events import CALL_EVENT, ERROR_EVENT, envelope_numbers, parse_events, trace_messages
+from costalloc.sources.events import CALL_EVENT, ERROR_EVENT, parse_events, trace_messages
 
 # Fixed values of the mapping.
 AS_OF = "2024-01-31 00:00:00"
@@ -305,7 +305,3 @@ def region_of_resource(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calls(spark, sf_dir).select(
         F.col("resource_name").alias("ResourceId"), F.col("resourceRegion").alias("Region")
     ).distinct()
-
-
-def forwarded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return envelope_numbers(parse_events(raw_events(spark, sf_dir)))

@@ -353,6 +353,7 @@ oracle("add_period_columns", ["fact"], f"""
   FROM fact""")
 oracle("incremental_range", ["fact"],
        ROW + " WHERE TimeWindow >= TIMESTAMP '2024-01-08' AND TimeWindow < TIMESTAMP '2024-01-15'")
+ORACLES["incremental_range_recomputed"] = ORACLES["incremental_range"]
 oracle("incremental_refresh", ["fact"],
        ROW + f" WHERE {before('TimeWindow', INSIDE_DAY, '7 DAY')}")
 oracle("attribute_fallback", ["calls"], """

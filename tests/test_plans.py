@@ -1,11 +1,15 @@
 """Plans that must hold at scale."""
 
+import datetime as dt
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from costalloc.plans.fact import correlated_fact
-from costalloc.operators import measures, reports, summaries
+from costalloc.operators import correlate, measures, reports, sinks, summaries
+from costalloc.plans.fact import correlated_fact, windowed_cost, windowed_usage
+from costalloc.session import run_dir
+from costalloc.sources import store
 from costalloc.sources import testtables as tt
 
 
@@ -58,3 +62,25 @@ def test_ranking_has_no_single_task_window(spark, small):
     plan = _final_plan(measures.device_rank(_fact(spark, small)))
     windows = re.findall(r"Window \[.*?\], \[(.*?)\]", plan)
     assert windows and all(w.strip() for w in windows)
+
+
+def test_a_range_of_the_stored_fact_reads_only_its_days(spark, small):
+    base = run_dir(spark, "t")
+    fact = _fact(spark, small)
+    sinks.write_by_window(fact, base, dt.datetime(2024, 1, 31))
+    late = fact.where("TimeWindow >= TIMESTAMP '2024-01-10'").withColumn("AllocatedCost", F.lit(2.0))
+    sinks.write_by_window(late, base, dt.datetime(2024, 1, 31, 0, 6))
+    rows = store.read_windows(spark, base, "2024-01-08 06:00:00", "2024-01-12")
+    plan = _final_plan(rows)
+    assert "PartitionFilters: [isnotnull(WindowDate" in plan
+    want = fact.where("TimeWindow >= TIMESTAMP '2024-01-08 06:00:00' AND TimeWindow < TIMESTAMP '2024-01-12'")
+    assert rows.count() == want.count() > 0
+    newest = rows.where("TimeWindow >= TIMESTAMP '2024-01-10'")
+    assert newest.where("AllocatedCost <> 2.0").count() == 0 and newest.count() > 0
+
+
+def test_methods_share_one_join(spark, small):
+    usage = windowed_usage(tt.telemetry(spark, small), decay_hours=2.0)
+    plan = _final_plan(correlate.allocated_by_all(usage, windowed_cost(tt.billing(spark, small))))
+    assert len(re.findall(r"FileScan parquet.*event_id", plan)) == 1
+    assert len(re.findall(r"(?:SortMergeJoin|BroadcastHashJoin) ", plan)) == 2

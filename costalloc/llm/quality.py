@@ -87,11 +87,8 @@ def _count(ids=None):
     def run(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         counts = np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
-            if ids is None:
-                trusted = batch.column(0).to_numpy(zero_copy_only=False)
-            else:
-                named = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
-                trusted = named & np.isin(batch.column(0).fill_null(0).to_numpy(), ids.value)
+            flags = batch.column(0)
+            trusted = flags.to_numpy(zero_copy_only=False) if ids is None else _is_trusted(flags, ids)
             for i, j, words in batched_words(batch.column(1)):
                 doc, bucket = ngrams(words)
                 counts[0] += np.bincount(bucket, minlength=BUCKETS)
@@ -101,19 +98,29 @@ def _count(ids=None):
     return run
 
 
-def count_tables(texts: DataFrame, trusted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def sent_ids(trusted: DataFrame):
+    """The trusted doc_ids as a broadcast array, if they are at most MOST_IDS (8 bytes each); else None."""
+    if trusted.count() > MOST_IDS:
+        return None
+    ids = np.sort(trusted.toArrow().column(0).to_numpy())
+    return trusted.sparkSession.sparkContext.broadcast(ids)
+
+
+def _is_trusted(column: pa.Array, ids) -> np.ndarray:
+    named = column.is_valid().to_numpy(zero_copy_only=False)
+    return named & np.isin(column.fill_null(0).to_numpy(), ids.value)
+
+
+def count_tables(texts: DataFrame, trusted: DataFrame, ids) -> tuple[np.ndarray, np.ndarray]:
     """Raw and target counts of all buckets, over all documents (doc_id, text) and the trusted doc_ids.
 
-    Up to MOST_IDS trusted ids are sent to every task (8 bytes each), so that no text is shuffled; more of them are
-    joined. What reaches the driver are two tables of BUCKETS numbers.
+    With `ids`, which every task has, no text is shuffled; else the trusted ids are joined. What reaches the driver
+    are two tables of BUCKETS numbers.
     """
-    if trusted.count() <= MOST_IDS:
-        ids = np.sort(trusted.toArrow().column(0).to_numpy())
-        count = _count(texts.sparkSession.sparkContext.broadcast(ids))
-    else:
+    if ids is None:
         joined = texts.join(trusted.withColumn("trusted", F.lit(True)), "doc_id", "left")
-        texts, count = joined.select(F.coalesce("trusted", F.lit(False)), "text"), _count()
-    counts = added_up(texts, count, 2 * BUCKETS).reshape(2, BUCKETS).astype(float)
+        texts = joined.select(F.coalesce("trusted", F.lit(False)), "text")
+    counts = added_up(texts, _count(ids), 2 * BUCKETS).reshape(2, BUCKETS).astype(float)
     return counts[0], counts[1]
 
 
@@ -184,42 +191,68 @@ def best_threshold(rated: DataFrame) -> float:
     return edge
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float | None = None) -> DataFrame:
-    """One row per document: its counts, whether the base rules fail, its score, and whether it is kept.
+def _base_failed(n_words, n_repeat_words):
+    return (n_words < MIN_WORDS) | (100 * n_repeat_words > REPEAT_PERCENT * n_words)
 
-    docs: doc_id, text; labels: doc_id, quality, toxic. A document is trusted if it is labelled, all its labels say
-    quality 1 and none says toxic; a null label counts as not trusted. Null or empty texts have no words, score 0
-    and fail the base rules. Repeated rows are each rated; rows without doc_id have no label. Scores at the
-    threshold are kept. Without labels of both kinds the base rules alone decide. Other columns are ignored.
-    """
+
+def _rated(docs: DataFrame, labels: DataFrame) -> tuple:
+    """Every document's counts and score, written; with the tables and the ids that were sent to the tasks."""
     known = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
         F.min(F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))).alias("trusted")
     )
     texts = docs.select(F.col("doc_id").cast("bigint"), text_or_empty().cast("binary").alias("text"))
     trusted = known.where("trusted").select("doc_id")
-    tables = docs.sparkSession.sparkContext.broadcast(count_tables(texts, trusted))
+    ids = sent_ids(trusted)
+    tables = docs.sparkSession.sparkContext.broadcast(count_tables(texts, trusted, ids))
     rated = texts.mapInArrow(_rate(tables), RULES).join(known, "doc_id", "left")
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    rated = materialize(
-        rated.select(
-            *[field.split()[0] for field in RULES.split(", ")[:-2]],
-            failed.alias("base_failed"),
-            F.when(F.col("trusted"), F.col("score_inside")).otherwise(F.col("score_outside")).alias("score"),
-            "trusted",
-        ),
-        "rated",
+    rated = rated.select(
+        *[field.split()[0] for field in RULES.split(", ")[:-2]],
+        _base_failed(F.col("n_words"), F.col("n_repeat_words")).alias("base_failed"),
+        F.when(F.col("trusted"), F.col("score_inside")).otherwise(F.col("score_outside")).alias("score"),
+        "trusted",
     )
-    edge = best_threshold(rated) if threshold is None else threshold
+    return materialize(rated, "rated"), tables, ids
+
+
+def _with_verdict(rated: DataFrame, edge: float) -> DataFrame:
     return rated.select(
         "*", F.lit(edge).alias("threshold"), (~F.col("base_failed") & (F.col("score") >= edge)).alias("kept")
     )
 
 
+def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float | None = None) -> DataFrame:
+    """One row per document: its counts, whether the base rules fail, its score, and whether it is kept.
+
+    docs: doc_id, text; labels: doc_id, quality, toxic. A document is trusted if it is labelled, all its labels say
+    quality 1 and none says toxic; a null label counts as not trusted. Null or empty texts have no words, score 0
+    and fail the base rules. Repeated rows are each rated; rows without doc_id have no label. Scores at the
+    threshold are kept. Without labels of both kinds the base rules alone decide. Other columns are ignored.
+    """
+    rated, _, _ = _rated(docs, labels)
+    return _with_verdict(rated, best_threshold(rated) if threshold is None else threshold)
+
+
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float | None = None) -> DataFrame:
-    """The documents that the rules keep, with all their columns.
+    """The rows of docs that the rules keep, with all their columns; each row is judged by its own text.
 
-    Rows repeated with one doc_id stand or fall together, by their worst; rows without doc_id go.
+    The rows are judged where they are read, so that no text is shuffled; only if the trusted ids are too many to be
+    sent, the verdicts are joined (then rows with one doc_id stand or fall together, and rows without it go).
     """
-    rated = quality_rules(docs, labels, threshold)
-    good = rated.groupBy("doc_id").agg(F.min("kept").alias("kept")).where("kept")
-    return semi_join(docs, good)
+    rated, tables, ids = _rated(docs, labels)
+    edge = best_threshold(rated) if threshold is None else threshold
+    if ids is None:
+        verdicts = _with_verdict(rated, edge).groupBy("doc_id").agg(F.min("kept").alias("kept"))
+        return semi_join(docs, verdicts.where("kept"))
+    id_place, text_place = docs.columns.index("doc_id"), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = np.zeros(batch.num_rows, bool)
+            trusted = _is_trusted(batch.column(id_place), ids)
+            for i, j, words in batched_words(batch.column(text_place).fill_null("")):
+                outside, inside = scores(words, *tables.value)
+                score = np.where(trusted[i:j], inside, outside)
+                kept[i:j] = ~_base_failed(words.counts, repeated_words(words, words.hashes())) & (score >= edge)
+            yield batch.filter(pa.array(kept))
+
+    return docs.mapInArrow(run, docs.schema)

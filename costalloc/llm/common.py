@@ -136,7 +136,7 @@ def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     return (np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)), offsets
 
 
-def slices(offsets: np.ndarray, limit: int = 1 << 22) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
     """Ranges of documents of about `limit` bytes (one document may be longer)."""
     i, n = 0, len(offsets) - 1
     while i < n:
@@ -146,7 +146,7 @@ def slices(offsets: np.ndarray, limit: int = 1 << 22) -> Iterator[tuple[int, int
 
 
 def batched_words(
-    column: pa.Array, limit: int = 1 << 22, breaks: np.ndarray = IS_SPACE
+    column: pa.Array, limit: int = 1 << 21, breaks: np.ndarray = IS_SPACE
 ) -> Iterator[tuple[int, int, Words]]:
     """(first row, end row, words) over a column, a few MB at a time."""
     data, offsets = buffers(column)

@@ -55,6 +55,17 @@ def _with_unallocated(rows: DataFrame) -> DataFrame:
     )
 
 
+def unreadable_numbers(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Per column: values that are there but are no number. They count as 0 further on; this says how many do."""
+
+    def lost(name: str):
+        text = F.btrim(F.col(name).cast("string"))
+        return (F.length(text) > 0) & text.try_cast("double").isNull()
+
+    counted = rows.agg(F.count("*").alias("RowsChecked"), *[F.count_if(lost(c)).alias(c) for c in columns])
+    return counted.unpivot(["RowsChecked"], columns, "Column", "Unreadable")
+
+
 def dq_rules(fact: DataFrame) -> DataFrame:
     """Number of rows that break each rule, in one pass."""
 

@@ -466,6 +466,14 @@ def _(spark, d):
 on_fact("dq_rules", quality.dq_rules)
 
 
+@query("unreadable_numbers")
+def _(spark, d):
+    read = events.parse_events(testtables.raw_events(spark, d))
+    return quality.unreadable_numbers(read, ["statusCode", "tokensUsed", "promptTokens", "completionTokens", "responseTime"])
+
+
+
+
 # Aggregations -------------------------------------------------------------
 
 

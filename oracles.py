@@ -500,6 +500,10 @@ oracle("dq_rules", ["fact"], "\nUNION ALL\n".join(
     f"SELECT count(*) AS RowsChecked, '{name}' AS \"Rule\", CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS Violations FROM fact"
     for name, cond in RULES.items()))
 
+oracle("unreadable_numbers", ["valid_events"], "\nUNION ALL\n".join(
+    f"SELECT count(*) AS RowsChecked, '{c}' AS \"Column\", CAST(0 AS BIGINT) AS Unreadable FROM valid_events"
+    for c in ("statusCode", "tokensUsed", "promptTokens", "completionTokens", "responseTime")))
+
 # Aggregations -------------------------------------------------------------
 
 USAGE_ROWS = f"""TimeWindow, ResourceId, DeviceId, StoreNumber, {big('TokensUsed')}, {big('ApiCalls')},

@@ -97,3 +97,9 @@ def test_resource_names_of_any_form_filter_costs(spark):
 def test_unknown_method_is_refused(spark, small):
     with pytest.raises(ValueError):
         _fact(spark, small, method="by-colour")
+
+
+def test_unreadable_numbers_are_counted(spark):
+    rows = spark.createDataFrame([("1.5", "7"), ("n/a", None), ("", " "), ("1,5", "0x1"), ("-2e3", "8")], "cost string, n string")
+    got = {r.Column: (r.RowsChecked, r.Unreadable) for r in quality.unreadable_numbers(rows, ["cost", "n"]).collect()}
+    assert got == {"cost": (5, 2), "n": (5, 1)}

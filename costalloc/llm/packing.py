@@ -62,10 +62,10 @@ class Encoder:
         ranks = {bytes(_LETTERS[c] for c in word): i for word, i in words.items() if word not in special}
         self.fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         if PLAIN.fullmatch(text):
-            return self.fast.encode_ordinary(text)
-        return self.slow.encode(text, add_special_tokens=False).ids
+            return self.fast.encode_to_numpy(text, disallowed_special=())
+        return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 def projection() -> np.ndarray:
@@ -74,11 +74,13 @@ def projection() -> np.ndarray:
     return (2.0 * bits.astype(float) - 1.0).reshape(VECTOR, DIMENSIONS)
 
 
+# The place of each token id in the hashed count vector.
+_PLACES = (fmix(np.arange(1, (1 << 16) + 1, dtype=U)) >> U(65 - VECTOR.bit_length())).astype(np.int64)
+
+
 def coordinates(ids: np.ndarray, matrix: np.ndarray) -> np.ndarray:
     """Where a document lies: DIMENSIONS whole numbers below 2**BITS."""
-    place = fmix(ids.astype(U) + U(1)) >> U(64 - VECTOR.bit_length() + 1)
-    counts = np.bincount(place.astype(np.int64), minlength=VECTOR).astype(float)
-    vector = np.sqrt(counts)
+    vector = np.sqrt(np.bincount(_PLACES[ids], minlength=VECTOR))
     spread = vector @ matrix / max(1e-9, np.sqrt((vector**2).sum()))
     # unit vectors project to about -1..1 each; the logistic keeps outliers apart without a cut
     unit = 1 / (1 + np.exp(-2.0 * spread))
@@ -129,19 +131,16 @@ def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
         for batch in batches:
             told, points = [], []
             for text in batch.column(1).to_pylist():
-                ids = np.array([*encoder.encode(text), END_ID], np.uint32)
-                points.append(coordinates(ids, matrix))
-                told.append(ids)
+                ids = np.append(encoder.encode(text), np.uint32(END_ID))
+                points.append(coordinates(ids, matrix))  # an id beyond 16 bits has no place and ends the task
+                told.append(ids.astype("<u2"))
             if not told:
                 continue
-            wide = max(int(ids.max()) for ids in told) >> 16
-            if wide:
-                raise ValueError("the vocabulary has more ids than 16 bits")
             columns = [
                 batch.column(0),
                 pa.array(hilbert_keys(np.array(points))),
                 pa.array([len(ids) for ids in told], pa.int64()),
-                pa.array([ids.astype("<u2").tobytes() for ids in told], pa.binary()),
+                pa.array([ids.tobytes() for ids in told], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "place", "n_tokens", "ids"])
 

@@ -63,7 +63,7 @@ class Encoder:
         self.fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> np.ndarray:
-        if PLAIN.fullmatch(text):
+        if text.isascii() or PLAIN.fullmatch(text):
             return self.fast.encode_to_numpy(text, disallowed_special=())
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
@@ -148,10 +148,8 @@ def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
     return texts.mapInArrow(run, TOKENS)
 
 
-PIECE = (
-    "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, "
-    "ids binary"
-)
+PLACE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
+PIECE = PLACE + ", ids binary"
 
 
 class Packer:
@@ -189,15 +187,16 @@ class Packer:
         return out
 
 
-def _pack(sequence: int):
-    names = [field.split()[0] for field in PIECE.split(", ")]
-    types = [pa.int64()] * 7 + [pa.binary()]
+def _pack(sequence: int, with_ids: bool):
+    names = [field.split()[0] for field in (PIECE if with_ids else PLACE).split(", ")]
+    types = [pa.int64()] * 7 + [pa.binary()] * with_ids
 
     def told(pieces: list[tuple]) -> pa.RecordBatch:
         rows = []
         for doc_id, start, ids, total, number, offset in pieces:
             data = ids.astype("<u4").tobytes()
-            rows.append((doc_id, start, len(ids), zlib.crc32(data), total, number, offset, ids.tobytes()))
+            row = (doc_id, start, len(ids), zlib.crc32(data), total, number, offset)
+            rows.append((*row, ids.tobytes()) if with_ids else row)
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,8 +214,8 @@ def _pack(sequence: int):
     return run
 
 
-def pack(docs: DataFrame, sequence: int = SEQUENCE, path: str | None = None) -> DataFrame:
-    """One row per piece of a document: which ids of it lie where in which sequence.
+def pack(docs: DataFrame, sequence: int = SEQUENCE, path: str | None = None, with_ids: bool = True) -> DataFrame:
+    """One row per piece of a document: which ids of it lie where in which sequence (and the ids, 16 bits each).
 
     docs: doc_id, text; a null or empty text is the one token END_ID. Each id of each row lies in exactly one piece.
     Sequences hold `sequence` tokens; only the last ones of a range of the curve are shorter, and those hold a power
@@ -227,4 +226,4 @@ def pack(docs: DataFrame, sequence: int = SEQUENCE, path: str | None = None) ->
     tokens = materialize(tokenized(docs, path).withColumn("row", F.monotonically_increasing_id()), "tokens")
     ordered = tokens.repartitionByRange("place", "doc_id", "row").sortWithinPartitions("place", "doc_id", "row")
     rows = ordered.select(F.spark_partition_id().cast("bigint").alias("task"), "doc_id", "ids")
-    return rows.mapInArrow(_pack(sequence), PIECE)
+    return rows.mapInArrow(_pack(sequence, with_ids), PIECE if with_ids else PLACE)

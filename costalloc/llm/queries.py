@@ -52,7 +52,7 @@ def op7_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), sequence=2048).drop("ids")
+    return packing.pack(table(spark, sf_dir, "documents"), sequence=2048, with_ids=False)
 
 
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

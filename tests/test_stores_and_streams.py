@@ -198,3 +198,11 @@ def test_a_past_run_does_not_see_later_rows(spark, small):
     known = calls.where(F.col("TimeGenerated") < F.lit(moment)), bills.where(F.col("UsageDate") < F.lit(moment))
     assert run_once(spark, *known, moment, run_dir(spark, "t"), lookback_hours=48).collect() == whole
     assert whole[0].records > 0
+
+
+def test_run_and_flagship_split_the_same_cost(spark, small):
+    base = run_dir(spark, "t")
+    run_once(spark, tt.telemetry(spark, small), tt.billing(spark, small), AS_OF, base, lookback_hours=24 * 60)
+    stored = store.read_partition(spark, base, AS_OF.date())
+    assert sorted(map(str, stored.collect())) == sorted(map(str, _fact(spark, small).collect()))
+    assert stored.where("MeterName LIKE 'text-embedding%'").count() == 0

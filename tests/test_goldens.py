@@ -143,7 +143,8 @@ def test_anomaly_is_strict(spark):
     ([], "equal"),
 ])
 def test_recommendation(spark, rows, method):
-    assert advanced.recommend_allocation(calls(spark, rows)).first().recommended_method == method
+    cost = bills(spark, [("10:00:00", "GPT-4o Input Tokens", 1.0)])
+    assert advanced.recommend_allocation(calls(spark, rows), cost).first().recommended_method == method
 
 
 def test_short_history_gives_no_model(spark):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costalloc.llm.common import U, Words, added_up, batched_words, fmix, hash_slices, materialize, semi_join, text_or_empty, windows
+from costalloc.llm.common import U, Words, added_up, batched_words, fmix, hash_slices, materialize, text_or_empty, windows
 
 BUCKETS = 1 << 20  # fixed: bounds the two count tables to 4 MB each, whatever the corpus
 MOST_IDS = 8_000_000  # trusted ids that are broadcast, 64 MB
@@ -196,7 +196,7 @@ def _base_failed(n_words, n_repeat_words):
 
 
 def _rated(docs: DataFrame, labels: DataFrame) -> tuple:
-    """Every document's counts and score, written; with the tables and the ids that were sent to the tasks."""
+    """Every document's counts and score, written; with the tables, the trusted ids, and those sent to the tasks."""
     known = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
         F.min(F.coalesce((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit(False))).alias("trusted")
     )
@@ -211,7 +211,7 @@ def _rated(docs: DataFrame, labels: DataFrame) -> tuple:
         F.when(F.col("trusted"), F.col("score_inside")).otherwise(F.col("score_outside")).alias("score"),
         "trusted",
     )
-    return materialize(rated, "rated"), tables, ids
+    return materialize(rated, "rated"), tables, trusted, ids
 
 
 def _with_verdict(rated: DataFrame, edge: float) -> DataFrame:
@@ -228,7 +228,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float | None =
     and fail the base rules. Repeated rows are each rated; rows without doc_id have no label. Scores at the
     threshold are kept. Without labels of both kinds the base rules alone decide. Other columns are ignored.
     """
-    rated, _, _ = _rated(docs, labels)
+    rated, *_ = _rated(docs, labels)
     return _with_verdict(rated, best_threshold(rated) if threshold is None else threshold)
 
 
@@ -236,23 +236,28 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float | None = None
     """The rows of docs that the rules keep, with all their columns; each row is judged by its own text.
 
     The rows are judged where they are read, so that no text is shuffled; only if the trusted ids are too many to be
-    sent, the verdicts are joined (then rows with one doc_id stand or fall together, and rows without it go).
+    sent, they are joined to the rows first. The same rows stay either way.
     """
-    rated, tables, ids = _rated(docs, labels)
+    rated, tables, trusted_ids, ids = _rated(docs, labels)
     edge = best_threshold(rated) if threshold is None else threshold
+    id_place, text_place, width = docs.columns.index("doc_id"), docs.columns.index("text"), len(docs.columns)
+    rows = docs
     if ids is None:
-        verdicts = _with_verdict(rated, edge).groupBy("doc_id").agg(F.min("kept").alias("kept"))
-        return semi_join(docs, verdicts.where("kept"))
-    id_place, text_place = docs.columns.index("doc_id"), docs.columns.index("text")
+        flag = "_".join(["trusted", *docs.columns])  # no column of docs
+        flags = trusted_ids.select(F.col("doc_id").alias(f"{flag}_id"), F.lit(True).alias(flag))
+        rows = docs.join(flags, docs["doc_id"].cast("bigint") == F.col(f"{flag}_id"), "left").drop(f"{flag}_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = np.zeros(batch.num_rows, bool)
-            trusted = _is_trusted(batch.column(id_place), ids)
+            if ids is None:
+                trusted = batch.column(width).is_valid().to_numpy(zero_copy_only=False)
+            else:
+                trusted = _is_trusted(batch.column(id_place), ids)
             for i, j, words in batched_words(batch.column(text_place).fill_null("")):
                 outside, inside = scores(words, *tables.value)
                 score = np.where(trusted[i:j], inside, outside)
                 kept[i:j] = ~_base_failed(words.counts, repeated_words(words, words.hashes())) & (score >= edge)
-            yield batch.filter(pa.array(kept))
+            yield batch.select(range(width)).filter(pa.array(kept))
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, docs.schema)

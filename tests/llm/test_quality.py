@@ -134,3 +134,16 @@ def test_alike_with_joined_labels(spark, monkeypatch):
     monkeypatch.setattr(quality, "MOST_IDS", 0)
     assert {r.doc_id for r in quality.quality_rules(docs, labels).where("kept").collect()} == rated
     assert {r.doc_id for r in quality.keep_good(docs, labels).collect()} == rated
+
+
+def test_each_row_by_its_own_text_with_joined_labels(spark, monkeypatch):
+    """Rows without doc_id, and rows that share one, are judged alike by either path."""
+    clean = [f"{w} " + " ".join(f"word{i * k} of" for i in range(30)) for k, w in enumerate(("one", "two", "three"), 1)]
+    rows = [(1, clean[0], "a"), (1, "bad", "b"), (None, clean[1], "c"), (None, "bad", None), (2, clean[2], "d"), (2, clean[2], "d")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, trusted string")
+    labels = spark.createDataFrame([(1, 1, 0), (3, 0, 1)], "doc_id bigint, quality int, toxic int")
+    for most in (quality.MOST_IDS, 0):
+        monkeypatch.setattr(quality, "MOST_IDS", most)
+        got = quality.keep_good(docs, labels, threshold=-100.0)
+        assert got.columns == docs.columns
+        assert sorted(r.trusted for r in got.collect()) == ["a", "c", "d", "d"]

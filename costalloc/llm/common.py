@@ -92,6 +92,7 @@ class Words:
         self.inside = inside = ~breaks[data]
         cut = np.zeros(n + 1, bool)
         cut[offsets] = True
+        self.mark(cut)
         first, last = inside.copy(), inside.copy()
         if n:
             first[1:] &= ~inside[:-1] | cut[1:n]
@@ -101,6 +102,9 @@ class Words:
         self.counts = np.bincount(self.doc, minlength=self.n_docs)
         self.first = np.concatenate([[0], np.cumsum(self.counts)])  # first word of each document
 
+    def mark(self, cut: np.ndarray) -> None:
+        """For kinds of words that are not parted by bytes alone: change `inside`, and where words are cut."""
+
     def hashes(self, lower: bool = False) -> np.ndarray:
         return hash_slices(self.data, self.starts, self.ends, lower)
 
@@ -146,12 +150,12 @@ def slices(offsets: np.ndarray, limit: int = 1 << 21) -> Iterator[tuple[int, int
 
 
 def batched_words(
-    column: pa.Array, limit: int = 1 << 21, breaks: np.ndarray = IS_SPACE
+    column: pa.Array, limit: int = 1 << 21, breaks: np.ndarray = IS_SPACE, kind: type[Words] = Words
 ) -> Iterator[tuple[int, int, Words]]:
     """(first row, end row, words) over a column, a few MB at a time."""
     data, offsets = buffers(column)
     for i, j in slices(offsets, limit):
-        yield i, j, Words(data, offsets[i : j + 1], breaks)
+        yield i, j, kind(data, offsets[i : j + 1], breaks)
 
 
 def text_or_empty(name: str = "text") -> Column:

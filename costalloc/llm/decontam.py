@@ -1,7 +1,8 @@
 """Benchmark decontamination by greedy string tiling.
 
 Documents and benchmark items are sequences of tokens: runs of letters and digits, A-Z lower-cased, so that case and
-punctuation don't hide a copy. Runs of LEAST tokens of an item are its seeds; a document that shares enough seeds with
+punctuation don't hide a copy; in scripts without spaces each character. Runs of LEAST tokens of an item are its seeds,
+and an item of fewer tokens is one seed, found only as a whole. A document that shares enough seeds with
 an item is tiled against it: the longest common runs that don't overlap are marked again and again, found by running
 Karp-Rabin hashes. The share of the item's tokens that the tiles cover decides. Tiles may come in any order, so a
 reordered passage is found as well.
@@ -10,7 +11,9 @@ reordered passage is found as well.
 from __future__ import annotations
 
 import heapq
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +33,48 @@ NOT_TOKEN = np.ones(256, bool)
 for _low, _high in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B), (0x80, 0x100)):
     NOT_TOKEN[_low:_high] = False
 
+# Scripts written without spaces: Thai, Lao, Myanmar, Khmer, Tai, Balinese and Javanese, Chinese and Japanese.
+UNSPACED = (
+    (0xE00, 0xF00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x1950, 0x19E0), (0x1A20, 0x1AB0), (0x1B00, 0x1B80),
+    (0x2E80, 0x2FE0), (0x3005, 0x3008), (0x3021, 0x302A), (0x3031, 0x3036), (0x3040, 0x3130), (0x31A0, 0x3200),
+    (0x3400, 0x4DC0), (0x4E00, 0xA000), (0xA980, 0xAA00), (0xAA60, 0xAA80), (0xF900, 0xFB00), (0xFF66, 0xFFA0),
+    (0x1AFF0, 0x1B170), (0x20000, 0x40000),
+)
+BREAK, INSIDE, ALONE = range(3)
+
+
+@cache
+def character_kinds() -> np.ndarray:
+    """For each code point: whether it parts tokens, stands inside one, or is one."""
+    kinds = np.full(0x110000, BREAK, np.uint8)
+    kinds[:0x20000] = [INSIDE if unicodedata.category(chr(c))[0] in "LMN" else BREAK for c in range(0x20000)]
+    for low, high in UNSPACED:
+        part = kinds[low:high]
+        part[(part == INSIDE) | (low >= 0x20000)] = ALONE
+    return kinds
+
+
+class Tokens(Words):
+    """Words whose bytes from 0x80 up are judged as characters."""
+
+    def mark(self, cut: np.ndarray) -> None:
+        n = len(self.data)
+        lead = np.flatnonzero(self.data >= 0xC0)
+        if not len(lead):
+            return
+        first = self.data[lead].astype(np.int64)
+        size = 2 + (first >= 0xE0) + (first >= 0xF0)
+        code = first & (0x7F >> size)
+        for k in range(1, 4):
+            more = size > k
+            code[more] = code[more] << 6 | self.data[np.minimum(lead[more] + k, n - 1)] & 0x3F
+        kind = character_kinds()[np.minimum(code, 0x10FFFF)]
+        for k in range(4):
+            self.inside[np.minimum(lead[(kind == BREAK) & (size > k)] + k, n - 1)] = False
+        lone, size = lead[kind == ALONE], size[kind == ALONE]
+        cut[lone] = True
+        cut[np.minimum(lone + size, n)] = True
+
 
 def run_hashes(tokens: np.ndarray, size: int) -> np.ndarray:
     """Karp-Rabin hash of every run of `size` tokens, each from the running sum of the one before."""
@@ -108,27 +153,34 @@ class Benchmark:
 
     def __init__(self, ids: list[int], texts: list[bytes], least: int):
         data = np.frombuffer(b"".join(texts), np.uint8)
-        words = Words(data, np.concatenate([[0], np.cumsum([len(t) for t in texts])]), NOT_TOKEN)
+        words = Tokens(data, np.concatenate([[0], np.cumsum([len(t) for t in texts])]), NOT_TOKEN)
         hashes = words.hashes(lower=True)
-        self.ids, self.least = ids, least
+        self.ids = ids
         self.items = [hashes[s:e] for s, e in zip(words.first[:-1], words.first[1:], strict=True)]
-        seeds, whole = windows(hashes, words.doc, least)
-        at = np.flatnonzero(whole)
-        order = np.argsort(seeds[at], kind="stable")
-        self.seeds = seeds[at][order]
-        self.item = words.doc[at][order]
-        self.place = at[order] - words.first[self.item]
-        self.likely = np.zeros(_FILTER, bool)
-        self.likely[self.seeds >> U(44)] = True
+        self.sizes = words.counts
+        self.least = np.minimum(least, words.counts)  # of each item, the tokens in a seed or tile
+        self.index = {}  # by tokens in a seed: seeds, items, places, and a filter
+        for size in np.unique(self.least[self.least > 0]).tolist():
+            seeds, whole = windows(hashes, words.doc, size)
+            at = np.flatnonzero(whole & (self.least[words.doc[: len(whole)]] == size))
+            order = np.argsort(seeds[at], kind="stable")
+            seeds, item = seeds[at][order], words.doc[at][order]
+            likely = np.zeros(_FILTER, bool)
+            likely[seeds >> U(44)] = True
+            self.index[size] = seeds, item, at[order] - words.first[item], likely
 
     def shared_seeds(self, words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, item, place in item) of every seed that a document shares."""
-        runs, whole = windows(hashes, words.doc, self.least)
-        at = np.flatnonzero(self.likely[runs >> U(44)] & whole)
-        low, high = np.searchsorted(self.seeds, runs[at], "left"), np.searchsorted(self.seeds, runs[at], "right")
-        n = high - low
-        hit = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        return np.repeat(words.doc[at], n), self.item[hit], self.place[hit]
+        found = [(np.empty(0, np.int64),) * 3]
+        for size, (seeds, item, place, likely) in self.index.items():
+            runs, whole = windows(hashes, words.doc, size)
+            at = np.flatnonzero(likely[runs >> U(44)] & whole)
+            low, high = np.searchsorted(seeds, runs[at], "left"), np.searchsorted(seeds, runs[at], "right")
+            n = high - low
+            hit = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            found.append((np.repeat(words.doc[at], n), item[hit], place[hit]))
+        doc, item, place = (np.concatenate(x) for x in zip(*found, strict=True))
+        return doc, item, place
 
     def judge(self, words: Words, coverage: float) -> list[tuple]:
         """(document, item, item tokens, covered tokens, tiles, longest tile) of pairs covered enough."""
@@ -137,18 +189,19 @@ class Benchmark:
         if not len(doc):
             return []
         # Tiles are made of shared seeds, so the tokens under seeds bound what tiles can cover.
-        sizes = np.array([len(x) for x in self.items])
+        sizes = self.sizes
         widest = int(sizes.max())
         key = np.unique((doc * len(sizes) + item) * widest + place)
         pair, place = key // widest, key % widest
-        gap = np.minimum(np.diff(place, append=0), self.least)
+        least = self.least[pair % len(sizes)]
+        gap = np.minimum(np.diff(place, append=0), least)
         last = np.concatenate([pair[1:] != pair[:-1], [True]])
         pairs, begin = np.unique(pair, return_index=True)
-        bound = np.add.reduceat(np.where(last, self.least, gap), begin)
+        bound = np.add.reduceat(np.where(last, least, gap), begin)
         out = []
         for p in pairs[bound >= coverage * sizes[pairs % len(sizes)]].tolist():
             d, i = divmod(p, len(sizes))
-            found = tiles(self.items[i], hashes[words.first[d] : words.first[d + 1]], self.least)
+            found = tiles(self.items[i], hashes[words.first[d] : words.first[d + 1]], int(self.least[i]))
             covered = sum(n for _, _, n in found)
             if covered >= coverage * len(self.items[i]):
                 out.append((d, i, len(self.items[i]), covered, len(found), max(n for _, _, n in found)))
@@ -174,7 +227,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, lea
     """A row for each document and item of which tiles cover at least the share `coverage`.
 
     docs: doc_id, text; benchmark: item_id, text. Null or empty texts share nothing. An item of fewer than `least`
-    tokens has no seed and is in no document. Rows without doc_id, and repeated rows of either table, give rows of
+    tokens is in the documents that have all of them in a row; an item without tokens is in none. Rows without doc_id, and repeated rows of either table, give rows of
     their own. Other columns are ignored. Documents are read once per BLOCK_BYTES of benchmark and not shuffled.
     """
     names = [field.split()[0] for field in LEAK.split(", ")]
@@ -183,7 +236,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, lea
     def search(held):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for i, _, words in batched_words(batch.column(1), breaks=NOT_TOKEN):
+                for i, _, words in batched_words(batch.column(1), breaks=NOT_TOKEN, kind=Tokens):
                     found = held.value.judge(words, coverage)
                     if found:
                         at, items, *numbers = zip(*found, strict=True)
@@ -209,7 +262,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
                 column = batch.column(place).fill_null("")
-                for i, _, words in batched_words(column, breaks=NOT_TOKEN):
+                for i, _, words in batched_words(column, breaks=NOT_TOKEN, kind=Tokens):
                     clean[[i + f[0] for f in held.value.judge(words, coverage)]] = False
                 yield batch.filter(pa.array(clean))
 

@@ -89,3 +89,14 @@ def test_reordered_and_odd_rows(spark, monkeypatch):
     assert decontam.leaks(docs.limit(0), bench).count() == 0
     assert decontam.leaks(docs, bench.limit(0)).count() == 0
     assert decontam.drop_leaks(docs, bench.limit(0)).count() == len(rows)
+
+
+def test_short_items_and_unspaced_scripts(spark):
+    items = ["Two words?", "Paris", "日本語の文章を正しく見つける", "東京。", "สวัสดีครับ", "été où", "!?"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    rows = ["they are two words, of course", "two of words", "in PARIS.", "parisian", "前の文。日本語の文章を正しく見つける、と書いた。", "日本、語の",
+            "私は東京に住む", "京東", "เขาพูดว่าสวัสดีครับแล้วไป", "«été»\u3000où…", "étéoù", "日 本語の文章を正しく", "!?"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(docs, bench).collect()}
+    assert got == {(0, 0), (2, 1), (4, 2), (6, 3), (8, 4), (9, 5), (11, 2)}
+    assert sorted(r.doc_id for r in decontam.drop_leaks(docs, bench).collect()) == [1, 3, 5, 7, 10, 12]

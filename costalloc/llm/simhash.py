@@ -203,20 +203,52 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> Dat
     get a fingerprint, and the component of the rows with the same one (null if there are none); they link
     nothing. Repeated rows come back as often as they came in. Other columns are ignored.
     """
-    own = materialize(fingerprints(docs, shingle), "fingerprints")
-    reps = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("node")), "representatives")
-    roots = components(links(reps.where("node IS NOT NULL"), distance))
-    classes = reps.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
-    return own.join(classes, "fp").select(
+    return _classed(docs, shingle, distance).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
+def _classed(docs: DataFrame, shingle: int, distance: int) -> DataFrame:
+    """(doc_id, fp, root, component_id) for every row; root is the same for all fingerprints of a component.
+
+    Fingerprints are linked, not doc_ids: two texts under one doc_id belong together only if they are near.
+    """
+    own = materialize(fingerprints(docs, shingle), "fingerprints")
+    reps = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "representatives")
+    named = reps.where("least IS NOT NULL").select("fp", F.col("fp").alias("node"))
+    roots = components(links(named, distance)).select(F.col("node").alias("fp"), "root")
+    rooted = materialize(reps.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
+    classes = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return own.join(rooted.join(classes, "root").select("fp", "root", "component_id"), "fp")
+
+
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
-    """One document of each component, that with the smallest doc_id; all columns of docs.
+    """One row of each component, that with the smallest doc_id; all columns of docs.
 
-    Rows repeated with one doc_id count as one document. Rows without doc_id stay.
+    If the component has several rows with that doc_id, the one with the smallest fingerprint stays, then the one
+    whose other columns are smallest, in their order. Rows with one doc_id whose texts are not near all stay. Rows
+    without doc_id stay.
     """
-    found = near_duplicates(docs, shingle, distance)
-    kept = semi_join(docs, found.where("doc_id = component_id")).dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    found = materialize(_classed(docs, shingle, distance).where("doc_id IS NOT NULL"), "classed")
+    best = found.where("doc_id = component_id").groupBy("doc_id", "root").agg(F.min("fp").alias("fp"))
+    rows = found.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    best = materialize(best.join(rows, "doc_id"), "best")
+    once = semi_join(docs, best.where("rows = 1"))
+    # of an id with several rows, the text tells which of them is meant
+    several = semi_join(docs, best.where("rows > 1")).select(F.struct("*").alias("row"))
+    marked = _with_fingerprint(several, shingle).join(best.where("rows > 1").select("doc_id", "fp"), ["doc_id", "fp"])
+    one = marked.groupBy("doc_id", "fp").agg(F.min("row").alias("row")).select("row.*")
+    return once.unionByName(one).unionByName(docs.where("doc_id IS NULL"))
+
+
+def _with_fingerprint(rows: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, fp, row) of rows (row), a struct with doc_id and text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp = fingerprint_bits(batch.column(1).to_pylist(), shingle).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp), batch.column(2)], names=["doc_id", "fp", "row"])
+
+    kind = rows.schema["row"].dataType.simpleString()
+    texts = rows.select(F.col("row.doc_id").cast("bigint").alias("doc_id"), text_or_empty("row.text").cast("binary").alias("text"), "row")
+    return texts.mapInArrow(run, f"doc_id bigint, fp bigint, row {kind}")

@@ -76,3 +76,15 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 1), (False, 4), (False, 7), (False, 9), (True, 0)]
     assert simhash.near_duplicates(docs.where(F.lit(False))).count() == 0
+
+
+def test_one_doc_id_with_different_texts(spark):
+    """Texts that are not near all stay, whatever their doc_id; which of equal rows stays is fixed."""
+    a, b, c = ("alpha beta gamma delta " * 9, "one two three four five six " * 9, "red green blue " * 12)
+    rows = [(5, a, "z"), (5, a, "y"), (5, b, "x"), (3, b, "w"), (7, a.upper(), "v"), (9, c, "u"), (9, c, "t"), (None, a, "s")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    for frame in (docs, docs.repartition(3), docs.orderBy("source")):
+        kept = simhash.drop_near_duplicates(frame)
+        assert kept.columns == docs.columns
+        assert sorted(r.source for r in kept.collect()) == ["s", "t", "w", "y"]
+    assert {(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect()} == {(5, 5), (5, 3), (3, 3), (7, 5), (9, 9), (None, 5)}

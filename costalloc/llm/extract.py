@@ -36,6 +36,12 @@ ASIDE_NAMES = frozenset(
     "subscription signup login comment comments commentlist disqus reply replies respond discussion share sharing social "
     "related recommended pagination pager skip toolbar legal copyright disclaimer".split()
 )
+# Names that mean something else as part of a longer one count only as the whole class.
+AMBIGUOUS = frozenset("side widget widgets legal related".split())
+WHOLE = AMBIGUOUS | frozenset("related-posts related-articles related-links legal-notice widget-area footer-widgets".split())
+SLUGS = ("tag-", "category-", "cat-", "term-", "topic-")  # of an article's subjects, whatever they are
+# An element of these names is no wrapper of the main text, however much it holds.
+SURE = frozenset("ad ads advert adverts advertisement advertisements adsense adbox adslot comment comments commentlist disqus reply replies respond cookie cookies consent gdpr".split())
 NOT_ASIDE = frozenset("has with without no not article main content".split())  # as in has-sidebar
 HEAD_PARTS = frozenset("title meta link style script base noscript template".split())
 NAME_PARTS = re.compile(r"[-_\d]+|(?<=[a-z])(?=[A-Z])")
@@ -57,8 +63,9 @@ class Line:
 class Lines(HTMLParser):
     """Lines of a page, from parser events."""
 
-    def __init__(self, forms: bool = False):
-        """forms: a form is a candidate, for pages that stand in one."""
+    def __init__(self, forms: bool = False, names: bool = True, spared: frozenset[int] = frozenset()):
+        """forms: a form is a candidate, for pages that stand in one; names: classes and ids shut elements, but not
+        those in `spared`."""
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.stack: list[tuple[str, int]] = []  # open elements; 2: hidden, 1: aside
@@ -68,7 +75,11 @@ class Lines(HTMLParser):
         self.anchors = 0
         self.landmarks: set[int] = set()
         self.landmark = 0  # depth of article and main
-        self.forms = forms
+        self.forms, self.names, self.spared = forms, names, spared
+        self.named: list[tuple[int, int]] = []  # open elements that a name shuts: depth of the stack, number
+        self.inside: dict[int, int] = {}  # by such element, the length of the text in it
+        self.holds: set[int] = set()  # such elements with an article or main in them
+        self.size = 0  # length of all text
         self.path: tuple = ()
         self.line: Line | None = None
 
@@ -97,9 +108,17 @@ class Lines(HTMLParser):
         kind = 0
         if tag in HIDDEN:
             kind = 2
-        elif self.aside(tag, attrs):
+        elif self.marked(tag, attrs):
             kind = 1
         self.number += 1
+        if tag in ("article", "main"):
+            self.holds.update(n for _, n in self.named)
+        if not kind and self.names and tag not in ("html", "body", "main"):
+            sure = self.by_name(tag, attrs)
+            if sure is not None and self.number not in self.spared:
+                kind = 1
+                if not sure:
+                    self.named.append((len(self.stack), self.number))
         self.stack.append((tag, kind))
         if tag in ("article", "main"):
             self.landmark += 1
@@ -114,8 +133,8 @@ class Lines(HTMLParser):
         elif not self.shut and not self.hidden:
             self.now().tags += 1
 
-    def aside(self, tag, attrs) -> bool:
-        """Whether an element is a menu, header, footer, sidebar, notice, advert, form or comment."""
+    def marked(self, tag, attrs) -> bool:
+        """Whether its tag or role says that an element is a menu, header, footer, sidebar, notice or form."""
         if tag in ("html", "body", "main"):
             return False
         own = self.landmark > 0  # a header inside an article is the article's own
@@ -124,23 +143,44 @@ class Lines(HTMLParser):
         for name, value in attrs:
             if name == "hidden":
                 return True
-            if not value or tag == "form" and self.forms:
-                continue
-            if name == "role" and value.strip().lower() in ASIDE_ROLES:
+            if name == "role" and value and not (tag == "form" and self.forms) and value.strip().lower() in ASIDE_ROLES:
                 return True
-            if name in ("class", "id"):
-                for one in value.split():
-                    words = {w.lower() for w in NAME_PARTS.split(one)}
-                    found = words & ASIDE_NAMES
-                    if found and not words & NOT_ASIDE and not (own and found == {"header"}):
-                        return True
         return False
 
+    def by_name(self, tag, attrs) -> bool | None:
+        """Whether a class or id says so for sure (True), or may say so (False); None: it doesn't.
+
+        An article goes only by a whole class.
+        """
+        own = self.landmark > 0
+        for name, value in attrs:
+            if name not in ("class", "id") or not value or tag == "form" and self.forms:
+                continue
+            for one in value.split():
+                plain = one.lower()
+                if plain.startswith(SLUGS):
+                    continue
+                words = {w.lower() for w in NAME_PARTS.split(one)}
+                found = words & ASIDE_NAMES - AMBIGUOUS
+                if plain in WHOLE:
+                    found = {plain}
+                elif tag == "article" and plain not in found:
+                    continue
+                if found and not words & NOT_ASIDE and not (own and found == {"header"}):
+                    return tag == "article" or bool(found & SURE)
+        return None
+
+    def closed(self, kind: int) -> None:
+        """The element at the end of the stack, or behind it, has closed."""
+        self.hidden -= kind == 2
+        self.shut -= kind == 1
+        while self.named and self.named[-1][0] >= len(self.stack):
+            self.named.pop()
+
     def close_to(self, tag) -> None:
         while self.stack:
             name, kind = self.stack.pop()
-            self.hidden -= kind == 2
-            self.shut -= kind == 1
+            self.closed(kind)
             self.anchors -= name == "a"
             self.landmark -= name in ("article", "main")
             if name in BLOCK or name in ASIDE:
@@ -156,16 +196,23 @@ class Lines(HTMLParser):
             # a formatting element's end doesn't close the blocks around it
             if tag not in BLOCK and tag not in ASIDE and tag not in HIDDEN:
                 for i in range(len(self.stack) - 1, -1, -1):
-                    name = self.stack[i][0]
+                    name, kind = self.stack[i]
                     if name == tag:
                         self.anchors -= tag == "a"
                         del self.stack[i]
+                        self.shut -= kind == 1
+                        self.named = [(d - (d > i), n) for d, n in self.named if d != i]
                         return
                     if name in BLOCK or name in ASIDE:
                         return
             self.close_to(tag)
 
     def handle_data(self, data):
+        if not self.hidden and data:
+            length = len(data.strip())
+            self.size += length
+            for _, number in self.named:
+                self.inside[number] = self.inside.get(number, 0) + length
         if self.hidden or self.shut or not data:
             return
         if self.line is None and data.isspace():
@@ -199,10 +246,19 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def page_lines(html: str, forms: bool = False) -> tuple[list[tuple[str, Line]], set[int]]:
-    parser = Lines(forms)
-    parser.feed(html)
-    parser.close()
+def page_lines(html: str, **how) -> tuple[list[tuple[str, Line]], set[int]]:
+    """Lines and landmarks. An element is not shut by a name if it holds an article or main, or most of the page's text."""
+
+    def parsed(**more) -> Lines:
+        parser = Lines(**how, **more)
+        parser.feed(html)
+        parser.close()
+        return parser
+
+    parser = parsed()
+    spared = parser.holds | {n for n, size in parser.inside.items() if 2 * size > parser.size}
+    if spared:
+        parser = parsed(spared=frozenset(spared))
     texts = ((SPACES.sub(" ", "".join(line.pieces)).strip(), line) for line in parser.lines)
     return [(text, line) for text, line in texts if text], parser.landmarks
 
@@ -212,6 +268,8 @@ def main_text(html: str) -> str:
     lines, landmarks = page_lines(html)
     if not lines and "<form" in html.lower():
         lines, landmarks = page_lines(html, forms=True)
+    if not lines:
+        lines, landmarks = page_lines(html, forms=True, names=False)
     if not lines:
         return ""
     ratio = np.array([max(0, len(t) - x.links) / (1 + x.tags) for t, x in lines])

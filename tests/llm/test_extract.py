@@ -63,3 +63,19 @@ def test_odd_rows(spark):
     assert got.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted(r.n_chars for r in got.collect()) == [0, 0, 1, 1, 4, 499_999]
     assert extract.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ["<div class='elementor-widget-container'>{}</div>", "<div id=header-fixed-layout>{}</div>", "<article class='post category-legal'>{}</article>",
+     "<article class=tag-promo>{}</article>", "<section id=related-work>{}</section>", "<div class=site-banner><article>{}</article></div>",
+     "<p>By <span class=ad>us</span> and more</p><div>{}</div>", "<div class=promo><div class=social-box>{}</div></div>"],
+)
+def test_names_do_not_shut_the_main_text(wrapper):
+    body = f"<p>{LONG}</p><p>{LONG}</p>"
+    got = extract.main_text(f"<body><nav><a href=/>Home</a></nav>{wrapper.format(body)}<div class=cookie-notice>{LONG}</div></body>")
+    assert got.endswith(f"{LONG.strip()}\n\n{LONG.strip()}") and got.count(LONG.strip()) == 2
+
+
+def test_a_page_of_shut_elements_only():
+    assert extract.main_text(f"<div class=comments><p>{LONG}</p></div>") == LONG.strip()

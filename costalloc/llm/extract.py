@@ -2,8 +2,8 @@
 
 The standard library's parser streams over a page. Its events give one line per block of text, with the tags that
 stand in it. A line's ratio of text to tags is smoothed over its neighbours by a Gaussian; two clusters of the smoothed
-ratios set a threshold, and the lines above it are content. The region is the element that holds them: the innermost
-article or main with most of their text, else the innermost element with nearly all of it. A short heading or paragraph
+ratios set a threshold, and the lines above it are content. The region is the element that holds them all: the innermost
+article or main that does, else the innermost element. A short heading or paragraph
 inside the region belongs to the text, whatever its ratio. Elements that a page itself marks as something else (menus,
 headers, footers, sidebars, notices, adverts, forms, comments) are no candidates.
 """
@@ -281,13 +281,13 @@ def main_text(html: str) -> str:
             for number in line.path:
                 held[number] = held.get(number, 0) + len(text)
     total = sum(len(t) for (t, _), chosen in zip(lines, content, strict=True) if chosen)
-    region = max((n for n, size in held.items() if n in landmarks and 2 * size > total), default=0)
+    region = max((n for n, size in held.items() if n in landmarks and size == total), default=0)
     if not region:
         sizes: dict[int, int] = {}
         for _, line in lines:
             for number in line.path:
                 sizes[number] = sizes.get(number, 0) + 1
-        region = max((n for n, size in held.items() if 10 * size >= 9 * total and sizes[n] > 1), default=0)
+        region = max((n for n, size in held.items() if size == total and sizes[n] > 1), default=0)
     if region:
         return "\n\n".join(t for t, x in lines if region in x.path)
     at = np.flatnonzero(content)

@@ -79,3 +79,18 @@ def test_names_do_not_shut_the_main_text(wrapper):
 
 def test_a_page_of_shut_elements_only():
     assert extract.main_text(f"<div class=comments><p>{LONG}</p></div>") == LONG.strip()
+
+
+@pytest.mark.parametrize(
+    ("page", "parts"),
+    [
+        ("<main><p>{0} a</p><article><p>{0} b</p><p>{0} c</p></article></main>", "abc"),
+        ("<main><article><p>{0} a</p><p>{0} b</p><p>{0} c</p></article><article><p>{0} d</p><p>{0} e</p></article></main>", "abcde"),
+        ("<article><p>{0} a</p><article><p>{0} b</p><p>{0} c</p></article><p>{0} d</p></article>", "abcd"),
+        ("<div><div><p>{0} a</p></div><div><p>{0} b</p>" + "".join(f"<p>{{0}} {c}</p>" for c in "cdefghijklm") + "</div></div>", "abcdefghijklm"),
+    ],
+)
+def test_all_content_lines_are_in_the_text(page, parts):
+    around = "<nav><a href=/>Home</a></nav>{}<div class=cookie-notice><p>" + LONG + "</div><footer>us</footer>"
+    got = extract.main_text(around.format(page.format(LONG)))
+    assert got.split("\n\n") == [f"{LONG.strip()} {c}" for c in parts]

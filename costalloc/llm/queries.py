@@ -6,8 +6,9 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from costalloc.llm import chat, decontam, extract, mixing, packing, quality, simhash, substrings, urls, warc
+from costalloc.llm import chat, decontam, extract, mixing, mixture, packing, quality, simhash, substrings, urls, warc
 from costalloc.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +64,12 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixture.rated(table(spark, sf_dir, "documents"), most=3)
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return rows.select("row.doc_id", "size", "source_size", "target", taken)
+
+
 def _shipped(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +90,7 @@ OPERATORS = [
     op8_hilbert_packing,
     op9_chat_formatting,
     op10_html_extraction,
+    op11_source_mixing,
 ]
 QUERIES: dict[str, Query] = {f.__name__: _shipped(f) for f in OPERATORS}
 ORACLES: dict[str, str] = {
@@ -125,6 +133,34 @@ one AS (
     SELECT min(conv_id) AS conv_id, count(*) AS n_copies, any_value(n_turns) AS n_turns, any_value(text) AS text, turns
     FROM c GROUP BY turns)
 SELECT conv_id, n_turns, n_copies, text FROM one WHERE turns NOT IN (SELECT turns FROM prefixes)
+""",
+    # The level of words per weight: the first source, by bound per weight, that is not cut at its bound.
+    "op11_source_mixing": r"""
+WITH d AS (
+    SELECT doc_id, source, text,
+        CAST(len([w FOR w IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF w <> '']) AS BIGINT) AS size
+    FROM documents),
+s AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place
+    FROM d GROUP BY source),
+w AS (SELECT *, CAST([5, 2, 1][CAST((place - 1) % 3 AS BIGINT) + 1] AS DOUBLE) AS weight, CAST(3 * source_size AS DOUBLE) AS bound FROM s),
+c AS (
+    SELECT *, (SELECT CAST(sum(source_size) AS DOUBLE) FROM s) AS total, bound / weight AS ratio,
+        coalesce(sum(bound) OVER (ORDER BY bound / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+        sum(weight) OVER (ORDER BY bound / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS others
+    FROM w),
+level AS (
+    SELECT (total - before) / others AS level FROM c WHERE bound >= (total - before) / others * weight
+    ORDER BY ratio, place LIMIT 1),
+t AS (SELECT source, source_size, least(bound, weight * level) AS target FROM c, level),
+r AS (
+    SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+        CAST('0x' || substr(md5('11:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 13) AS BIGINT)
+            / 4503599627370496.0 AS chance
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+    size * CAST(floor(rate) + CASE WHEN chance < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS taken
+FROM r
 """,
     # Every subset of a labelled URL's tokens is counted, instead of only frequent ones.
     "op4_url_filters": r"""

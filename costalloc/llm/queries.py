@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costalloc.llm import chat, decontam, extract, mixing, mixture, packing, quality, simhash, substrings, urls, warc
+from costalloc.llm import chat, decontam, extract, mixing, mixture, packing, quality, simhash, substrings, trie, urls, warc
 from costalloc.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,10 @@ def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row.doc_id", "size", "source_size", "target", taken)
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_tree(table(spark, sf_dir, "conversations"), group=20, heads=4)
+
+
 def _shipped(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +95,7 @@ OPERATORS = [
     op9_chat_formatting,
     op10_html_extraction,
     op11_source_mixing,
+    op12_conversation_trie,
 ]
 QUERIES: dict[str, Query] = {f.__name__: _shipped(f) for f in OPERATORS}
 ORACLES: dict[str, str] = {
@@ -161,6 +166,38 @@ r AS (
 SELECT doc_id, size, source_size, target,
     size * CAST(floor(rate) + CASE WHEN chance < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS taken
 FROM r
+""",
+    "op12_conversation_trie": r"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+    FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(struct_pack(role, text) ORDER BY place) AS turns FROM turns GROUP BY conv_id),
+bits AS (  -- crc32 by the polynomial 0xEDB88320, a byte at a time
+    SELECT conv_id, list_reduce(list_prepend(4294967295::BIGINT, [ascii(c)::BIGINT FOR c IN string_split(CAST(conv_id AS VARCHAR), '')]),
+        lambda x, b: list_reduce(list_prepend(xor(x, b), [0::BIGINT FOR i IN range(8)]),
+            lambda y, z: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384::BIGINT) ELSE y >> 1 END)) AS crc
+    FROM own),
+h AS (SELECT conv_id, xor(crc, 4294967295::BIGINT) % 4 AS h FROM bits),
+built AS (
+    SELECT o.conv_id, list_concat(coalesce(b.turns, [])[1 : h.h], o.turns[h.h + 1 :]) AS turns
+    FROM own o JOIN h USING (conv_id) LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20),
+starts AS (SELECT conv_id, len(turns) AS n, unnest(range(0, len(turns) + 1)) AS depth, turns FROM built),
+p AS (SELECT conv_id, n, depth, sha256(CAST(turns[1 : depth] AS VARCHAR)) AS node,
+    CASE WHEN depth > 0 THEN sha256(CAST(turns[1 : depth - 1] AS VARCHAR)) END AS above,
+    CASE WHEN depth > 0 THEN len([w FOR w IN string_split_regex(turns[depth].text, '[\x20\x09-\x0D]+') IF w <> '']) ELSE 0 END AS words
+    FROM starts),
+nodes AS (
+    SELECT node, any_value(above) AS above, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = depth), '')) AS ends_sha256
+    FROM p GROUP BY node),
+children AS (SELECT above AS node, count(*) AS n_children FROM nodes WHERE above IS NOT NULL GROUP BY above),
+pairs AS (SELECT DISTINCT a.node AS top, b.node AS node FROM p a JOIN p b ON a.conv_id = b.conv_id AND a.depth <= b.depth),
+sums AS (
+    SELECT top AS node, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, CAST(sum((n_convs - 1) * words) AS BIGINT) AS saved_tokens
+    FROM pairs JOIN nodes USING (node) LEFT JOIN children USING (node) GROUP BY top)
+SELECT n.conv_id, n.depth, a.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes a ON n.above = a.node LEFT JOIN children c ON c.node = n.node JOIN sums s ON s.node = n.node
 """,
     # Every subset of a labelled URL's tokens is counted, instead of only frequent ones.
     "op4_url_filters": r"""

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costalloc.llm import chat, decontam, extract, mixing, mixture, packing, quality, simhash, substrings, trie, urls, warc
+from costalloc.llm import chat, decontam, extract, mixing, mixture, negatives, packing, quality, simhash, substrings, trie, urls, warc
 from costalloc.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,10 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_tree(table(spark, sf_dir, "conversations"), group=20, heads=4)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(negatives.shifted_labels(table(spark, sf_dir, "embeddings")))
+
+
 def _shipped(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +100,7 @@ OPERATORS = [
     op10_html_extraction,
     op11_source_mixing,
     op12_conversation_trie,
+    op13_hard_negatives,
 ]
 QUERIES: dict[str, Query] = {f.__name__: _shipped(f) for f in OPERATORS}
 ORACLES: dict[str, str] = {
@@ -198,6 +203,25 @@ sums AS (
     FROM pairs JOIN nodes USING (node) LEFT JOIN children USING (node) GROUP BY top)
 SELECT n.conv_id, n.depth, a.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
 FROM nodes n LEFT JOIN nodes a ON n.above = a.node LEFT JOIN children c ON c.node = n.node JOIN sums s ON s.node = n.node
+""",
+    "op13_hard_negatives": """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+    SELECT anchor_id, id, score FROM s WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+    SELECT anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+        CAST(row_number() OVER (PARTITION BY anchor_id, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+    FROM p JOIN s USING (anchor_id) WHERE NOT alike AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
 """,
     # Every subset of a labelled URL's tokens is counted, instead of only frequent ones.
     "op4_url_filters": r"""

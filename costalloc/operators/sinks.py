@@ -4,25 +4,57 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from costalloc.operators.cleanse import HOUR
 from costalloc.operators.summaries import device_summary, store_summary
-from costalloc.sources.store import FORMATS, PARTITIONS, read_manifest, read_stored_fact
+from costalloc.sources.files import delete, folders, size_of
+from costalloc.sources.runlog import Span, key_of, publish, withdraw
+from costalloc.sources.store import FACT, FORMATS, PARTITIONS, WINDOWS, read_manifest, read_stored_fact
 
 
 def _run_id(as_of: dt.datetime) -> str:
     return f"{as_of:%H%M%S}"
 
 
-def write_fact(fact: DataFrame, base: str, as_of: dt.datetime) -> None:
-    """Store one run of the fact as Parquet, JSON and CSV under its processing date.
-
-    The fact is computed once, for Parquet; the other formats copy that run.
-    Writing the same run again replaces it, so a retried job leaves no doubles.
+def _observed(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """Count a run's rows, and note its first and last window, while it is written."""
+    seen = Observation()
+    return rows.observe(
+        seen,
+        F.count("*").alias("Rows"),
+        F.min("TimeWindow").alias("FirstWindow"),
+        F.max("TimeWindow").alias("LastWindow"),
+        F.coalesce(F.sum("AllocatedCost"), F.lit(0.0)).alias("AllocatedCost"),
+    ), seen
+
+
+def _entry(seen: dict, as_of: dt.datetime, span: Span | None, window_minutes: int) -> dict:
+    """What the log says of a run. Without a span the run has all windows from its first to its last one whole."""
+    first, last = seen["FirstWindow"], seen["LastWindow"]
+    if span is None and first is not None:
+        span = Span(first, last + dt.timedelta(minutes=window_minutes), last + dt.timedelta(minutes=window_minutes), window_minutes)
+    return {
+        "Date": as_of.date(), "Run": _run_id(as_of), "Rows": seen["Rows"], "FirstWindow": first, "LastWindow": last,
+        "CoveredFrom": span and span.start, "CoveredTo": span and span.whole_to, "SeenTo": span and span.seen_to,
+        "WindowMinutes": span.minutes if span else window_minutes,
+    }
+
+
+def write_fact(
+    fact: DataFrame, base: str, as_of: dt.datetime, span: Span | None = None, window_minutes: int = HOUR
+) -> dict:
+    """Store one run of the fact as Parquet, JSON and CSV under its processing date, and enter it in the log of runs.
+
+    The fact is computed once, for Parquet, and counted on the way; the other formats copy that run. Writing the same run
+    again takes it out of the log first and replaces it, so a retried job leaves no doubles and readers never see half of
+    it. Returns what was counted: Rows, AllocatedCost, FirstWindow, LastWindow.
     """
+    spark = fact.sparkSession
     day = F.col("ProcessingDate")
-    rows = fact.withColumns(
+    counted, observation = _observed(fact)
+    rows = counted.withColumns(
         {
             "Year": F.date_format(day, "yyyy"),
             "Month": F.date_format(day, "MM"),
@@ -37,8 +69,10 @@ def write_fact(fact: DataFrame, base: str, as_of: dt.datetime) -> None:
             writer = writer.option("header", True)
         writer.partitionBy(*PARTITIONS).format(file_format).save(f"{base}/{file_format}")
 
+    withdraw(spark, base, as_of, FACT)
     save(rows.sortWithinPartitions("TimeWindow"), "parquet")
-    stored = read_stored_fact(fact.sparkSession, base).where(
+    seen = observation.get
+    stored = read_stored_fact(spark, base).where(
         (F.col("Run") == _run_id(as_of))
         & (F.col("Year") == f"{as_of:%Y}")
         & (F.col("Month") == f"{as_of:%m}")
@@ -46,31 +80,33 @@ def write_fact(fact: DataFrame, base: str, as_of: dt.datetime) -> None:
     )
     for file_format in FORMATS[1:]:
         save(stored, file_format)
-    _note(stored, base, as_of)
+    entries = []
+    for file_format in FORMATS:
+        n_files, n_bytes = size_of(spark, f"{base}/{file_format}/Year={as_of:%Y}/Month={as_of:%m}/Day={as_of:%d}/Run={_run_id(as_of)}")
+        entries.append({**_entry(seen, as_of, span, window_minutes), "Format": file_format, "Files": n_files, "Bytes": n_bytes})
+    publish(spark, base, as_of, FACT, entries)
+    return seen
 
 
-def write_by_window(fact: DataFrame, base: str, as_of: dt.datetime) -> None:
+def write_by_window(
+    fact: DataFrame, base: str, as_of: dt.datetime, span: Span | None = None, window_minutes: int = HOUR
+) -> dict:
     """Store one run of the fact under the days of its windows, for reports that ask for a range of time.
 
-    Each day is written by tasks of its own, so a day is few files. The same run again replaces itself.
+    Rows are dealt by day, and a day that is large for one task goes to several by its measured size (the rebalance hint),
+    so small days are one file and large ones as many as they need. The same run again replaces itself; the log has it last.
     """
-    dated = fact.withColumns({"WindowDate": F.to_date("TimeWindow"), "RunStamp": F.lit(f"{as_of:%Y%m%d%H%M%S}")})
-    writer = dated.repartition("WindowDate").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    spark = fact.sparkSession
+    counted, observation = _observed(fact)
+    dated = counted.withColumns({"WindowDate": F.to_date("TimeWindow"), "RunStamp": F.lit(key_of(as_of))})
+    withdraw(spark, base, as_of, WINDOWS)
+    writer = dated.hint("rebalance", "WindowDate").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("WindowDate", "RunStamp").parquet(f"{base}/windows")
-
-
-def _note(stored: DataFrame, base: str, as_of: dt.datetime) -> None:
-    """Write the run's rows of the manifest, last: a run that broke off is not in it."""
-    counted = stored.agg(
-        F.count("*").alias("Rows"), F.min("TimeWindow").alias("FirstWindow"), F.max("TimeWindow").alias("LastWindow")
-    )
-    rows = counted.select(
-        F.explode(F.array(*map(F.lit, FORMATS))).alias("Format"),
-        F.lit(as_of.date()).alias("Date"),
-        F.lit(_run_id(as_of)).alias("Run"),
-        "Rows", "FirstWindow", "LastWindow",
-    )
-    rows.coalesce(1).write.mode("overwrite").parquet(f"{base}/manifest/Stamp={as_of:%Y%m%d%H%M%S}")
+    seen = observation.get
+    n_files, n_bytes = size_of(spark, f"{base}/windows/WindowDate=*/RunStamp={key_of(as_of)}")
+    entry = _entry(seen, as_of, span, window_minutes)
+    publish(spark, base, as_of, WINDOWS, [{**entry, "Format": "parquet", "Files": n_files, "Bytes": n_bytes}])
+    return seen
 
 
 def write_summaries(fact: DataFrame, base: str, as_of: dt.datetime) -> None:
@@ -89,7 +125,7 @@ def write_raw(telemetry: DataFrame, cost: DataFrame, base: str, as_of: dt.dateti
 
 
 def storage_metrics(spark: SparkSession, base: str, as_of: dt.datetime, retention_days: int = 90) -> DataFrame:
-    """Per stored table, and in total: days, runs, rows and expired days. From the manifest; no file is listed."""
+    """Per stored table, and in total: days, runs, rows, files, bytes and expired days. From the log; no file is listed."""
     expired = F.when(F.col("Date") < _limit(as_of, retention_days), F.col("Date"))
     return (
         read_manifest(spark, base)
@@ -98,6 +134,9 @@ def storage_metrics(spark: SparkSession, base: str, as_of: dt.datetime, retentio
             F.countDistinct("Date").alias("Days"),
             F.count("*").alias("Runs"),
             F.sum("Rows").alias("Rows"),
+            F.sum("Files").alias("Files"),
+            F.sum("Bytes").alias("Bytes"),
+            F.round(F.sum("Bytes") / (1 << 20), 2).alias("MegaBytes"),
             F.countDistinct(expired).alias("ExpiredDays"),
         )
         .withColumn("TableName", F.coalesce("Format", F.lit("total")))
@@ -110,10 +149,13 @@ def _limit(as_of: dt.datetime, retention_days: int) -> Column:
 
 
 def retention_report(spark: SparkSession, base: str, as_of: dt.datetime, retention_days: int = 90) -> DataFrame:
-    """Runs and rows per table and day that are older than the retention."""
+    """Runs, rows, files and bytes per table and day that are older than the retention."""
     expired = read_manifest(spark, base).where(F.col("Date") < _limit(as_of, retention_days))
     return expired.groupBy(F.col("Format").alias("TableName"), "Date").agg(
-        F.count("*").alias("RunsToDelete"), F.sum("Rows").alias("RowsToFree")
+        F.count("*").alias("RunsToDelete"),
+        F.sum("Rows").alias("RowsToFree"),
+        F.sum("Files").alias("FilesToDelete"),
+        F.sum("Bytes").alias("BytesToFree"),
     )
 
 
@@ -122,16 +164,18 @@ def delete_expired_partitions(
 ) -> list[str]:
     """Folders of expired days; removed only if `really` is set."""
     limit = (as_of - dt.timedelta(days=retention_days)).date()
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    expired = []
+    expired, stamps = [], set()
     for file_format in FORMATS:
-        root = hadoop.Path(f"{base}/{file_format}")
-        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for folder in fs.globStatus(hadoop.Path(root, "Year=*/Month=*/Day=*")) or []:
-            path = folder.getPath()
-            names = [path.getParent().getParent().getName(), path.getParent().getName(), path.getName()]
-            if dt.date(*[int(n.split("=")[1]) for n in names]) < limit:
-                expired.append(path.toString())
-                if really:
-                    fs.delete(path, True)
+        for path in folders(spark, f"{base}/{file_format}/Year=*/Month=*/Day=*"):
+            day = dt.date(*[int(part.split("=")[1]) for part in path.split("/")[-3:]])
+            if day < limit:
+                expired.append(path)
+                stamps.add(f"{day:%Y%m%d}")
+    if really:
+        # out of the log first: readers must not look for what is gone
+        for stamp in stamps:
+            for entry in folders(spark, f"{base}/manifest/Kind={FACT}/Stamp={stamp}*"):
+                delete(spark, entry)
+        for path in expired:
+            delete(spark, path)
     return expired

@@ -17,7 +17,8 @@ from costalloc.plans.fact import allocated_costs, correlated_fact, windowed_cost
 from costalloc.plans.run import run_once
 from costalloc.schemas import EVENTS_TABLE
 from costalloc.session import prepare, run_dir
-from costalloc.sources import billing, events, logs, store, testtables
+from costalloc.sources.runlog import Span
+from costalloc.sources import billing, events, files, logs, store, testtables
 from costalloc.streaming import ingest, late_cost, usage
 
 AS_OF = testtables.AS_OF
@@ -96,12 +97,13 @@ def _fact(spark: SparkSession, d: str, **how) -> DataFrame:
     return correlated_fact(_telemetry(spark, d), _billing(spark, d), AS_OF, **how)
 
 
-_reports: dict[tuple[str, str], str] = {}
+_reports: dict[tuple, str] = {}
 
 
 def _stored_windows(spark: SparkSession, d: str) -> str:
-    """Where the fact of a folder of tables is stored by window, written once per session."""
-    key = (spark.sparkContext.applicationId, d)
+    """Where the fact of a folder of tables is stored by window, written once per session and state of the tables' files."""
+    state = [files.state_of(spark, f"{d.rstrip('/')}/{name}.parquet") for name in ("events", "lineitem")]
+    key = (spark.sparkContext.applicationId, d, *state)
     if key not in _reports:
         base = run_dir(spark, "reports")
         sinks.write_by_window(_fact(spark, d), base, AS_OF_TIME)
@@ -126,6 +128,8 @@ def on_fact(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
     query(name)(lambda spark, d: operator(_fact(spark, d)))
 
 
+_ROW = ["TimeWindow", "ResourceId", "MeterName", "DeviceId", "StoreNumber", "AllocatedCost"]
+
 # Sources ------------------------------------------------------------------
 
 
@@ -194,6 +198,40 @@ def _(spark, d):
     return store.combine_files(spark, base)
 
 
+def _overlapping(spark: SparkSession, d: str) -> str:
+    """Two runs of the scheduled job, half an hour apart, each looking back six hours from within a window.
+
+    Bills are stamped at minute 45, so that a window of which only the latter half was seen would still find its bill.
+    """
+    base = run_dir(spark, "overlap")
+    bills = _billing(spark, d).withColumn("UsageDate", F.col("UsageDate") + F.expr("INTERVAL 45 MINUTES"))
+    for moment in (INSIDE, "2024-01-24 12:30:00"):
+        run_once(spark, _telemetry(spark, d), bills, dt.datetime.fromisoformat(moment), base, lookback_hours=6, by_window=True)
+    return base
+
+
+@query("combine_overlapping_runs")
+def _(spark, d):
+    return store.combine_files(spark, _overlapping(spark, d), _ROW)
+
+
+@query("read_overlapping_windows")
+def _(spark, d):
+    return store.read_windows(spark, _overlapping(spark, d), "2024-01-24 06:00:00", INSIDE).select(_ROW)
+
+
+@query("run_owners")
+def _(spark, d):
+    """Which run counts for which window, of three runs of which the last one saw only its latter windows."""
+    base, fact = run_dir(spark, "owners"), _fact(spark, d)
+    for minutes, first in ((0, "2024-01-01"), (6, "2024-01-10"), (12, "2024-01-20")):
+        rows, moment = fact.where(F.col("TimeWindow") >= F.lit(first).cast("timestamp")), AS_OF_TIME + dt.timedelta(minutes=minutes)
+        sinks.write_by_window(rows, base, moment, Span(dt.datetime.fromisoformat(first), AS_OF_TIME, moment))
+    log = store.read_log(spark, base)
+    owned = store.owners(log, "2024-01-05", "2024-01-25")
+    return owned.groupBy("RunKey").agg(F.count("*").alias("n_windows"), F.min("TimeWindow").alias("FirstWindow"), F.max("TimeWindow").alias("LastWindow"))
+
+
 @query("read_summaries")
 def _(spark, d):
     base = run_dir(spark, "summaries")
@@ -304,7 +342,6 @@ def _(spark, d):
 
 on_fact("add_period_columns", lambda f: cleanse.add_period_columns(f).select(
     "TimeWindow", "ResourceId", "MeterName", "DeviceId", "StoreNumber", "CostPerToken", "Month", "Week"))
-_ROW = ["TimeWindow", "ResourceId", "MeterName", "DeviceId", "StoreNumber", "AllocatedCost"]
 on_report("incremental_range", lambda f: f.select(_ROW), "2024-01-08", "2024-01-15")
 on_report("incremental_refresh", lambda f: cleanse.refresh_range(f, INSIDE_DAY).select(_ROW), WEEK_BEFORE, INSIDE_DAY)
 
@@ -639,12 +676,15 @@ def _stored_days(spark: SparkSession, d: str) -> str:
 
 @query("storage_metrics")
 def _(spark, d):
-    return sinks.storage_metrics(spark, _stored_days(spark, d), AS_OF_TIME + dt.timedelta(days=120))
+    kept = sinks.storage_metrics(spark, _stored_days(spark, d), AS_OF_TIME + dt.timedelta(days=120))
+    # how many files and bytes a run takes is up to the cluster
+    return kept.withColumn("HasFiles", (F.col("Files") >= F.col("Runs")) & (F.col("Bytes") > 0)).drop("Files", "Bytes", "MegaBytes")
 
 
 @query("retention_report")
 def _(spark, d):
-    return sinks.retention_report(spark, _stored_days(spark, d), AS_OF_TIME + dt.timedelta(days=120))
+    expired = sinks.retention_report(spark, _stored_days(spark, d), AS_OF_TIME + dt.timedelta(days=120))
+    return expired.withColumn("FreesBytes", F.col("BytesToFree") > 0).drop("FilesToDelete", "BytesToFree")
 
 
 # Streams ------------------------------------------------------------------

@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from costalloc.functions.timeparts import moment
-from costalloc.operators.skew import salted_join
 from costalloc.schemas import CORRELATED_FACT
+from costalloc.sources.runlog import owners, read_log
 
 PARTITIONS = ["Year", "Month", "Day", "Run"]
 STORED_FACT = T.StructType(
     [*CORRELATED_FACT.fields, *[T.StructField(p, T.StringType()) for p in PARTITIONS]]
 )
 FORMATS = ["parquet", "json", "csv"]
-MANIFEST = ["Format", "Date", "Run", "Rows", "FirstWindow", "LastWindow"]
+MANIFEST = ["Format", "Date", "Run", "Rows", "FirstWindow", "LastWindow", "Files", "Bytes"]
+FACT, WINDOWS = "fact", "windows"  # the two layouts a run is stored in, with a log each
 
 # The columns reports load.
 REPORT_COLUMNS = [
@@ -45,9 +46,10 @@ def read_partition(spark: SparkSession, base: str, day: dt.date, file_format: st
 
 
 def read_windows(spark: SparkSession, base: str, start=None, end=None) -> DataFrame:
-    """The stored fact of a half-open range of time windows; only the folders of its days are read.
+    """The stored fact of a half-open range of time windows.
 
-    Runs overlap: of each window and resource the rows of the newest run that has it.
+    Runs overlap: each window comes from the newest run that has it whole, by the log of runs. The join with these few
+    owners also leaves out the folders of runs that own nothing in the range.
     """
     layout = T.StructType([
         *CORRELATED_FACT.fields, T.StructField("WindowDate", T.DateType()), T.StructField("RunStamp", T.StringType())
@@ -57,19 +59,17 @@ def read_windows(spark: SparkSession, base: str, start=None, end=None) -> DataFr
         rows = rows.where((F.col("WindowDate") >= F.to_date(moment(start))) & (F.col("TimeWindow") >= moment(start)))
     if end is not None:
         rows = rows.where((F.col("WindowDate") <= F.to_date(moment(end))) & (F.col("TimeWindow") < moment(end)))
-    key = ["WindowDate", "TimeWindow", "ResourceId", "RunStamp"]
-    newest = rows.groupBy(*key[:-1]).agg(F.max("RunStamp").alias("RunStamp"))
-    kept = salted_join(rows, newest, key, ["DeviceId", "StoreNumber"], "left_semi")
+    log = read_log(spark, base).where(F.col("Kind") == WINDOWS)
+    owned = owners(log, start, end).select(F.to_date("TimeWindow").alias("WindowDate"), "TimeWindow", F.col("RunKey").alias("RunStamp"))
+    kept = rows.join(owned, ["WindowDate", "RunStamp", "TimeWindow"], "left_semi")
     return kept.select(CORRELATED_FACT.names)
 
 
 def combine_files(spark: SparkSession, base: str, columns: list[str] = REPORT_COLUMNS) -> DataFrame:
-    """Chosen columns of all stored runs; runs overlap, so each window and resource is that of its newest run."""
-    run = F.concat(*PARTITIONS).alias("_run")
-    rows = read_stored_fact(spark, base).withColumn("_run", run)
-    newest = rows.groupBy("TimeWindow", "ResourceId").agg(F.max("_run").alias("_run"))
-    kept = salted_join(rows, newest, ["TimeWindow", "ResourceId", "_run"], ["DeviceId", "StoreNumber"], "left_semi")
-    return kept.select(columns)
+    """Chosen columns of all stored runs; runs overlap, so each window is that of the newest run that has it whole."""
+    rows = read_stored_fact(spark, base).withColumn("RunKey", F.concat(*PARTITIONS))
+    log = read_log(spark, base).where((F.col("Kind") == FACT) & (F.col("Format") == FORMATS[0]))
+    return rows.join(owners(log), ["TimeWindow", "RunKey"], "left_semi").select(columns)
 
 
 def read_summaries(spark: SparkSession, base: str, kind: str) -> DataFrame:
@@ -78,8 +78,8 @@ def read_summaries(spark: SparkSession, base: str, kind: str) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, base: str) -> DataFrame:
-    """One row per stored run and format: Format, Date, Run, Rows, FirstWindow, LastWindow."""
-    return spark.read.parquet(f"{base}/manifest").select(MANIFEST)
+    """One row per stored run and format: when, how many rows, files and bytes, and which windows."""
+    return read_log(spark, base).where(F.col("Kind") == FACT).select(MANIFEST).distinct()
 
 
 def list_partitions(

@@ -281,6 +281,18 @@ oracle("combine_files", ["fact"], f"""
   SELECT DeviceId, StoreNumber, {r('AllocatedCost')}, {big('TokensUsed')}, {big('ApiCalls')}, TimeWindow,
     ModelFamily, CostType, ShiftCategory, IsBusinessHours FROM fact""")
 
+# Two runs, at 12:00 and 12:30, with a lookback of six hours and bills at minute 45.
+for _name in ("combine_overlapping_runs", "read_overlapping_windows"):
+    oracle(_name, ["fact"], f"""
+  SELECT {KEY}, {r('AllocatedCost')} FROM fact
+  WHERE TimeWindow >= TIMESTAMP '2024-01-24 06:00:00' AND TimeWindow < {INSIDE}""")
+ORACLES["run_owners"] = """
+  SELECT RunKey, count(*) AS n_windows, min(w) AS FirstWindow, max(w) AS LastWindow
+  FROM (SELECT w, CASE WHEN w >= TIMESTAMP '2024-01-20' THEN '20240131001200' WHEN w >= TIMESTAMP '2024-01-10' THEN '20240131000600'
+          ELSE '20240131000000' END AS RunKey
+        FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-05', TIMESTAMP '2024-01-24 23:00:00', INTERVAL 1 HOUR)) AS w))
+  GROUP BY RunKey"""
+
 DEVICE_SUMMARY = f"""
   SELECT DeviceId, StoreNumber, {r('sum(AllocatedCost)', 'TotalCost')}, count(*) AS RecordCount,
     {big('sum(TokensUsed)', 'TotalTokens')}, {big('sum(ApiCalls)', 'TotalApiCalls')},
@@ -821,11 +833,11 @@ oracle("write_raw", ["calls", "billing"], f"""
   SELECT 'telemetry' AS kind, count(*) AS n, {r('sum(TokensUsed)', 'amount')} FROM calls
   UNION ALL SELECT 'cost', count(*), round(sum(PreTaxCost) + 3e-10, 6) FROM billing""")
 oracle("storage_metrics", ["fact"], """
-  SELECT TableName, CAST(3 AS BIGINT) AS Days, runs AS Runs, CAST(runs * n AS BIGINT) AS "Rows", CAST(2 AS BIGINT) AS ExpiredDays
+  SELECT TableName, true AS HasFiles, CAST(3 AS BIGINT) AS Days, runs AS Runs, CAST(runs * n AS BIGINT) AS "Rows", CAST(2 AS BIGINT) AS ExpiredDays
   FROM (VALUES ('parquet', CAST(4 AS BIGINT)), ('json', 4), ('csv', 4), ('total', 12)) t(TableName, runs),
     (SELECT count(*) AS n FROM fact)""")
 oracle("retention_report", ["fact"], """
-  SELECT TableName, "Date", CAST(1 AS BIGINT) AS RunsToDelete, n AS RowsToFree
+  SELECT TableName, "Date", CAST(1 AS BIGINT) AS RunsToDelete, n AS RowsToFree, true AS FreesBytes
   FROM (VALUES ('parquet'), ('json'), ('csv')) t(TableName), (VALUES ('2024-01-31'), ('2024-02-01')) d("Date"),
     (SELECT count(*) AS n FROM fact)""")
 ORACLES["list_partitions"] = "SELECT '2024/01/31' AS \"Partition\", '2024-01-31' AS \"Date\""

@@ -172,10 +172,37 @@ def allocate(
     )
 
 
-def _cost_part(method: str, mode: str) -> Column:
+def _cost_part(method: str, mode: str, cost: str = "TotalCost") -> Column:
     if mode == REFERENCE and method == "time-weighted":
         method = "proportional"
-    return F.coalesce(F.when(F.col("TotalCost") > 0, _share(method, mode) * F.col("TotalCost")), F.lit(0.0))
+    return F.coalesce(F.when(F.col(cost) > 0, _share(method, mode) * F.col(cost)), F.lit(0.0))
+
+
+def allocation_change(usage: DataFrame, lines: DataFrame, method: str = "proportional") -> DataFrame:
+    """What changed cost lines change in the fact, split as `allocate` does it in conserving mode.
+
+    lines: KEYS, LINE_LABELS, Cost, OldCost (null for a new line) and Lines (1 for a new line, -1 for one that is gone, else 0).
+    AllocatedCost, TotalCost and Lines are differences, to be added to what is there.
+    """
+    if method not in METHODS:
+        raise ValueError(f"unknown allocation {method!r}")
+    lines = lines.withColumnsRenamed({"Lines": "LineChange"}).withColumn("Lines", F.lit(1))
+    cells = cells_with_lines(usage, lines, ("OldCost", "LineChange"))
+    return cells.select(
+        *KEYS,
+        *CELL,
+        F.concat_ws("_", *CELL).alias("DeviceStoreKey"),
+        (_cost_part(method, CONSERVING) - _cost_part(method, CONSERVING, "OldCost")).alias("AllocatedCost"),
+        (F.coalesce("TotalCost", F.lit(0.0)) - F.coalesce("OldCost", F.lit(0.0))).alias("TotalCost"),
+        F.lit(method).alias("AllocationMethod"),
+        "TokensUsed",
+        "ApiCalls",
+        "AvgResponseTime",
+        *LINE_LABELS,
+        ratio_or_zero(F.col("TokensUsed"), F.col("_tokens")).alias("TokenShare"),
+        ratio_or_zero(F.col("ApiCalls"), F.col("_calls")).alias("ApiCallShare"),
+        F.col("LineChange").alias("Lines"),
+    )
 
 
 def allocated_by_all(usage: DataFrame, cost: DataFrame, mode: str = CONSERVING) -> DataFrame:
@@ -193,11 +220,17 @@ def allocated_by_all(usage: DataFrame, cost: DataFrame, mode: str = CONSERVING)
 def _costed_cells(usage: DataFrame, cost: DataFrame, mode: str) -> DataFrame:
     """Usage cells with the cost lines of their window and resource, and the totals to split them by."""
     lines = cost_lines(cost).withColumn("Lines", F.lit(1)) if mode == CONSERVING else first_cost_line(cost)
+    return cells_with_lines(usage, lines)
+
+
+def cells_with_lines(usage: DataFrame, lines: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """As above, for lines as they are; carried: further columns of a line to keep."""
     # One small row per billed line: what a cell needs to know about its group.
     rates = lines.join(window_totals(usage), KEYS)
     rates = rates.select(
         *KEYS,
         *LINE_LABELS,
+        *carried,
         F.col("Cost").alias("TotalCost"),
         "Lines",
         (F.col("TotalTokens") * F.col("Lines")).alias("_tokens"),

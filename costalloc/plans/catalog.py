@@ -19,7 +19,7 @@ from costalloc.schemas import EVENTS_TABLE
 from costalloc.session import prepare, run_dir
 from costalloc.sources.runlog import Span
 from costalloc.sources import billing, events, files, logs, store, testtables
-from costalloc.streaming import ingest, late_cost, usage
+from costalloc.streaming import ingest, late_cost, stateful, usage
 
 AS_OF = testtables.AS_OF
 AS_OF_TIME = dt.datetime.fromisoformat(AS_OF)
@@ -698,7 +698,9 @@ def _event_stream(spark: SparkSession, d: str) -> DataFrame:
 @query("stream_ingest")
 def _(spark, d):
     path = run_dir(spark, "ingest")
-    bodies = testtables.raw_event_bodies(_event_stream(spark, d)).select("value")
+    # bodies as an event log hands them out: one text each
+    testtables.raw_events(spark, d).select("value").write.text(f"{path}/log")
+    bodies = ingest.body_stream(spark, "text", path=f"{path}/log")
     ingest.start_ingest(bodies, f"{path}/out", f"{path}/state").awaitTermination()
     return spark.read.parquet(f"{path}/out").select(
         "eventType", "timestamp", "correlationId", "deviceId", "storeNumber", "statusCode", "tokensUsed", "resourceId"
@@ -736,6 +738,46 @@ def _(spark, d):
     return usage.read_stream_usage(spark, f"{path}/out")
 
 
+def _in_pieces(spark: SparkSession, path: str, *parts: DataFrame) -> DataFrame:
+    """A stream that gets each part as a file of its own, in this order."""
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query("stream_closed_usage")
+def _(spark, d):
+    """Three parts of the month in order, then a tenth of all calls, most of whose windows are over by then."""
+    path = run_dir(spark, "closed")
+    rows = _telemetry(spark, d)
+    late, part = F.pmod(F.crc32(F.col("RequestId").cast("binary")), F.lit(10)) == 0, F.floor((F.dayofmonth("TimeGenerated") - 1) / 10)
+    stream = _in_pieces(spark, f"{path}/in", *[rows.where(~late & (part >= k if k == 2 else part == k)) for k in range(3)], rows.where(late))
+    stateful.start_closed_usage(stream, f"{path}/out", f"{path}/state").awaitTermination()
+    return stateful.read_closed_usage(spark, f"{path}/out")
+
+
+def _dedup_changes(spark: SparkSession, d: str) -> str:
+    """The request log arrives first, then the gateway's copies, then some of them again."""
+    path = run_dir(spark, "changes")
+    union = dedup.union_telemetry(*testtables.telemetry_sources(spark, d))
+    by_source = [union.where(F.col("Source") == source) for source in reversed(dedup.SOURCE_ORDER)]
+    stream = _in_pieces(spark, f"{path}/in", *by_source, by_source[1].where("StatusCode <> 200"))
+    stateful.start_dedup_changes(stream, f"{path}/out", f"{path}/state", keep_hours=24 * 60).awaitTermination()
+    return f"{path}/out"
+
+
+@query("stream_dedup_changes")
+def _(spark, d):
+    return stateful.read_dedup_changes(spark, _dedup_changes(spark, d))
+
+
+@query("stream_usage_of_changes")
+def _(spark, d):
+    """Usage kept up from what each batch changed."""
+    changes = stateful.changes_store(spark, _dedup_changes(spark, d)).read()
+    return usage.finished(stateful.usage_of_changes(changes))
+
+
 def _deduped(spark: SparkSession, d: str) -> DataFrame:
     """The request log arrives first, in batches of its own."""
     path = run_dir(spark, "dedup")
@@ -771,10 +813,22 @@ def _(spark, d):
     arriving = (
         spark.readStream.schema(_billing(spark, d).schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/billing")
     )
-    late_cost.start_late_cost(
-        arriving, f"{path}/usage", f"{path}/cost", f"{path}/fact", f"{path}/state", AS_OF
-    ).awaitTermination()
-    return late_cost.read_late_fact(spark, f"{path}/fact")
+    late_cost.start_late_cost(arriving, f"{path}/usage", f"{path}/cost", f"{path}/fact", f"{path}/state").awaitTermination()
+    return late_cost.read_late_fact(spark, f"{path}/fact", AS_OF)
+
+
+@query("stream_late_cost_notes")
+def _(spark, d):
+    """All bills, then all of them again, then one meter restated: how many lines each batch has to change."""
+    path = run_dir(spark, "late-notes")
+    late_cost.write_usage(_usage(spark, d), f"{path}/usage")
+    bills = _billing(spark, d)
+    restated = bills.where("cost_seq = 2 AND UsageDate < TIMESTAMP '2024-01-02'").withColumn("PreTaxCost", F.col("PreTaxCost") * 2)
+    for rows in (bills, bills, restated):
+        rows.coalesce(1).write.mode("append").parquet(f"{path}/billing")
+    arriving = spark.readStream.schema(bills.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/billing")
+    late_cost.start_late_cost(arriving, f"{path}/usage", f"{path}/cost", f"{path}/fact", f"{path}/state").awaitTermination()
+    return late_cost.batch_notes(spark, f"{path}/fact")
 
 
 @query("scheduled_run")

@@ -857,7 +857,18 @@ oracle("stream_batch_counts", ["calls"], """
     count(*) FILTER (WHERE event_id % 50 IN (0, 1, 2)) AS error_count FROM calls""")
 for _name in ("stream_usage_window", "stream_dedup_usage_window"):
     oracle(_name, ["usage"], f"SELECT {USAGE_ROWS} FROM usage")
-ORACLES["stream_dedup"] = ORACLES["dedup_telemetry"]
+oracle("stream_closed_usage", ["usage", "calls"], f"""
+  SELECT {USAGE_ROWS} FROM usage WHERE TimeWindow + INTERVAL 1 HOUR <= (SELECT max(TimeGenerated) FROM calls) - INTERVAL 4 HOUR""")
+oracle("stream_usage_of_changes", ["usage"], f"SELECT {USAGE_ROWS} FROM usage")
+oracle("stream_late_cost_notes", ["usage", "cost"], """
+  SELECT CAST(0 AS BIGINT) AS "Batch", (SELECT count(*) FROM cost) AS LinesChanged, (SELECT count(DISTINCT TimeWindow) FROM cost) AS "Windows",
+    (SELECT count(*) FROM usage WHERE TimeWindow IN (SELECT TimeWindow FROM cost)) AS UsageRowsRead
+  UNION ALL SELECT 1, 0, 0, 0
+  UNION ALL SELECT 2, count(*), count(DISTINCT TimeWindow),
+    (SELECT count(*) FROM usage WHERE TimeWindow IN (SELECT TimeWindow FROM cost WHERE cost_seq = 2 AND UsageDate < TIMESTAMP '2024-01-02'))
+  FROM cost WHERE cost_seq = 2 AND UsageDate < TIMESTAMP '2024-01-02'""")
+for _name in ("stream_dedup", "stream_dedup_changes"):
+    ORACLES[_name] = ORACLES["dedup_telemetry"]
 cte("run_usage", ["calls"], f"""
   SELECT TimeWindow, ResourceId, deviceId, storeNumber, CAST(sum(TokensUsed) AS BIGINT) AS tok
   FROM calls WHERE {before('TimeGenerated', INSIDE, '72 HOUR')} GROUP BY ALL""")

@@ -168,9 +168,9 @@ def test_late_cost_arrives_in_pieces(spark, small):
     tt.billing(spark, small).repartition(3, "cost_seq").write.parquet(f"{path}/billing")
     stream = spark.readStream.schema(tt.billing(spark, small).schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/billing")
     late_cost.start_late_cost(
-        stream, f"{path}/usage", f"{path}/cost", f"{path}/fact", f"{path}/c", AS_OF).awaitTermination()
+        stream, f"{path}/usage", f"{path}/cost", f"{path}/fact", f"{path}/c").awaitTermination()
     key = ["TimeWindow", "ResourceId", "MeterName", "DeviceId", "StoreNumber", F.round("AllocatedCost", 9)]
-    got = late_cost.read_late_fact(spark, f"{path}/fact").select(key)
+    got = late_cost.read_late_fact(spark, f"{path}/fact", AS_OF).select(key)
     assert sorted(got.collect()) == sorted(_fact(spark, small).select(key).collect())
 
 
@@ -184,13 +184,71 @@ def test_redelivered_and_restated_cost(spark, small):
         rows.coalesce(1).write.mode("append").parquet(f"{path}/billing")
     stream = spark.readStream.schema(bills.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/billing")
     late_cost.start_late_cost(
-        stream, f"{path}/usage", f"{path}/cost", f"{path}/fact", f"{path}/c", AS_OF).awaitTermination()
+        stream, f"{path}/usage", f"{path}/cost", f"{path}/fact", f"{path}/c").awaitTermination()
     key = ["TimeWindow", "ResourceId", "MeterName", "DeviceId", "StoreNumber", F.round("AllocatedCost", 9)]
-    got = late_cost.read_late_fact(spark, f"{path}/fact").select(key)
+    got = late_cost.read_late_fact(spark, f"{path}/fact", AS_OF).select(key)
     want = correlated_fact(tt.telemetry(spark, small), restated, AS_OF).select(key)
     assert sorted(got.collect()) == sorted(want.collect())
 
 
+def _deliver(spark, path, schema, *parts):
+    """Each part as one file; the stream takes what is new."""
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(f"{path}/billing")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/billing")
+    late_cost.start_late_cost(stream, f"{path}/usage", f"{path}/cost", f"{path}/fact", f"{path}/c").awaitTermination()
+    return {r.Batch: r for r in late_cost.batch_notes(spark, f"{path}/fact").collect()}
+
+
+def test_a_batch_costs_what_its_changed_lines_touch(spark, small):
+    """Rows read per batch: those of the windows whose lines changed, after any number of batches and a restart."""
+    path = run_dir(spark, "t")
+    cells, bills = windowed_usage(tt.telemetry(spark, small)), tt.billing(spark, small)
+    late_cost.write_usage(cells, f"{path}/usage")
+    paid = billing.model_services(bills)
+    two = bills.where("UsageDate < TIMESTAMP '2024-01-01 02:00:00'")
+    dearer = two.withColumn("PreTaxCost", F.col("PreTaxCost") * 2)
+    notes = _deliver(spark, path, bills.schema, bills, bills, dearer)
+    notes = _deliver(spark, path, bills.schema, dearer, two)
+    touched = paid.where("UsageDate < TIMESTAMP '2024-01-01 02:00:00'")
+    near = cells.where("TimeWindow < TIMESTAMP '2024-01-01 02:00:00'").count()
+    windows = touched.select("UsageDate").distinct().count()
+    assert notes[0].LinesChanged == paid.count() and notes[0].UsageRowsRead > 10 * near > 0
+    for batch, (lines, n, rows) in {1: (0, 0, 0), 2: (touched.count(), windows, near), 3: (0, 0, 0), 4: (touched.count(), windows, near)}.items():
+        assert (notes[batch].LinesChanged, notes[batch].Windows) == (lines, n) and notes[batch].UsageRowsRead <= rows
+    key = ["TimeWindow", "ResourceId", "MeterName", "DeviceId", "StoreNumber", F.round("AllocatedCost", 9), F.round("TotalCost", 9)]
+    got = late_cost.read_late_fact(spark, f"{path}/fact", AS_OF).select(key)
+    assert sorted(got.collect()) == sorted(_fact(spark, small).select(key).collect())
+
+
+def test_late_cost_filters_folders_whatever_the_join(spark, small):
+    path = run_dir(spark, "t")
+    late_cost.write_usage(windowed_usage(tt.telemetry(spark, small)), f"{path}/usage")
+    windows = [dt.datetime(2024, 1, 3, 4), dt.datetime(2024, 1, 5, 6)]
+    rows = spark.read.parquet(f"{path}/usage").where(late_cost.of_windows(windows, hours=True))
+    assert {r.TimeWindow for r in rows.select("TimeWindow").distinct().collect()} <= set(windows) and rows.count() > 0
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "WindowHour" in plan.split("PartitionFilters")[1]
+    assert spark.read.parquet(f"{path}/usage").where(late_cost.of_windows([], hours=True)).count() == 0
+
+
+def test_late_cost_over_many_batches_and_relabelled_lines(spark, small):
+    """Enough batches to be merged; a line whose resource group changes moves to the new one."""
+    path = run_dir(spark, "t")
+    bills = tt.billing(spark, small).where("UsageDate < TIMESTAMP '2024-01-04'")
+    late_cost.write_usage(windowed_usage(tt.telemetry(spark, small)), f"{path}/usage")
+    moved = bills.withColumn("ResourceId", F.regexp_replace("ResourceId", "rg-1", "rg-2"))
+    parts = [bills.where(F.pmod(F.xxhash64("UsageDate"), F.lit(9)) == k) for k in range(9)]
+    _deliver(spark, path, bills.schema, *parts, moved)
+    got = late_cost.read_late_fact(spark, f"{path}/fact", AS_OF)
+    want = correlated_fact(tt.telemetry(spark, small), moved, AS_OF)
+    key = ["TimeWindow", "ResourceId", "ResourceGroup", "MeterName", "DeviceId", "StoreNumber", F.round("AllocatedCost", 9)]
+    assert sorted(got.select(key).collect()) == sorted(want.select(key).collect())
+    assert len(late_cost.change_store(spark, f"{path}/fact").live()) < 10
+    day = late_cost.read_late_fact(spark, f"{path}/fact", AS_OF, "2024-01-02", "2024-01-03")
+    assert day.count() == want.where("to_date(TimeWindow) = DATE '2024-01-02'").count() > 0
+
+
 def test_a_past_run_does_not_see_later_rows(spark, small):
     moment = dt.datetime(2024, 1, 20, 6)
     calls, bills = tt.telemetry(spark, small), tt.billing(spark, small)

@@ -707,11 +707,11 @@ def _(spark, d):
     )
 
 
-def _routed(spark: SparkSession, d: str) -> DataFrame:
+def _routed(spark: SparkSession, d: str) -> str:
     path = run_dir(spark, "routes")
     bodies = testtables.raw_event_bodies(_event_stream(spark, d)).select("value")
     ingest.start_route_errors(bodies, f"{path}/out", f"{path}/state").awaitTermination()
-    return ingest.read_routed(spark, f"{path}/out")
+    return f"{path}/out"
 
 
 @query("stream_route_errors")
@@ -719,14 +719,14 @@ def _(spark, d):
     def dim(name: str):
         return F.get_json_object("Record", f"$.customDimensions.{name}").alias(name)
 
-    return _routed(spark, d).select(
+    return ingest.read_routed(spark, _routed(spark, d)).select(
         "Route", *[dim(n) for n in ("correlation_id", "device_id", "store_number", "tokens_used", "status_code")]
     )
 
 
 @query("stream_batch_counts")
 def _(spark, d):
-    counts = ingest.batch_counts(_routed(spark, d))
+    counts = ingest.batch_counts(spark, _routed(spark, d))
     return counts.agg(*[F.sum(c).alias(c) for c in ("batch_size", "processed_count", "error_count")])
 
 

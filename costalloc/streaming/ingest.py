@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from costalloc.sources import files
 from costalloc.sources.events import (
     DIMENSIONS,
     ERROR_EVENT,
@@ -14,6 +18,7 @@ from costalloc.sources.events import (
     parse_events,
     split_events,
 )
+from costalloc.streaming.segments import Segments
 
 
 def body_stream(spark: SparkSession, source: str, **options: str) -> DataFrame:
@@ -45,30 +50,41 @@ def route_batch(batch: DataFrame) -> DataFrame:
     return forwarded.unionByName(rejects.select(F.lit("reject").alias("Route"), F.col("body").alias("Record")))
 
 
+ROUTED = T.StructType([T.StructField("Record", T.StringType()), T.StructField("Route", T.StringType())])
+
+
+def routed_store(spark: SparkSession, path: str) -> Segments:
+    return Segments(spark, path, ROUTED, lambda rows: rows, partition="Route")
+
+
 def start_route_errors(bodies: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Write calls, errors and rejects of every batch to folders of their own.
+    """Write calls, errors and rejects of every batch to folders of their own, and note how many there were.
 
-    One partitioned write per batch, into a folder named by the batch: a batch
-    that is run again replaces what it wrote before.
+    One partitioned write per batch, which is counted on the way; a batch that is run again replaces what it wrote
+    before. Batches are merged in levels, so that files stay few.
     """
+    spark = bodies.sparkSession
+    kept = routed_store(spark, path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        routed = route_batch(batch)
-        routed.write.mode("overwrite").partitionBy("Route").parquet(f"{path}/Batch={batch_id}")
+        seen, failed = Observation(), F.col("Route") == "reject"
+        counted = route_batch(batch).observe(
+            seen, F.count("*").alias("batch_size"), F.count_if(~failed).alias("processed_count"), F.count_if(failed).alias("error_count")
+        )
+        if kept.write(counted, batch_id):
+            note = f"{path}/notes/{batch_id:012d}.json"
+            files.delete(spark, note)
+            files.put_text(spark, note, json.dumps({"Batch": batch_id, **seen.get}))
+        kept.keep_small()
 
     writer = bodies.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def read_routed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return routed_store(spark, path).read()
 
 
-def batch_counts(routed: DataFrame) -> DataFrame:
-    """Size, processed and failed events of every batch."""
-    failed = F.col("Route") == "reject"
-    return routed.groupBy("Batch").agg(
-        F.count("*").alias("batch_size"),
-        F.count_if(~failed).alias("processed_count"),
-        F.count_if(failed).alias("error_count"),
-    )
+def batch_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Size, processed and failed events of every batch, as counted when it was written."""
+    return spark.read.schema("Batch bigint, batch_size bigint, processed_count bigint, error_count bigint").json(f"{path}/notes")

@@ -38,13 +38,16 @@ class Segment:
 
 
 class Segments:
-    """A store of micro-batches below `base`, by day.
+    """A store of micro-batches below `base`, in folders by day or by another column.
 
-    layout: the columns of a row, DAY_PARTITION among them. merge: makes of rows of several batches the rows that stand for them; merging
+    layout: the columns of a row, `partition` among them. merge: makes of rows of several batches the rows that stand for them; merging
     in any order of levels must give the same in the end.
     """
 
-    def __init__(self, spark: SparkSession, base: str, layout: T.StructType, merge: Merge, fanout: int = FANOUT):
+    def __init__(
+        self, spark: SparkSession, base: str, layout: T.StructType, merge: Merge, fanout: int = FANOUT, partition: str = DAY_PARTITION
+    ):
+        self.partition = partition
         self.spark, self.base, self.merge, self.fanout = spark, base.rstrip("/"), merge, fanout
         self.columns = layout.fieldNames()
         self.layout = T.StructType([*layout.fields, T.StructField("Segment", T.StringType())])
@@ -85,7 +88,7 @@ class Segments:
         """Store a batch; the same batch again replaces itself, or is left out if it was merged already."""
         if self.is_merged(batch_id):
             return False
-        rows.select(self.columns).write.mode("overwrite").partitionBy(DAY_PARTITION).parquet(self._path(f"b{batch_id:012d}"))
+        rows.select(self.columns).write.mode("overwrite").partitionBy(self.partition).parquet(self._path(f"b{batch_id:012d}"))
         return True
 
     def _read(self, names: list[str]) -> DataFrame:
@@ -131,7 +134,7 @@ class Segments:
         first, last, level = min(p.first for p in parts), max(p.last for p in parts), parts[0].level + 1
         new = Segment(level, first, last, f"m{level}-{first:012d}-{last:012d}-{uuid.uuid4().hex[:8]}")
         rows = self.merge(self._read([p.name for p in parts]).select(self.columns)).select(self.columns)
-        rows.hint("rebalance", DAY_PARTITION).write.partitionBy(DAY_PARTITION).parquet(self._path(new.name))
+        rows.hint("rebalance", self.partition).write.partitionBy(self.partition).parquet(self._path(new.name))
         left = [s for s in segments if s.name not in {p.name for p in parts}]
         told = {"version": version + 1, "segments": [asdict(s) for s in sorted([*left, new], key=lambda s: s.first)]}
         files.put_text(self.spark, f"{self.base}/versions/{version + 1:012d}.json", json.dumps(told))

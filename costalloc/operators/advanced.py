@@ -148,7 +148,9 @@ def pattern_lookup_join(usage: DataFrame, patterns: DataFrame) -> DataFrame:
     return rates.join(patterns, ["device_id", "store_number"])
 
 
-def usage_anomalies(usage: DataFrame, patterns: DataFrame) -> DataFrame:
+def usage_anomalies(
+    usage: DataFrame, patterns: DataFrame, limit: float = ANOMALY_DEVIATION, severe: float = SEVERE_DEVIATION
+) -> DataFrame:
     """Devices whose tokens or calls per hour are far from their pattern."""
 
     def deviation(now: str, expected: str):
@@ -164,10 +166,10 @@ def usage_anomalies(usage: DataFrame, patterns: DataFrame) -> DataFrame:
     )
     worst = F.greatest("token_deviation", "call_deviation")
     rises = F.col("current_tokens_per_hour") > F.col("expected_tokens_per_hour")
-    return compared.where(worst > ANOMALY_DEVIATION).withColumns(
+    return compared.where(worst > limit).withColumns(
         {
             "anomaly_type": F.when(rises, "usage_spike").otherwise("usage_drop"),
-            "severity": F.when(worst > SEVERE_DEVIATION, "high").otherwise("medium"),
+            "severity": F.when(worst > severe, "high").otherwise("medium"),
         }
     )
 

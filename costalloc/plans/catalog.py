@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from costalloc.functions import scores
 from costalloc.functions.ids import normalize_resource_id
 from costalloc.operators import advanced, cleanse, correlate, dedup, measures, quality, reports, sinks, summaries
+from costalloc.operators.correlation_index import device_correlation_index
 from costalloc.plans.fact import DECAY_HOURS as FACT_DECAY_HOURS
 from costalloc.plans.fact import allocated_costs, correlated_fact, windowed_cost, windowed_usage
 from costalloc.plans.run import run_once
@@ -615,9 +616,14 @@ query("predict_cost")(
     lambda spark, d: advanced.predict_cost(_last_day(spark, d), advanced.device_cost_models(_fact(spark, d)))
 )
 query("pattern_lookup_join")(lambda spark, d: advanced.pattern_lookup_join(_last_day(spark, d), _patterns(spark, d)))
-query("usage_anomalies")(lambda spark, d: advanced.usage_anomalies(_last_day(spark, d), _patterns(spark, d)))
-on_fact("device_pair_join", advanced.device_pair_join)
-on_fact("device_spillover", advanced.device_spillover)
+# Usage and cost of the given tables are even: with the limits of the operators nothing stands out, so these are lower.
+query("usage_anomalies")(
+    lambda spark, d: advanced.usage_anomalies(_last_day(spark, d), _patterns(spark, d), limit=0.5, severe=0.75)
+)
+on_fact("device_pair_join", lambda f: advanced.device_pair_join(f, 0.1))
+on_fact("device_spillover", lambda f: advanced.device_spillover(f, 0.1))
+on_report("device_correlation_index", lambda f: device_correlation_index(
+    f, dt.datetime.fromisoformat(testtables.FIRST_DAY), AS_OF_TIME, bucket_hours=72, limit=0.5))
 query("recommend_allocation")(lambda spark, d: advanced.recommend_allocation(_clean(spark, d), _cost(spark, d)))
 query("recommend_allocation_no_cost")(
     lambda spark, d: advanced.recommend_allocation(_clean(spark, d), _cost(spark, d).where("Cost < 0"))

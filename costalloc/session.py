@@ -8,7 +8,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on; cluster sizing is left to the submitter.
 SETTINGS = {
@@ -64,6 +64,13 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/costalloc/{name}-{uuid.uuid4().hex}"
 
 
+def materialize(rows: DataFrame, name: str) -> DataFrame:
+    """Write rows to the shared folder and read them back: later steps start from there, also after an executor is lost."""
+    path = run_dir(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 _shipped: set[str] = set()
 
 

@@ -653,7 +653,7 @@ cte("kept_fact", ["fact"], "SELECT TimeWindow, ResourceId, MeterName, DeviceId,
 oracle("cost_anomaly_2sigma", ["kept_fact"], f"""
   SELECT {KEY}, {r('AllocatedCost')}, CASE WHEN AllocatedCost > mu + 2 * sd THEN 'High'
     WHEN AllocatedCost < mu - 2 * sd THEN 'Low' ELSE 'Normal' END AS CostAnomaly
-  FROM kept_fact, (SELECT avg(AllocatedCost) AS mu, stddev_samp(AllocatedCost) AS sd FROM kept_fact)""")
+  FROM (SELECT *, avg(AllocatedCost) OVER () AS mu, stddev_samp(AllocatedCost) OVER () AS sd FROM kept_fact)""")
 oracle("peak_hours", ["calls"], f"""
   SELECT deviceId, storeNumber, {big('h', '"Hour"')}, {big('t', 'TotalTokens')}, {r('q', 'Threshold')}
   FROM (SELECT *, quantile_cont(t, 0.8) OVER (PARTITION BY deviceId, storeNumber) AS q
@@ -764,8 +764,8 @@ ORACLES["usage_anomalies"] = with_patterns(WEEK_BEFORE, f"""
   SELECT deviceId AS device_id, storeNumber AS store_number, {r('now_t', 'current_tokens_per_hour')},
     {r('tph', 'expected_tokens_per_hour')}, {r('dt', 'token_deviation')}, {r('dc', 'call_deviation')},
     CASE WHEN now_t > tph THEN 'usage_spike' ELSE 'usage_drop' END AS anomaly_type,
-    CASE WHEN greatest(dt, dc) > 5 THEN 'high' ELSE 'medium' END AS severity
-  FROM compared WHERE dt > 2 OR dc > 2""")
+    CASE WHEN greatest(dt, dc) > 0.75 THEN 'high' ELSE 'medium' END AS severity
+  FROM compared WHERE dt > 0.5 OR dc > 0.5""")
 
 cte("models", ["fact"], """
   SELECT DeviceId, StoreNumber, count(*) AS n,
@@ -793,7 +793,7 @@ cte("against", ["series"], """
     FROM (SELECT StoreNumber, DeviceId, round(a.c, 9) AS c, round(t.c - a.c, 9) AS o FROM series a
           JOIN (SELECT StoreNumber, TimeWindow, sum(c) AS c, count(*) AS n FROM series GROUP BY ALL) t
             USING (StoreNumber, TimeWindow) WHERE t.n > 1)
-    GROUP BY ALL) WHERE n >= 2 AND abs(x) > 0.7""")
+    GROUP BY ALL) WHERE n >= 2 AND abs(x) > 0.1""")
 oracle("device_pair_join", ["against"], f"""
   SELECT StoreNumber, DeviceId, n AS CommonWindows, {r('x', 'Correlation')} FROM against""")
 oracle("device_spillover", ["against", "series"], f"""
@@ -802,6 +802,25 @@ oracle("device_spillover", ["against", "series"], f"""
     {r('total_store_cost')}, {r('total_store_cost / device_count', 'avg_device_cost')}
   FROM against JOIN (SELECT StoreNumber, count(DISTINCT DeviceId) AS device_count, sum(c) AS total_store_cost
                    FROM series GROUP BY 1) USING (StoreNumber)""")
+# All pairs of a store, over buckets of three days, with 0 where a device had no cost.
+cte("pieces", ["fact"], """
+  SELECT StoreNumber, DeviceId, CAST(floor(epoch_us(TimeWindow - TIMESTAMP '2024-01-01' + TIMESTAMP '1970-01-01') / 259200e6) AS BIGINT) AS t, sum(AllocatedCost) AS c
+  FROM fact WHERE TimeWindow < TIMESTAMP '2024-01-31' GROUP BY ALL""")
+cte("grid", ["pieces"], """
+  SELECT d.StoreNumber, d.DeviceId, g.t, round(coalesce(p.c, 0), 9) AS x
+  FROM (SELECT DISTINCT StoreNumber, DeviceId FROM pieces) d CROSS JOIN range(0, 10) g(t)
+  LEFT JOIN pieces p ON p.StoreNumber = d.StoreNumber AND p.DeviceId = d.DeviceId AND p.t = g.t""")
+cte("pair_corr", ["grid"], """
+  SELECT a.StoreNumber, a.DeviceId, b.DeviceId AS other, round(corr(a.x, b.x), 9) AS c
+  FROM grid a JOIN grid b ON a.StoreNumber = b.StoreNumber AND a.t = b.t AND a.DeviceId <> b.DeviceId
+  GROUP BY ALL HAVING min(a.x) < max(a.x) AND min(b.x) < max(b.x)""")
+oracle("device_correlation_index", ["pair_corr", "pieces"], f"""
+  SELECT StoreNumber, DeviceId, arg_min(other, (-abs(c), other)) AS Partner, {r('arg_min(c, (-abs(c), other))', 'Correlation')},
+    CASE WHEN arg_min(c, (-abs(c), other)) > 0 THEN 'positive' ELSE 'negative' END AS Relationship, count(*) AS Links,
+    least(DeviceId, min(other)) AS "Group", device_count, {r('total_store_cost')}, {r('total_store_cost / device_count', 'avg_device_cost')}
+  FROM pair_corr JOIN (SELECT StoreNumber, count(DISTINCT DeviceId) AS device_count, sum(c) AS total_store_cost FROM pieces GROUP BY 1) USING (StoreNumber)
+  WHERE abs(c) > 0.5 GROUP BY StoreNumber, DeviceId, device_count, total_store_cost""")
+
 cte("figures", ["calls"], """
   SELECT count(*) AS n, count(DISTINCT deviceId) AS u, avg(CASE WHEN deviceId = 'unknown' THEN 1.0 ELSE 0.0 END) AS unk,
       avg(TokensUsed) AS m, var_samp(TokensUsed) / greatest(avg(TokensUsed), 1) AS ts,

@@ -1,11 +1,14 @@
 """Salted joins, distributed ranking and device comparisons against brute force."""
 
+import datetime as dt
+import math
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from costalloc.operators import correlation_index as index
 from costalloc.operators.advanced import device_pair_join
 from costalloc.operators.measures import cost_vs_prev_month, trailing_30d_cost
 from costalloc.operators.skew import add_global_rank, salted_join
@@ -77,6 +80,60 @@ def test_devices_against_the_rest_of_their_store(spark):
         assert got[device][0] == n and got[device][1] == pytest.approx(r, abs=1e-5)
 
 
+def _planted(seed, stores):
+    """Devices in groups that share a course of cost, up to noise and sign, among devices of their own course."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for store, n in stores.items():
+        courses = rng.normal(size=(max(1, n // 6), 30))
+        for d in range(n):
+            x = courses[d % len(courses)] * rng.choice([1, -1]) + rng.normal(size=30) * rng.choice([0.2, 0.9, 3.0])
+            if d % 11 == 0:
+                x = np.zeros(30)
+            rows += [(store, f"d{d:03d}", t, float(round(10 + v, 6))) for t, v in enumerate(x) if d % 13 or t % 2]
+    return rows
+
+
+def test_correlation_index_finds_the_pairs_of_brute_force(spark):
+    start, end = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 31)
+    data = _planted(4, {"large": 150, "small": 9, "one": 1})
+    frame = spark.createDataFrame([(s, d, start + dt.timedelta(days=t, hours=5), c) for s, d, t, c in data],
+                                  "StoreNumber string, DeviceId string, TimeWindow timestamp, AllocatedCost double")
+    series = {}
+    for s, d, t, c in data:
+        series.setdefault((s, d), np.zeros(30))[t] = c
+    want = {}
+    for (s, a), x in series.items():
+        for (o, b), y in series.items():
+            if s == o and a < b and np.ptp(x) > 0 and np.ptp(y) > 0 and abs(r := float(np.corrcoef(x, y)[0, 1])) > 0.7:
+                want[s, a, b] = r
+    vectors = index.cost_vectors(frame, start, end, 24)
+    got = {(r.StoreNumber, r.a, r.b): r.Correlation for r in index.correlated_pairs(vectors).collect()}
+    assert got.keys() == want.keys() and len(want) > 100
+    assert all(abs(got[k] - want[k]) < 1e-6 for k in want)
+    # with fewer bands some pairs are missed, but none that was not promised
+    rough = {(r.StoreNumber, r.a, r.b) for r in index.correlated_pairs(vectors, missed=0.1).collect()}
+    assert rough <= set(want) and len(rough) >= 0.9 * len(want)
+    rows = {(r.StoreNumber, r.DeviceId): r for r in index.device_correlation_index(frame, start, end).collect()}
+    partners = {}
+    for (s, a, b), r in want.items():
+        partners.setdefault((s, a), []).append((b, r))
+        partners.setdefault((s, b), []).append((a, r))
+    assert rows.keys() == partners.keys()
+    for key, found in partners.items():
+        row = rows[key]
+        assert row.Links == len(found) and row.Group == min(key[1], *[b for b, _ in found])
+        assert abs(abs(row.Correlation) - max(abs(r) for _, r in found)) < 1e-6 and row.device_count == (150 if key[0] == "large" else 9)
+        assert row.Relationship == ("positive" if row.Correlation > 0 else "negative")
+
+
+def test_bands_grow_with_the_store():
+    for n in (2, 100, 10_000, 1_000_000):
+        bands, signs = index.bands_for(n)
+        assert n / 2**signs <= index.CHANCE_MATES and (1 - (1 - math.acos(0.7) / math.pi) ** signs) ** bands <= 1e-6
+    assert index.bands_for(1_000_000, missed=0.1)[0] * index.CHANCE_MATES < 20_000
+
+
 def test_missing_month_counts_as_zero(spark):
     rows = spark.createDataFrame([("2024-01-01", 5.0), ("2024-03-01", 7.0)], "m string, Cost double").select(
         F.to_date("m").alias("Month"), "Cost")

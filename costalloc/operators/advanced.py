@@ -217,14 +217,17 @@ def device_spillover(fact: DataFrame, threshold: float = SPILLOVER_CORRELATION)
 def recommend_allocation(telemetry: DataFrame, cost: DataFrame) -> DataFrame:
     """One row: the allocation method that suits the data, and why. Without cost there is nothing to tell them apart."""
     billed = cost.agg(F.count("*")).scalar()
+    # per device the spread around its own mean; the spread of the means is added with the mean of all, which is known
+    # by then, so nothing large is subtracted from something large
+    value = F.col("TokensUsed").cast("double")
     groups = telemetry.groupBy(*PAIR).agg(
-        F.count("*").alias("calls"),
-        F.sum(F.col("TokensUsed").cast("double")).alias("tokens"),
-        F.sum(F.col("TokensUsed").cast("double") * F.col("TokensUsed")).alias("squares"),
+        F.count("*").alias("calls"), F.avg(value).alias("own"), (F.var_pop(value) * F.count(value)).alias("within")
     )
-    n, total = F.sum("calls"), F.sum("tokens")
-    mean = total / n
-    variance = F.when(n > 1, (F.sum("squares") - total * mean) / (n - 1))
+    overall = groups.agg(F.try_divide(F.sum(F.col("own") * F.col("calls")), F.sum("calls"))).scalar()
+    groups = groups.withColumn("overall", overall)
+    n, mean = F.sum("calls"), F.max("overall")
+    apart = F.col("own") - F.col("overall")
+    variance = F.when(n > 1, F.sum(F.col("within") + F.col("calls") * apart * apart) / (n - 1))
     call_mean = F.avg("calls")
     # Sample variance (not its root) over the mean, as the rule is defined.
     figures = groups.agg(

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from costalloc.functions import scores
 from costalloc.functions.ids import normalize_resource_id
-from costalloc.operators import advanced, cleanse, correlate, dedup, measures, quality, reports, sinks, summaries
+from costalloc.operators import advanced, cleanse, correlate, daily_state, dedup, measures, quality, reports, sinks, summaries
 from costalloc.operators.correlation_index import device_correlation_index
 from costalloc.plans.fact import DECAY_HOURS as FACT_DECAY_HOURS
 from costalloc.plans.fact import allocated_costs, correlated_fact, windowed_cost, windowed_usage
@@ -629,6 +629,34 @@ query("recommend_allocation_no_cost")(
     lambda spark, d: advanced.recommend_allocation(_clean(spark, d), _cost(spark, d).where("Cost < 0"))
 )
 
+# States per day -----------------------------------------------------------
+
+_states: dict[tuple, str] = {}
+RANGE = dt.date(2024, 1, 8), dt.date(2024, 1, 15)
+
+
+def _stored_states(spark: SparkSession, d: str) -> str:
+    """Where the daily states of a folder of tables are, written once per session and state of the stored fact."""
+    stored = _stored_windows(spark, d)
+    key = (spark.sparkContext.applicationId, stored)
+    if key not in _states:
+        base = run_dir(spark, "states")
+        daily_state.write_fact_states(store.read_windows(spark, stored), base)
+        daily_state.write_usage_states(_clean(spark, d), base)
+        _states[key] = base
+    return _states[key]
+
+
+for _name, _of_range in {
+    "range_summary": daily_state.range_summary,
+    "range_store_performance": daily_state.range_store_performance,
+    "range_model_usage": daily_state.range_model_usage,
+    "range_cost_models": daily_state.range_cost_models,
+    "range_usage_patterns": daily_state.range_usage_patterns,
+    "range_busy_hours": daily_state.range_busy_hours,
+}.items():
+    query(_name)(lambda spark, d, of_range=_of_range: of_range(spark, _stored_states(spark, d), *RANGE))
+
 # Sinks --------------------------------------------------------------------
 
 

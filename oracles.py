@@ -843,6 +843,37 @@ def recommendation(billed: str) -> str:
 oracle("recommend_allocation", ["figures", "cost"], recommendation("(SELECT count(*) FROM cost)"))
 oracle("recommend_allocation_no_cost", ["figures", "cost"], recommendation("(SELECT count(*) FROM cost WHERE Cost < 0)"))
 
+# States per day -----------------------------------------------------------
+
+IN_RANGE = "TimeWindow >= TIMESTAMP '2024-01-08' AND TimeWindow < TIMESTAMP '2024-01-15'"
+TIME_IN_RANGE = IN_RANGE.replace("TimeWindow", "TimeGenerated")
+cte("range_fact", ["fact"], f"SELECT * FROM fact WHERE {IN_RANGE}")
+
+
+oracle("range_summary", ["range_fact"], f"""
+  SELECT count(*) AS total_records, {r('sum(AllocatedCost)', 'total_allocated_cost')},
+    count(DISTINCT DeviceId) AS unique_devices, count(DISTINCT StoreNumber) AS unique_stores,
+    count(DISTINCT DeviceStoreKey) AS unique_device_store_combinations,
+    {r('100.0 * count(*) FILTER (WHERE IsUnknownDevice) / count(*)', 'unknown_device_percentage')},
+    {r('100.0 * count(*) FILTER (WHERE IsUnknownStore) / count(*)', 'unknown_store_percentage')},
+    {r('avg(CorrelationConfidence)', 'avg_confidence')}, {r('avg(AllocationAccuracy)', 'avg_accuracy')},
+    {r('avg(DeviceUtilizationScore)', 'avg_utilization_score')}
+  FROM range_fact""")
+oracle("range_store_performance", ["range_fact"], f"""
+  SELECT StoreNumber, {PERFORMANCE}, count(DISTINCT DeviceId) AS DeviceId_nunique FROM range_fact GROUP BY StoreNumber""")
+oracle("range_model_usage", ["range_fact"], f"""
+  SELECT ModelFamily, TimeWindow AS HourStart, {r('sum(AllocatedCost)', 'TotalCost')},
+    {big('sum(TokensUsed)', 'TotalTokens')}, count(DISTINCT DeviceId) AS UniqueDevices
+  FROM range_fact WHERE ModelFamily LIKE 'GPT-5%' GROUP BY 1, 2""")
+cte("range_models", ["range_fact"], CTES["models"].replace("FROM fact", "FROM range_fact"))
+oracle("range_cost_models", ["range_models"], f"SELECT DeviceId, StoreNumber, {MODEL} FROM range_models")
+ORACLES["range_usage_patterns"] = with_patterns(TIME_IN_RANGE, f"""
+  SELECT deviceId AS device_id, storeNumber AS store_number, {PATTERN} FROM patterns""")
+oracle("range_busy_hours", ["calls"], f"""
+  SELECT deviceId AS device_id, storeNumber AS store_number, count(*) AS active_hours, {r('quantile_disc(t, 0.8)', 'busy_hour_tokens')}
+  FROM (SELECT deviceId, storeNumber, TimeWindow, CAST(sum(TokensUsed) AS DOUBLE) AS t FROM calls WHERE {TIME_IN_RANGE} GROUP BY ALL)
+  GROUP BY ALL""")
+
 # Sinks --------------------------------------------------------------------
 
 oracle("write_fact", ["fact"], "\nUNION ALL\n".join(

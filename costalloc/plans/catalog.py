@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from costalloc.functions import scores
 from costalloc.functions.ids import normalize_resource_id
-from costalloc.operators import advanced, cleanse, correlate, daily_state, dedup, measures, quality, reports, sinks, summaries
+from costalloc.operators import advanced, apportion, cleanse, correlate, daily_state, dedup, measures, quality, reports, sinks, summaries
 from costalloc.operators.correlation_index import device_correlation_index
 from costalloc.plans.fact import DECAY_HOURS as FACT_DECAY_HOURS
 from costalloc.plans.fact import allocated_costs, correlated_fact, windowed_cost, windowed_usage
@@ -459,6 +459,13 @@ def _(spark, d):
     return conserving.unionByName(reference)
 
 
+@query("alloc_exact")
+def _(spark, d):
+    """Whole millionths of every cost line, split by largest remainders: no tolerance is needed."""
+    cost = _cost(spark, d)
+    return apportion.reconcile_exact(apportion.allocate_exact(_usage(spark, d), cost), cost)
+
+
 on_fact("enrich_fact", lambda f: f.select(
     "TimeWindow", "ResourceId", "MeterName", "DeviceId", "StoreNumber", "IsUnknownDevice", "IsUnknownStore",
     "HasCompleteAttribution", "CostPerToken", "CostPerApiCall", "Hour", "DayOfWeek", "IsBusinessHours", "IsWeekday",

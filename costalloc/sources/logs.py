@@ -158,19 +158,26 @@ def attribute_fallback(requests: DataFrame) -> DataFrame:
 
 
 def extract_token_usage(responses: DataFrame, body: str = "ResponseBody") -> DataFrame:
-    """Token counts and the model name out of the response body."""
+    """Token counts and the model name out of the response body, which is parsed once for all of them.
+
+    A body that is no JSON, or has no such number, gives 0 and `unknown`.
+    """
+    parsed = responses.withColumn("_parsed", F.try_parse_json(body))
+
+    def found(path: str) -> Column:
+        return F.try_variant_get("_parsed", path, "string")
 
     def usage(name: str) -> Column:
-        return number_or_zero(F.get_json_object(body, f"$.usage.{name}"), "int")
+        return number_or_zero(found(f"$.usage.{name}"), "int")
 
-    return responses.withColumns(
+    return parsed.withColumns(
         {
             "tokensUsed": usage("total_tokens"),
             "promptTokens": usage("prompt_tokens"),
             "completionTokens": usage("completion_tokens"),
-            "model": F.coalesce(F.get_json_object(body, "$.model"), F.lit(UNKNOWN)),
+            "model": F.coalesce(found("$.model"), F.lit(UNKNOWN)),
         }
-    )
+    ).drop("_parsed")
 
 
 def extract_backend_resource(rows: DataFrame, url: str = "ServiceUrl") -> DataFrame:

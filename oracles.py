@@ -472,6 +472,11 @@ oracle("alloc_dispatch", ["matched", "matched_first"], "\nUNION ALL\n".join(
     f"SELECT '{m}' AS \"Method\", '{'reference' if first else 'conserving'}' AS \"Mode\", ResourceId, "
     f"{r(f'sum({allocation(m, first)})', 'AllocatedCost')} FROM {'matched_first' if first else 'matched'} GROUP BY ResourceId"
     for m in SHARES for first in (False, True)))
+oracle("alloc_exact", ["usage", "cost"], """
+  SELECT TimeWindow, ResourceId, MeterName, units AS BilledUnits, CASE WHEN n > 0 THEN units ELSE 0 END AS AllocatedUnits,
+    coalesce(n, 0) AS Cells, CASE WHEN n > 0 THEN 0 ELSE units END AS UnallocatedUnits, true AS IsExact
+  FROM (SELECT TimeWindow, ResourceId, MeterName, CAST(greatest(round(sum(Cost) * 1000000), 0) AS BIGINT) AS units FROM cost GROUP BY ALL)
+  LEFT JOIN (SELECT TimeWindow, ResourceId, count(*) AS n FROM usage GROUP BY ALL) USING (TimeWindow, ResourceId)""")
 oracle("enrich_fact", ["fact"], f"""
   SELECT {KEY}, IsUnknownDevice, IsUnknownStore, HasCompleteAttribution, {r('CostPerToken')}, {r('CostPerApiCall')},
     {big('Hour')}, DayOfWeek, IsBusinessHours, IsWeekday, ShiftCategory, CorrelationTimestamp, ProcessingDate

@@ -56,14 +56,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = True  # their strings in a text are ordinary text
-        special = {t.content for t in self.slow.get_added_tokens_decoder().values()}
+        added = {t.content for t in self.slow.get_added_tokens_decoder().values()}
+        self.added = re.compile("|".join(map(re.escape, sorted(added))) or "(?!)")  # such a string in a text is one token
         words = self.slow.get_vocab(with_added_tokens=True)
-        ranks = {bytes(_LETTERS[c] for c in word): i for word, i in words.items() if word not in special}
+        ranks = {bytes(_LETTERS[c] for c in word): i for word, i in words.items() if word not in added}
         self.fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> np.ndarray:
-        if text.isascii() or PLAIN.fullmatch(text):
+        if (text.isascii() or PLAIN.fullmatch(text)) and not self.added.search(text):
             return self.fast.encode_to_numpy(text, disallowed_special=())
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 

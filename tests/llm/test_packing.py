@@ -13,7 +13,6 @@ from tests.conftest import SMALL
 def check(pieces, texts):
     """pieces: rows; texts: [(doc_id, text)] with unique ids."""
     slow = Tokenizer.from_file(packing.vocabulary_path())
-    slow.encode_special_tokens = True
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
     for p in pieces:
         by_doc[p.doc_id].append(p)
@@ -65,6 +64,14 @@ def test_libraries_agree_on_plain_characters():
             assert encoder.encode(text).tolist() == encoder.slow.encode(text, add_special_tokens=False).ids, hex(point)
 
 
+def test_strings_of_added_tokens_are_as_the_library_has_them():
+    encoder = packing.Encoder(packing.vocabulary_path())
+    plain = Tokenizer.from_file(packing.vocabulary_path())
+    for text in ("<|endoftext|> x", "a<|endoftext|><|endoftext|>b", "<|endoftext|", "<|im_start|>é 中", "x"):
+        assert encoder.encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids, text
+    assert encoder.encode("<|endoftext|> x").tolist()[0] > 50_000
+
+
 def test_curve_visits_neighbours():
     for n, bits in ((2, 4), (3, 3), (4, 2)):
         points = np.stack(np.meshgrid(*[np.arange(1 << bits)] * n, indexing="ij"), -1).reshape(-1, n)

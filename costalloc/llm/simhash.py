@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from costalloc.llm.common import IS_SPACE, U, materialize, semi_join, text_or_empty, whole_groups
 from costalloc.llm.graph import components
@@ -226,8 +227,8 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -
     """One row of each component, that with the smallest doc_id; all columns of docs.
 
     If the component has several rows with that doc_id, the one with the smallest fingerprint stays, then the one
-    whose other columns are smallest, in their order. Rows with one doc_id whose texts are not near all stay. Rows
-    without doc_id stay.
+    whose columns, written as JSON, are the smallest text; so columns of any type will do. Rows with one doc_id whose texts
+    are not near all stay. Rows without doc_id stay.
     """
     found = materialize(_classed(docs, shingle, distance).where("doc_id IS NOT NULL"), "classed")
     best = found.where("doc_id = component_id").groupBy("doc_id", "root").agg(F.min("fp").alias("fp"))
@@ -237,7 +238,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -
     # of an id with several rows, the text tells which of them is meant
     several = semi_join(docs, best.where("rows > 1")).select(F.struct("*").alias("row"))
     marked = _with_fingerprint(several, shingle).join(best.where("rows > 1").select("doc_id", "fp"), ["doc_id", "fp"])
-    one = marked.groupBy("doc_id", "fp").agg(F.min("row").alias("row")).select("row.*")
+    one = marked.groupBy("doc_id", "fp").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*")
     return once.unionByName(one).unionByName(docs.where("doc_id IS NULL"))
 
 
@@ -249,6 +250,6 @@ def _with_fingerprint(rows: DataFrame, shingle: int) -> DataFrame:
             fp = fingerprint_bits(batch.column(1).to_pylist(), shingle).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp), batch.column(2)], names=["doc_id", "fp", "row"])
 
-    kind = rows.schema["row"].dataType.simpleString()
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType()), rows.schema["row"]])
     texts = rows.select(F.col("row.doc_id").cast("bigint").alias("doc_id"), text_or_empty("row.text").cast("binary").alias("text"), "row")
-    return texts.mapInArrow(run, f"doc_id bigint, fp bigint, row {kind}")
+    return texts.mapInArrow(run, schema)

@@ -88,3 +88,12 @@ def test_one_doc_id_with_different_texts(spark):
         assert kept.columns == docs.columns
         assert sorted(r.source for r in kept.collect()) == ["s", "t", "w", "y"]
     assert {(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect()} == {(5, 5), (5, 3), (3, 3), (7, 5), (9, 9), (None, 5)}
+
+
+def test_columns_of_any_type(spark):
+    """Maps can't be ordered or grouped; rows alike in id and fingerprint still become one."""
+    rows = [(1, "a b c " * 20, {"k": 1}, [{"x": 2}]), (1, "a b c " * 20, {"k": 1}, [{"x": 2}]), (1, "a b c " * 20, None, []), (2, "d e f g h " * 30, {}, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, m map<string,int>, a array<map<string,int>>")
+    docs = docs.withColumn("odd name", F.create_map(F.lit("q"), F.struct(F.lit(1).alias("in side"))))
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2]

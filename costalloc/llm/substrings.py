@@ -26,6 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from costalloc.llm.common import U, Words, block_of, buffers, fmix, n_blocks, slices, whole_groups, windows
 
@@ -431,8 +432,9 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, digest: bool = False, anch
     names = {c: c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(columns)}
     blocks = filled.select(*columns).toDF(*names.values()).withColumn("block", block_of(n, "doc_id", "text"))
     schema = "doc_id bigint, kept_sha256 string, " + KEPT
-    if not digest:
-        schema = ", ".join(f"{names[c]} {filled.schema[c].dataType.simpleString()}" for c in columns) + ", " + KEPT
+    if not digest:  # nested types as they are, with what they say of nulls
+        counts = [T.StructField(c, T.LongType()) for c in ("n_words", "n_removed")]
+        schema = T.StructType([*[T.StructField(names[c], filled.schema[c].dataType) for c in columns], *counts])
 
     key_text = blocks.select("block", *names.values())
     grouped = key_text.groupBy("block")

@@ -6,6 +6,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from costalloc.llm import substrings
 from tests.conftest import SMALL
 
@@ -91,3 +93,12 @@ def test_odd_rows(spark):
     got = {(r.doc_id, r.text) for r in out.collect()}
     assert (3, "x " + line.replace(" ", "\n")) in got and (4, "") in got and (6, "") in got and (None, line) in got
     assert substrings.remove_repeats(frame.limit(0)).count() == 0
+
+
+def test_columns_of_any_type(spark):
+    rows = [(1, "a b c d e f g " * 9, {"k": 1}, [{"x": 2}]), (2, "a b c d e f g " * 9, None, [])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, m map<string,int>, a array<map<string,int>>")
+    docs = docs.withColumn("odd name", F.create_map(F.lit("q"), F.struct(F.lit(1).alias("in side"))))
+    got = substrings.remove_repeats(docs).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.m, r.n_removed > 0) for r in got] == [(1, {"k": 1}, False), (2, None, True)]
+    assert got[0]["odd name"]["q"]["in side"] == 1

@@ -20,11 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costalloc.llm.common import U, Words, batched_words, block_of, n_blocks, text_or_empty, windows
+from costalloc.llm.common import U, Words, batched_words, block_of, materialize, n_blocks, text_or_empty, windows
 
 LEAST = 5  # tokens in a tile
 COVERAGE = 0.5
 FIRST_LENGTH = 20
+HITS = 1 << 20  # shared seeds that a task holds at once
 BLOCK_BYTES = 16 << 20  # benchmark text sent to the tasks at once; more of it makes more passes
 _FILTER = 1 << 20
 _STEP = U(0x2545F4914F6CDD1D)
@@ -155,7 +156,7 @@ class Benchmark:
         data = np.frombuffer(b"".join(texts), np.uint8)
         words = Tokens(data, np.concatenate([[0], np.cumsum([len(t) for t in texts])]), NOT_TOKEN)
         hashes = words.hashes(lower=True)
-        self.ids = ids
+        self.ids, self.full = ids, least
         self.items = [hashes[s:e] for s, e in zip(words.first[:-1], words.first[1:], strict=True)]
         self.sizes = words.counts
         self.least = np.minimum(least, words.counts)  # of each item, the tokens in a seed or tile
@@ -169,23 +170,52 @@ class Benchmark:
             likely[seeds >> U(44)] = True
             self.index[size] = seeds, item, at[order] - words.first[item], likely
 
-    def shared_seeds(self, words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, item, place in item) of every seed that a document shares."""
-        found = [(np.empty(0, np.int64),) * 3]
-        for size, (seeds, item, place, likely) in self.index.items():
+    def shared_seeds(self, words: Words, hashes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(document, item, place in item) of every seed that a document shares, for some documents after the others.
+
+        A seed counts once for a document, however often it stands there. Documents come in batches of about HITS such
+        rows, so a seed that many documents and many items share fills no more memory than that.
+        """
+        found = [(np.empty(0, np.int64),) * 4]
+        for size, (seeds, _, _, likely) in self.index.items():
             runs, whole = windows(hashes, words.doc, size)
             at = np.flatnonzero(likely[runs >> U(44)] & whole)
-            low, high = np.searchsorted(seeds, runs[at], "left"), np.searchsorted(seeds, runs[at], "right")
-            n = high - low
-            hit = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            found.append((np.repeat(words.doc[at], n), item[hit], place[hit]))
-        doc, item, place = (np.concatenate(x) for x in zip(*found, strict=True))
-        return doc, item, place
+            low = np.searchsorted(seeds, runs[at], "left")
+            at, low = at[low < len(seeds)], low[low < len(seeds)]
+            same = seeds[low] == runs[at]
+            pairs = np.unique(words.doc[at[same]] * len(seeds) + low[same])
+            low = pairs % len(seeds)
+            n = np.searchsorted(seeds, seeds[low], "right") - low
+            found.append((pairs // len(seeds), low, n, np.full(len(low), size)))
+        doc, low, n, size = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(doc, kind="stable")
+        doc, low, n, size = doc[order], low[order], n[order], size[order]
+        ends = np.flatnonzero(np.diff(doc, append=-1)) + 1  # after the last row of each document
+        total = np.concatenate([[0], np.cumsum(n)])
+        s = 0
+        while s < len(doc):
+            fits = ends[(ends > s) & (total[ends] <= total[s] + HITS)]
+            e = int(fits[-1]) if len(fits) else int(ends[ends > s][0])
+            parts = []
+            for one, (_, item, place, _) in self.index.items():
+                mine = np.flatnonzero(size[s:e] == one) + s
+                hit = np.repeat(low[mine], n[mine]) + np.arange(n[mine].sum()) - np.repeat(np.cumsum(n[mine]) - n[mine], n[mine])
+                parts.append((np.repeat(doc[mine], n[mine]), item[hit], place[hit]))
+            yield tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+            s = e
 
     def judge(self, words: Words, coverage: float) -> list[tuple]:
-        """(document, item, item tokens, covered tokens, tiles, longest tile) of pairs covered enough."""
+        """(document, item, item tokens, covered tokens, tiles, longest tile, alone) of pairs covered enough.
+
+        alone: whether the item is of full length for a tile, or is all that the document or one of its lines holds.
+        """
         hashes = words.hashes(lower=True)
-        doc, item, place = self.shared_seeds(words, hashes)
+        out = []
+        for doc, item, place in self.shared_seeds(words, hashes):
+            out += self._tiled(words, hashes, doc, item, place, coverage)
+        return out
+
+    def _tiled(self, words: Words, hashes: np.ndarray, doc: np.ndarray, item: np.ndarray, place: np.ndarray, coverage: float) -> list[tuple]:
         if not len(doc):
             return []
         # Tiles are made of shared seeds, so the tokens under seeds bound what tiles can cover.
@@ -201,15 +231,33 @@ class Benchmark:
         out = []
         for p in pairs[bound >= coverage * sizes[pairs % len(sizes)]].tolist():
             d, i = divmod(p, len(sizes))
-            found = tiles(self.items[i], hashes[words.first[d] : words.first[d + 1]], int(self.least[i]))
+            text = hashes[words.first[d] : words.first[d + 1]]
+            found = tiles(self.items[i], text, int(self.least[i]))
             covered = sum(n for _, _, n in found)
             if covered >= coverage * len(self.items[i]):
-                out.append((d, i, len(self.items[i]), covered, len(found), max(n for _, _, n in found)))
+                alone = len(self.items[i]) >= self.full or self._whole_line(words, d, text, self.items[i])
+                out.append((d, i, len(self.items[i]), covered, len(found), max(n for _, _, n in found), alone))
         return out
 
+    @staticmethod
+    def _whole_line(words: Words, d: int, text: np.ndarray, item: np.ndarray) -> bool:
+        """Whether some line of a document has the tokens of the item and no others."""
+        n = len(item)
+        at = np.flatnonzero(text[: len(text) - n + 1] == item[0])
+        for k in range(1, n):
+            at = at[text[at + k] == item[k]]
+        low, high = words.offsets[d], words.offsets[d + 1]
+        breaks = np.flatnonzero(words.data[low:high] == 0x0A) + low
+        line = np.searchsorted(breaks, words.starts[words.first[d] : words.first[d + 1]])
+        line = np.concatenate([[-1], line, [-1]])
+        return bool(((line[at + 1] == line[at + n]) & (line[at] != line[at + 1]) & (line[at + n] != line[at + n + 1])).any())
+
 
 def _benchmarks(benchmark: DataFrame, least: int) -> Iterator:
-    """The benchmark in blocks of bounded size, each broadcast when its turn comes."""
+    """The benchmark in blocks of bounded size: (block, how many there are), each broadcast when its turn comes.
+
+    A block's broadcast is removed when the next one is asked for: by then what was made with it must be written.
+    """
     rows = benchmark.select(F.col("item_id").cast("bigint"), text_or_empty().cast("binary").alias("text"))
     blocks = n_blocks(rows, "text", BLOCK_BYTES)
     for b in range(blocks):
@@ -217,7 +265,10 @@ def _benchmarks(benchmark: DataFrame, least: int) -> Iterator:
         got = block.collect()
         if got:
             held = Benchmark([r.item_id for r in got], [bytes(r.text) for r in got], least)
-            yield rows.sparkSession.sparkContext.broadcast(held)
+            sent = rows.sparkSession.sparkContext.broadcast(held)
+            yield sent, blocks
+            if blocks > 1:
+                sent.destroy()
 
 
 LEAK = "doc_id bigint, item_id bigint, item_tokens bigint, covered bigint, n_tiles bigint, longest bigint"
@@ -239,22 +290,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, lea
                 for i, _, words in batched_words(batch.column(1), breaks=NOT_TOKEN, kind=Tokens):
                     found = held.value.judge(words, coverage)
                     if found:
-                        at, items, *numbers = zip(*found, strict=True)
+                        at, items, *numbers, _ = zip(*found, strict=True)
                         ids = batch.column(0).take(pa.array([i + d for d in at]))
                         columns = [pa.array([held.value.ids[x] for x in items], pa.int64()), *(pa.array(n, pa.int64()) for n in numbers)]
                         yield pa.RecordBatch.from_arrays([ids, *columns], names=names)
 
         return run
 
-    found = [texts.mapInArrow(search(held), LEAK) for held in _benchmarks(benchmark, least)]
-    out = found[0] if found else docs.sparkSession.createDataFrame([], LEAK)
-    for more in found[1:]:
-        out = out.unionByName(more)
+    out = docs.sparkSession.createDataFrame([], LEAK)
+    for k, (held, blocks) in enumerate(_benchmarks(benchmark, least)):
+        found = texts.mapInArrow(search(held), LEAK)
+        if blocks > 1:
+            found = materialize(found, "leaks")
+        out = out.unionByName(found) if k else found
     return out.withColumn("coverage", F.col("covered") / F.col("item_tokens"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, least: int = LEAST) -> DataFrame:
-    """The documents in which no item is covered, with all their columns."""
+    """The documents in which no item is covered, with all their columns.
+
+    An item of fewer than `least` tokens says little: a document goes for it only if the item is all that the document, or one
+    of its lines, holds; `leaks` reports such items wherever they stand.
+    """
     place = docs.columns.index("text")
 
     def keep(held):
@@ -263,11 +320,13 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
                 clean = np.ones(batch.num_rows, bool)
                 column = batch.column(place).fill_null("")
                 for i, _, words in batched_words(column, breaks=NOT_TOKEN, kind=Tokens):
-                    clean[[i + f[0] for f in held.value.judge(words, coverage)]] = False
+                    clean[[i + f[0] for f in held.value.judge(words, coverage) if f[-1]]] = False
                 yield batch.filter(pa.array(clean))
 
         return run
 
-    for held in _benchmarks(benchmark, least):
+    for held, blocks in _benchmarks(benchmark, least):
         docs = docs.mapInArrow(keep(held), docs.schema)
+        if blocks > 1:
+            docs = materialize(docs, "clean")
     return docs

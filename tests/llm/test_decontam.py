@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from costalloc.llm import decontam
@@ -99,4 +100,34 @@ def test_short_items_and_unspaced_scripts(spark):
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
     got = {(r.doc_id, r.item_id) for r in decontam.leaks(docs, bench).collect()}
     assert got == {(0, 0), (2, 1), (4, 2), (6, 3), (8, 4), (9, 5), (11, 2)}
-    assert sorted(r.doc_id for r in decontam.drop_leaks(docs, bench).collect()) == [1, 3, 5, 7, 10, 12]
+    # a document goes for the long item, and where a line is a short one and nothing else
+    assert sorted(r.doc_id for r in decontam.drop_leaks(docs, bench).collect()) == [0, 1, 2, 3, 5, 6, 7, 10, 12]
+
+
+def test_one_common_word_as_an_item_takes_no_clean_documents(spark):
+    rows = [(1, "the cat and the dog"), (2, "The!"), (3, "some line\n the \nmore of the same"), (4, "a the"), (5, "the\nthe end"), (6, "the the"), (7, "in\nthe end")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, "the")], "item_id bigint, text string")
+    assert sorted(r.doc_id for r in decontam.leaks(docs, bench).collect()) == [1, 2, 3, 4, 5, 6, 7]
+    assert sorted(r.doc_id for r in decontam.drop_leaks(docs, bench).collect()) == [1, 4, 6, 7]
+
+
+def test_a_template_that_many_items_and_documents_share(spark, monkeypatch):
+    """Seeds are counted once a document, and a slice of them at a time; nothing is lost by it."""
+    template = "please answer the following question with one of the options given below"
+    items = [(k, f"{template} item{k} of{k} kind{k} and{k} more{k} words{k} here{k} that{k} tell{k} it{k} apart{k}") for k in range(60)]
+    docs = [(d, f"{template} " * 30 + (items[d][1] if d % 2 else "")) for d in range(40)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    words = next(decontam.batched_words(pa.array([t.encode() for _, t in docs], pa.binary()), breaks=decontam.NOT_TOKEN, kind=decontam.Tokens))[2]
+    held = decontam.Benchmark([k for k, _ in items], [t.encode() for _, t in items], 5)
+    want = held.judge(words, 0.6)
+    assert {(d, i) for d, i, *_ in want} == {(d, d) for d in range(40) if d % 2}
+    for hits in (1, 500):
+        monkeypatch.setattr(decontam, "HITS", hits)
+        parts = list(held.shared_seeds(words, words.hashes(lower=True)))
+        assert len(parts) == 40 if hits == 1 else 1 < len(parts)
+        assert held.judge(words, 0.6) == want
+    seeds_of_template = len(template.split()) - 4
+    assert max(len(doc) for doc, _, _ in parts) <= 500 + 60 * seeds_of_template + 60  # not times 30
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(frame, bench, coverage=0.6).collect()} == {(d, d) for d in range(40) if d % 2}

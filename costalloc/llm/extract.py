@@ -3,14 +3,15 @@
 The standard library's parser streams over a page. Its events give one line per block of text, with the tags that
 stand in it. A line's ratio of text to tags is smoothed over its neighbours by a Gaussian; two clusters of the smoothed
 ratios set a threshold, and the lines above it are content. The region is the element that holds them all: the innermost
-article or main that does, else the innermost element. A short heading or paragraph
-inside the region belongs to the text, whatever its ratio. Elements that a page itself marks as something else (menus,
+article or main that does, else the innermost element. A line of the region that is below the threshold and mostly links
+is a menu and goes, marked or not; a short heading or paragraph stays. Elements that a page itself marks as something else (menus,
 headers, footers, sidebars, notices, adverts, forms, comments) are no candidates.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -37,7 +38,7 @@ ASIDE_NAMES = frozenset(
     "related recommended pagination pager skip toolbar legal copyright disclaimer".split()
 )
 # Names that mean something else as part of a longer one count only as the whole class.
-AMBIGUOUS = frozenset("side widget widgets legal related".split())
+AMBIGUOUS = frozenset("side widget widgets legal related share copyright notice notices discussion".split())
 WHOLE = AMBIGUOUS | frozenset("related-posts related-articles related-links legal-notice widget-area footer-widgets".split())
 SLUGS = ("tag-", "category-", "cat-", "term-", "topic-")  # of an article's subjects, whatever they are
 # An element of these names is no wrapper of the main text, however much it holds.
@@ -47,6 +48,7 @@ HEAD_PARTS = frozenset("title meta link style script base noscript template".spl
 NAME_PARTS = re.compile(r"[-_\d]+|(?<=[a-z])(?=[A-Z])")
 SPACES = re.compile(r"\s+")
 SIGMA, RADIUS = 1.0, 2
+MENU = 0.6  # share of link text in a line below the threshold, from which on it is a menu
 
 
 class Line:
@@ -69,6 +71,7 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.stack: list[tuple[str, int]] = []  # open elements; 2: hidden, 1: aside
+        self.open: Counter[str] = Counter()  # how many of each tag are in the stack
         self.number = 0
         self.shut = 0  # depth of elements that are no candidates
         self.hidden = 0
@@ -93,9 +96,9 @@ class Lines(HTMLParser):
         return self.line
 
     def handle_starttag(self, tag, attrs):
-        if self.hidden and tag not in HEAD_PARTS and self.hidden == 1 and any(t == "head" for t, _ in self.stack):
+        if self.hidden == 1 and tag not in HEAD_PARTS and self.open["head"]:
             self.close_to("head")  # a head that was never closed
-        if tag in CLOSES_P and any(t == "p" for t, _ in self.stack[-6:]):
+        if tag in CLOSES_P and self.open["p"] and any(t == "p" for t, _ in self.stack[-6:]):
             self.close_to("p")
         if tag in ("li", "dt", "dd", "tr", "td", "th", "option") and self.stack and self.stack[-1][0] == tag:
             self.close_to(tag)
@@ -120,6 +123,7 @@ class Lines(HTMLParser):
                 if not sure:
                     self.named.append((len(self.stack), self.number))
         self.stack.append((tag, kind))
+        self.open[tag] += 1
         if tag in ("article", "main"):
             self.landmark += 1
             self.landmarks.add(self.number)
@@ -158,7 +162,7 @@ class Lines(HTMLParser):
                 continue
             for one in value.split():
                 plain = one.lower()
-                if plain.startswith(SLUGS):
+                if plain.startswith(SLUGS) or (own and name == "id" and plain == "discussion"):  # a part of a paper
                     continue
                 words = {w.lower() for w in NAME_PARTS.split(one)}
                 found = words & ASIDE_NAMES - AMBIGUOUS
@@ -180,6 +184,7 @@ class Lines(HTMLParser):
     def close_to(self, tag) -> None:
         while self.stack:
             name, kind = self.stack.pop()
+            self.open[name] -= 1
             self.closed(kind)
             self.anchors -= name == "a"
             self.landmark -= name in ("article", "main")
@@ -192,7 +197,7 @@ class Lines(HTMLParser):
     def handle_endtag(self, tag):
         if tag == "br":
             self.handle_data(" ")
-        if any(t == tag for t, _ in self.stack):
+        if self.open[tag]:
             # a formatting element's end doesn't close the blocks around it
             if tag not in BLOCK and tag not in ASIDE and tag not in HIDDEN:
                 for i in range(len(self.stack) - 1, -1, -1):
@@ -200,6 +205,7 @@ class Lines(HTMLParser):
                     if name == tag:
                         self.anchors -= tag == "a"
                         del self.stack[i]
+                        self.open[name] -= 1
                         self.shut -= kind == 1
                         self.named = [(d - (d > i), n) for d, n in self.named if d != i]
                         return
@@ -288,10 +294,12 @@ def main_text(html: str) -> str:
             for number in line.path:
                 sizes[number] = sizes.get(number, 0) + 1
         region = max((n for n, size in held.items() if size == total and sizes[n] > 1), default=0)
+    menu = [not chosen and x.links >= MENU * len(t) for (t, x), chosen in zip(lines, content, strict=True)]
     if region:
-        return "\n\n".join(t for t, x in lines if region in x.path)
+        return "\n\n".join(t for (t, x), out in zip(lines, menu, strict=True) if region in x.path and not out)
     at = np.flatnonzero(content)
-    return "\n\n".join(t for t, _ in lines[at[0] : at[-1] + 1])
+    kept = slice(at[0], at[-1] + 1)
+    return "\n\n".join(t for (t, _), out in zip(lines[kept], menu[kept], strict=True) if not out)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 
@@ -81,6 +82,32 @@ def test_a_page_of_shut_elements_only():
     assert extract.main_text(f"<div class=comments><p>{LONG}</p></div>") == LONG.strip()
 
 
+def test_unmarked_menus_in_the_region_go():
+    menu = "<div><a href=/>Home</a> <a href=/n>News</a> <a href=/s>Sport</a></div>"
+    body = f"<h2>Head</h2><p>{LONG}</p><p>{LONG} with <a href=/x>a link</a></p><p>{LONG}</p>"
+    want = f"Head\n\n{LONG.strip()}\n\n{LONG.strip()} with a link\n\n{LONG.strip()}"
+    assert extract.main_text(f"<body><div>{menu}{body}{menu}</div></body>") == want
+    teaser = f"<div><p><a href=/t>Read this:</a> {LONG}</p><div><a href=/a>one</a> <a href=/b>two</a></div></div>"
+    assert "one two" not in extract.main_text(f"<body><article>{body}</article>{teaser}</body>")
+
+
+@pytest.mark.parametrize("part", ["<p id=share-prices>{}</p>", "<section id=copyright-law><p>{}</p></section>", "<section id=discussion><p>{}</p></section>", "<div class=notice-text>{}</div>"])
+def test_parts_of_an_article_with_names_like_those_of_notices(part):
+    text = "Something of this part that matters."
+    assert text in extract.main_text(f"<article><p>{LONG}</p>{part.format(text)}<p>{LONG}</p></article>")
+
+
+def test_broken_pages_take_linear_time():
+    def took(n):
+        start = time.perf_counter()
+        got = extract.main_text("<article><p>" + "<font>" * n + LONG + "</b>" * n + "<p>end")
+        assert got == f"{LONG.strip()}\n\nend"
+        return time.perf_counter() - start
+
+    took(100)
+    assert took(32_000) < 20 * max(took(4_000), 0.02)
+
+
 @pytest.mark.parametrize(
     ("page", "parts"),
     [

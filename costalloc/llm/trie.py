@@ -26,7 +26,8 @@ from costalloc.llm.common import U, fmix, materialize, whole_groups
 
 GROUP = 20  # conversations c - c % GROUP to the next one may start with turns of the first of them
 HEADS = 4  # how many turns at most: below this
-SHARD_TURNS = 1 << 16
+SHARD_TURNS = 1 << 10  # turns that may lie below a cut
+TABLE_TURNS = 1 << 16  # turns of several shards that are packed into one trie
 CHUNK = 1 << 12  # ids put into one piece of an end list
 KEY = ["depth", "k1", "k2"]
 EMPTY = hashlib.sha256(b"").hexdigest()
@@ -342,7 +343,7 @@ def shard_nodes(rows: pa.Table) -> pa.RecordBatch:
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in whole_groups(batches, SHARD_TURNS):
+    for rows in whole_groups(batches, TABLE_TURNS):
         yield shard_nodes(rows)
 
 

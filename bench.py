@@ -48,7 +48,6 @@ HEADLINE = [
     "device_spillover",
     "write_fact",
     "stream_usage_window",
-    "stream_late_cost",
     "range_summary",
     "device_correlation_index",
     "alloc_exact",

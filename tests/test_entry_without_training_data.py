@@ -45,7 +45,7 @@ def test_without_folders_and_pipeline(copy):
 
 
 def test_without_a_library_that_only_they_need(copy):
-    block = "import sys\nfor m in ('xxhash', 'tiktoken', 'tokenizers', 'numpy'):\n    sys.modules[m] = None\n"
+    block = "import sys\nfor m in ('xxhash', 'tiktoken', 'tokenizers'):\n    sys.modules[m] = None\n"
     assert ask(copy(), block) == "[]"
 
 

@@ -37,7 +37,8 @@ URL_RULES = [
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    return urls.judge(pages, labels, URL_RULES, min_support=0.0005, min_count=5, min_confidence=0.7)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,18 +242,31 @@ p AS (
 known AS (
     SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
     FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
-labelled AS (SELECT p.tokens, k.bad FROM u JOIN p USING (url) JOIN known k USING (page_id)),
+labelled AS (SELECT row_number() OVER () AS row, p.tokens, k.bad FROM u JOIN p USING (url) JOIN known k USING (page_id)),
+least AS (SELECT greatest(5, ceil(count(*) * 0.0005)) AS least FROM labelled),
+places AS (
+    SELECT token, list(row ORDER BY row) AS rows
+    FROM (SELECT row, bad, unnest(tokens) AS token FROM labelled) GROUP BY token
+    HAVING sum(bad) >= (SELECT least FROM least)),
+named AS (SELECT token, min(token) OVER (PARTITION BY rows) AS item FROM places),
+items AS (
+    SELECT row, bad, list(DISTINCT item) AS items
+    FROM (SELECT row, bad, unnest(tokens) AS token FROM labelled) JOIN named USING (token) GROUP BY row, bad),
 subsets AS (
-    SELECT list_sort([tokens[i] FOR i IN range(1, len(tokens) + 1) IF (mask >> (i - 1)) & 1 = 1]) AS tokens, bad
-    FROM (SELECT tokens, bad, unnest(range(1, CAST(pow(2, len(tokens)) AS BIGINT))) AS mask FROM labelled)),
-sets AS (SELECT tokens, count(*) AS pages, CAST(sum(bad) AS BIGINT) AS bad FROM subsets GROUP BY tokens),
+    SELECT list_sort([items[i] FOR i IN range(1, len(items) + 1) IF (mask >> (i - 1)) & 1 = 1]) AS items, bad
+    FROM (SELECT items, bad, unnest(range(1, CAST(pow(2, len(items)) AS BIGINT))) AS mask FROM items)),
+sets AS (SELECT items, count(*) AS pages, CAST(sum(bad) AS BIGINT) AS bad FROM subsets GROUP BY items),
 rules AS (
-    SELECT tokens, pages, bad FROM sets
-    WHERE bad >= greatest(10, ceil((SELECT count(*) FROM labelled) * 0.002)) AND bad >= 0.8 * pages),
+    SELECT items, pages, bad FROM sets
+    WHERE bad >= (SELECT least FROM least) AND bad >= 0.7 * pages
+        AND NOT (len([i FOR i IN items IF starts_with(i, 'd:')]) > 0 AND len([i FOR i IN items IF starts_with(i, 'h:')]) > 0)),
+own AS (
+    SELECT url, list(DISTINCT item) AS items
+    FROM (SELECT url, unnest(tokens) AS token FROM p) JOIN named USING (token) GROUP BY url),
 hits AS (
-    SELECT url, array_to_string(rules.tokens, ' ') AS pattern,
-        row_number() OVER (PARTITION BY url ORDER BY -bad / pages, -bad, array_to_string(rules.tokens, ' ')) AS n
-    FROM p JOIN rules ON list_has_all(p.tokens, rules.tokens)),
+    SELECT url, array_to_string(rules.items, ' ') AS pattern,
+        row_number() OVER (PARTITION BY url ORDER BY -bad / pages, -bad, array_to_string(rules.items, ' ')) AS n
+    FROM own JOIN rules ON list_has_all(own.items, rules.items)),
 given(verdict, host, path) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
     ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
 fits AS (

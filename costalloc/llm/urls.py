@@ -1,12 +1,13 @@
 """URL filters: a list of host rules, and association rules mined from labels. DataFrame functions only.
 
-Spark's FP-growth mines frequent sets of URL tokens together with the mark of a bad label. A set whose pages are
-bad often enough becomes a rule. Rules stand in an inverted index under their rarest token; a URL is checked against
-the rules that its tokens find there.
+Spark's FP-growth mines frequent sets of URL tokens together with the mark of a bad label; tokens of the same pages
+count as one item. A set whose pages are bad often enough becomes a rule. Rules stand in an inverted index under their
+rarest item; a URL is checked against the rules that its items find there.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -72,57 +73,87 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[HostRule]) -> Colum
     return found
 
 
+def equal_tokens(labelled: DataFrame, least_bad: int) -> DataFrame:
+    """(token, item): tokens of at least least_bad bad pages; tokens of exactly the same pages share an item.
+
+    labelled: row, tokens, bad. Equal sets of pages are known by their size and 128 summed hash bits. All tokens of an
+    item stand in one URL, so none is larger than that. The item is called after its smallest token, so it begins with
+    d: if a whole host is in it, else with h: if a host label is.
+    """
+    found = labelled.select("bad", *[F.xxhash64(F.lit(k), "row").cast("decimal(20,0)").alias(f"r{k}") for k in (1, 2)], F.explode("tokens").alias("token"))
+    pages = [F.count("*").alias("pages"), F.sum("r1").alias("s1"), F.sum("r2").alias("s2")]
+    counted = found.groupBy("token").agg(F.count_if("bad").alias("n_bad"), *pages).where(F.col("n_bad") >= least_bad)
+    shared = counted.groupBy("pages", "s1", "s2").agg(F.min("token").alias("item"), F.collect_list("token").alias("tokens"))
+    return shared.select(F.explode("tokens").alias("token"), "item")
+
+
 def mine_rules(
     labelled: DataFrame,
     min_support: float = MIN_SUPPORT,
     min_count: int = MIN_COUNT,
     min_confidence: float = MIN_CONFIDENCE,
-) -> DataFrame:
-    """(tokens, pages, bad): token sets whose pages are bad at least min_confidence of the time.
+) -> tuple[DataFrame, DataFrame]:
+    """(items, pages, bad): item sets whose pages are bad at least min_confidence of the time; and (token, item).
 
     labelled: tokens, bad (boolean). A set counts if at least min_count bad pages, and min_support of all labelled
-    pages, have it together with the mark. FP-growth's single items are bounded by the support: at most
-    tokens per URL / min_support of them reach the driver.
+    pages, have it together with the mark. Three things keep sets from doubling with tokens that tell nothing new:
+    tokens below the limit are left out, tokens of the same pages are one item (a URL has it by any of them), and a
+    whole host, which implies its labels, is never put with them in one set: hosts and labels are mined apart. The
+    sets lost are those that match no page that a shorter one, with the same counts, doesn't. Sets still double with
+    each further token that many bad pages share in changing company. The items, which reach the driver, are at most
+    tokens per URL / min_support.
     """
+    spark = labelled.sparkSession
+    rows = materialize(labelled.select(F.monotonically_increasing_id().alias("row"), "tokens", "bad"), "url-labelled")
+    total = rows.count()
+    least = max(min_count, 1, math.ceil(round(total * min_support, 6)))
+    tokens = materialize(equal_tokens(rows, least), "url-tokens")
+    placed = rows.select("row", "bad", F.explode("tokens").alias("token")).join(tokens, "token")
+    items = materialize(placed.groupBy("row", "bad").agg(F.collect_set("item").alias("items")), "url-items")
+    n = items.count()
+    if not n:
+        return spark.createDataFrame([], "items array<string>, pages bigint, bad bigint"), tokens
     mark = F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))
-    items = materialize(labelled.select(F.concat("tokens", mark).alias("items")), "url-items")
-    total = items.count()
-    if not total:
-        return labelled.sparkSession.createDataFrame([], "tokens array<string>, pages bigint, bad bigint")
-    # half a page below the count, so that rounding cannot move the limit
-    support = min(1.0, (max(min_count, -(-total * min_support // 1)) - 0.5) / total)
-    sets = FPGrowth(itemsCol="items", minSupport=support, minConfidence=0.0).fit(items).freqItemsets
-    sets = materialize(sets.select(F.sort_array("items").alias("tokens"), "freq"), "url-itemsets")
-    is_bad = F.array_contains("tokens", BAD)
-    with_mark = sets.where(is_bad & (F.size("tokens") > 1)).select(
-        F.array_remove("tokens", BAD).alias("tokens"), F.col("freq").alias("bad")
-    )
-    all_pages = sets.where(~is_bad).select("tokens", F.col("freq").alias("pages"))
-    return with_mark.join(all_pages, "tokens").where(F.col("bad") >= min_confidence * F.col("pages")).select(
-        "tokens", "pages", "bad"
+    mined = []
+    for left_out in ("h:", "d:"):
+        some = F.filter("items", lambda item: ~F.startswith(item, F.lit(left_out)))
+        # half a page below the count, so that rounding cannot move the limit
+        growth = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / n), minConfidence=0.0)
+        sets = growth.fit(items.select(F.concat(some, mark).alias("items"))).freqItemsets
+        mined.append(materialize(sets.select(F.sort_array("items").alias("items"), "freq"), "url-itemsets"))
+    sets = mined[0].union(mined[1]).distinct()
+    is_bad = F.array_contains("items", BAD)
+    with_mark = sets.where(is_bad & (F.size("items") > 1)).select(
+        F.array_remove("items", BAD).alias("items"), F.col("freq").alias("bad")
     )
+    all_pages = sets.where(~is_bad).select("items", F.col("freq").alias("pages"))
+    rules = with_mark.join(all_pages, "items").where(F.col("bad") >= min_confidence * F.col("pages"))
+    return rules.select("items", "pages", "bad"), tokens
 
 
-def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def match_rules(urls: DataFrame, rules: DataFrame, tokens: DataFrame) -> DataFrame:
     """(url, pattern): for each distinct URL that some rule matches, its most confident rule.
 
-    urls: url, tokens. A rule is indexed under its token that is rarest among the rules' pages, so a token of every
+    urls: url, tokens. A rule is indexed under its item that is rarest among the rules' pages, so a token of every
     URL, like the scheme, finds only rules of nothing else.
     """
-    single = rules.select(F.explode("tokens").alias("token"), "pages").groupBy("token").agg(F.sum("pages").alias("weight"))
-    placed = rules.select("*", F.explode("tokens").alias("token")).join(single, "token")
-    index = placed.groupBy("tokens", "pages", "bad").agg(F.min(F.struct("weight", "token"))["token"].alias("token"))
-    posted = urls.select("url", F.col("tokens").alias("own"), F.explode("tokens").alias("token"))
-    hits = posted.join(index, "token").where(F.size(F.array_except("tokens", "own")) == 0)
+    single = rules.select(F.explode("items").alias("item"), "pages").groupBy("item").agg(F.sum("pages").alias("weight"))
+    placed = rules.select("*", F.explode("items").alias("item")).join(single, "item")
+    index = placed.groupBy("items", "pages", "bad").agg(F.min(F.struct("weight", "item"))["item"].alias("item"))
+    used = tokens.join(single.select("item"), "item")
+    told = urls.select("url", F.explode("tokens").alias("token")).join(used, "token")
+    owned = told.groupBy("url").agg(F.collect_set("item").alias("own"))
+    posted = owned.select("url", "own", F.explode("own").alias("item"))
+    hits = posted.join(index, "item").where(F.size(F.array_except("items", "own")) == 0)
     # best: highest share of bad pages, then most bad pages, then the smallest pattern
-    best = F.min(F.struct(-F.col("bad") / F.col("pages"), -F.col("bad"), F.array_join("tokens", " ").alias("pattern")))
+    best = F.min(F.struct(-F.col("bad") / F.col("pages"), -F.col("bad"), F.array_join("items", " ").alias("pattern")))
     return hits.groupBy("url").agg(best["pattern"].alias("pattern"))
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[HostRule], **limits) -> DataFrame:
     """(page_id, host, path, rule, verdict, pattern) for every row of pages (page_id, url).
 
-    The host rules decide first; else a mined rule blocks (pattern: its tokens); else the page is allowed. A page is
+    The host rules decide first; else a mined rule blocks (pattern: its items); else the page is allowed. A page is
     labelled by labels whose doc_id is its page_id, and bad if any of them says quality 0 or toxic 1 (null: says
     nothing). A null url, or one without ://, has empty host, path and no tokens. Repeated rows are each judged.
     Without labels no rule is mined. Other columns are ignored.
@@ -133,9 +164,10 @@ def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[HostRule], **limi
     url = F.coalesce("url", F.lit(""))
     plain = pages.select("page_id", url.alias("url"))
     labelled = plain.join(known, "page_id").select(tokens_of(F.col("url")).alias("tokens"), "bad")
-    mined = materialize(mine_rules(labelled, **limits), "url-rules")
+    mined, tokens = mine_rules(labelled, **limits)
+    mined = materialize(mined, "url-rules")
     distinct = plain.select("url").distinct().select("url", tokens_of(F.col("url")).alias("tokens"))
-    matched = match_rules(distinct, mined)
+    matched = match_rules(distinct, mined, tokens)
     parts = plain.join(matched, "url", "left").select(
         "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "pattern"
     )

@@ -3,8 +3,10 @@
 import itertools
 import random
 
+import duckdb
+
 from costalloc.llm import urls
-from costalloc.llm.queries import URL_RULES
+from costalloc.llm.queries import ORACLES, QUERIES, URL_RULES
 
 
 def frame(spark, found):
@@ -65,6 +67,38 @@ def test_mined_rules(spark):
     assert len(got) == len(rows)
 
 
+def test_tokens_that_say_the_same_are_one_item(spark):
+    def arguments(i):
+        return "&".join(f"k{j}=1" for j in range(30)) + f"&id={i}"
+
+    found = [f"https://w.{('good', 'spam')[i % 2]}.net/{i}?{arguments(i)}" for i in range(200)]
+    labelled = frame(spark, found).select(urls.tokens_of(urls.F.col("url")).alias("tokens"), (urls.F.col("page_id") % 2 == 1).alias("bad"))
+    rules, tokens = urls.mine_rules(labelled, min_count=10)
+    # the whole host and its label are one item; what every page has is another, called after a host label
+    assert [tuple(r) for r in rules.collect()] == [(["d:w.spam.net"], 100, 100)]
+    assert tokens.where("item = 'd:w.spam.net'").count() == 2
+
+
+def test_unseen_hosts_match_by_any_token_of_an_item(spark):
+    found = [f"https://{('good', 'spam')[i % 2]}.net/{i}" for i in range(40)] + ["http://x.spam.org/", "http://good.org/"]
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    got = {r.page_id: (r.verdict, r.pattern) for r in urls.judge(frame(spark, found), labels, []).collect()}
+    assert got[40] == ("block", "d:spam.net") and got[41] == ("allow", None) and got[1] == ("block", "d:spam.net")
+
+
+def test_rules_are_mined_from_the_given_labels(spark):
+    folder = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for name in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    columns = ["page_id", "host", "path", "rule", "verdict", "pattern"]
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({ORACLES['op4_url_filters']})").fetchall()
+    got = [tuple(r) for r in QUERIES["op4_url_filters"](spark, folder).select(columns).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    assert sum(r[5] is not None for r in got) > 1
+    assert sum(r[3] is None and r[4] == "block" for r in got) > 1
+
+
 def test_runs_without_python(spark):
     labels = spark.createDataFrame([(0, 1, 0)], "doc_id bigint, quality int, toxic int")
     plan = urls.judge(frame(spark, ["http://a.b/c"]), labels, URL_RULES)._jdf.queryExecution().executedPlan().toString()

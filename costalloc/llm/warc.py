@@ -248,20 +248,27 @@ def read_package(path: str) -> Iterator[tuple[str, tuple]]:
 # Spark --------------------------------------------------------------------
 
 
+SALTS = 16
+
+
 def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """pages (page_id, url, payload) with digest and refers_to: null for responses.
 
     Of pages with equal payloads of at least min_bytes bytes the smallest page_id is the response, and all rows
     repeated with that page_id; the others refer to it. A page without page_id is a revisit if its payload has a
-    response, else a response. Only digests are grouped; equal payloads never meet in one task.
+    response, else a response. Only digests are grouped. Payloads are dealt by digest and by page over SALTS keys, so
+    copies of one payload spread over as many tasks; only repeated digests, a few bytes each, are sent to all of them.
     """
     digest = F.sha1("payload")
     ids = pages.where(F.octet_length("payload") >= min_bytes).groupBy(digest.alias("digest"))
     first = ids.agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies"))
-    first = first.where("copies > 1 AND first_id IS NOT NULL").select("digest", "first_id")
-    keys = pages.select("page_id", "url", "payload", digest.alias("digest"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    first = first.where("copies > 1 AND first_id IS NOT NULL").select("digest", "first_id", salts)
+    # from the row's own values, so that a task that runs again deals its rows alike
+    salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")
+    keys = pages.select("page_id", "url", "payload", digest.alias("digest"), salt.alias("salt"))
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id"))
-    return keys.join(first, "digest", "left").select("page_id", "url", "payload", refers.alias("refers_to"))
+    return keys.join(first, ["digest", "salt"], "left").select("page_id", "url", "payload", refers.alias("refers_to"))
 
 
 def write_packages(pages: DataFrame, folder: str, min_bytes: int = 0, zip64: bool = True) -> DataFrame:

@@ -50,6 +50,22 @@ def test_round_trip(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_copies_of_one_payload_spread(spark):
+    pages = spark.range(4_000).selectExpr("id AS page_id", "concat('u', id) AS url", "CAST('same' AS BINARY) AS payload")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        rows = warc.with_revisits(pages).select("page_id", "refers_to", warc.F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert {r.page_id: r.refers_to for r in rows} == {i: 0 if i else None for i in range(4_000)}
+    sizes = [sum(r.task == t for r in rows) for t in {r.task for r in rows}]
+    assert len(sizes) > 8 and max(sizes) < 1_500
+
+
 @pytest.mark.parametrize("zip64", [True, False])
 def test_other_readers_accept_a_package(tmp_path, zip64):
     path = f"file://{tmp_path}/a.wacz"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 ROLE_START, ROLE_END, TURN_END = "<|im_start|>", "\n", "<|im_end|>\n"
+MARKS = ["<|im_start|>", "<|im_end|>"]
 
 
 def prefix_hashes(turns: DataFrame) -> DataFrame:
@@ -54,9 +55,17 @@ def maximal(turns: DataFrame) -> DataFrame:
     return whole.join(inside, key, "left_anti").select("conv_id", F.col("place").alias("n_turns"), "n_copies")
 
 
+def escaped(value: Column) -> Column:
+    """A role or text in which a mark that stands there is told from a real one by a backslash after its <."""
+    for mark in MARKS:
+        value = F.replace(value, F.lit(mark), F.lit(mark.replace("<", "<\\", 1)))
+    return value
+
+
 def render(turns: DataFrame) -> DataFrame:
-    """(conv_id, text): each conversation's turns in order, with role and turn marks."""
-    one: Column = F.concat(F.lit(ROLE_START), "role", F.lit(ROLE_END), "text", F.lit(TURN_END))
+    """(conv_id, text): each conversation's turns in order, with role and turn marks; no text can forge a turn."""
+    role, said = escaped(F.translate("role", "\n", " ")), escaped(F.col("text"))
+    one: Column = F.concat(F.lit(ROLE_START), role, F.lit(ROLE_END), said, F.lit(TURN_END))
     told = turns.select("conv_id", "turn", F.xxhash64(F.lit(1), "role", "text").alias("t1"), F.xxhash64(F.lit(2), "role", "text").alias("t2"), one.alias("told"))
     ordered = F.array_sort(F.collect_list(F.struct("turn", "t1", "t2", "told")))
     return told.groupBy("conv_id").agg(F.array_join(F.transform(ordered, lambda x: x["told"]), "").alias("text"))
@@ -67,7 +76,8 @@ def collapse_and_render(conversations: DataFrame) -> DataFrame:
 
     conversations: conv_id, turn, role, text. Turns are taken in the order of `turn` (null first; turns with one
     number in the order of their hash); gaps in the numbers don't matter. Repeated rows count once, null roles and
-    texts are empty, rows without conv_id belong to no conversation and go. Other columns are ignored. The rendered
+    texts are empty, rows without conv_id belong to no conversation and go. Marks inside a text get a backslash, line
+    ends inside a role become spaces. Other columns are ignored. The rendered
     text of one conversation is one value, so its turns meet in one task; snapshots go before that.
     """
     turns = distinct_turns(conversations)

@@ -130,13 +130,15 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
     CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
 FROM groups
 """,
-    "op9_chat_formatting": """
+    "op9_chat_formatting": r"""
 WITH t AS (
     SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
     FROM conversations WHERE conv_id IS NOT NULL),
 c AS (
     SELECT conv_id, count(*) AS n_turns, list(struct_pack(role, text) ORDER BY turn NULLS FIRST) AS turns,
-        string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn NULLS FIRST) AS text
+        string_agg('<|im_start|>' || replace(replace(translate(role, chr(10), ' '), '<|im_start|>', '<\|im_start|>'), '<|im_end|>', '<\|im_end|>')
+            || chr(10) || replace(replace(text, '<|im_start|>', '<\|im_start|>'), '<|im_end|>', '<\|im_end|>')
+            || '<|im_end|>' || chr(10), '' ORDER BY turn NULLS FIRST) AS text
     FROM t GROUP BY conv_id),
 prefixes AS (
     SELECT DISTINCT turns[1:k] AS turns FROM (SELECT turns, unnest(range(1, n_turns)) AS k FROM c)),

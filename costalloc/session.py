@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,24 +66,3 @@ def materialize(rows: DataFrame, name: str) -> DataFrame:
     path = run_dir(rows.sparkSession, name)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Let the workers of this session import the package, wherever they run.
-
-    Adds it to the session's Python files once, unless the workers find it on PYTHONPATH.
-    """
-    context = spark.sparkContext
-    root = Path(__file__).resolve().parent
-    on_path = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root.parent in on_path or context.applicationId in _shipped:
-        return
-    bundle = Path(tempfile.mkdtemp(prefix="costalloc-code-")) / "costalloc.zip"
-    with zipfile.ZipFile(bundle, "w") as out:
-        for file in root.rglob("*.py"):
-            out.write(file, file.relative_to(root.parent))
-    context.addPyFile(str(bundle))
-    _shipped.add(context.applicationId)

@@ -7,9 +7,11 @@ bucket goes when its hour is over. Results are written as one folder per batch a
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,10 +20,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from costalloc.operators.cleanse import HOUR, preprocess_telemetry
 from costalloc.operators.dedup import IDENTITY, SOURCE_ORDER, dedup_telemetry
 from costalloc.schemas import TELEMETRY
-from costalloc.session import ship
 from costalloc.streaming.segments import DAY_PARTITION, Segments
 from costalloc.streaming.usage import GROUP, PARTIAL, SUMS, _in_range, finished, merge_partials
 
+# A stream with state also starts a Python process beside the driver, which sees neither the session's Python files nor
+# the driver's sys.path. The processors need nothing else of this package, so they travel whole instead of by name.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CLOSED, LATE = "closed", "late"
 DELAY = "4 hours"
 BUCKETS = 8
@@ -104,7 +109,6 @@ def closed_usage(
     delay: how far the watermark stays behind the latest time. It bounds the state, not the result: a row that is later
     than that comes out with the next batch as a late part of its cell.
     """
-    ship(telemetry.sparkSession)
     cleaned = preprocess_telemetry(telemetry.withWatermark("TimeGenerated", delay), window_minutes)
     rows = cleaned.select(
         _plain("TimeGenerated", window_minutes).alias("TimeWindow"),
@@ -216,7 +220,6 @@ def dedup_changes(telemetry: DataFrame, keep_hours: int = 24, delay: str = DELAY
     A request is known until the watermark is keep_hours past its hour. A copy that comes later is told as if it were the first;
     read_dedup_changes chooses among those when it reads.
     """
-    ship(telemetry.sparkSession)
     rows = telemetry.withWatermark("TimeGenerated", delay).where("TimeGenerated IS NOT NULL")
     columns = [F.timestamp_micros(F.unix_micros("TimeGenerated")).alias(c) if c == "TimeGenerated" else F.col(c) for c in TELEMETRY.fieldNames()]
     keyed = rows.select(

@@ -1,8 +1,12 @@
 """Streams with state against batch: late rows, restarts, doubled delivery, bounded state; and the merging of batches."""
 
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from costalloc.operators import dedup
@@ -217,3 +221,11 @@ def test_doubled_and_reordered_batches(spark, small):
     a, b = dt.datetime(2024, 1, 10, 6), dt.datetime(2024, 1, 12)
     want = windowed_usage(rows).where((F.col("TimeWindow") >= F.lit(a)) & (F.col("TimeWindow") < F.lit(b)))
     assert rounded(usage.read_stream_usage(spark, f"{path}/o", a, b)) == rounded(want)
+
+
+@pytest.mark.parametrize("processor", [stateful.ClosedWindows(60), stateful.BestCopies(1)], ids=["closed", "copies"])
+def test_processors_need_nothing_of_this_package_where_they_run(processor, tmp_path):
+    (tmp_path / "p").write_bytes(cloudpickle.dumps(processor))
+    code = "import pickle, sys; pickle.load(open('p', 'rb')); assert not any(m.startswith('costalloc') for m in sys.modules)"
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=clean, check=True, timeout=100)

@@ -11,7 +11,7 @@ from costalloc.plans.fact import correlated_fact, windowed_usage
 from costalloc.plans.run import run_once
 from costalloc.schemas import EVENTS_TABLE
 from costalloc.session import run_dir, shared_dir
-from costalloc.sources import billing, events, logs, store, testtables as tt
+from costalloc.sources import billing, events, files, logs, store, testtables as tt
 from costalloc.streaming import ingest, late_cost, usage
 
 AS_OF = dt.datetime(2024, 1, 31, 6, 30)
@@ -58,6 +58,21 @@ def test_formats_hold_the_same_values(spark, small):
         assert sorted(map(str, store.read_partition(spark, base, AS_OF.date(), file_format).collect())) == want
 
 
+def test_runs_are_stored_packed(spark, small, monkeypatch):
+    base = run_dir(spark, "t")
+    fact = _fact(spark, small)
+    n = fact.count()
+    monkeypatch.setattr(sinks, "TEXT_ROWS", n // 3)
+    sinks.write_fact(fact, base, AS_OF)
+    for file_format in ("json", "csv"):
+        kept = files.names(spark, f"{base}/{file_format}/Year=2024/Month=01/Day=31/Run=063000/part-*")
+        assert len(kept) >= 3 and all(name.endswith(f".{file_format}.gz") for name in kept)
+        assert store.read_partition(spark, base, AS_OF.date(), file_format).count() == n
+    said = {r.TableName: r for r in sinks.storage_metrics(spark, base, AS_OF).collect()}
+    plain = sum(len(text) + 1 for text in fact.toJSON().collect())
+    assert said["json"].Bytes < plain / 4 and said["csv"].Bytes < plain / 4
+
+
 def test_metrics_and_retention(spark, small):
     base = run_dir(spark, "t")
     sinks.write_fact(_fact(spark, small), base, AS_OF)

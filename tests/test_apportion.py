@@ -73,3 +73,15 @@ def test_bodies_are_parsed_once(spark, body, want):
     text = body if body is None or isinstance(body, str) else json.dumps(body)
     rows = logs.extract_token_usage(spark.createDataFrame([(text,)], "ResponseBody string"))
     assert tuple(rows.first())[1:] == want and "_parsed" not in rows.columns
+
+
+def test_tasks_grow_with_the_cells(spark, monkeypatch):
+    """What one task sorts is bounded; into how many tasks the cells go changes no unit."""
+    usage = windowed_usage(calls(spark, [("10:00:00", f"d{i}", "s", 1 + i % 7) for i in range(60)]))
+    cost = windowed_cost(bills(spark, [("10:00:00", "GPT-4o Input Tokens", 1.234567)]).selectExpr("*", "'Azure OpenAI' AS ServiceName"))
+    few = apportion.allocate_exact(usage, cost)
+    monkeypatch.setattr(apportion, "TASK_ROWS", 5)
+    many = apportion.allocate_exact(usage, cost)
+    assert apportion._tasks(usage, correlate.cost_lines(cost)) == 12
+    assert many._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression [_group") == 1
+    assert sorted(map(str, many.collect())) == sorted(map(str, few.collect())) and few.count() == 60

@@ -14,6 +14,7 @@ from costalloc.schemas import EVENTS_TABLE
 from costalloc.session import run_dir, shared_dir
 from costalloc.sources import billing, events, files, logs, store, testtables as tt
 from costalloc.streaming import ingest, late_cost, usage
+from tests.helpers import bills, calls
 
 AS_OF = dt.datetime(2024, 1, 31, 6, 30)
 
@@ -59,6 +60,20 @@ def test_formats_hold_the_same_values(spark, small):
         assert sorted(map(str, store.read_partition(spark, base, AS_OF.date(), file_format).collect())) == want
 
 
+def test_like_rows_are_stored_side_by_side(spark):
+    base = run_dir(spark, "t")
+    # devices in mixed order, few different numbers of tokens: equal parts of a line must not lie apart in the files
+    usage = [(f"10:00:{i:02d}", f"d{i * 37 % 60:02d}", f"s{i % 4}", 10 * (1 + i % 3)) for i in range(60)]
+    told = calls(spark, usage), bills(spark, [("10:05:00", meter, 60.0) for meter in ("GPT-4o Input Tokens", "PTU Provisioned")])
+    rows = correlated_fact(*[table.repartition(3) for table in told], AS_OF).coalesce(1)
+    sinks.write_fact(rows, base, AS_OF)
+    sinks.write_by_window(rows, base, AS_OF)
+    for file_format, place in [(f, f) for f in store.FORMATS] + [("parquet", "windows")]:
+        stored = spark.read.option("header", True).format(file_format).load(f"{base}/{place}")
+        kept = [(int(r.TokensUsed), r.StoreNumber, r.DeviceId, r.MeterName) for r in stored.collect()]
+        assert len(kept) == 120 and kept == sorted(kept)
+
+
 def test_runs_are_stored_packed(spark, small, monkeypatch):
     base = run_dir(spark, "t")
     fact = _fact(spark, small)

@@ -97,14 +97,23 @@ class Segments:
         reader = self.spark.read.schema(self.layout).option("basePath", f"{self.base}/data")
         return reader.parquet(*[self._path(name) for name in names])
 
+    def _held(self) -> list[str]:
+        """Of the folders that count now, those that hold rows: a batch that changed nothing leaves none."""
+        return [name for name in self.live() if files.folders(self.spark, f"{self._path(name)}/{self.partition}=*")]
+
     def read(self, start=None, end=None) -> DataFrame:
-        """The rows of all that counts, merged; of the days of a half-open range of time only, if one is given."""
-        rows = self._read(self.live())
+        """The rows of all that counts, merged; of the days of a half-open range of time only, if one is given.
+
+        What lies in one merged folder alone was merged when it was written, and is not shuffled again.
+        """
+        held = self._held()
+        rows = self._read(held)
         if start is not None:
             rows = rows.where(F.col(DAY_PARTITION) >= F.to_date(moment(start)))
         if end is not None:
             rows = rows.where(F.col(DAY_PARTITION) <= F.to_date(moment(end)))
-        return self.merge(rows.select(self.columns))
+        merged = self.merge(rows.select(self.columns))
+        return rows.select(merged.columns) if len(held) == 1 and held[0].startswith("m") else merged
 
     def before(self, batch_id: int) -> DataFrame:
         """The rows that were there before a batch, not merged: what the batch was, if it is done again, does not count."""

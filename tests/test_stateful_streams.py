@@ -197,6 +197,19 @@ def test_a_merge_that_breaks_off_changes_nothing(spark, monkeypatch):
     assert len(orphans) <= 6  # those of versions that are kept for readers
 
 
+def test_one_merged_folder_is_not_merged_again(spark):
+    store = segments.Segments(spark, run_dir(spark, "t"), usage.PARTIAL, usage.merge_partials, fanout=4)
+    for batch in range(4):
+        store.write(numbered(spark, 10), batch)
+    before, columns = totals(store), store.read().columns
+    assert store.compact() == 1
+    store.write(numbered(spark, 10).limit(0), 4)  # a batch that changed nothing
+    assert len(store.live()) == 2 and totals(store) == before and store.read().columns == columns
+    assert "Exchange" not in store.read()._jdf.queryExecution().executedPlan().toString()
+    store.write(numbered(spark, 10), 5)
+    assert totals(store) == [(d, 5 * n // 4) for d, n in before]
+
+
 def test_readers_of_the_version_before_still_find_their_files(spark):
     store = segments.Segments(spark, run_dir(spark, "t"), usage.PARTIAL, usage.merge_partials, fanout=3)
     for batch in range(3):

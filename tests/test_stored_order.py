@@ -1,5 +1,6 @@
 """Runs stored in order: the same rows, sorted before they are many, and no shuffle kept after a write."""
 
+import json
 import os
 
 import pytest
@@ -46,6 +47,9 @@ def test_write_keeps_no_shuffle_and_the_order(spark):
     sinks.write_by_window(fact, base, AS_OF)
     assert _shuffle_files(spark) <= before
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+    # of a line last, so that rows of a cell begin alike
+    text = spark.read.text(f"{base}/json").first().value
+    assert [name for name in json.loads(text)][-len(sinks.OF_LINE):] == sinks.OF_LINE
     want = sorted(map(str, fact.collect()))
     for file_format in store.FORMATS:
         rows = store.read_partition(spark, base, AS_OF.date(), file_format)

@@ -2,6 +2,7 @@
 
 import collections
 import math
+import random
 import re
 import zlib
 
@@ -311,3 +312,137 @@ def test_texts_are_shuffled_once(spark):
     rows.collect()
     plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("ReusedExchange") >= 2
+
+
+class PlainBelow(Plain):
+    """The model that also mixes the bits of a token below its class."""
+
+    def __init__(self, rows):
+        super().__init__(rows)
+        self.turned = np.tile(np.array(mixing.WORD_START), (mixing.WORD_GATES, 1))
+        self.after = collections.defaultdict(collections.Counter)
+        for hashes, classes, keys, held in self.docs:
+            for t, (h, c) in enumerate(zip(hashes, classes, strict=True)):
+                if not held:
+                    self.after[c][self.low(h)] += 1
+                    self.after[keys[0][t], c][self.low(h)] += 1
+
+    @staticmethod
+    def low(h):
+        return h & (1 << mixing.WORD_BITS) - 1
+
+    @staticmethod
+    def path(counts, low, learn):
+        bits = mixing.WORD_BITS
+        return [max(0, sum(n for s, n in counts.items() if s >> (bits - j) == low >> (bits - j)) - learn) for j in range(bits + 1)]
+
+    def changed(self, learn):
+        """log2 of the mixed bits of each document, less that of their rates."""
+        some = [i for i, d in enumerate(self.docs) if not (learn and d[3])]
+        state = {i: dict(own=np.zeros(3), last={}, pairs={}, bits=0.0) for i in some}
+        done = 0
+        while any(len(self.docs[i][0]) > done for i in some):
+            slopes, often = np.zeros_like(self.turned), np.zeros(mixing.WORD_GATES)
+            for i in some:
+                hashes, classes, keys, _ = self.docs[i]
+                own, step, n = state[i], np.zeros(3), 0
+                for t in range(done, min(done + mixing.CHUNK, len(hashes))):
+                    h, c, low = hashes[t], classes[t], self.low(hashes[t])
+                    hit = t >= 2 and own["pairs"].get((hashes[t - 1], hashes[t - 2])) == h
+                    if t >= 2:
+                        own["pairs"][hashes[t - 1], hashes[t - 2]] = h
+                    last = own["last"].get(c)
+                    own["last"][c] = low
+                    if hit or self.words[h] - learn <= 0:
+                        continue
+                    agreed = -1 if last is None else mixing.WORD_BITS - (last ^ low).bit_length()
+                    plain, after = self.path(self.after[c], low, learn), self.path(self.after[keys[0][t], c], low, learn)
+                    for j in range(mixing.WORD_BITS):
+                        total, taken, seen, same = plain[j], plain[j + 1], after[j], after[j + 1]
+                        if taken == total or (seen < mixing.LEAST_SEEN and agreed < j):
+                            continue
+                        rate = taken / total
+                        p = (same + mixing.BACK_OFF * rate) / (seen + mixing.BACK_OFF)
+                        x = np.array([math.log(rate / (1 - rate)), math.log(p / (1 - p)), 0 if agreed < j else 1 if agreed > j else -1])
+                        level = sum(seen >= v for v in mixing.LEVELS)
+                        gate = level * (len(mixing.AGREED) + 2) + (0 if agreed < j else 1 + sum(j >= v for v in mixing.AGREED))
+                        p = 1 / (1 + math.exp(-max(-14, min(14, float(np.dot(self.turned[gate] + own["own"], x))))))
+                        own["bits"] += math.log2(p / rate)
+                        step += (1 - p) * x
+                        slopes[gate] += (1 - p) * x
+                        often[gate] += 1
+                        n += 1
+                if n:
+                    own["own"] = np.clip(own["own"] + mixing.RATE * step / math.sqrt(n), -0.5, 0.5)
+            if learn:
+                self.turned += mixing.START_RATE * slopes / np.maximum(often, 1)[:, None] ** 0.75
+            done += mixing.CHUNK
+        return [state[i]["bits"] for i in some]
+
+    def scores(self):
+        self.coded(learn=1)
+        self.changed(learn=1)
+        out = {}
+        for (doc_id, *_), (hashes, classes, _, _), bits, more in zip(self.rows, self.docs, self.coded(learn=0), self.changed(learn=0), strict=True):
+            pairs, rest = {}, 0.0
+            for t, (h, c) in enumerate(zip(hashes, classes, strict=True)):
+                hit = t >= 2 and pairs.get((hashes[t - 1], hashes[t - 2])) == h
+                if t >= 2:
+                    pairs[hashes[t - 1], hashes[t - 2]] = h
+                if not hit:
+                    known = self.mass[c] + 0.5 * self.kinds[c]
+                    rest += math.log10((known * self.words[h] / self.mass[c] if self.words[h] else 0.5) / (known + 0.5))
+            out[doc_id] = rest + (bits + more) * math.log10(2)
+        return out
+
+
+def test_bits_below_the_class_against_single_bits(spark):
+    """The whole way with the bits of a token below its class, for real text, words that follow others, and repeated ones."""
+    texts = [r.text[:1500] for r in spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").limit(10).collect()]
+    texts += ["", "one", " ".join(f"w{i % 7} word{i % 7}x word{i * i % 5}y" for i in range(150)), texts[0], "worda wordb worda wordb wordc"]
+    rows = [(i, t, zlib.crc32(str(i).encode()) % 5 == 1) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string").coalesce(1)
+    got = {r.doc_id: r.score for r in mixing.score(frame, below=True).collect()}
+    model = PlainBelow(rows)
+    want = model.scores()
+    assert (model.turned != np.array(mixing.WORD_START)).any()
+    assert got == {i: pytest.approx(want[i], rel=2e-4, abs=1e-3) for i in want}
+
+
+def test_a_word_tells_the_next_below_its_class(spark):
+    """Words of one class, each after a word of its own: the count in the class takes six bits of each, the word before tells it."""
+    dealt = random.Random(1)
+    rows = [(i, " ".join(f"{k} same{k}" for k in dealt.choices(range(64), k=30))) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bits = [sum(r.bits_per_byte for r in mixing.score(frame, below=b).where("held_out").collect()) for b in (False, True)]
+    assert bits[1] < 0.75 * bits[0]
+
+
+def test_words_of_a_class_share_its_probability():
+    """Whichever word of the class comes next, after a known word and a token of the class, the probabilities add up to one."""
+    words = [f"wor{c}{i}" for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    texts = [" ".join(f"{'xy'[(i + j) % 2]} {words[(i * j + j) % 26]}" for j in range(200)) for i in range(4)] + [f"{words[3]} x {w}" for w in words]
+    block = mixing.Block(pa.array([t.encode() for t in texts], pa.binary()), True)
+    trained = np.arange(len(texts)) < 4
+    n, _, below = block.counted(trained)
+    model = mixing.WordPredictors(block, mixing.path_counts(block.word_key, below.astype(np.int64), mixing.WORD_BITS).astype(np.float32))
+    model.weights += np.linspace(-0.3, 0.4, model.weights.size, dtype=np.float32).reshape(model.weights.shape)
+    tokens = block.tokens[0]
+    last = np.zeros(len(tokens.hash), bool)
+    last[tokens.first[5:] - 2] = True
+    assert len(set(tokens.cls[last])) == 1
+    n = n[np.searchsorted(block.word, tokens.hash)][last].astype(float)
+    at, plain, after = model.look_up(0, last, own=False)
+    assert len(at) == 26 and (n > 0).all()
+    changed = mixing.coded_words(model, tokens, at, plain, after, tokens.agreed[at])[4:]
+    assert (abs(changed) > 0.01).any() and (n / n.sum() * 2**changed).sum() == pytest.approx(1.0, rel=1e-4)
+
+
+def test_the_query_mixes_all_bits(spark):
+    """The registered query codes the bits below the class in context."""
+    from costalloc.llm import queries
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    want = {r.doc_id: r.score for r in mixing.score(docs, below=True).collect()}
+    got = {r.doc_id: r.score for r in queries.op2_lm_scoring(spark, SMALL).collect()}
+    assert got == pytest.approx(want, rel=1e-6)

@@ -361,6 +361,8 @@ class PlainBelow(Plain):
                         total, taken, seen, same = plain[j], plain[j + 1], after[j], after[j + 1]
                         if taken == total or (seen < mixing.LEAST_SEEN and agreed < j):
                             continue
+                        if seen < mixing.LEAST_SEEN:
+                            seen = same = 0
                         rate = taken / total
                         p = (same + mixing.BACK_OFF * rate) / (seen + mixing.BACK_OFF)
                         x = np.array([math.log(rate / (1 - rate)), math.log(p / (1 - p)), 0 if agreed < j else 1 if agreed > j else -1])

@@ -1,0 +1,80 @@
+"""The correlation index in stretches: every pair, whatever lies in which stretch, and no row per pair."""
+
+import datetime as dt
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from costalloc.operators import correlation_index as index
+
+START, END = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 11)
+FACT = "StoreNumber string, DeviceId string, TimeWindow timestamp, AllocatedCost double"
+
+
+def _fact(spark, stores):
+    """stores: name -> {device: series of ten days}"""
+    rows = [(s, d, START + dt.timedelta(days=t), float(v)) for s, some in stores.items() for d, x in some.items() for t, v in enumerate(x)]
+    return spark.createDataFrame(rows, FACT)
+
+
+def _even(seed, n):
+    rng = np.random.default_rng(seed)
+    return {f"d{i:03d}": np.round(50 + rng.normal(size=10), 6) for i in range(n)}
+
+
+def _brute(some, limit):
+    names, found = sorted(some), {}
+    for a in names:
+        for b in names:
+            r = round(float(np.corrcoef(some[a], some[b])[0, 1]), 9)
+            if a != b and abs(r) > limit:
+                found.setdefault(a, []).append((-abs(r), b, r))
+    return found
+
+
+@pytest.mark.parametrize("rows", [7, 40, 1 << 14])
+def test_partners_across_stretches(spark, monkeypatch, rows):
+    monkeypatch.setattr(index, "STRETCH_ROWS", rows)
+    monkeypatch.setattr(index, "TILE", 100)
+    stores = {"a": _even(1, 90), "b": _even(2, 5), "c": _even(3, 1)}
+    for d in range(0, 60, 7):  # the same course, and its mirror image
+        stores["a"][f"e{d:03d}"], stores["a"][f"c{d:03d}"] = 3 * stores["a"]["d004"] + 1, 900 - 2 * stores["a"]["d004"]
+    got = {(r.StoreNumber, r.DeviceId): r for r in index.device_correlation_index(_fact(spark, stores), START, END, limit=0.5).collect()}
+    want = {(s, d): found for s, some in stores.items() for d, found in _brute(some, 0.5).items()}
+    assert got.keys() == want.keys() and len(want) > 100
+    for key, found in want.items():
+        row, (_, other, r) = got[key], min(found)
+        assert (row.Links, row.Partner, row.Group) == (len(found), other, min([key[1], *[b for _, b, _ in found]]))
+        assert row.Correlation == pytest.approx(r, abs=1e-8)
+
+
+def test_no_pair_is_missed(spark):
+    some = _even(4, 80)
+    vectors = index.cost_vectors(_fact(spark, {"a": some}), START, END, 24)
+    got = {(r.a, r.b): r.Correlation for r in index.correlated_pairs(vectors, 0.5, missed=0.99).collect()}
+    want = {(a, b): r for a, found in _brute(some, 0.5).items() for _, b, r in found if a < b}
+    assert got.keys() == want.keys() and len(want) > 100
+    assert all(abs(got[k] - want[k]) < 1e-8 for k in want)
+
+
+def test_rows_grow_with_devices_and_far_stretches_do_not_meet(spark, monkeypatch):
+    # eight courses at right angles, and twenty devices with each: 1,520 pairs
+    base = np.linalg.qr(np.random.default_rng(5).normal(size=(10, 10)) + np.eye(10)[0])[0]
+    base = [b - b.mean() for b in base]
+    course = np.linalg.svd(np.array(base))[2][:8]
+    some = {f"d{k}{i:02d}": 100 + (i + 1) * course[k] for k in range(8) for i in range(20)}
+    monkeypatch.setattr(index, "STRETCH_ROWS", 10)
+    vectors = index.cost_vectors(_fact(spark, {"a": some}), START, END, 24).cache()
+    met = index._met(vectors, 0.9)
+    stretches = met.select("stretch").distinct().count()
+    assert met.select("unit").distinct().count() < stretches * (stretches + 1) / 2
+    told = met.groupBy("unit").applyInArrow(index._partners(0.9), index.PARTNERS)
+    assert told.count() <= met.select(F.sum(F.size("devices"))).first()[0]
+    assert told.groupBy("DeviceId").agg(F.sum("Links").alias("n")).where("n = 19").count() == 160
+
+
+def test_devices_without_a_course_have_no_partner(spark):
+    flat = _fact(spark, {"a": {"d1": np.ones(10), "d2": np.ones(10)}})
+    assert index.device_correlation_index(flat, START, END).count() == 0
+    assert index.correlated_pairs(index.cost_vectors(flat, START, END, 24)).count() == 0
